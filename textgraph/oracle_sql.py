@@ -9,7 +9,15 @@ SQL literals without escape processing, so ``\\t`` reaches RE2 as written.
 
 from __future__ import annotations
 
-from textgraph.workloads import POSTING_BLOCK
+from textgraph.workloads import (
+    ADJ_ITERS,
+    ALPHA,
+    EDGE_ITERS,
+    POSTING_BLOCK,
+    RANK_DIGITS,
+    SEARCH_ITERS,
+    SEARCH_SOURCE,
+)
 
 _TOKENS = r"""
 t AS (
@@ -70,5 +78,154 @@ SELECT word, doc_id, n FROM p ORDER BY word, doc_id""",
 }
 
 
+# --- graph ------------------------------------------------------------------
+
+_GRAPH = """
+pc AS (SELECT count(*) AS c FROM part),
+e AS (
+  SELECT l_partkey + 1 AS src, (SELECT c FROM pc) + l_suppkey + 1 AS dst, l_quantity
+  FROM lineitem WHERE l_returnflag = 'R'
+  UNION ALL
+  SELECT (SELECT c FROM pc) + l_suppkey + 1 AS src, l_partkey + 1 AS dst, l_quantity
+  FROM lineitem WHERE l_returnflag = 'A' AND l_suppkey % 4 <> 0),
+ids AS (
+  SELECT p_partkey + 1 AS id FROM part
+  UNION ALL SELECT (SELECT c FROM pc) + s_suppkey + 1 FROM supplier),
+nn AS (SELECT CAST((SELECT count(*) FROM part) + (SELECT count(*) FROM supplier) AS BIGINT) AS n),
+de AS (SELECT DISTINCT src, dst FROM e),
+v AS (SELECT src AS id FROM de UNION SELECT dst FROM de),
+nv AS (SELECT count(*) AS n FROM v),
+r0 AS (SELECT id, 1.0::DOUBLE / (SELECT n FROM nv) AS rank FROM v),
+ddeg AS (SELECT src, count(*) AS outdeg FROM de GROUP BY src)"""
+
+_R = f"{RANK_DIGITS}"
+_A = f"{ALPHA!r}::DOUBLE"
+_KEEP = f"{1.0 - ALPHA!r}::DOUBLE"
+
+
+def _edge_rank_sql() -> str:
+    """Edge-list form, unrolled: r1..rK from r0."""
+    steps = []
+    for k in range(1, EDGE_ITERS + 1):
+        p = f"r{k - 1}"
+        steps.append(f"""r{k} AS (
+  SELECT v.id, {_KEEP} * (coalesce(c.s, 0) + m.mass / nv.n) + {_A} / nv.n AS rank
+  FROM v CROSS JOIN nv
+  CROSS JOIN (SELECT coalesce(sum(rank), 0) AS mass FROM {p}
+              WHERE id NOT IN (SELECT src FROM ddeg)) m
+  LEFT JOIN (SELECT de.dst AS id, sum(x.rank / ddeg.outdeg) AS s
+             FROM de JOIN ddeg USING (src) JOIN {p} x ON x.id = de.src
+             GROUP BY de.dst) c ON c.id = v.id)""")
+    return f"""WITH {_GRAPH},
+{(",".join(steps))}
+SELECT id, round(rank, {_R}) AS rank FROM r{EDGE_ITERS}"""
+
+
+_ADJ = """
+em AS (SELECT src, dst, count(*) AS mult FROM e GROUP BY src, dst),
+deg AS (SELECT src, sum(mult) AS outdeg FROM em GROUP BY src),
+u AS (
+  SELECT id, bool_or(isrow) AS row0, bool_or(tgt) AS tgt,
+         (id BETWEEN 1 AND (SELECT n FROM nn)) AS in_range
+  FROM (SELECT id, true AS isrow, false AS tgt FROM ids
+        UNION ALL SELECT src, true, false FROM em
+        UNION ALL SELECT dst, false, true FROM em
+        UNION ALL SELECT unnest(range(1, n + 1)), false, false FROM nn)
+  GROUP BY id),
+s0 AS (SELECT u.id, u.row0 AS present,
+              CASE WHEN u.row0 THEN 1.0::DOUBLE / nn.n END AS rank FROM u, nn)"""
+
+
+def _adj_step(k: int) -> str:
+    p = f"s{k - 1}"
+    share = "(u.in_range AND m.nd > 0)"
+    present = f"(x.present OR u.tgt OR {share})"
+    return f"""s{k} AS (
+  SELECT u.id, {present} AS present,
+         CASE WHEN {present} THEN {_KEEP} * (coalesce(c.s, 0)
+              + CASE WHEN {share} THEN m.mass / nn.n ELSE 0 END) + {_A} / nn.n END AS rank
+  FROM u JOIN {p} x ON x.id = u.id CROSS JOIN nn
+  CROSS JOIN (SELECT coalesce(sum(rank), 0) AS mass, count(*) AS nd FROM {p}
+              WHERE present AND id NOT IN (SELECT src FROM deg)) m
+  LEFT JOIN (SELECT em.dst AS id, sum(y.rank / deg.outdeg * em.mult) AS s
+             FROM em JOIN deg USING (src) JOIN {p} y ON y.id = em.src AND y.present
+             GROUP BY em.dst) c ON c.id = u.id)"""
+
+
+def _adj_sql(final: str) -> str:
+    steps = ",\n".join(_adj_step(k) for k in range(1, ADJ_ITERS + 1))
+    return f"""WITH {_GRAPH},{_ADJ},
+{steps}
+{final}"""
+
+
+_SCATTER = f"""WITH {_GRAPH},{_ADJ},
+c AS (SELECT em.dst AS id, sum(y.rank / deg.outdeg * em.mult) AS s
+      FROM em JOIN deg USING (src) JOIN s0 y ON y.id = em.src AND y.present GROUP BY em.dst),
+m AS (SELECT coalesce(sum(rank), 0) AS mass, count(*) AS nd FROM s0
+      WHERE present AND id NOT IN (SELECT src FROM deg))
+SELECT u.id, round(coalesce(c.s, 0), {_R}) AS rank
+FROM u JOIN s0 x ON x.id = u.id LEFT JOIN c ON c.id = u.id
+WHERE x.present OR u.tgt
+UNION ALL
+SELECT CAST(-1 AS BIGINT), round(mass, {_R}) FROM m WHERE nd > 0"""
+
+
+def _search_sql(weight: str) -> str:
+    steps = []
+    for k in range(1, SEARCH_ITERS + 1):
+        p = f"t{k - 1}"
+        steps.append(f"""t{k} AS (
+  SELECT x.id, least(x.dist, o.offer) AS dist,
+         greatest(CASE WHEN x.color = 1 THEN 2 ELSE x.color END,
+                  CASE WHEN o.offer IS NOT NULL THEN 1 END) AS color,
+         x.present OR o.offer IS NOT NULL AS present
+  FROM {p} x LEFT JOIN (
+    SELECT we.dst AS id, min(f.dist + we.w) AS offer
+    FROM {p} f JOIN we ON we.src = f.id WHERE f.color = 1 GROUP BY we.dst) o ON o.id = x.id)""")
+    return f"""WITH {_GRAPH},
+we AS (SELECT src, dst, {weight} AS w FROM e GROUP BY src, dst),
+t0 AS (
+  SELECT id, CAST(CASE WHEN id = {SEARCH_SOURCE} THEN 0 END AS BIGINT) AS dist,
+         CASE WHEN id = {SEARCH_SOURCE} THEN 1 ELSE 0 END AS color, bool_or(isrow) AS present
+  FROM (SELECT id, true AS isrow FROM ids UNION ALL SELECT dst, false FROM we)
+  GROUP BY id),
+{{steps}}
+SELECT id, dist, CASE color WHEN 0 THEN 'WHITE' WHEN 1 THEN 'GRAY' ELSE 'BLACK' END AS color
+FROM t{{last}} WHERE present""".replace("{steps}", ",\n".join(steps))
+
+
+def _search(weight: str, iters: int) -> str:
+    return _search_sql(weight).replace("{last}", str(iters))
+
+
+_WEIGHT = "CAST(min(CAST(l_quantity AS INTEGER)) AS BIGINT)"
+
+GRAPH_SQL = {
+    "edge_list": f"WITH {_GRAPH} SELECT src, dst FROM e",
+    "distinct_edges": f"WITH {_GRAPH} SELECT src, dst FROM de",
+    "out_degree": f"WITH {_GRAPH} SELECT src AS id, CAST(count(*) AS BIGINT) AS out_degree FROM de GROUP BY src",
+    "dangling_nodes": f"WITH {_GRAPH} SELECT dst AS id FROM e EXCEPT SELECT src FROM e",
+    "node_count": f"WITH {_GRAPH} SELECT CAST(n AS BIGINT) AS n FROM nv",
+    "implicit_nodes": f"WITH {_GRAPH} SELECT dst AS id FROM e EXCEPT SELECT src FROM e",
+    "rank_init": f"WITH {_GRAPH} SELECT id, round(rank, {_R}) AS rank FROM r0",
+    "rank_contributions": f"""WITH {_GRAPH}
+SELECT de.dst AS id, round(sum(r0.rank / ddeg.outdeg), {_R}) AS contrib
+FROM de JOIN ddeg USING (src) JOIN r0 ON r0.id = de.src GROUP BY de.dst""",
+    "dangling_mass": f"""WITH {_GRAPH}
+SELECT round(coalesce(sum(rank), 0), {_R}) AS mass FROM r0 WHERE id NOT IN (SELECT src FROM ddeg)""",
+    "pagerank_scatter": _SCATTER,
+    "pagerank_adjacency": _adj_sql(
+        f"SELECT id, round(rank, {_R}) AS rank FROM s{ADJ_ITERS} WHERE present"),
+    "pagerank_history": _adj_sql("\nUNION ALL\n".join(
+        f"SELECT CAST({k} AS BIGINT) AS iteration, id, round(rank, {_R}) AS rank FROM s{k} WHERE present"
+        for k in range(1, ADJ_ITERS + 1))),
+    "pagerank_edges": _edge_rank_sql(),
+    "frontier_step": _search(_WEIGHT, 1),
+    "frontier_search": _search(_WEIGHT, SEARCH_ITERS),
+    "bfs_hops": _search("CAST(1 AS BIGINT)", SEARCH_ITERS),
+}
+
+
 def all_sql() -> dict[str, str]:
-    return dict(TEXT_SQL)
+    return {**TEXT_SQL, **GRAPH_SQL}

@@ -9,13 +9,25 @@ sampled, capped or filtered by id.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from textgraph.functions.graph import GRAY, WHITE, color_name
+from textgraph.operators import graph as gr
 from textgraph.operators import index as ix
+from textgraph.operators import rank as rk
+from textgraph.operators import search as se
 from textgraph.operators import text as tx
+from textgraph.sources import graph_text as gt
 from textgraph.sources import tables as tb
 
 # Parameters of the registered queries (fixed, shared with the SQL oracle).
 POSTING_BLOCK = 256          # documents per posting-list row
+ALPHA = 0.1                  # jump probability (the reference's run uses 0.1)
+ADJ_ITERS = 4                # the adjacency form's default iteration count
+EDGE_ITERS = 10              # iterations of the edge-list form's run
+SEARCH_ITERS = 6             # frontier iterations
+SEARCH_SOURCE = 1            # the node marked GRAY with distance 0
+RANK_DIGITS = 10             # ranks are compared after rounding (sum order differs)
 
 
 # --- text -------------------------------------------------------------------
@@ -76,5 +88,124 @@ TEXT_QUERIES = {
 }
 
 
+
+# --- graph ------------------------------------------------------------------
+
+def _rounded(df: DataFrame, col: str = "rank") -> DataFrame:
+    return df.withColumn(col, F.round(col, RANK_DIGITS))
+
+
+def _adjacency_rows(spark: SparkSession, sf_dir: str):
+    n = tb.node_total(spark, sf_dir)
+    rows = tb.node_ids(spark, sf_dir).select("id", F.lit(1.0 / n).alias("rank"))
+    return rows, n
+
+
+def q_edge_list(spark: SparkSession, sf_dir: str) -> DataFrame:
+    lines = tb.edge_rows(spark, sf_dir).select(F.concat_ws(" ", "src", "dst").alias("value"))
+    return gt.parse_edge_list(lines)
+
+
+def q_distinct_edges(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return gr.distinct_edges(tb.edge_rows(spark, sf_dir))
+
+
+def q_out_degree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return gr.out_degree(gr.distinct_edges(tb.edge_rows(spark, sf_dir)))
+
+
+def q_dangling_nodes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return gr.dangling_nodes(tb.edge_rows(spark, sf_dir))
+
+
+def q_node_count(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return gr.node_count(tb.edge_rows(spark, sf_dir))
+
+
+def q_implicit_nodes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    e = tb.edge_rows(spark, sf_dir)
+    rows = e.select(F.col("src").alias("id")).distinct()
+    return gr.implicit_nodes(rows, e)
+
+
+def q_rank_init(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _rounded(gr.rank_init(tb.edge_rows(spark, sf_dir)))
+
+
+def q_rank_contributions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    e = tb.edge_rows(spark, sf_dir)
+    return _rounded(rk.rank_contributions(e, gr.rank_init(e)), "contrib")
+
+
+def q_dangling_mass(spark: SparkSession, sf_dir: str) -> DataFrame:
+    e = tb.edge_rows(spark, sf_dir)
+    return _rounded(rk.dangling_mass(gr.rank_init(e), e), "mass")
+
+
+def q_pagerank_scatter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows, n = _adjacency_rows(spark, sf_dir)
+    return _rounded(rk.pagerank_scatter(rows, tb.edge_rows(spark, sf_dir), n))
+
+
+def q_pagerank_adjacency(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows, n = _adjacency_rows(spark, sf_dir)
+    return _rounded(rk.pagerank_rows(rows, tb.edge_rows(spark, sf_dir), n, ALPHA, ADJ_ITERS))
+
+
+def q_pagerank_history(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows, n = _adjacency_rows(spark, sf_dir)
+    h = rk.pagerank_rows(rows, tb.edge_rows(spark, sf_dir), n, ALPHA, ADJ_ITERS, history=True)
+    return _rounded(h.withColumn("iteration", F.col("iteration").cast("bigint")))
+
+
+def q_pagerank_edges(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _rounded(rk.pagerank_edges(tb.edge_rows(spark, sf_dir), EDGE_ITERS, ALPHA))
+
+
+def _search_state(spark: SparkSession, sf_dir: str) -> DataFrame:
+    src = F.col("id") == F.lit(SEARCH_SOURCE)
+    return tb.node_ids(spark, sf_dir).select(
+        "id", F.when(src, F.lit(0)).cast("bigint").alias("dist"),
+        F.when(src, F.lit(GRAY)).otherwise(F.lit(WHITE)).alias("color"))
+
+
+def _named(df: DataFrame) -> DataFrame:
+    return df.select("id", "dist", color_name("color").alias("color"))
+
+
+def q_frontier_step(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _named(se.frontier_step(_search_state(spark, sf_dir), tb.weighted_edges(spark, sf_dir)))
+
+
+def q_frontier_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _named(se.frontier_search(_search_state(spark, sf_dir), tb.weighted_edges(spark, sf_dir),
+                                     SEARCH_ITERS))
+
+
+def q_bfs_hops(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _named(se.bfs_hops(_search_state(spark, sf_dir), tb.weighted_edges(spark, sf_dir),
+                              SEARCH_ITERS))
+
+
+GRAPH_QUERIES = {
+    "edge_list": q_edge_list,
+    "distinct_edges": q_distinct_edges,
+    "out_degree": q_out_degree,
+    "dangling_nodes": q_dangling_nodes,
+    "node_count": q_node_count,
+    "implicit_nodes": q_implicit_nodes,
+    "rank_init": q_rank_init,
+    "rank_contributions": q_rank_contributions,
+    "dangling_mass": q_dangling_mass,
+    "pagerank_scatter": q_pagerank_scatter,
+    "pagerank_adjacency": q_pagerank_adjacency,
+    "pagerank_history": q_pagerank_history,
+    "pagerank_edges": q_pagerank_edges,
+    "frontier_step": q_frontier_step,
+    "frontier_search": q_frontier_search,
+    "bfs_hops": q_bfs_hops,
+}
+
+
 def all_queries() -> dict:
-    return dict(TEXT_QUERIES)
+    return {**TEXT_QUERIES, **GRAPH_QUERIES}
