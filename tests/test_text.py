@@ -1,0 +1,169 @@
+"""Text operators on the sample inputs (golden values computed
+independently from the data) and on small synthetic inputs."""
+
+import pytest
+from pyspark.sql import functions as F
+
+from textgraph.functions.text import LINE_TOTAL_KEY, SPLIT_TOTAL_KEY
+from textgraph.operators import index as ix
+from textgraph.operators import text as tx
+from textgraph.sources.lines import read_lines
+
+GOLDEN = {
+    # folder: lines, tokens, distinct words, bigrams total, bigrams distinct, (word,file) rows, files
+    "text_a": (258, 9016, 1462, 9014, 6090, 1923, 2),
+    "text_b": (318, 9704, 1552, 9701, 6523, 2243, 3),
+    "text_c": (617, 12932, 1772, 12928, 8065, 2902, 4),
+}
+TOP_BIGRAM = {"text_a": 34, "text_b": 36, "text_c": 50}
+
+
+def _dict(df, k, v):
+    return {r[k]: r[v] for r in df.collect()}
+
+
+@pytest.mark.parametrize("folder", sorted(GOLDEN))
+def test_counts_golden(spark, data, folder):
+    lines_n, toks, distinct, bi_total, bi_distinct, wf_rows, files = GOLDEN[folder]
+    lines = read_lines(spark, data(folder))
+    assert tx.line_count(lines).first()["n"] == lines_n
+    wc = tx.word_count(lines)
+    assert wc.count() == distinct
+    assert wc.agg(F.sum("n")).first()[0] == toks
+    bc = tx.bigram_count_lines(lines)
+    assert bc.count() == bi_distinct
+    assert bc.agg(F.sum("n")).first()[0] == bi_total
+    assert _dict(bc.where(F.col("bigram") == "to the"), "bigram", "n") == {"to the": TOP_BIGRAM[folder]}
+    posts = ix.term_postings(lines, "value", "file")
+    assert posts.count() == wf_rows
+    assert posts.select("file").distinct().count() == files
+    # invariants: postings sum to the token count
+    assert posts.agg(F.sum("n")).first()[0] == toks
+
+
+def test_word_count_top_and_order(spark, data):
+    wc = tx.word_count(read_lines(spark, data("text_a")))
+    top = wc.orderBy(F.desc("n")).limit(8).collect()
+    assert [(r.word, r.n) for r in top] == [("the", 542), ("and", 363), ("to", 244), ("he", 156),
+                                           ("a", 151), ("I", 127), ("you", 123), ("was", 120)]
+    first = [r.word for r in wc.orderBy("word").limit(5).collect()]
+    assert first == ["A", "About", "After", "Afterward", "Aha"]
+
+
+def test_word_count_with_total(spark, data):
+    lines = read_lines(spark, data("text_a"))
+    wct = tx.word_count_with_total(lines)
+    assert wct.count() == 1463
+    assert _dict(wct.where(F.col("word") == LINE_TOTAL_KEY), "word", "n") == {LINE_TOTAL_KEY: 258}
+    assert wct.where(F.col("word").startswith("zz") & (F.col("word") != LINE_TOTAL_KEY)).count() == 0
+
+
+def test_bigram_with_split_total(spark, data):
+    lines = read_lines(spark, data("text_b"))
+    bt = tx.bigram_count_lines_with_total(lines)
+    assert _dict(bt.where(F.col("bigram") == SPLIT_TOTAL_KEY), "bigram", "n") == {SPLIT_TOTAL_KEY: 3}
+    assert tx.input_unit_count(lines).first()["n"] == 3
+
+
+def test_bigrams_cross_lines_not_files(spark, data):
+    """Pairs cross line breaks (else the totals would be 8,758 / 9,386 /
+    12,333) but never files."""
+    for folder, wrong in (("text_a", 8758), ("text_b", 9386), ("text_c", 12333)):
+        lines = read_lines(spark, data(folder))
+        per_line = lines.select(F.explode(tx.adjacent_pairs(tx.tokens("value"))).alias("b")).count()
+        assert per_line == wrong
+        assert tx.bigram_pairs_lines(lines).count() == GOLDEN[folder][3]
+
+
+def test_bigrams_independent_of_split_size(spark, data):
+    """Tiny input splits (many per file) give the same counts."""
+    base = tx.bigram_count_lines(read_lines(spark, data("text_c")))
+    expect = sorted((r.bigram, r.n) for r in base.collect())
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "4096")
+    spark.conf.set("spark.sql.files.openCostInBytes", "0")
+    try:
+        lines = read_lines(spark, data("text_c"))
+        assert lines.select("file_path", "block_start").distinct().count() > 10
+        got = sorted((r.bigram, r.n) for r in tx.bigram_count_lines(lines).collect())
+        # the split count changes, the unit counter follows it
+        assert tx.input_unit_count(lines).first()["n"] > 4
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+    assert got == expect
+
+
+def test_inverted_index_golden(spark, data):
+    lines = read_lines(spark, data("text_c"))
+    posts = ix.term_postings(lines, "value", "file")
+    idx = ix.inverted_index(posts, "file", block_size=256)
+    got = _dict(idx.where(F.col("word").isin("the", "king", "frog", "shudder", "wisdom", "miller", "A")),
+                "word", "postings")
+    assert got == {
+        "the": "file0:266;file1:276;file2:40;file3:164;",
+        "king": "file0:15;file1:12;file2:4;file3:17;",
+        "frog": "file0:21;",
+        "shudder": "file1:39;",
+        "wisdom": "file2:1;",
+        "miller": "file1:3;file3:9;",
+        "A": "file0:3;file1:7;file2:1;file3:4;",
+    }
+    by_files = (posts.groupBy("word").agg(F.count(F.lit(1)).alias("files"))
+                .groupBy("files").agg(F.count(F.lit(1)).alias("words")))
+    assert _dict(by_files, "files", "words") == {1: 1105, 2: 339, 3: 193, 4: 135}
+
+
+def test_inverted_index_blocks_bounded(spark, data):
+    """With a block of 1 file, every row holds one entry and the blocks of a
+    word, concatenated in order, give the whole list."""
+    lines = read_lines(spark, data("text_c"))
+    posts = ix.term_postings(lines, "value", "file")
+    idx = ix.inverted_index(posts, "file", block_size=1)
+    rows = idx.where(F.col("word") == "the").orderBy("block").collect()
+    assert [r.block for r in rows] == [0, 1, 2, 3]
+    assert "".join(r.postings for r in rows) == "file0:266;file1:276;file2:40;file3:164;"
+    assert idx.where(F.size(F.split("postings", ";")) > 2).count() == 0
+
+
+def test_tokenizer_rules(spark, tmp_path):
+    p = tmp_path / "in"
+    p.mkdir()
+    (p / "a b.txt").write_bytes(b"x  \t y\x0bz\n\nHello, hello\fworld\r\n" + b"z" * 20 + b"\rlast")
+    (p / "blank.txt").write_bytes(b"   \n\t\n")
+    (p / "one.txt").write_bytes(b"single")
+    lines = read_lines(spark, str(p))
+    assert tx.line_count(lines).first()["n"] == 5 + 2 + 1
+    wc = _dict(tx.word_count(lines), "word", "n")
+    assert wc == {"x": 1, "y\x0bz": 1, "Hello,": 1, "hello": 1, "world": 1, "z" * 20: 1, "last": 1, "single": 1}
+    bc = _dict(tx.bigram_count_lines(lines), "bigram", "n")
+    # blank line between two words of one pair, no pair across files
+    assert bc == {"x y\x0bz": 1, "y\x0bz Hello,": 1, "Hello, hello": 1, "hello world": 1,
+                  "world " + "z" * 20: 1, "z" * 20 + " last": 1}
+    files = {r.file for r in ix.term_postings(lines, "value", "file").select("file").distinct().collect()}
+    assert files == {"a b.txt", "one.txt"}
+    wct = _dict(tx.word_count_with_total(lines), "word", "n")
+    # 8 lines, plus the literal token of twenty 'z' that merges with the key
+    assert wct[LINE_TOTAL_KEY] == 8 + 1
+
+
+def test_unit_table_forms(spark):
+    df = spark.createDataFrame([(1, "a b\nc"), (2, ""), (3, "c a b\n"), (4, "\n\n")], "doc_id bigint, text string")
+    assert tx.line_count(df, "text", rows_are_lines=False).first()["n"] == 2 + 0 + 1 + 2
+    assert _dict(tx.bigram_count(df, "text"), "bigram", "n") == {"a b": 2, "b c": 1, "c a": 1}
+    bt = _dict(tx.bigram_count_with_total(df, "text", ["doc_id"]), "bigram", "n")
+    assert bt[SPLIT_TOTAL_KEY] == 4
+    toks = [(r.doc_id, r.pos, r.token) for r in tx.tokenize(df, "text", keep=["doc_id"]).orderBy("doc_id", "pos").collect()]
+    assert toks == [(1, 0, "a"), (1, 1, "b"), (1, 2, "c"), (3, 0, "c"), (3, 1, "a"), (3, 2, "b")]
+    idx = _dict(ix.inverted_index(ix.term_postings(df, "text", "doc_id"), "doc_id", block_size=2), "word", "postings")
+    assert idx["a"] in ("1:1;", "3:1;")   # doc 1 in block 0, doc 3 in block 1
+
+
+def test_physical_independence(spark, data):
+    lines = read_lines(spark, data("text_b"))
+    expect = sorted(tuple(r) for r in tx.word_count(lines).collect())
+    for parts in ("1", "64"):
+        spark.conf.set("spark.sql.shuffle.partitions", parts)
+        try:
+            assert sorted(tuple(r) for r in tx.word_count(lines).collect()) == expect
+        finally:
+            spark.conf.set("spark.sql.shuffle.partitions", "8")

@@ -29,7 +29,8 @@ def read_lines(spark: SparkSession, paths: str | Iterable[str]) -> DataFrame:
     raw = spark.read.text(list(paths))
     return raw.select(
         F.col("value"),
-        F.col("_metadata.file_name").alias("file"),
+        # the metadata name is URI-encoded ("a%20b.txt"); decode it, keeping '+'
+        F.url_decode(F.replace(F.col("_metadata.file_name"), F.lit("+"), F.lit("%2B"))).alias("file"),
         F.col("_metadata.file_path").alias("file_path"),
         F.col("_metadata.file_block_start").alias("block_start"),
         F.monotonically_increasing_id().alias("rid"),
