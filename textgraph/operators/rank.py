@@ -32,6 +32,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -79,7 +80,7 @@ def prepare(rows: DataFrame | None, edges: DataFrame, n: int | None, alpha: floa
     parts = [
         fan.select(F.col("src").alias("id"), no_rank.alias("r0"), F.lit(True).alias("row"),
                    F.lit(False).alias("tgt"), "nsalt", "outdeg"),
-        em.select(F.col("dst").alias("id"), no_rank.alias("r0"), F.lit(False).alias("row"),
+        layout.edges.select(F.col("dst").alias("id"), no_rank.alias("r0"), F.lit(False).alias("row"),
                   F.lit(True).alias("tgt"), F.lit(0).alias("nsalt"), F.lit(0).cast("bigint").alias("outdeg")),
     ]
     if rows is not None:
@@ -98,9 +99,10 @@ def prepare(rows: DataFrame | None, edges: DataFrame, n: int | None, alpha: floa
     u = u.groupBy("id").agg(F.max("r0").alias("r0"), F.max("row").alias("present"),
                             F.max("tgt").alias("is_target"), F.max("nsalt").alias("nsalt"),
                             F.max("outdeg").alias("outdeg"))
+    cached = None
     if rows is None:
         # every id is a node; n is the node count (one scalar)
-        u = materialize(u.withColumn("present", F.lit(True)))
+        u = cached = u.withColumn("present", F.lit(True)).persist(StorageLevel.MEMORY_AND_DISK)
         n = u.count()
         start = F.lit(1.0 / n)
     else:
@@ -111,7 +113,10 @@ def prepare(rows: DataFrame | None, edges: DataFrame, n: int | None, alpha: floa
         in_range = F.lit(True)
     state = u.select("id", F.when(F.col("present"), start).alias("rank"), "present",
                      in_range.alias("in_range"), "is_target", "nsalt", "outdeg")
-    return RankGraph(layout, materialize(state), float(n), float(alpha))
+    state = materialize(state)
+    if cached is not None:
+        cached.unpersist()
+    return RankGraph(layout, state, float(n), float(alpha))
 
 
 def _contributions(g: RankGraph, state: DataFrame) -> DataFrame:

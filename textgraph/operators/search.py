@@ -40,7 +40,7 @@ def _prepare(state: DataFrame, edges: DataFrame, group_edges: int):
         .otherwise(F.col("dist").cast("bigint")).alias("dist"),
         F.col("color").cast("int").alias("color"), F.lit(True).alias("present"),
         F.lit(0).alias("nsalt"))
-    targets = e.select(F.col("dst").alias("id"), F.lit(None).cast("bigint").alias("dist"),
+    targets = layout.edges.select(F.col("dst").alias("id"), F.lit(None).cast("bigint").alias("dist"),
                        F.lit(WHITE).alias("color"), F.lit(False).alias("present"), F.lit(0).alias("nsalt"))
     sources = layout.fanout.select(F.col("src").alias("id"), F.lit(None).cast("bigint").alias("dist"),
                                    F.lit(WHITE).alias("color"), F.lit(False).alias("present"), "nsalt")

@@ -83,11 +83,19 @@ def word_count_with_total(df: DataFrame, text: str = "value",
 # bigrams
 
 
+def _pairs(df: DataFrame, text: str, bigram: str) -> DataFrame:
+    """One row per pair of consecutive tokens of each row.  The token array
+    is projected first: the pair expression reads it four times, and inside
+    a generator Spark would otherwise split the text four times."""
+    return (df.select(tokens(text).alias("_t"))
+            .select(F.explode(adjacent_pairs("_t")).alias(bigram)))
+
+
 def bigram_count(df: DataFrame, text: str = "text", bigram: str = "bigram",
                  n: str = "n") -> DataFrame:
     """``(bigram, n)`` for a unit table: pairs of consecutive tokens inside
     each row's whole text (so pairs cross line breaks but never units)."""
-    return (df.select(F.explode(adjacent_pairs(tokens(text))).alias(bigram))
+    return (_pairs(df, text, bigram)
             .groupBy(bigram).agg(F.count(F.lit(1)).alias(n)))
 
 
@@ -110,7 +118,7 @@ def bigram_pairs_lines(lines: DataFrame, text: str = "value", file: str = "file_
     regular expressions instead of splitting the whole line again, and both
     come from the same (file, split) exchange.
     """
-    inner = lines.select(F.explode(adjacent_pairs(tokens(text))).alias(bigram))
+    inner = _pairs(lines, text, bigram)
 
     ends = (lines.select(F.col(file).alias("_f"), F.col(block).alias("_b"),
                          F.col(rid).alias("_r"), first_token_of(text).alias("_first"),
@@ -155,8 +163,7 @@ def bigram_count_with_total(df: DataFrame, text: str = "text", units: Sequence[s
     The unit count reads only the key column(s), so the second scan is
     pruned to them; a real bigram equal to the key merges with it.
     """
-    pairs = df.select(F.explode(adjacent_pairs(tokens(text))).alias(bigram),
-                      F.lit(1).cast("bigint").alias("_v"))
+    pairs = _pairs(df, text, bigram).select(bigram, F.lit(1).cast("bigint").alias("_v"))
     total = input_unit_count(df, units, "_v").select(F.lit(SPLIT_TOTAL_KEY).alias(bigram), "_v")
     return (pairs.unionByName(total).groupBy(bigram)
             .agg(F.sum("_v").cast("bigint").alias(n)))

@@ -3,8 +3,8 @@
 Every iteration of an iterative operator is materialised with a reliable
 checkpoint into the session's checkpoint folder, so that a lost executor
 only recomputes work since the last iteration and the plan does not grow
-with the iteration count.  The frame is persisted first so the checkpoint
-write reads it from the cache instead of recomputing it.
+with the iteration count.  An eager reliable checkpoint computes the frame
+and writes it in one pass, so nothing is persisted around it.
 
 Spark keeps the output partitioning of a checkpointed frame only when the
 checkpoint job is planned without adaptive execution (an adaptive plan does
@@ -31,19 +31,15 @@ def materialize(df: DataFrame, keep_partitioning: bool = True) -> DataFrame:
     frame that reads from there."""
     spark = df.sparkSession
     checkpoint_dir(spark)
-    df.persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        if not keep_partitioning:
+    if not keep_partitioning:
+        return df.checkpoint(eager=True)
+    with _conf_lock:
+        before = spark.conf.get("spark.sql.adaptive.enabled", "true")
+        spark.conf.set("spark.sql.adaptive.enabled", "false")
+        try:
             return df.checkpoint(eager=True)
-        with _conf_lock:
-            before = spark.conf.get("spark.sql.adaptive.enabled", "true")
-            spark.conf.set("spark.sql.adaptive.enabled", "false")
-            try:
-                return df.checkpoint(eager=True)
-            finally:
-                spark.conf.set("spark.sql.adaptive.enabled", before)
-    finally:
-        df.unpersist()
+        finally:
+            spark.conf.set("spark.sql.adaptive.enabled", before)
 
 
 class Frames:

@@ -51,6 +51,7 @@ def salted_layout(edges: DataFrame, payload: list[str], per_source: dict | None
     spark = edges.sparkSession
     if partitions is None:
         partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    edges = edges.persist(StorageLevel.MEMORY_AND_DISK)   # read by both passes below
     aggs = [F.count(F.lit(1)).alias("_ndst")] + \
         [c.alias(k) for k, c in (per_source or {}).items()]
     fanout = (edges.groupBy("src").agg(*aggs)
@@ -73,6 +74,7 @@ def salted_layout(edges: DataFrame, payload: list[str], per_source: dict | None
             .sortWithinPartitions("src", "salt")
             .persist(StorageLevel.MEMORY_AND_DISK))
     laid.count()
+    edges.unpersist()
     return EdgeLayout(laid, fanout, partitions)
 
 

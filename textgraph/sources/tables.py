@@ -21,14 +21,17 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from textgraph.plans.partitioning import spread_coarse
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``(doc_id bigint, text string)``."""
-    return table(spark, sf_dir, "documents").select("doc_id", "text")
+    """``(doc_id bigint, text string)``, spread over the cores when the
+    scan is coarser than them."""
+    return spread_coarse(table(spark, sf_dir, "documents").select("doc_id", "text"), ["doc_id"])
 
 
 def part_count(spark: SparkSession, sf_dir: str) -> DataFrame:
