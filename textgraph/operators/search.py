@@ -20,7 +20,7 @@ remaining iterations would change nothing).
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from textgraph.functions.graph import BLACK, GRAY, WHITE
@@ -70,11 +70,17 @@ def frontier_search(state: DataFrame, edges: DataFrame, iters: int, early_stop:
     pair; repeats keep the smallest) -> ``(id, dist, color)`` after
     ``iters`` iterations.  Targets without a row appear once reached."""
     layout, s = _prepare(state, edges, group_edges)
+    gray = s.where(F.col("color") == GRAY).limit(1).count() if early_stop else 1
     try:
         for _ in range(iters):
-            if early_stop and s.where(F.col("color") == GRAY).isEmpty():
+            if gray == 0:
                 break
-            s = materialize(_step(layout, s))
+            # the frontier size of the next round is observed while the
+            # checkpoint job runs, so stopping early costs no extra job
+            seen = Observation()
+            s = materialize(_step(layout, s).observe(
+                seen, F.count(F.when(F.col("color") == GRAY, F.lit(1))).alias("gray")))
+            gray = seen.get["gray"] if early_stop else 1
     finally:
         layout.release()
     return s.where(F.col("present")).select("id", "dist", "color")

@@ -75,6 +75,15 @@ FROM p GROUP BY word, floor(doc_id / {POSTING_BLOCK})""",
 
     "postings_sorted": f"""{_POSTINGS}
 SELECT word, doc_id, n FROM p ORDER BY word, doc_id""",
+
+    "word_count_text": f"""WITH {_TOKENS}
+SELECT w || chr(9) || CAST(count(*) AS VARCHAR) AS value
+FROM (SELECT unnest(tk) AS w FROM t) GROUP BY w""",
+
+    "index_text": f"""{_POSTINGS}
+SELECT word || chr(9) || string_agg(CAST(doc_id AS VARCHAR) || ':' || CAST(n AS VARCHAR) || ';', ''
+                                    ORDER BY doc_id) AS value
+FROM p GROUP BY word, floor(doc_id / {POSTING_BLOCK})""",
 }
 
 

@@ -11,7 +11,10 @@ checkpoint job is planned without adaptive execution (an adaptive plan does
 not expose its final partitioning before it runs).  Loop state is hash
 partitioned by node id, and keeping that fact lets the next iteration join
 the state with co-partitioned inputs without shuffling it again, so
-``keep_partitioning`` plans just that one job statically.
+``keep_partitioning`` plans just that one job statically.  In that job
+joins are also never turned into broadcasts from size *estimates* (a static
+estimate is no bound on the data); explicit broadcast hints -- used only for
+one-row aggregates -- still apply.
 """
 
 from __future__ import annotations
@@ -33,13 +36,19 @@ def materialize(df: DataFrame, keep_partitioning: bool = True) -> DataFrame:
     checkpoint_dir(spark)
     if not keep_partitioning:
         return df.checkpoint(eager=True)
+    static = {"spark.sql.adaptive.enabled": "false", "spark.sql.autoBroadcastJoinThreshold": "-1"}
     with _conf_lock:
-        before = spark.conf.get("spark.sql.adaptive.enabled", "true")
-        spark.conf.set("spark.sql.adaptive.enabled", "false")
+        before = {k: spark.conf.get(k, None) for k in static}
+        for k, v in static.items():
+            spark.conf.set(k, v)
         try:
             return df.checkpoint(eager=True)
         finally:
-            spark.conf.set("spark.sql.adaptive.enabled", before)
+            for k, v in before.items():
+                if v is None:
+                    spark.conf.unset(k)
+                else:
+                    spark.conf.set(k, v)
 
 
 class Frames:

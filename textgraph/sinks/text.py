@@ -31,13 +31,19 @@ def write_key_values(df: DataFrame, key: str, value: str, path: str,
     _write(df, key_value_lines(df, key, value), key, path, num_files, mode)
 
 
+def index_lines(df: DataFrame, word: str = "word", postings: str = "postings") -> Column:
+    """``word<TAB>unit:n;unit:n;`` for one posting block."""
+    return F.concat_ws("\t", F.col(word), F.col(postings))
+
+
 def write_index(df: DataFrame, path: str, num_files: int | None = None,
                 word: str = "word", postings: str = "postings", mode: str = "errorifexists") -> None:
-    """``word<TAB>unit:n;unit:n;`` from :func:`inverted_index` rows; a word's
-    blocks are written in block order, so its entries stay ascending."""
+    """Index text from :func:`inverted_index` rows; a word's blocks are
+    written in block order, so its entries stay ascending (a word with
+    several blocks gets one line per block)."""
     d = df.repartitionByRange(num_files, word, "block") if num_files else df.repartitionByRange(word, "block")
     (d.sortWithinPartitions(word, "block")
-     .select(F.concat_ws("\t", F.col(word), F.col(postings)).alias("value"))
+     .select(index_lines(df, word, postings).alias("value"))
      .write.mode(mode).text(path))
 
 

@@ -17,6 +17,7 @@ from textgraph.operators import index as ix
 from textgraph.operators import rank as rk
 from textgraph.operators import search as se
 from textgraph.operators import text as tx
+from textgraph.sinks import text as sk
 from textgraph.sources import graph_text as gt
 from textgraph.sources import tables as tb
 
@@ -74,6 +75,16 @@ def q_postings_sorted(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ix.postings_sorted(posts, "doc_id")
 
 
+def q_word_count_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    wc = tx.word_count(tb.documents(spark, sf_dir), "text")
+    return wc.select(sk.key_value_lines(wc, "word", "n").alias("value"))
+
+
+def q_index_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    idx = q_inverted_index(spark, sf_dir)
+    return idx.select(sk.index_lines(idx).alias("value"))
+
+
 TEXT_QUERIES = {
     "tokenize": q_tokenize,
     "word_count": q_word_count,
@@ -85,6 +96,8 @@ TEXT_QUERIES = {
     "term_postings": q_term_postings,
     "inverted_index": q_inverted_index,
     "postings_sorted": q_postings_sorted,
+    "word_count_text": q_word_count_text,
+    "index_text": q_index_text,
 }
 
 
