@@ -24,8 +24,9 @@ driver): the node state is hash partitioned by id and checkpointed; the
 edges are laid out once by (src, salt) (:mod:`textgraph.plans.skew`).
 Node values are replicated per salt and exchanged to the edge layout, the
 per-target sums are a partial + final aggregate, joined back to the state
-without moving it, and the dangling mass is a one-row aggregate broadcast
-to every node.
+without moving it.  The dangling mass of a state is observed while that
+state is being written (``DataFrame.observe``), so it reaches the next
+iteration as a scalar without a job of its own.
 """
 
 from __future__ import annotations
@@ -33,7 +34,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from textgraph.plans.lineage import materialize
@@ -44,12 +45,16 @@ DEFAULT_ALPHA = 0.1
 
 @dataclass
 class RankGraph:
-    """Prepared inputs of the iteration: laid-out edges and the node state
-    ``(id, rank, present, in_range, is_target, nsalt, outdeg)``."""
+    """Prepared inputs of the iteration: laid-out edges, the node state
+    ``(id, rank, present, in_range, is_target, nsalt, outdeg)`` and the
+    dangling mass / count of that state (scalars observed while the state
+    was written)."""
     layout: EdgeLayout
     state: DataFrame
     n: float
     alpha: float
+    mass: float = 0.0
+    n_dangling: int = 0
 
     def release(self) -> None:
         self.layout.release()
@@ -113,10 +118,10 @@ def prepare(rows: DataFrame | None, edges: DataFrame, n: int | None, alpha: floa
         in_range = F.lit(True)
     state = u.select("id", F.when(F.col("present"), start).alias("rank"), "present",
                      in_range.alias("in_range"), "is_target", "nsalt", "outdeg")
-    state = materialize(state)
+    state, mass, nd = _materialize_observed(state)
     if cached is not None:
         cached.unpersist()
-    return RankGraph(layout, state, float(n), float(alpha))
+    return RankGraph(layout, state, float(n), float(alpha), mass, nd)
 
 
 def _contributions(g: RankGraph, state: DataFrame) -> DataFrame:
@@ -127,6 +132,19 @@ def _contributions(g: RankGraph, state: DataFrame) -> DataFrame:
             .groupBy("dst").agg(F.sum(F.col("_s") * F.col("mult")).alias("c")))
 
 
+def _materialize_observed(state: DataFrame):
+    """Checkpoint ``state`` and observe, in the same job, the summed rank
+    and the number of its dangling nodes (present, no out-edge)."""
+    dangling = F.col("present") & (F.col("nsalt") == 0)
+    seen = Observation()
+    out = materialize(state.observe(
+        seen,
+        F.coalesce(F.sum(F.when(dangling, F.col("rank"))), F.lit(0.0)).alias("mass"),
+        F.count(F.when(dangling, F.lit(1))).alias("n_dangling")))
+    m = seen.get
+    return out, float(m["mass"]), int(m["n_dangling"])
+
+
 def _dangling(state: DataFrame) -> DataFrame:
     """One row ``(mass, n_dangling)``."""
     d = state.where(F.col("present") & (F.col("nsalt") == 0))
@@ -134,18 +152,16 @@ def _dangling(state: DataFrame) -> DataFrame:
                  F.count(F.lit(1)).alias("n_dangling"))
 
 
-def step(g: RankGraph, state: DataFrame) -> DataFrame:
-    """One iteration; returns the next state (not yet materialised)."""
+def step(g: RankGraph, state: DataFrame, mass: float, n_dangling: int) -> DataFrame:
+    """One iteration from ``state`` whose dangling mass and count are
+    given; returns the next state (not yet materialised)."""
     c = _contributions(g, state)
-    m = _dangling(state)
-    has_d = F.col("n_dangling") > 0
-    gets_share = F.col("in_range") & has_d
+    gets_share = F.col("in_range") & F.lit(n_dangling > 0)
     present = F.col("present") | F.col("is_target") | gets_share
     total = F.coalesce(F.col("c"), F.lit(0.0)) + \
-        F.when(gets_share, F.col("mass") / F.lit(g.n)).otherwise(F.lit(0.0))
+        F.when(gets_share, F.lit(mass) / F.lit(g.n)).otherwise(F.lit(0.0))
     rank = F.when(present, F.lit(1.0 - g.alpha) * total + F.lit(g.alpha / g.n))
     return (state.join(c, state["id"] == c["dst"], "left")
-            .crossJoin(F.broadcast(m))          # one row
             .select("id", rank.alias("rank"), present.alias("present"), "in_range",
                     "is_target", "nsalt", "outdeg"))
 
@@ -156,11 +172,11 @@ def run(g: RankGraph, iters: int, history: bool = False,
     id, rank)`` for iterations 1..iters.  ``snapshot_path`` also appends
     each iteration as parquet partitioned by ``iteration`` (a restart
     point and the reference's per-iteration output folders)."""
-    state = g.state
+    state, mass, nd = g.state, g.mass, g.n_dangling
     kept = []
     try:
         for i in range(1, iters + 1):
-            state = materialize(step(g, state))
+            state, mass, nd = _materialize_observed(step(g, state, mass, nd))
             out = state.where(F.col("present")).select(F.lit(i).alias("iteration"), "id", "rank")
             if snapshot_path:
                 out.write.mode("append").partitionBy("iteration").parquet(snapshot_path)

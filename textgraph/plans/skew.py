@@ -73,7 +73,7 @@ def salted_layout(edges: DataFrame, payload: list[str], per_source: dict | None
             .repartition(partitions, "src", "salt")
             .sortWithinPartitions("src", "salt")
             .persist(StorageLevel.MEMORY_AND_DISK))
-    laid.count()
+    laid.count()        # fill the cache while the input is still cached
     edges.unpersist()
     return EdgeLayout(laid, fanout, partitions)
 
