@@ -203,3 +203,73 @@ def test_gray_without_distance_fails(spark):
     e = spark.createDataFrame([(1, 2, 1)], "src bigint, dst bigint, w bigint")
     with pytest.raises(Exception):
         se.frontier_search(st, e, 1).collect()
+
+
+def test_search_monotone_over_iterations(spark):
+    """Distances never rise and colours never lighten from one iteration to
+    the next (driver tables, smallest scale)."""
+    import os
+    from textgraph import workloads as wl
+    from textgraph.sources import tables as tb
+    sf = "/root/testdata/sf0.001"
+    if not os.path.exists(sf):
+        pytest.skip("driver tables not present")
+    st, e = wl._search_state(spark, sf), tb.weighted_edges(spark, sf)
+    prev = None
+    for k in range(0, 5):
+        cur = {r.id: (r.dist, r.color) for r in se.frontier_search(st, e, k).collect()}
+        if prev is not None:
+            for i, (d, c) in prev.items():
+                d2, c2 = cur[i]
+                assert c2 >= c
+                assert d is None or (d2 is not None and d2 <= d)
+        prev = cur
+
+
+def test_rank_independent_of_partitions(spark, g1_nodes):
+    want = _ranks(rk.pagerank_adjacency(g1_nodes, 5, 0.1, 3))
+    for parts in ("1", "64"):
+        spark.conf.set("spark.sql.shuffle.partitions", parts)
+        try:
+            _close(_ranks(rk.pagerank_adjacency(g1_nodes, 5, 0.1, 3)), want, 1e-15)
+        finally:
+            spark.conf.set("spark.sql.shuffle.partitions", "8")
+
+
+def _exchanges(df):
+    """Shuffle exchanges of the statically planned query, counted on the
+    physical tree (a cached relation is a leaf there)."""
+    spark = df.sparkSession
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        root = df._jdf.queryExecution().executedPlan()
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+    def walk(node):
+        kids = node.children()
+        n = 1 if node.getClass().getSimpleName() == "ShuffleExchangeExec" else 0
+        return n + sum(walk(kids.apply(i)) for i in range(kids.size()))
+    return walk(root)
+
+
+@pytest.mark.parametrize("group_edges", [100_000, 1])
+def test_loop_moves_only_node_side(spark, group_edges):
+    """One iteration exchanges the salted node values and the per-target
+    sums -- never the cached edge layout or the node state."""
+    e = spark.createDataFrame([(s, d) for s in range(1, 30) for d in range(1, 30) if (s * d) % 7 == 1],
+                              "src bigint, dst bigint")
+    g = rk.prepare(None, e, None, 0.1, dedupe=True, share_to_range=False, group_edges=group_edges)
+    try:
+        assert _exchanges(rk.step(g, g.state, g.mass, g.n_dangling)) == 2
+    finally:
+        g.release()
+    st = spark.range(1, 30).select("id", F.when(F.col("id") == 1, F.lit(0)).cast("bigint").alias("dist"),
+                                   F.when(F.col("id") == 1, F.lit(GRAY)).otherwise(F.lit(WHITE)).alias("color"))
+    layout, s = se._prepare(st, e.withColumn("w", F.lit(1).cast("bigint")), group_edges)
+    try:
+        assert _exchanges(se._step(layout, s)) == 2
+    finally:
+        layout.release()

@@ -254,7 +254,10 @@ def pagerank_scatter(rows: DataFrame, edges: DataFrame, n: int | None = None,
              .select("id", F.coalesce(F.col("c"), F.lit(0.0)).alias("rank")))
     virtual = m.where(F.col("n_dangling") > 0).select(F.lit(-1).cast("bigint").alias("id"),
                                                       F.col("mass").alias("rank"))
-    return nodes.unionByName(virtual)
+    try:
+        return materialize(nodes.unionByName(virtual), keep_partitioning=False)
+    finally:
+        g.release()
 
 
 def rank_contributions(edges: DataFrame, ranks: DataFrame, dedupe: bool = True) -> DataFrame:

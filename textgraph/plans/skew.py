@@ -63,7 +63,10 @@ def salted_layout(edges: DataFrame, payload: list[str], per_source: dict | None
     n_hot = hot.count()
     cols = ["src", "dst", *payload]
     if n_hot == 0:
-        salted = edges.select(*cols, F.lit(0).alias("salt"))
+        # a computed column, not the literal 0: a folded constant would leave
+        # the layout partitioned by (src, 0) instead of (src, salt), and every
+        # iteration would shuffle the edges again to match the node side
+        salted = edges.select(*cols, F.pmod(F.xxhash64("dst"), F.lit(1)).cast("int").alias("salt"))
     else:
         side = F.broadcast(hot) if n_hot <= broadcast_rows else hot
         salted = (edges.select(*cols).join(side, "src", "left")

@@ -32,15 +32,15 @@ def local_session(cpus: int | str = "*", shuffle_partitions: int = 8,
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
+        # checkpoint files of finished loop iterations are removed once unreferenced
+        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
         .config("spark.driver.memory", os.environ.get("TEXTGRAPH_DRIVER_MEMORY", "16g"))
     )
-    if not os.environ.get("TEXTGRAPH_KEEP_CHECKPOINT_CONF"):
-        builder = builder.config("spark.checkpoint.dir",
-                                 tempfile.mkdtemp(prefix="textgraph-ckpt-"))
     for k, v in (extra or {}).items():
         builder = builder.config(k, str(v))
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
+    checkpoint_dir(spark)       # the configured folder, or a scratch one when unset
     return spark
 
 
