@@ -273,3 +273,14 @@ def test_loop_moves_only_node_side(spark, group_edges):
         assert _exchanges(se._step(layout, s)) == 2
     finally:
         layout.release()
+
+
+def test_string_ids(spark, g1_edges):
+    """Ids may be strings; results equal those on numbers."""
+    s = g1_edges.select(F.col("src").cast("string").alias("src"), F.col("dst").cast("string").alias("dst"))
+    got = {int(k): v for k, v in _ranks(rk.pagerank_edges(s, 3, 0.1)).items()}
+    _close(got, dict(zip(range(1, 6), G1[3])))
+    st = spark.createDataFrame([("1", 0, GRAY), ("2", None, WHITE)], "id string, dist bigint, color int")
+    e = spark.createDataFrame([("1", "2", 3), ("2", "x", 4)], "src string, dst string, w bigint")
+    got = {r.id: r.dist for r in se.frontier_search(st, e, 3).collect()}
+    assert got == {"1": 0, "2": 3, "x": 7}

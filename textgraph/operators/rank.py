@@ -61,7 +61,9 @@ class RankGraph:
 
 
 def _edge_multiset(edges: DataFrame, dedupe: bool) -> DataFrame:
-    e = edges.select(F.col("src").cast("bigint").alias("src"), F.col("dst").cast("bigint").alias("dst"))
+    """Ids keep their type (bigint usually, strings accepted); both ends of
+    an edge must have the same type."""
+    e = edges.select("src", F.col("dst").cast(edges.schema["src"].dataType).alias("dst"))
     if dedupe:
         return e.distinct().withColumn("mult", F.lit(1).cast("bigint"))
     return e.groupBy("src", "dst").agg(F.count(F.lit(1)).alias("mult"))
@@ -88,15 +90,16 @@ def prepare(rows: DataFrame | None, edges: DataFrame, n: int | None, alpha: floa
         layout.edges.select(F.col("dst").alias("id"), no_rank.alias("r0"), F.lit(False).alias("row"),
                   F.lit(True).alias("tgt"), F.lit(0).alias("nsalt"), F.lit(0).cast("bigint").alias("outdeg")),
     ]
+    id_type = em.schema["src"].dataType
     if rows is not None:
-        parts.append(rows.select(F.col("id").cast("bigint").alias("id"), F.col("rank").cast("double").alias("r0"),
+        parts.append(rows.select(F.col("id").cast(id_type).alias("id"), F.col("rank").cast("double").alias("r0"),
                                  F.lit(True).alias("row"), F.lit(False).alias("tgt"),
                                  F.lit(0).alias("nsalt"), F.lit(0).cast("bigint").alias("outdeg")))
     if share_to_range:
         if n is None:
             raise ValueError("n is required when the share goes to ids 1..n")
         parts.append(spark.range(1, int(n) + 1).select(
-            "id", no_rank.alias("r0"), F.lit(False).alias("row"), F.lit(False).alias("tgt"),
+            F.col("id").cast(id_type).alias("id"), no_rank.alias("r0"), F.lit(False).alias("row"), F.lit(False).alias("tgt"),
             F.lit(0).alias("nsalt"), F.lit(0).cast("bigint").alias("outdeg")))
     u = parts[0]
     for p in parts[1:]:
@@ -113,7 +116,8 @@ def prepare(rows: DataFrame | None, edges: DataFrame, n: int | None, alpha: floa
     else:
         start = F.coalesce(F.col("r0"), F.lit(0.0))
     if share_to_range:
-        in_range = (F.col("id") >= 1) & (F.col("id") <= F.lit(int(n)))
+        num = F.col("id").cast("bigint")
+        in_range = (num >= 1) & (num <= F.lit(int(n)))
     else:
         in_range = F.lit(True)
     state = u.select("id", F.when(F.col("present"), start).alias("rank"), "present",

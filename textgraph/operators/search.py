@@ -29,12 +29,12 @@ from textgraph.plans.skew import DEFAULT_GROUP_EDGES, replicate_by_salt, salted_
 
 
 def _prepare(state: DataFrame, edges: DataFrame, group_edges: int):
-    e = (edges.select(F.col("src").cast("bigint").alias("src"), F.col("dst").cast("bigint").alias("dst"),
-                      F.col("w").cast("bigint").alias("w"))
+    id_type = edges.schema["src"].dataType          # bigint usually, strings accepted
+    e = (edges.select("src", F.col("dst").cast(id_type).alias("dst"), F.col("w").cast("bigint").alias("w"))
          .groupBy("src", "dst").agg(F.min("w").alias("w")))
     layout = salted_layout(e, ["w"], group_edges=group_edges)
     rows = state.select(
-        F.col("id").cast("bigint").alias("id"),
+        F.col("id").cast(id_type).alias("id"),
         F.when((F.col("color") == GRAY) & F.col("dist").isNull(),
                F.raise_error(F.lit("GRAY node without a distance")))
         .otherwise(F.col("dist").cast("bigint")).alias("dist"),
