@@ -57,7 +57,7 @@ def inverted_index(posts: DataFrame, unit: str = "file", block_size: int = 256,
     blocked = posting_block(posts.select(word, unit, n), unit, block_size)
     entry = F.struct(F.col(unit).alias("u"), F.col(n).alias("n"))
     text = F.array_join(
-        F.transform(F.array_sort(F.collect_list(entry)),
+        F.transform(F.sort_array(F.collect_list(entry)),
                     lambda e: F.concat(e["u"].cast("string"), F.lit(":"),
                                        e["n"].cast("string"), F.lit(";"))),
         "")

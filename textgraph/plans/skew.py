@@ -33,10 +33,13 @@ class EdgeLayout:
     edges: DataFrame       # (src, salt, dst, *payload), partitioned by (src, salt)
     fanout: DataFrame      # (src, nsalt, *per-source aggregates), one row per source
     partitions: int
+    source: DataFrame | None = None   # the cached input, until the layout is filled
 
     def release(self) -> None:
         self.edges.unpersist()
         self.fanout.unpersist()
+        if self.source is not None:
+            self.source.unpersist()
 
 
 def salted_layout(edges: DataFrame, payload: list[str], per_source: dict | None = None,
@@ -76,9 +79,9 @@ def salted_layout(edges: DataFrame, payload: list[str], per_source: dict | None
             .repartition(partitions, "src", "salt")
             .sortWithinPartitions("src", "salt")
             .persist(StorageLevel.MEMORY_AND_DISK))
-    laid.count()        # fill the cache while the input is still cached
-    edges.unpersist()
-    return EdgeLayout(laid, fanout, partitions)
+    # the layout's cache is filled by the first job that reads it, from the
+    # cached input, which is released together with the layout
+    return EdgeLayout(laid, fanout, partitions, edges)
 
 
 def replicate_by_salt(nodes: DataFrame, id_col: str, nsalt_col: str, keep: list[str]) -> DataFrame:
