@@ -77,20 +77,23 @@ def test_bigrams_cross_lines_not_files(spark, data):
 
 def test_bigrams_independent_of_split_size(spark, data):
     """Tiny input splits (many per file) give the same counts."""
-    base = tx.bigram_count_lines(read_lines(spark, data("text_c")))
-    expect = sorted((r.bigram, r.n) for r in base.collect())
+    base_lines = read_lines(spark, data("text_c"))
+    expect = sorted((r.bigram, r.n) for r in tx.bigram_count_lines(base_lines).collect())
+    expect_posts = sorted(tuple(r) for r in ix.term_postings(base_lines, "value", "file").collect())
     spark.conf.set("spark.sql.files.maxPartitionBytes", "4096")
     spark.conf.set("spark.sql.files.openCostInBytes", "0")
     try:
         lines = read_lines(spark, data("text_c"))
         assert lines.select("file_path", "block_start").distinct().count() > 10
         got = sorted((r.bigram, r.n) for r in tx.bigram_count_lines(lines).collect())
+        got_posts = sorted(tuple(r) for r in ix.term_postings(lines, "value", "file").collect())
         # the split count changes, the unit counter follows it
         assert tx.input_unit_count(lines).first()["n"] > 4
     finally:
         spark.conf.unset("spark.sql.files.maxPartitionBytes")
         spark.conf.unset("spark.sql.files.openCostInBytes")
     assert got == expect
+    assert got_posts == expect_posts
 
 
 def test_inverted_index_golden(spark, data):

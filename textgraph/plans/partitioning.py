@@ -16,7 +16,11 @@ from pyspark.sql import DataFrame
 
 
 def spread_coarse(df: DataFrame, keys: Sequence[str]) -> DataFrame:
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= cores:
+    try:
+        cores = df.sparkSession.sparkContext.defaultParallelism
+        splits = df.rdd.getNumPartitions()      # plans the scan, runs no job
+    except Exception:                           # e.g. a remote (Connect) session
+        return df
+    if splits >= cores:
         return df
     return df.repartition(cores, *keys)

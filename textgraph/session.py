@@ -53,7 +53,13 @@ def checkpoint_dir(spark: SparkSession) -> str:
     cluster an unset folder is an error: a machine-local folder would not
     survive the loss of that machine.
     """
-    sc = spark.sparkContext
+    try:
+        sc = spark.sparkContext
+    except Exception:       # remote (Connect) session: the server owns the folder
+        configured = spark.conf.get("spark.checkpoint.dir", None)
+        if configured:
+            return configured
+        raise RuntimeError("spark.checkpoint.dir is not set on the server session")
     current = sc.getCheckpointDir()
     if current:
         return current
