@@ -268,7 +268,7 @@ def test_loop_moves_only_node_side(spark, group_edges):
         g.release()
     st = spark.range(1, 30).select("id", F.when(F.col("id") == 1, F.lit(0)).cast("bigint").alias("dist"),
                                    F.when(F.col("id") == 1, F.lit(GRAY)).otherwise(F.lit(WHITE)).alias("color"))
-    layout, s = se._prepare(st, e.withColumn("w", F.lit(1).cast("bigint")), group_edges)
+    layout, s, _ = se._prepare(st, e.withColumn("w", F.lit(1).cast("bigint")), group_edges)
     try:
         assert _exchanges(se._step(layout, s)) == 2
     finally:

@@ -47,7 +47,16 @@ def _prepare(state: DataFrame, edges: DataFrame, group_edges: int):
     s = (rows.unionByName(targets).unionByName(sources)
          .groupBy("id").agg(F.min("dist").alias("dist"), F.max("color").alias("color"),
                             F.max("present").alias("present"), F.max("nsalt").alias("nsalt")))
-    return layout, materialize(s)
+    s, gray = _materialize_counting_gray(s)
+    return layout, s, gray
+
+
+def _materialize_counting_gray(state: DataFrame):
+    """Checkpoint ``state``; the number of GRAY nodes (the next frontier) is
+    observed in the same job, so stopping early costs no extra job."""
+    seen = Observation()
+    out = materialize(state.observe(seen, F.count(F.when(F.col("color") == GRAY, F.lit(1))).alias("gray")))
+    return out, int(seen.get["gray"])
 
 
 def _step(layout, state: DataFrame) -> DataFrame:
@@ -69,18 +78,12 @@ def frontier_search(state: DataFrame, edges: DataFrame, iters: int, early_stop:
     """``state(id, dist, color)`` and ``edges(src, dst, w)`` (one weight per
     pair; repeats keep the smallest) -> ``(id, dist, color)`` after
     ``iters`` iterations.  Targets without a row appear once reached."""
-    layout, s = _prepare(state, edges, group_edges)
-    gray = s.where(F.col("color") == GRAY).limit(1).count() if early_stop else 1
+    layout, s, gray = _prepare(state, edges, group_edges)
     try:
         for _ in range(iters):
-            if gray == 0:
+            if early_stop and gray == 0:
                 break
-            # the frontier size of the next round is observed while the
-            # checkpoint job runs, so stopping early costs no extra job
-            seen = Observation()
-            s = materialize(_step(layout, s).observe(
-                seen, F.count(F.when(F.col("color") == GRAY, F.lit(1))).alias("gray")))
-            gray = seen.get["gray"] if early_stop else 1
+            s, gray = _materialize_counting_gray(_step(layout, s))
     finally:
         layout.release()
     return s.where(F.col("present")).select("id", "dist", "color")

@@ -39,7 +39,7 @@ def main() -> None:
     g.release()
 
     print("===== frontier search: one iteration =====", flush=True)
-    layout, s = se._prepare(wl._search_state(spark, sf), tb.weighted_edges(spark, sf), 100_000)
+    layout, s, _ = se._prepare(wl._search_state(spark, sf), tb.weighted_edges(spark, sf), 100_000)
     spark.conf.set("spark.sql.adaptive.enabled", "false")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     se._step(layout, s).explain()
