@@ -284,3 +284,15 @@ def test_string_ids(spark, g1_edges):
     e = spark.createDataFrame([("1", "2", 3), ("2", "x", 4)], "src string, dst string, w bigint")
     got = {r.id: r.dist for r in se.frontier_search(st, e, 3).collect()}
     assert got == {"1": 0, "2": 3, "x": 7}
+
+
+def test_empty_inputs(spark):
+    e = spark.createDataFrame([], "src bigint, dst bigint")
+    assert rk.pagerank_edges(e, 3).count() == 0
+    assert gr.node_count(e).first().n == 0
+    rows = spark.createDataFrame([(1, 0.5), (2, 0.5)], "id bigint, rank double")
+    got = _ranks(rk.pagerank_rows(rows, e, 2, 0.2, 1))       # all dangling
+    _close(got, {1: 0.5, 2: 0.5})
+    st = spark.createDataFrame([(1, 0, GRAY)], "id bigint, dist bigint, color int")
+    we = spark.createDataFrame([], "src bigint, dst bigint, w bigint")
+    assert [tuple(r) for r in se.frontier_search(st, we, 3).collect()] == [(1, 0, BLACK)]

@@ -170,3 +170,13 @@ def test_physical_independence(spark, data):
             assert sorted(tuple(r) for r in tx.word_count(lines).collect()) == expect
         finally:
             spark.conf.set("spark.sql.shuffle.partitions", "8")
+
+
+def test_empty_and_null_texts(spark):
+    df = spark.createDataFrame([(1, None), (2, "")], "doc_id bigint, text string")
+    assert tx.word_count(df, "text").count() == 0
+    assert tx.bigram_count(df, "text").count() == 0
+    assert tx.line_count(df, "text", rows_are_lines=False).first().n == 0
+    empty = spark.createDataFrame([], "doc_id bigint, text string")
+    assert tx.line_count(empty, "text", rows_are_lines=False).first().n == 0
+    assert ix.inverted_index(ix.term_postings(empty, "text", "doc_id"), "doc_id").count() == 0

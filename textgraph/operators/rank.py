@@ -112,7 +112,7 @@ def prepare(rows: DataFrame | None, edges: DataFrame, n: int | None, alpha: floa
         # every id is a node; n is the node count (one scalar)
         u = cached = u.withColumn("present", F.lit(True)).persist(StorageLevel.MEMORY_AND_DISK)
         n = u.count()
-        start = F.lit(1.0 / n)
+        start = F.lit(1.0 / n) if n else F.lit(0.0)    # no edges: no nodes
     else:
         start = F.coalesce(F.col("r0"), F.lit(0.0))
     if share_to_range:
@@ -125,7 +125,7 @@ def prepare(rows: DataFrame | None, edges: DataFrame, n: int | None, alpha: floa
     state, mass, nd = _materialize_observed(state)
     if cached is not None:
         cached.unpersist()
-    return RankGraph(layout, state, float(n), float(alpha), mass, nd)
+    return RankGraph(layout, state, float(n or 1), float(alpha), mass, nd)
 
 
 def _contributions(g: RankGraph, state: DataFrame) -> DataFrame:
