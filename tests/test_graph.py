@@ -296,3 +296,15 @@ def test_empty_inputs(spark):
     st = spark.createDataFrame([(1, 0, GRAY)], "id bigint, dist bigint, color int")
     we = spark.createDataFrame([], "src bigint, dst bigint, w bigint")
     assert [tuple(r) for r in se.frontier_search(st, we, 3).collect()] == [(1, 0, BLACK)]
+
+
+def test_durable_layout_and_partitions(g1_edges, g1_nodes):
+    _close(_ranks(rk.pagerank_edges(g1_edges, 3, 0.1, durable_edges=True, edge_partitions=3)),
+           dict(zip(range(1, 6), G1[3])))
+    _close(_ranks(rk.pagerank_adjacency(g1_nodes, 5, 0.1, 2, durable_edges=True)),
+           dict(zip(range(1, 6), G1[2])))
+    g = rk.prepare(None, g1_edges, None, 0.1, dedupe=True, share_to_range=False, durable_edges=True)
+    try:
+        assert _exchanges(rk.step(g, g.state, g.mass, g.n_dangling)) == 2
+    finally:
+        g.release()

@@ -71,7 +71,8 @@ def _edge_multiset(edges: DataFrame, dedupe: bool) -> DataFrame:
 
 def prepare(rows: DataFrame | None, edges: DataFrame, n: int | None, alpha: float,
             dedupe: bool, share_to_range: bool,
-            group_edges: int = DEFAULT_GROUP_EDGES) -> RankGraph:
+            group_edges: int = DEFAULT_GROUP_EDGES, edge_partitions: int | None = None,
+            durable_edges: bool = False) -> RankGraph:
     """Build the node state and the edge layout.
 
     ``rows`` is ``(id, rank)`` (adjacency form) or ``None`` (edge-list form:
@@ -80,7 +81,8 @@ def prepare(rows: DataFrame | None, edges: DataFrame, n: int | None, alpha: floa
     """
     spark = edges.sparkSession
     em = _edge_multiset(edges, dedupe)
-    layout = salted_layout(em, ["mult"], {"outdeg": F.sum("mult")}, group_edges=group_edges)
+    layout = salted_layout(em, ["mult"], {"outdeg": F.sum("mult")}, group_edges=group_edges,
+                           partitions=edge_partitions, durable=durable_edges)
     fan = layout.fanout
 
     no_rank = F.lit(None).cast("double")
@@ -203,22 +205,24 @@ def run(g: RankGraph, iters: int, history: bool = False,
 
 
 def pagerank_edges(edges: DataFrame, iters: int, alpha: float = DEFAULT_ALPHA,
-                   history: bool = False, group_edges: int = DEFAULT_GROUP_EDGES) -> DataFrame:
-    """Edge-list PageRank: ``edges(src, dst)`` -> ``(id, rank)``."""
+                   history: bool = False, group_edges: int = DEFAULT_GROUP_EDGES,
+                   **layout_opts) -> DataFrame:
+    """Edge-list PageRank: ``edges(src, dst)`` -> ``(id, rank)``.
+    ``layout_opts``: ``edge_partitions``, ``durable_edges``."""
     g = prepare(None, edges, None, alpha, dedupe=True, share_to_range=False,
-                group_edges=group_edges)
+                group_edges=group_edges, **layout_opts)
     return run(g, iters, history)
 
 
 def pagerank_rows(rows: DataFrame, edges: DataFrame, n: int, alpha: float,
                   iters: int = 4, dedupe: bool = False, history: bool = False,
                   snapshot_path: str | None = None,
-                  group_edges: int = DEFAULT_GROUP_EDGES) -> DataFrame:
+                  group_edges: int = DEFAULT_GROUP_EDGES, **layout_opts) -> DataFrame:
     """Adjacency-form PageRank on long-form input: ``rows(id, rank)`` and
     the rows' out-edges ``edges(src, dst)`` (repeats count twice unless
     ``dedupe``).  A node is dangling when it has no out-edge."""
     g = prepare(rows, edges, n, alpha, dedupe=dedupe, share_to_range=True,
-                group_edges=group_edges)
+                group_edges=group_edges, **layout_opts)
     return run(g, iters, history, snapshot_path)
 
 
@@ -230,14 +234,14 @@ def adjacency_edges(nodes: DataFrame) -> DataFrame:
 
 def pagerank_adjacency(nodes: DataFrame, n: int, alpha: float, iters: int = 4,
                        history: bool = False, snapshot_path: str | None = None,
-                       group_edges: int = DEFAULT_GROUP_EDGES) -> DataFrame:
+                       group_edges: int = DEFAULT_GROUP_EDGES, **layout_opts) -> DataFrame:
     """Adjacency-form PageRank on ``nodes(id, out array<bigint>, rank)``;
     returns ``(id, out, rank)`` -- the structure is unchanged, rows created
     for targets have ``out`` NULL (with ``history``: ``(iteration, id,
     rank)``)."""
     ranks = pagerank_rows(nodes.select("id", "rank"), adjacency_edges(nodes), n, alpha,
                           iters, history=history, snapshot_path=snapshot_path,
-                          group_edges=group_edges)
+                          group_edges=group_edges, **layout_opts)
     if history:
         return ranks
     structure = nodes.select("id", "out")

@@ -28,11 +28,13 @@ from textgraph.plans.lineage import materialize
 from textgraph.plans.skew import DEFAULT_GROUP_EDGES, replicate_by_salt, salted_layout
 
 
-def _prepare(state: DataFrame, edges: DataFrame, group_edges: int):
+def _prepare(state: DataFrame, edges: DataFrame, group_edges: int,
+             edge_partitions: int | None = None, durable_edges: bool = False):
     id_type = edges.schema["src"].dataType          # bigint usually, strings accepted
     e = (edges.select("src", F.col("dst").cast(id_type).alias("dst"), F.col("w").cast("bigint").alias("w"))
          .groupBy("src", "dst").agg(F.min("w").alias("w")))
-    layout = salted_layout(e, ["w"], group_edges=group_edges)
+    layout = salted_layout(e, ["w"], group_edges=group_edges, partitions=edge_partitions,
+                           durable=durable_edges)
     rows = state.select(
         F.col("id").cast(id_type).alias("id"),
         F.when((F.col("color") == GRAY) & F.col("dist").isNull(),
@@ -74,11 +76,12 @@ def _step(layout, state: DataFrame) -> DataFrame:
 
 
 def frontier_search(state: DataFrame, edges: DataFrame, iters: int, early_stop: bool = True,
-                    group_edges: int = DEFAULT_GROUP_EDGES) -> DataFrame:
+                    group_edges: int = DEFAULT_GROUP_EDGES, **layout_opts) -> DataFrame:
     """``state(id, dist, color)`` and ``edges(src, dst, w)`` (one weight per
     pair; repeats keep the smallest) -> ``(id, dist, color)`` after
-    ``iters`` iterations.  Targets without a row appear once reached."""
-    layout, s, gray = _prepare(state, edges, group_edges)
+    ``iters`` iterations.  Targets without a row appear once reached.
+    ``layout_opts``: ``edge_partitions``, ``durable_edges``."""
+    layout, s, gray = _prepare(state, edges, group_edges, **layout_opts)
     try:
         for _ in range(iters):
             if early_stop and gray == 0:

@@ -24,6 +24,8 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from textgraph.plans.lineage import materialize
+
 DEFAULT_GROUP_EDGES = 100_000
 DEFAULT_BROADCAST_ROWS = 1_000_000     # (bigint, int) rows: ~16 MB at most
 
@@ -45,11 +47,16 @@ class EdgeLayout:
 def salted_layout(edges: DataFrame, payload: list[str], per_source: dict | None = None,
                   group_edges: int = DEFAULT_GROUP_EDGES,
                   broadcast_rows: int = DEFAULT_BROADCAST_ROWS,
-                  partitions: int | None = None) -> EdgeLayout:
+                  partitions: int | None = None, durable: bool = False) -> EdgeLayout:
     """``edges`` must hold one row per (src, dst).
 
     ``per_source`` maps output names to aggregate columns computed per
     source along with the target count (e.g. the out-degree).
+    ``partitions`` defaults to ``spark.sql.shuffle.partitions``.  With
+    ``durable`` the layout is written to the checkpoint folder instead of
+    the executors' cache: iterations then read it from shared storage, and
+    a lost executor costs nothing to rebuild (worth it for very large edge
+    tables); its partitioning is kept either way.
     """
     spark = edges.sparkSession
     if partitions is None:
@@ -77,8 +84,12 @@ def salted_layout(edges: DataFrame, payload: list[str], per_source: dict | None
                           .cast("int").alias("salt")))
     laid = (salted.select("src", "salt", "dst", *payload)
             .repartition(partitions, "src", "salt")
-            .sortWithinPartitions("src", "salt")
-            .persist(StorageLevel.MEMORY_AND_DISK))
+            .sortWithinPartitions("src", "salt"))
+    if durable:
+        laid = materialize(laid)
+        edges.unpersist()
+        return EdgeLayout(laid, fanout, partitions)
+    laid = laid.persist(StorageLevel.MEMORY_AND_DISK)
     # the layout's cache is filled by the first job that reads it, from the
     # cached input, which is released together with the layout
     return EdgeLayout(laid, fanout, partitions, edges)
