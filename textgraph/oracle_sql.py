@@ -56,6 +56,13 @@ SELECT b AS bigram, CAST(count(*) AS BIGINT) AS n FROM (
   SELECT unnest({_PAIRS}) AS b FROM t WHERE len(tk) >= 2)
 GROUP BY b""",
 
+    # same rows as bigram_count: the line-stream plan must stitch pairs
+    # across lines and emulated splits back into whole-text pairs
+    "bigram_count_lines": f"""WITH {_TOKENS}
+SELECT b AS bigram, CAST(count(*) AS BIGINT) AS n FROM (
+  SELECT unnest({_PAIRS}) AS b FROM t WHERE len(tk) >= 2)
+GROUP BY b""",
+
     "input_unit_count": """SELECT CAST(count(DISTINCT doc_id) AS BIGINT) AS n FROM documents""",
 
     "bigram_count_with_total": f"""WITH {_TOKENS}

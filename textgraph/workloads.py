@@ -20,6 +20,7 @@ from textgraph.operators import text as tx
 from textgraph.sinks import text as sk
 from textgraph.sources import graph_text as gt
 from textgraph.sources import tables as tb
+from textgraph.sources.lines import lines_of_texts
 
 # Parameters of the registered queries (fixed, shared with the SQL oracle).
 POSTING_BLOCK = 256          # documents per posting-list row
@@ -29,6 +30,7 @@ EDGE_ITERS = 10              # iterations of the edge-list form's run
 SEARCH_ITERS = 6             # frontier iterations
 SEARCH_SOURCE = 1            # the node marked GRAY with distance 0
 RANK_DIGITS = 10             # ranks are compared after rounding (sum order differs)
+LINE_BLOCK = 8               # lines per emulated input split (line-stream bigrams)
 
 
 # --- text -------------------------------------------------------------------
@@ -53,6 +55,16 @@ def q_bigram_count(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tx.bigram_count(tb.documents(spark, sf_dir), "text")
 
 
+def q_bigram_count_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The line-stream form: every document is a "file" read as lines, cut
+    into input splits of ``LINE_BLOCK`` lines; pairs are stitched across
+    lines and splits by the windowed plan and must equal the whole-text
+    bigram count."""
+    lines = (lines_of_texts(tb.documents(spark, sf_dir), "text", keep=["doc_id"])
+             .withColumn("split", F.floor(F.col("line_no") / F.lit(LINE_BLOCK))))
+    return tx.bigram_count_lines(lines, "value", file="doc_id", block="split", rid="line_no")
+
+
 def q_input_unit_count(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tx.input_unit_count(tb.documents(spark, sf_dir), ["doc_id"])
 
@@ -91,6 +103,7 @@ TEXT_QUERIES = {
     "line_count": q_line_count,
     "word_count_with_total": q_word_count_with_total,
     "bigram_count": q_bigram_count,
+    "bigram_count_lines": q_bigram_count_lines,
     "input_unit_count": q_input_unit_count,
     "bigram_count_with_total": q_bigram_count_with_total,
     "term_postings": q_term_postings,
