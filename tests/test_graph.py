@@ -308,3 +308,11 @@ def test_durable_layout_and_partitions(g1_edges, g1_nodes):
         assert _exchanges(rk.step(g, g.state, g.mass, g.n_dangling)) == 2
     finally:
         g.release()
+
+
+def test_empty_edge_field_is_dangling(spark):
+    lines = spark.createDataFrame([("1 |0.5",), ("2\t1,|0.5",)], "value string")
+    nodes = {r.id: r for r in parse_adjacency(lines).collect()}
+    assert nodes[1].out is None and nodes[2].out == [1]
+    got = _ranks(rk.pagerank_adjacency(parse_adjacency(lines), 2, 0.2, 1))
+    _close(got, {1: 0.8 * (0.5 + 0.25) + 0.1, 2: 0.8 * 0.25 + 0.1})

@@ -21,7 +21,6 @@ from __future__ import annotations
 
 import threading
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 
 from textgraph.session import checkpoint_dir
@@ -49,20 +48,3 @@ def materialize(df: DataFrame, keep_partitioning: bool = True) -> DataFrame:
                     spark.conf.unset(k)
                 else:
                     spark.conf.set(k, v)
-
-
-class Frames:
-    """Holds persisted inputs of a loop and releases them at the end."""
-
-    def __init__(self) -> None:
-        self._held: list[DataFrame] = []
-
-    def keep(self, df: DataFrame, level: StorageLevel = StorageLevel.MEMORY_AND_DISK) -> DataFrame:
-        df.persist(level)
-        self._held.append(df)
-        return df
-
-    def release(self) -> None:
-        for df in self._held:
-            df.unpersist()
-        self._held.clear()
