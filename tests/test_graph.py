@@ -316,3 +316,8 @@ def test_empty_edge_field_is_dangling(spark):
     assert nodes[1].out is None and nodes[2].out == [1]
     got = _ranks(rk.pagerank_adjacency(parse_adjacency(lines), 2, 0.2, 1))
     _close(got, {1: 0.8 * (0.5 + 0.25) + 0.1, 2: 0.8 * 0.25 + 0.1})
+
+
+def test_zero_iterations(g1_edges):
+    assert rk.pagerank_edges(g1_edges, 0, 0.1, history=True).count() == 0
+    _close(_ranks(rk.pagerank_edges(g1_edges, 0, 0.1)), {i: 0.2 for i in range(1, 6)})

@@ -193,6 +193,8 @@ def run(g: RankGraph, iters: int, history: bool = False,
     if history:
         if snapshot_path:
             return state.sparkSession.read.parquet(snapshot_path).select("iteration", "id", "rank")
+        if not kept:        # no iteration ran: an empty history
+            return state.where(F.lit(False)).select(F.lit(0).alias("iteration"), "id", "rank")
         res = kept[0]
         for k in kept[1:]:
             res = res.unionByName(k)
