@@ -1,8 +1,7 @@
 """Edge-table building blocks: de-duplication, degrees, node sets.
 
-All are joins, set operations and aggregates on ``edges(src, dst)``; the
-node count and ``1/n`` travel as one-row aggregates, never through the
-driver.
+All are joins, set operations and aggregates on ``edges(src, dst)``;
+only scalars (the node count) reach the driver.
 """
 
 from __future__ import annotations
@@ -46,8 +45,8 @@ def implicit_nodes(rows: DataFrame, edges: DataFrame) -> DataFrame:
 
 
 def rank_init(edges: DataFrame) -> DataFrame:
-    """``(id, rank)``: every node of the edge list with rank ``1/n``."""
+    """``(id, rank)``: every node of the edge list with rank ``1/n`` (the
+    node count is one scalar)."""
     ids = node_ids(edges)
-    n = ids.agg(F.count(F.lit(1)).alias("_n"))
-    return ids.crossJoin(F.broadcast(n)).select(   # one row
-        "id", (F.lit(1.0) / F.col("_n")).alias("rank"))
+    n = ids.count()
+    return ids.select("id", (F.lit(1.0) / F.lit(n)).alias("rank"))

@@ -34,27 +34,25 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spread_coarse(table(spark, sf_dir, "documents").select("doc_id", "text"), ["doc_id"])
 
 
-def part_count(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One row ``(n_part)``: the id offset of supplier nodes."""
-    return table(spark, sf_dir, "part").agg(F.count(F.lit(1)).alias("n_part"))
+def part_total(spark: SparkSession, sf_dir: str) -> int:
+    """``|part|``: the id offset of supplier nodes (a scalar)."""
+    return table(spark, sf_dir, "part").count()
 
 
 def node_total(spark: SparkSession, sf_dir: str) -> int:
     """``n = |part| + |supplier|`` (a scalar: two row counts)."""
-    return table(spark, sf_dir, "part").count() + table(spark, sf_dir, "supplier").count()
+    return part_total(spark, sf_dir) + table(spark, sf_dir, "supplier").count()
 
 
 def _edge_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     li = table(spark, sf_dir, "lineitem").select(
         "l_partkey", "l_suppkey", "l_quantity", "l_returnflag")
-    off = part_count(spark, sf_dir)
+    off = part_total(spark, sf_dir)
     part_node = F.col("l_partkey") + F.lit(1)
-    supp_node = F.col("n_part") + F.col("l_suppkey") + F.lit(1)
+    supp_node = F.lit(off) + F.col("l_suppkey") + F.lit(1)
     to_supp = (li.where(F.col("l_returnflag") == "R")
-               .crossJoin(F.broadcast(off))   # one row: size bound proven
                .select(part_node.alias("src"), supp_node.alias("dst"), "l_quantity"))
     to_part = (li.where((F.col("l_returnflag") == "A") & (F.col("l_suppkey") % 4 != 0))
-               .crossJoin(F.broadcast(off))
                .select(supp_node.alias("src"), part_node.alias("dst"), "l_quantity"))
     return to_supp.unionByName(to_part)
 
@@ -73,8 +71,7 @@ def weighted_edges(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def node_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``(id)``: all nodes 1..n, from the part and supplier keys."""
-    off = part_count(spark, sf_dir)
+    off = part_total(spark, sf_dir)
     parts = table(spark, sf_dir, "part").select((F.col("p_partkey") + 1).alias("id"))
-    supps = (table(spark, sf_dir, "supplier").crossJoin(F.broadcast(off))
-             .select((F.col("n_part") + F.col("s_suppkey") + 1).alias("id")))
+    supps = table(spark, sf_dir, "supplier").select((F.lit(off) + F.col("s_suppkey") + 1).alias("id"))
     return parts.unionByName(supps)
