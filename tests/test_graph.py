@@ -249,8 +249,11 @@ def _exchanges(df):
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
     def walk(node):
+        name = node.getClass().getSimpleName()
+        if name == "InMemoryTableScanExec":      # a cached input: its own plan ran before
+            return 0
         kids = node.children()
-        n = 1 if node.getClass().getSimpleName() == "ShuffleExchangeExec" else 0
+        n = 1 if name == "ShuffleExchangeExec" else 0
         return n + sum(walk(kids.apply(i)) for i in range(kids.size()))
     return walk(root)
 
