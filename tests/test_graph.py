@@ -324,3 +324,17 @@ def test_empty_edge_field_is_dangling(spark):
 def test_zero_iterations(g1_edges):
     assert rk.pagerank_edges(g1_edges, 0, 0.1, history=True).count() == 0
     _close(_ranks(rk.pagerank_edges(g1_edges, 0, 0.1)), {i: 0.2 for i in range(1, 6)})
+
+
+def test_strict_parsing_without_ansi(spark):
+    lines = spark.createDataFrame([("1 2",), ("x 3",)], "value string")
+    spark.conf.set("spark.sql.ansi.enabled", "false")
+    try:
+        with pytest.raises(Exception):
+            parse_edge_list(lines).collect()
+        bad = spark.createDataFrame([("1\t2,y,|1,1,|0|GRAY",)], "value string")
+        with pytest.raises(Exception):
+            parse_search_graph(bad).collect()
+        assert parse_edge_list(lines, strict=False).count() == 1
+    finally:
+        spark.conf.unset("spark.sql.ansi.enabled")

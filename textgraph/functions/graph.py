@@ -27,12 +27,22 @@ def color_code(name: Column | str) -> Column:
     return (F.array_position(F.array(*[F.lit(x) for x in COLOR_NAMES]), col) - 1).cast("int")
 
 
+def parse_number(text: Column, typ: str, strict: bool = True) -> Column:
+    """``text`` as ``typ``; a malformed value fails the job when ``strict``
+    (whatever the session's ANSI setting), else becomes NULL."""
+    val = text.try_cast(typ)
+    if not strict:
+        return val
+    return F.when(val.isNull() & text.isNotNull(),
+                  F.raise_error(F.concat(F.lit("malformed number: "), text))).otherwise(val)
+
+
 def int_list(text: Column, sep: str = ",", strict: bool = True) -> Column:
     """array<bigint> of the non-empty items of ``text`` split on ``sep``.
     Strict parsing fails the job on a malformed item; otherwise a malformed
     item becomes NULL."""
     items = F.filter(F.split(text, sep), lambda s: s != F.lit(""))
-    return F.transform(items, (lambda s: s.cast("bigint")) if strict else (lambda s: s.try_cast("bigint")))
+    return F.transform(items, lambda s: parse_number(s, "bigint", strict))
 
 
 def joined_list(arr: Column, sep: str = ",", trailing: bool = False) -> Column:

@@ -15,11 +15,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from textgraph.functions.graph import NO_EDGES, UNREACHED, color_code, int_list
+from textgraph.functions.graph import NO_EDGES, UNREACHED, color_code, int_list, parse_number
 
 
 def _num(c, typ: str, strict: bool):
-    return c.cast(typ) if strict else c.try_cast(typ)
+    return parse_number(c, typ, strict)
 
 
 def _fields(value: str = "value"):
