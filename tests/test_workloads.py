@@ -56,3 +56,17 @@ def test_oracle_sf0001(spark):
     res = compare(spark, SF001, verbose=False)
     bad = {k: v for k, v in res.items() if v[0] == "MISMATCH"}
     assert not bad
+
+
+@have
+def test_oracle_types_sf0001(spark):
+    """Column names and types of every query equal those of its SQL."""
+    import __spark_entry__ as ent
+    from oracle_check import duck
+    con = duck(SF001)
+    names = {"bigint": "BIGINT", "double": "DOUBLE", "string": "VARCHAR", "int": "INTEGER"}
+    for name, q in ent.queries().items():
+        got = {f.name: names.get(f.dataType.simpleString(), f.dataType.simpleString())
+               for f in q(spark, SF001).schema.fields}
+        want = {r[0]: r[1] for r in con.execute(f"DESCRIBE {ent.oracle_sql()[name]}").fetchall()}
+        assert got == want, name
