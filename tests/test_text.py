@@ -180,3 +180,15 @@ def test_empty_and_null_texts(spark):
     empty = spark.createDataFrame([], "doc_id bigint, text string")
     assert tx.line_count(empty, "text", rows_are_lines=False).first().n == 0
     assert ix.inverted_index(ix.term_postings(empty, "text", "doc_id"), "doc_id").count() == 0
+
+
+def test_dense_ordinal_many_partitions(spark):
+    from textgraph.plans.dense_index import dense_ordinal
+    keys = [f"f{i:05d}" for i in range(1000)]
+    df = spark.createDataFrame([(k,) for k in keys for _ in range(2)], "file string").repartition(13)
+    spark.conf.set("spark.sql.shuffle.partitions", "16")
+    try:
+        got = {r.file: r.ordinal for r in dense_ordinal(df, "file").collect()}
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", "8")
+    assert got == {k: i for i, k in enumerate(sorted(keys))}
