@@ -338,3 +338,14 @@ def test_strict_parsing_without_ansi(spark):
         assert parse_edge_list(lines, strict=False).count() == 1
     finally:
         spark.conf.unset("spark.sql.ansi.enabled")
+
+
+def test_search_independent_of_partitions(spark):
+    st, e = _search_rows(spark, F1)
+    want = sorted(tuple(r) for r in se.frontier_search(st, e, 3).collect())
+    for parts in ("1", "64"):
+        spark.conf.set("spark.sql.shuffle.partitions", parts)
+        try:
+            assert sorted(tuple(r) for r in se.frontier_search(st, e, 3).collect()) == want
+        finally:
+            spark.conf.set("spark.sql.shuffle.partitions", "8")
