@@ -1,8 +1,8 @@
 """Column expressions for text: tokens, adjacent pairs, line counts.
 
-All of them are built-in Catalyst expressions (split, filter, slice,
-zip_with, ...), so they run inside whole-stage code generation on the
-executors; there is no Python in the per-row path.
+All of them are built-in Catalyst expressions without lambdas (split,
+slice, arrays_zip, ...), so they are compiled into the stages that use them;
+there is no Python in the per-row path.
 """
 
 from __future__ import annotations
@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 # no empty tokens.  \x0B (vertical tab) is NOT a delimiter, so the pattern is
 # not "\s+".
 TOKEN_DELIMITERS = "[ \\t\\n\\r\\f]+"
+_DELIMITER_SET = " \t\n\r\f"
 # Line terminators of Hadoop's line reader: "\r\n", "\n", "\r".  The last
 # line needs none; a final terminator does not open an empty line.
 LINE_TERMINATOR = "\\r\\n|\\n|\\r"
@@ -38,15 +39,15 @@ def _c(col: Column | str) -> Column:
 def tokens(text: Column | str) -> Column:
     """array<string> of the whitespace-delimited tokens of ``text``
     (case and punctuation kept, never an empty token)."""
-    return F.filter(F.split(_c(text), TOKEN_DELIMITERS), lambda t: t != F.lit(""))
+    t = F.btrim(_c(text), F.lit(_DELIMITER_SET))       # so no token is empty but that of a blank text
+    return F.when(t == F.lit(""), F.array().cast("array<string>")).otherwise(F.split(t, TOKEN_DELIMITERS))
 
 
-def adjacent_pairs(toks: Column | str, sep: str = BIGRAM_SEPARATOR) -> Column:
-    """array<string> of ``t[i] + sep + t[i+1]`` for consecutive tokens."""
+def adjacent_tokens(toks: Column | str) -> Column:
+    """array<struct<a, b>> of ``t[i], t[i+1]`` for consecutive tokens."""
     t = _c(toks)
     k = F.greatest(F.size(t) - F.lit(1), F.lit(0))
-    return F.zip_with(F.slice(t, 1, k), F.slice(t, 2, k),
-                      lambda a, b: F.concat(a, F.lit(sep), b))
+    return F.arrays_zip(F.slice(t, 1, k).alias("a"), F.slice(t, 2, k).alias("b"))
 
 
 def lines_in(text: Column | str) -> Column:

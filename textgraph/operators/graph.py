@@ -23,8 +23,7 @@ def out_degree(edges: DataFrame, id_col: str = "id", n: str = "out_degree") -> D
 
 def node_ids(edges: DataFrame) -> DataFrame:
     """``(id)``: every id that occurs as source or target."""
-    return (edges.select(F.col("src").alias("id"))
-            .unionByName(edges.select(F.col("dst").alias("id"))).distinct())
+    return edges.select(F.explode(F.array("src", "dst")).alias("id")).distinct()
 
 
 def node_count(edges: DataFrame, n: str = "n") -> DataFrame:

@@ -35,11 +35,14 @@ def posting_block(posts: DataFrame, unit: str, block_size: int) -> DataFrame:
     """Adds ``block``: units in ascending order, ``block_size`` per block.
 
     An integral unit is its own ordinal (distinct values, so a block holds
-    at most ``block_size`` of them); any other unit type is first given its
-    dense rank in ascending order by a distributed sort.
+    at most ``block_size`` of them; where ids are sparse, blocks hold fewer);
+    any other unit type is first given its dense rank in ascending order by a
+    distributed sort.  Block numbers therefore depend on the unit's type, the
+    order of blocks does not.  Postings without a unit are left out.
     """
     if block_size < 1:
         raise ValueError("block_size must be positive")
+    posts = posts.where(F.col(unit).isNotNull())
     if isinstance(posts.schema[unit].dataType, IntegralType):
         # floor division, exact for any bigint (negative ids included)
         u = f"CAST(`{unit}` AS BIGINT)"

@@ -37,8 +37,16 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
+from textgraph.plans.history import History
 from textgraph.plans.lineage import materialize
-from textgraph.plans.skew import DEFAULT_GROUP_EDGES, EdgeLayout, replicate_by_salt, salted_layout
+from textgraph.plans.skew import (
+    DEFAULT_GROUP_EDGES,
+    EdgeLayout,
+    replicate_by_salt,
+    salted_layout,
+    source_fanout,
+    with_salt,
+)
 
 DEFAULT_ALPHA = 0.1
 
@@ -127,6 +135,7 @@ def prepare(rows: DataFrame | None, edges: DataFrame, n: int | None, alpha: floa
     state, mass, nd = _materialize_observed(state)
     if cached is not None:
         cached.unpersist()
+    layout.filled()     # the state's job has read the whole layout
     return RankGraph(layout, state, float(n or 1), float(alpha), mass, nd)
 
 
@@ -173,32 +182,29 @@ def step(g: RankGraph, state: DataFrame, mass: float, n_dangling: int) -> DataFr
 
 
 def run(g: RankGraph, iters: int, history: bool = False,
-        snapshot_path: str | None = None) -> DataFrame:
+        snapshot_path: str | None = None, resume_from: int = 0) -> DataFrame:
     """Iterate; returns ``(id, rank)`` or, with ``history``, ``(iteration,
-    id, rank)`` for iterations 1..iters.  ``snapshot_path`` also appends
-    each iteration as parquet partitioned by ``iteration`` (a restart
-    point and the reference's per-iteration output folders)."""
+    id, rank)`` for iterations 1..iters.  ``snapshot_path`` also writes each
+    iteration as parquet in ``iteration=k`` (replacing that folder alone);
+    ``resume_from=k`` continues after iteration ``k`` of that path, with the
+    result of an uninterrupted run."""
     state, mass, nd = g.state, g.mass, g.n_dangling
-    kept = []
+    kept = History(snapshot_path, ["id", "rank"])
     try:
-        for i in range(1, iters + 1):
+        if resume_from:
+            old = kept.restart(state.sparkSession, resume_from).select(
+                F.col("id").alias("_id"), F.col("rank").alias("_rank"))
+            state, mass, nd = _materialize_observed(
+                state.join(old, F.col("id") == F.col("_id"), "left").select(
+                    "id", F.col("_rank").alias("rank"), F.col("_id").isNotNull().alias("present"),
+                    "in_range", "is_target", "nsalt", "outdeg"))
+        for i in range(resume_from + 1, iters + 1):
             state, mass, nd = _materialize_observed(step(g, state, mass, nd))
-            out = state.where(F.col("present")).select(F.lit(i).alias("iteration"), "id", "rank")
-            if snapshot_path:
-                out.write.mode("append").partitionBy("iteration").parquet(snapshot_path)
-            if history:
-                kept.append(out)
+            kept.add(i, state.where(F.col("present")), history)
     finally:
         g.release()     # the states are checkpointed, the edges no longer needed
     if history:
-        if snapshot_path:
-            return state.sparkSession.read.parquet(snapshot_path).select("iteration", "id", "rank")
-        if not kept:        # no iteration ran: an empty history
-            return state.where(F.lit(False)).select(F.lit(0).alias("iteration"), "id", "rank")
-        res = kept[0]
-        for k in kept[1:]:
-            res = res.unionByName(k)
-        return res
+        return kept.rows(state, iters)
     return state.where(F.col("present")).select("id", "rank")
 
 
@@ -208,24 +214,24 @@ def run(g: RankGraph, iters: int, history: bool = False,
 
 def pagerank_edges(edges: DataFrame, iters: int, alpha: float = DEFAULT_ALPHA,
                    history: bool = False, group_edges: int = DEFAULT_GROUP_EDGES,
-                   **layout_opts) -> DataFrame:
+                   snapshot_path: str | None = None, resume_from: int = 0, **layout_opts) -> DataFrame:
     """Edge-list PageRank: ``edges(src, dst)`` -> ``(id, rank)``.
     ``layout_opts``: ``edge_partitions``, ``durable_edges``."""
     g = prepare(None, edges, None, alpha, dedupe=True, share_to_range=False,
                 group_edges=group_edges, **layout_opts)
-    return run(g, iters, history)
+    return run(g, iters, history, snapshot_path, resume_from)
 
 
 def pagerank_rows(rows: DataFrame, edges: DataFrame, n: int, alpha: float,
                   iters: int = 4, dedupe: bool = False, history: bool = False,
-                  snapshot_path: str | None = None,
+                  snapshot_path: str | None = None, resume_from: int = 0,
                   group_edges: int = DEFAULT_GROUP_EDGES, **layout_opts) -> DataFrame:
     """Adjacency-form PageRank on long-form input: ``rows(id, rank)`` and
     the rows' out-edges ``edges(src, dst)`` (repeats count twice unless
     ``dedupe``).  A node is dangling when it has no out-edge."""
     g = prepare(rows, edges, n, alpha, dedupe=dedupe, share_to_range=True,
                 group_edges=group_edges, **layout_opts)
-    return run(g, iters, history, snapshot_path)
+    return run(g, iters, history, snapshot_path, resume_from)
 
 
 def adjacency_edges(nodes: DataFrame) -> DataFrame:
@@ -235,14 +241,14 @@ def adjacency_edges(nodes: DataFrame) -> DataFrame:
 
 
 def pagerank_adjacency(nodes: DataFrame, n: int, alpha: float, iters: int = 4,
-                       history: bool = False, snapshot_path: str | None = None,
+                       history: bool = False, snapshot_path: str | None = None, resume_from: int = 0,
                        group_edges: int = DEFAULT_GROUP_EDGES, **layout_opts) -> DataFrame:
     """Adjacency-form PageRank on ``nodes(id, out array<bigint>, rank)``;
     returns ``(id, out, rank)`` -- the structure is unchanged, rows created
     for targets have ``out`` NULL (with ``history``: ``(iteration, id,
     rank)``)."""
     ranks = pagerank_rows(nodes.select("id", "rank"), adjacency_edges(nodes), n, alpha,
-                          iters, history=history, snapshot_path=snapshot_path,
+                          iters, history=history, snapshot_path=snapshot_path, resume_from=resume_from,
                           group_edges=group_edges, **layout_opts)
     if history:
         return ranks
@@ -250,36 +256,48 @@ def pagerank_adjacency(nodes: DataFrame, n: int, alpha: float, iters: int = 4,
     return ranks.join(structure, "id", "left").select("id", "out", "rank")
 
 
+def _one_pass(em: DataFrame, ranks: DataFrame, group_edges: int = DEFAULT_GROUP_EDGES) -> DataFrame:
+    """``(dst, c)``: the rank shares of ``ranks (id, rank)`` summed per target,
+    in one salted join and one aggregate; nothing is cached or laid out."""
+    fan = source_fanout(em, {"outdeg": F.sum("mult")}, group_edges)
+    share = ranks.join(fan, ranks["id"] == fan["src"]).select(
+        "id", "nsalt", (F.col("rank") / F.col("outdeg")).alias("_s"))
+    salted = with_salt(em, fan, ["src", "dst", "mult"])
+    return (salted.join(replicate_by_salt(share, "id", "nsalt", ["_s"]), ["src", "salt"])
+            .groupBy("dst").agg(F.sum(F.col("_s") * F.col("mult")).alias("c")))
+
+
 def pagerank_scatter(rows: DataFrame, edges: DataFrame, n: int | None = None,
                      dedupe: bool = False) -> DataFrame:
     """Pass 1 of the first adjacency-form iteration: ``(id, rank)`` with the
     summed contributions of every row and target, plus the row ``(-1,
-    dangling mass)`` when some row is dangling (the jump is not applied)."""
-    g = prepare(rows, edges, n, 0.0, dedupe=dedupe, share_to_range=n is not None)
-    s = g.state
-    c = _contributions(g, s)
-    m = _dangling(s)
-    nodes = (s.where(F.col("present") | F.col("is_target"))
-             .join(c, s["id"] == c["dst"], "left")
-             .select("id", F.coalesce(F.col("c"), F.lit(0.0)).alias("rank")))
-    virtual = m.where(F.col("n_dangling") > 0).select(F.lit(-1).cast("bigint").alias("id"),
-                                                      F.col("mass").alias("rank"))
-    try:
-        return materialize(nodes.unionByName(virtual), keep_partitioning=False)
-    finally:
-        g.release()
+    dangling mass)`` when some row is dangling (the jump is not applied).  Where ``rows`` carry ``out``, so does the result (NULL for rows
+    that they lack), so it can be written as adjacency text."""
+    em = _edge_multiset(edges, dedupe)
+    kind = em.schema["src"].dataType
+    carried = [c for c in ("out",) if c in rows.columns]
+    rows = rows.select(F.col("id").cast(kind).alias("id"), F.col("rank").cast("double").alias("rank"), *carried)
+    c = _one_pass(em, rows.select("id", "rank"))
+    sources = em.select("src").distinct()
+    mass = rows.join(sources, F.col("id") == F.col("src"), "left_anti").agg(
+        F.sum("rank").alias("rank"), F.count(F.lit(1)).alias("_n"))
+    virtual = mass.where(F.col("_n") > 0).select(
+        F.lit(-1).cast(kind).alias("id"), F.coalesce("rank", F.lit(0.0)).alias("rank"))
+    # every row, source and target has a row in the result
+    known = (rows.select("id", F.lit(0.0).alias("c")).unionByName(c.select(F.col("dst").alias("id"), "c"))
+             .unionByName(sources.select(F.col("src").alias("id"), F.lit(0.0).alias("c"))))
+    out = known.groupBy("id").agg(F.sum("c").alias("rank")).unionByName(virtual)
+    if carried:
+        out = out.join(rows.select("id", *carried), "id", "left").select("id", "out", "rank")
+    return out
 
 
 def rank_contributions(edges: DataFrame, ranks: DataFrame, dedupe: bool = True) -> DataFrame:
     """``(id, contrib)``: for every target, the sum of ``rank(src) *
     mult / outdeg(src)`` over its in-edges (edges de-duplicated unless
     told otherwise)."""
-    em = _edge_multiset(edges, dedupe)
-    deg = em.groupBy("src").agg(F.sum("mult").alias("outdeg"))
-    share = ranks.join(deg, ranks["id"] == deg["src"]).select(
-        "src", (F.col("rank") / F.col("outdeg")).alias("_s"))
-    return (em.join(share, "src").groupBy(F.col("dst").alias("id"))
-            .agg(F.sum(F.col("_s") * F.col("mult")).alias("contrib")))
+    c = _one_pass(_edge_multiset(edges, dedupe), ranks)
+    return c.select(F.col("dst").alias("id"), F.col("c").alias("contrib"))
 
 
 def dangling_mass(ranks: DataFrame, edges: DataFrame) -> DataFrame:

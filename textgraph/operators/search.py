@@ -24,8 +24,15 @@ from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from textgraph.functions.graph import BLACK, GRAY, WHITE
+from textgraph.plans.history import History
 from textgraph.plans.lineage import materialize
-from textgraph.plans.skew import DEFAULT_GROUP_EDGES, replicate_by_salt, salted_layout
+from textgraph.plans.skew import (
+    DEFAULT_GROUP_EDGES,
+    replicate_by_salt,
+    salted_layout,
+    source_fanout,
+    with_salt,
+)
 
 
 def _prepare(state: DataFrame, edges: DataFrame, group_edges: int,
@@ -50,6 +57,7 @@ def _prepare(state: DataFrame, edges: DataFrame, group_edges: int,
          .groupBy("id").agg(F.min("dist").alias("dist"), F.max("color").alias("color"),
                             F.max("present").alias("present"), F.max("nsalt").alias("nsalt")))
     s, gray = _materialize_counting_gray(s)
+    layout.filled()     # the state's job has read the whole layout
     return layout, s, gray
 
 
@@ -76,25 +84,57 @@ def _step(layout, state: DataFrame) -> DataFrame:
 
 
 def frontier_search(state: DataFrame, edges: DataFrame, iters: int, early_stop: bool = True,
-                    group_edges: int = DEFAULT_GROUP_EDGES, **layout_opts) -> DataFrame:
+                    group_edges: int = DEFAULT_GROUP_EDGES, history: bool = False,
+                    snapshot_path: str | None = None, resume_from: int = 0, **layout_opts) -> DataFrame:
     """``state(id, dist, color)`` and ``edges(src, dst, w)`` (one weight per
     pair; repeats keep the smallest) -> ``(id, dist, color)`` after
     ``iters`` iterations.  Targets without a row appear once reached.
-    ``layout_opts``: ``edge_partitions``, ``durable_edges``."""
+    ``history`` returns ``(iteration, id, dist, color)`` of iterations
+    1..iters; ``snapshot_path`` and ``resume_from`` keep and continue them as
+    for the ranks.  ``layout_opts``: ``edge_partitions``, ``durable_edges``."""
     layout, s, gray = _prepare(state, edges, group_edges, **layout_opts)
+    kept = History(snapshot_path, ["id", "dist", "color"])
     try:
-        for _ in range(iters):
-            if early_stop and gray == 0:
+        if resume_from:
+            old = kept.restart(s.sparkSession, resume_from).select(
+                F.col("id").alias("_id"), F.col("dist").alias("_dist"), F.col("color").alias("_color"))
+            s, gray = _materialize_counting_gray(
+                s.join(old, F.col("id") == F.col("_id"), "left").select(
+                    "id", F.col("_dist").alias("dist"), F.coalesce("_color", F.lit(WHITE)).alias("color"),
+                    F.col("_id").isNotNull().alias("present"), "nsalt"))
+        for i in range(resume_from + 1, iters + 1):
+            if not early_stop or gray:      # else nothing changes any more
+                s, gray = _materialize_counting_gray(_step(layout, s))
+            elif not history and not snapshot_path:
                 break
-            s, gray = _materialize_counting_gray(_step(layout, s))
+            kept.add(i, s.where(F.col("present")), history)
     finally:
         layout.release()
+    if history:
+        return kept.rows(s, iters)
     return s.where(F.col("present")).select("id", "dist", "color")
 
 
-def frontier_step(state: DataFrame, edges: DataFrame) -> DataFrame:
-    """One iteration of :func:`frontier_search`."""
-    return frontier_search(state, edges, 1)
+def frontier_step(state: DataFrame, edges: DataFrame, group_edges: int = DEFAULT_GROUP_EDGES) -> DataFrame:
+    """One iteration of :func:`frontier_search`, in one salted join of the
+    frontier's edges, one aggregate and one join with the state; nothing is
+    cached or laid out."""
+    kind = edges.schema["src"].dataType
+    state = state.select(
+        F.col("id").cast(kind).alias("id"),
+        F.when((F.col("color") == GRAY) & F.col("dist").isNull(), F.raise_error(F.lit("GRAY node without a distance")))
+        .otherwise(F.col("dist").cast("bigint")).alias("dist"), F.col("color").cast("int").alias("color"))
+    e = edges.select("src", F.col("dst").cast(kind).alias("dst"), F.col("w").cast("bigint").alias("w"))
+    frontier = state.where(F.col("color") == GRAY).select("id", "dist")
+    fan = source_fanout(e.join(frontier.select("id"), F.col("src") == F.col("id"), "left_semi"), None, group_edges)
+    offers = (with_salt(e, fan, ["src", "dst", "w"])
+              .join(replicate_by_salt(frontier.join(fan, F.col("id") == F.col("src")), "id", "nsalt", ["dist"]),
+                    ["src", "salt"])
+              .groupBy(F.col("dst").alias("id")).agg(F.min(F.col("dist") + F.col("w")).alias("dist"))
+              .where(F.col("dist").isNotNull()).withColumn("color", F.lit(GRAY)))
+    own = state.withColumn("color", F.when(F.col("color") == GRAY, F.lit(BLACK)).otherwise(F.col("color")))
+    return (own.unionByName(offers).groupBy("id")
+            .agg(F.min("dist").alias("dist"), F.max("color").alias("color")))
 
 
 def bfs_hops(state: DataFrame, edges: DataFrame, iters: int) -> DataFrame:
@@ -104,14 +144,12 @@ def bfs_hops(state: DataFrame, edges: DataFrame, iters: int) -> DataFrame:
 
 def search_edges(nodes: DataFrame) -> DataFrame:
     """``(src, dst, w)`` of search rows ``(id, out array<struct<dst, w>>)``:
-    the weight of a target is that of its *first* occurrence in the list."""
-    first_w = F.transform(
-        F.col("out"),
-        lambda e: F.struct(e["dst"].alias("dst"),
-                           F.element_at(F.col("out"), F.array_position(F.col("out.dst"), e["dst"]).cast("int"))["w"]
-                           .alias("w")))
-    return (nodes.select(F.col("id").alias("src"), F.explode(first_w).alias("e"))
-            .select("src", F.col("e.dst").alias("dst"), F.col("e.w").alias("w")))
+    the weight of a target is that of its *first* occurrence in the list,
+    one row per (src, dst).  The list is exploded once and aggregated, so the
+    work is linear in its length; rows that repeat an id share its weights."""
+    e = nodes.select(F.col("id").alias("src"), F.posexplode("out").alias("_pos", "_e"))
+    return (e.groupBy("src", F.col("_e.dst").alias("dst"))
+            .agg(F.min_by(F.col("_e.w"), F.col("_pos")).alias("w")))
 
 
 def frontier_search_nodes(nodes: DataFrame, iters: int, early_stop: bool = True,

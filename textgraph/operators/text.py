@@ -25,7 +25,7 @@ from textgraph.functions.text import (
     BIGRAM_SEPARATOR,
     LINE_TOTAL_KEY,
     SPLIT_TOTAL_KEY,
-    adjacent_pairs,
+    adjacent_tokens,
     first_token_of,
     last_token_of,
     lines_in,
@@ -70,13 +70,12 @@ def word_count_with_total(df: DataFrame, text: str = "value",
     equal to the key merges with it.
     """
     per_row = F.lit(1).cast("bigint") if rows_are_lines else lines_in(text)
-    items = F.concat(
-        F.transform(tokens(text), lambda t: F.struct(t.alias("k"), F.lit(1).cast("bigint").alias("v"))),
-        F.array(F.struct(F.lit(LINE_TOTAL_KEY).alias("k"), per_row.alias("v"))),
-    )
-    return (df.select(F.explode(items).alias("_kv"))
-            .groupBy(F.col("_kv.k").alias(word))
-            .agg(F.sum("_kv.v").cast("bigint").alias(n)))
+    counted = df.select(tokens(text).alias("_t"), per_row.alias("_lines"))
+    # the key goes behind a row's tokens and carries its lines, a token carries 1
+    each = counted.select(
+        F.posexplode(F.concat("_t", F.array(F.lit(LINE_TOTAL_KEY)))).alias("_pos", word), F.size("_t").alias("_n"), "_lines")
+    return (each.groupBy(word)
+            .agg(F.sum(F.when(F.col("_pos") == F.col("_n"), F.col("_lines")).otherwise(F.lit(1))).cast("bigint").alias(n)))
 
 
 # ---------------------------------------------------------------------------
@@ -85,10 +84,11 @@ def word_count_with_total(df: DataFrame, text: str = "value",
 
 def _pairs(df: DataFrame, text: str, bigram: str) -> DataFrame:
     """One row per pair of consecutive tokens of each row.  The token array
-    is projected first: the pair expression reads it four times, and inside
-    a generator Spark would otherwise split the text four times."""
+    is projected first: the pair expression reads it twice, and inside a
+    generator Spark would otherwise split the text each time."""
     return (df.select(tokens(text).alias("_t"))
-            .select(F.explode(adjacent_pairs("_t")).alias(bigram)))
+            .select(F.explode(adjacent_tokens("_t")).alias("_p"))
+            .select(F.concat("_p.a", F.lit(BIGRAM_SEPARATOR), "_p.b").alias(bigram)))
 
 
 def bigram_count(df: DataFrame, text: str = "text", bigram: str = "bigram",
@@ -115,8 +115,13 @@ def bigram_pairs_lines(lines: DataFrame, text: str = "value", file: str = "file_
        by file, so a huge file contributes one small row per split.
 
     Parts 2 and 3 read the first and last token of a line with two anchored
-    regular expressions instead of splitting the whole line again, and both
-    come from the same (file, split) exchange.
+    regular expressions instead of splitting the whole line again.  Part 3
+    needs no window over lines: a split's end tokens are a ``min_by`` and a
+    ``max_by``, reduced on the map side.
+
+    Bounds: a window of part 2 holds the lines of one split.  A file that
+    cannot be split (compressed text) is a single split, so such a file's lines
+    (two tokens each) are one window group; recompress large ones to a splittable form.
     """
     inner = _pairs(lines, text, bigram)
 
@@ -125,18 +130,14 @@ def bigram_pairs_lines(lines: DataFrame, text: str = "value", file: str = "file_
                          last_token_of(text).alias("_last"))
             .where(F.col("_first") != F.lit("")))
     in_split = Window.partitionBy("_f", "_b").orderBy("_r")
-    whole_split = in_split.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    linked = ends.select("_f", "_b", "_first",
-                         F.lag("_last").over(in_split).alias("_p"),
-                         F.last("_last").over(whole_split).alias("_split_last"))
-    across_lines = (linked.where(F.col("_p").isNotNull())
-                    .select(F.concat("_p", F.lit(BIGRAM_SEPARATOR), "_first").alias(bigram)))
-
-    per_split = linked.where(F.col("_p").isNull()).select("_f", "_b", "_first", "_split_last")
+    joined = F.concat("_p", F.lit(BIGRAM_SEPARATOR), "_first").alias(bigram)
+    across_lines = (ends.select("_first", F.lag("_last").over(in_split).alias("_p"))
+                    .where(F.col("_p").isNotNull()).select(joined))
+
+    per_split = ends.groupBy("_f", "_b").agg(F.min_by("_first", "_r").alias("_first"), F.max_by("_last", "_r").alias("_last"))
     in_file = Window.partitionBy("_f").orderBy("_b")
-    across_splits = (per_split.select(F.lag("_split_last").over(in_file).alias("_p"), "_first")
-                     .where(F.col("_p").isNotNull())
-                     .select(F.concat("_p", F.lit(BIGRAM_SEPARATOR), "_first").alias(bigram)))
+    across_splits = (per_split.select("_first", F.lag("_last").over(in_file).alias("_p"))
+                     .where(F.col("_p").isNotNull()).select(joined))
     return inner.unionByName(across_lines).unionByName(across_splits)
 
 

@@ -13,8 +13,11 @@ from textgraph.workloads import (
     ADJ_ITERS,
     ALPHA,
     EDGE_ITERS,
+    LINE_BLOCK,
+    LIST_BLOCK,
     POSTING_BLOCK,
     RANK_DIGITS,
+    RANK_UNIT,
     SEARCH_ITERS,
     SEARCH_SOURCE,
 )
@@ -87,6 +90,13 @@ SELECT word, doc_id, n FROM p ORDER BY word, doc_id""",
 SELECT w || chr(9) || CAST(count(*) AS VARCHAR) AS value
 FROM (SELECT unnest(tk) AS w FROM t) GROUP BY w""",
 
+    "bigram_count_lines_with_total": f"""WITH {_TOKENS},
+sp AS (SELECT CAST(sum(ceil({_LINES_IN} / {LINE_BLOCK}::DOUBLE)) AS BIGINT) AS k FROM documents)
+SELECT bigram, CAST(sum(v) AS BIGINT) AS n FROM (
+  SELECT unnest({_PAIRS}) AS bigram, 1 AS v FROM t WHERE len(tk) >= 2
+  UNION ALL
+  SELECT 'zzzzzzzzz Times Map task lanched: ', k FROM sp) GROUP BY bigram""",
+
     "index_text": f"""{_POSTINGS}
 SELECT word || chr(9) || string_agg(CAST(doc_id AS VARCHAR) || ':' || CAST(n AS VARCHAR) || ';', ''
                                     ORDER BY doc_id) AS value
@@ -98,16 +108,20 @@ FROM p GROUP BY word, floor(doc_id / {POSTING_BLOCK})""",
 
 _GRAPH = """
 pc AS (SELECT count(*) AS c FROM part),
+sc AS (SELECT count(*) AS c FROM supplier),
 e AS (
-  SELECT l_partkey + 1 AS src, (SELECT c FROM pc) + l_suppkey + 1 AS dst, l_quantity
-  FROM lineitem WHERE l_returnflag = 'R'
-  UNION ALL
   SELECT (SELECT c FROM pc) + l_suppkey + 1 AS src, l_partkey + 1 AS dst, l_quantity
-  FROM lineitem WHERE l_returnflag = 'A' AND l_suppkey % 4 <> 0),
+  FROM lineitem WHERE l_returnflag = 'A'
+  UNION ALL
+  SELECT l_partkey + 1, (SELECT c FROM pc) + l_suppkey + 1, l_quantity
+  FROM lineitem WHERE l_returnflag IS DISTINCT FROM 'A'
+  UNION ALL
+  SELECT (SELECT c FROM pc) + s_suppkey + 1, (SELECT c FROM pc) + (SELECT c FROM sc) + s_nationkey + 1, 1.0
+  FROM supplier),
 ids AS (
   SELECT p_partkey + 1 AS id FROM part
   UNION ALL SELECT (SELECT c FROM pc) + s_suppkey + 1 FROM supplier),
-nn AS (SELECT CAST((SELECT count(*) FROM part) + (SELECT count(*) FROM supplier) AS BIGINT) AS n),
+nn AS (SELECT CAST((SELECT c FROM pc) + (SELECT c FROM sc) + (SELECT count(*) FROM nation) AS BIGINT) AS n),
 de AS (SELECT DISTINCT src, dst FROM e),
 v AS (SELECT src AS id FROM de UNION SELECT dst FROM de),
 nv AS (SELECT count(*) AS n FROM v),
@@ -215,6 +229,20 @@ def _search(weight: str, iters: int) -> str:
     return _search_sql(weight).replace("{last}", str(iters))
 
 
+def _search_history(weight: str) -> str:
+    head, _, _ = _search_sql(weight).rpartition("SELECT id, dist, CASE color")
+    return head + "\nUNION ALL\n".join(
+        f"SELECT CAST({k} AS BIGINT) AS iteration, id, dist, CASE color WHEN 0 THEN 'WHITE' WHEN 1 THEN 'GRAY' "
+        f"ELSE 'BLACK' END AS color FROM t{k} WHERE present" for k in range(1, SEARCH_ITERS + 1))
+
+
+# Graph text: a line per node and block of LIST_BLOCK target ids.
+_RANKED = f"""rk AS (SELECT src AS id, count(*)::DOUBLE / {RANK_UNIT} AS rank FROM de GROUP BY src),
+lone AS (SELECT DISTINCT dst AS id FROM de WHERE dst NOT IN (SELECT src FROM de))"""
+_RANGE = f"""q AS (SELECT src, dst, min(CAST(l_quantity AS INTEGER)) AS least, max(CAST(l_quantity AS INTEGER)) AS most
+      FROM e GROUP BY src, dst)"""
+_DIST = f"CASE WHEN src = {SEARCH_SOURCE} THEN '0|GRAY' ELSE 'Integer.MAX_VALUE|WHITE' END"
+
 _WEIGHT = "CAST(min(CAST(l_quantity AS INTEGER)) AS BIGINT)"
 
 GRAPH_SQL = {
@@ -223,7 +251,7 @@ GRAPH_SQL = {
     "out_degree": f"WITH {_GRAPH} SELECT src AS id, CAST(count(*) AS BIGINT) AS out_degree FROM de GROUP BY src",
     "dangling_nodes": f"WITH {_GRAPH} SELECT dst AS id FROM e EXCEPT SELECT src FROM e",
     "node_count": f"WITH {_GRAPH} SELECT CAST(n AS BIGINT) AS n FROM nv",
-    "implicit_nodes": f"WITH {_GRAPH} SELECT dst AS id FROM e EXCEPT SELECT src FROM e",
+    "implicit_nodes": f"WITH {_GRAPH} SELECT DISTINCT dst AS id FROM e WHERE dst NOT IN (SELECT id FROM ids)",
     "rank_init": f"WITH {_GRAPH} SELECT id, round(rank, {_R}) AS rank FROM r0",
     "rank_contributions": f"""WITH {_GRAPH}
 SELECT de.dst AS id, round(sum(r0.rank / ddeg.outdeg), {_R}) AS contrib
@@ -240,6 +268,25 @@ SELECT round(coalesce(sum(rank), 0), {_R}) AS mass FROM r0 WHERE id NOT IN (SELE
     "frontier_step": _search(_WEIGHT, 1),
     "frontier_search": _search(_WEIGHT, SEARCH_ITERS),
     "bfs_hops": _search("CAST(1 AS BIGINT)", SEARCH_ITERS),
+    "frontier_history": _search_history(_WEIGHT),
+    "adjacency_text": f"""WITH {_GRAPH},{_RANKED}
+SELECT src || chr(9) || string_agg(dst::VARCHAR, ',' ORDER BY dst) || '|' || any_value(rank) AS value
+FROM de JOIN rk ON rk.id = de.src GROUP BY src, dst // {LIST_BLOCK}
+UNION ALL SELECT id || chr(9) || 'NULL|0.0' FROM lone""",
+    "adjacency_parse": f"""WITH {_GRAPH},{_RANKED}
+SELECT src AS id, rank, dst FROM de JOIN rk ON rk.id = de.src
+UNION ALL SELECT id, 0.0::DOUBLE, NULL FROM lone""",
+    "search_text": f"""WITH {_GRAPH},{_RANGE}
+SELECT src || chr(9) || string_agg(dst || ',' || dst || ',', '' ORDER BY dst) || '|'
+       || string_agg(least || ',' || most || ',', '' ORDER BY dst) || '|' || {_DIST} AS value
+FROM q GROUP BY src, dst // {LIST_BLOCK}""",
+    "search_parse": f"""WITH {_GRAPH},{_RANGE}
+SELECT src AS id, dst, CAST(w AS BIGINT) AS w,
+       CASE WHEN src = {SEARCH_SOURCE} THEN 0::BIGINT END AS dist,
+       CASE WHEN src = {SEARCH_SOURCE} THEN 'GRAY' ELSE 'WHITE' END AS color
+FROM (SELECT src, dst, least AS w FROM q UNION ALL SELECT src, dst, most FROM q)""",
+    "first_weight_edges": f"WITH {_GRAPH},{_RANGE} SELECT src, dst, CAST(least AS BIGINT) AS w FROM q",
+    "rank_tuple_text": f"WITH {_GRAPH},{_RANKED} SELECT '(' || id || ',' || rank || ')' AS value FROM rk",
 }
 
 

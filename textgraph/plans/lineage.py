@@ -15,6 +15,14 @@ the state with co-partitioned inputs without shuffling it again, so
 joins are also never turned into broadcasts from size *estimates* (a static
 estimate is no bound on the data); explicit broadcast hints -- used only for
 one-row aggregates -- still apply.
+
+The two settings are changed in the caller's session for the length of that
+job (under a lock of this module), so another thread's queries planned in the
+same session meanwhile are planned statically too; give threads sessions of
+their own (``spark.newSession()``).  Superseded states are deleted by Spark
+when ``spark.cleaner.referenceTracking.cleanCheckpoints`` is on, as in
+``local_session``; set it on a cluster, or the checkpoint folder keeps every
+iteration until it is cleared.
 """
 
 from __future__ import annotations

@@ -12,8 +12,8 @@ The edge table is laid out once, hash partitioned by (src, salt) and kept
 in the cache sorted inside partitions, so iterations only move the node
 side.  The salt counts of hot sources are broadcast to the edges only when
 their number is below ``broadcast_rows`` (checked with a count); beyond it
-they are joined with a shuffle, which adaptive execution splits where one
-source is hot.
+they are joined with a shuffle in a checkpoint job of its own that is planned
+adaptively, so that a hot source's side of the join is split.
 """
 
 from __future__ import annotations
@@ -37,11 +37,41 @@ class EdgeLayout:
     partitions: int
     source: DataFrame | None = None   # the cached input, until the layout is filled
 
-    def release(self) -> None:
-        self.edges.unpersist()
+    def filled(self) -> None:
+        """The layout has been read once: drop what only its building needed."""
         self.fanout.unpersist()
         if self.source is not None:
             self.source.unpersist()
+            self.source = None
+
+    def release(self) -> None:
+        self.filled()
+        self.edges.unpersist()
+
+
+def source_fanout(edges: DataFrame, per_source: dict | None, group_edges: int) -> DataFrame:
+    """``(src, nsalt, *per_source)``, one row per source."""
+    aggs = [F.count(F.lit(1)).alias("_ndst")] + [c.alias(k) for k, c in (per_source or {}).items()]
+    return (edges.groupBy("src").agg(*aggs)
+            .withColumn("nsalt", F.greatest(F.lit(1), F.ceil(F.col("_ndst") / F.lit(group_edges))).cast("int"))
+            .drop("_ndst"))
+
+
+def with_salt(edges: DataFrame, fanout: DataFrame, cols: list[str],
+              broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+    """``edges`` (``cols``) plus ``salt``: a hash of the target below the
+    source's salt count."""
+    hot = fanout.where(F.col("nsalt") > 1).select("src", "nsalt")
+    n_hot = hot.count()
+    if n_hot == 0:
+        # a computed column, not the literal 0: a folded constant would leave
+        # the layout partitioned by (src, 0) instead of (src, salt), and every
+        # iteration would shuffle the edges again to match the node side
+        return edges.select(*cols, F.pmod(F.xxhash64("dst"), F.lit(1)).cast("int").alias("salt"))
+    side = F.broadcast(hot) if n_hot <= broadcast_rows else hot
+    salted = (edges.select(*cols).join(side, "src", "left")
+              .select(*cols, F.pmod(F.xxhash64("dst"), F.coalesce("nsalt", F.lit(1))).cast("int").alias("salt")))
+    return salted if n_hot <= broadcast_rows else materialize(salted, keep_partitioning=False)
 
 
 def salted_layout(edges: DataFrame, payload: list[str], per_source: dict | None = None,
@@ -62,26 +92,8 @@ def salted_layout(edges: DataFrame, payload: list[str], per_source: dict | None
     if partitions is None:
         partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
     edges = edges.persist(StorageLevel.MEMORY_AND_DISK)   # read by both passes below
-    aggs = [F.count(F.lit(1)).alias("_ndst")] + \
-        [c.alias(k) for k, c in (per_source or {}).items()]
-    fanout = (edges.groupBy("src").agg(*aggs)
-              .withColumn("nsalt", F.greatest(F.lit(1), F.ceil(F.col("_ndst") / F.lit(group_edges))).cast("int"))
-              .drop("_ndst"))
-    fanout = fanout.persist(StorageLevel.MEMORY_AND_DISK)
-
-    hot = fanout.where(F.col("nsalt") > 1).select("src", "nsalt")
-    n_hot = hot.count()
-    cols = ["src", "dst", *payload]
-    if n_hot == 0:
-        # a computed column, not the literal 0: a folded constant would leave
-        # the layout partitioned by (src, 0) instead of (src, salt), and every
-        # iteration would shuffle the edges again to match the node side
-        salted = edges.select(*cols, F.pmod(F.xxhash64("dst"), F.lit(1)).cast("int").alias("salt"))
-    else:
-        side = F.broadcast(hot) if n_hot <= broadcast_rows else hot
-        salted = (edges.select(*cols).join(side, "src", "left")
-                  .select(*cols, F.pmod(F.xxhash64("dst"), F.coalesce("nsalt", F.lit(1)))
-                          .cast("int").alias("salt")))
+    fanout = source_fanout(edges, per_source, group_edges).persist(StorageLevel.MEMORY_AND_DISK)
+    salted = with_salt(edges, fanout, ["src", "dst", *payload], broadcast_rows)
     laid = (salted.select("src", "salt", "dst", *payload)
             .repartition(partitions, "src", "salt")
             .sortWithinPartitions("src", "salt"))
@@ -91,7 +103,7 @@ def salted_layout(edges: DataFrame, payload: list[str], per_source: dict | None
         return EdgeLayout(laid, fanout, partitions)
     laid = laid.persist(StorageLevel.MEMORY_AND_DISK)
     # the layout's cache is filled by the first job that reads it, from the
-    # cached input, which is released together with the layout
+    # cached input; after that job the caller says ``filled``
     return EdgeLayout(laid, fanout, partitions, edges)
 
 

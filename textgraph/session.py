@@ -74,3 +74,14 @@ def checkpoint_dir(spark: SparkSession) -> str:
     raise RuntimeError(
         "spark.checkpoint.dir is not set; iterative operators need a shared "
         "folder (e.g. an HDFS or object-store path) to cut their lineage")
+
+
+def stable_checkpoint_dir(spark: SparkSession) -> str:
+    """The configured ``spark.checkpoint.dir`` itself, the same for every
+    application (``checkpoint_dir`` ends in a folder of this application)."""
+    configured = spark.conf.get("spark.checkpoint.dir", None) or \
+        spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
+    if not configured:
+        raise RuntimeError("spark.checkpoint.dir is not set; a restartable stream needs a stable folder: "
+                           "set it, or pass checkpoint=")
+    return configured

@@ -6,69 +6,74 @@
 * search graph: ``ID<TAB>EDGES|WEIGHTS|DISTANCE|COLOR``, lists may end in
   ``,``, ``Integer.MAX_VALUE`` for an unreached distance.
 
-``strict=True`` fails the job on a malformed number (as the reference
-does); ``strict=False`` drops such rows instead.
+Blank lines are skipped.  ``strict=True`` fails the job on any other
+malformed row -- too few fields, a malformed number, lists of unequal
+length, an unknown colour -- whatever the session's ANSI setting;
+``strict=False`` drops the whole row instead.  No row is altered.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from textgraph.functions.graph import NO_EDGES, UNREACHED, color_code, int_list, parse_number
+from textgraph.functions.graph import NO_EDGES, UNREACHED, color_code, int_list
 
 
-def _num(c, typ: str, strict: bool):
-    return parse_number(c, typ, strict)
+def _fields(value: str = "value") -> Column:
+    return F.filter(F.split(F.col(value), "\\s+"), lambda s: s != F.lit(""))
 
 
-def _fields(value: str = "value"):
-    return F.filter(F.split(F.col(value), "\\s+"), lambda s: s != F.lit(""))
+def _checked(lines: DataFrame, value: str, cols: dict[str, Column], bad: Column, strict: bool) -> DataFrame:
+    """The columns of every well-formed row; ``bad`` tells the others."""
+    rows = lines.where(F.trim(F.regexp_replace(F.col(value), "\\s+", " ")) != "") \
+        .select(F.col(value).alias("_line"), *[c.alias(k) for k, c in cols.items()])
+    bad = F.coalesce(bad, F.lit(True))
+    if strict:      # in the filter, so that no column pruning can lose the check
+        fails = F.raise_error(F.concat(F.lit("malformed row: "), F.col("_line"))).cast("boolean")
+        return rows.where(F.when(bad, fails).otherwise(F.lit(True))).select(*cols)
+    return rows.where(~bad).select(*cols)
+
+
+def _any_null(items: Column) -> Column:
+    return F.exists(items, lambda x: x.isNull())
 
 
 def parse_edge_list(lines: DataFrame, value: str = "value", id_type: str = "bigint",
                     strict: bool = True) -> DataFrame:
-    """``(src, dst)`` from ``src dst`` lines; blank lines are skipped."""
+    """``(src, dst)`` from ``src dst`` lines; further fields are ignored."""
     f = _fields(value)
-    out = (lines.select(f.alias("_f")).where(F.size("_f") >= 2)
-           .select(_num(F.col("_f")[0], id_type, strict).alias("src"),
-                   _num(F.col("_f")[1], id_type, strict).alias("dst")))
-    return out if strict else out.where(F.col("src").isNotNull() & F.col("dst").isNotNull())
+    cols = {"src": F.get(f, F.lit(0)).try_cast(id_type), "dst": F.get(f, F.lit(1)).try_cast(id_type)}
+    return _checked(lines, value, cols, F.col("src").isNull() | F.col("dst").isNull(), strict)
 
 
 def parse_adjacency(lines: DataFrame, value: str = "value", strict: bool = True) -> DataFrame:
     """``(id bigint, out array<bigint>, rank double)``; ``out`` is NULL for
     a dangling node."""
     f = _fields(value)
-    parts = F.split(F.col("_f")[1], "\\|")
-    edges = parts[0]
-    lst = int_list(edges, ",", strict)
-    out = (lines.select(f.alias("_f")).where(F.size("_f") >= 2)
-           .select(_num(F.col("_f")[0], "bigint", strict).alias("id"),
-                   F.when((edges == F.lit(NO_EDGES)) | (F.size(lst) == 0), F.lit(None))
-                   .otherwise(lst).alias("out"),
-                   _num(parts[1], "double", strict).alias("rank")))
-    if strict:
-        return out
-    return out.where(F.col("id").isNotNull() & F.col("rank").isNotNull()
-                     & (F.col("out").isNull() | F.forall("out", lambda x: x.isNotNull())))
+    parts = F.split(F.get(f, F.lit(1)), "\\|")
+    edges = F.get(parts, F.lit(0))
+    items = int_list(edges, ",", strict=False)
+    cols = {"id": F.get(f, F.lit(0)).try_cast("bigint"),
+            "out": F.when((edges != F.lit(NO_EDGES)) & (F.size(items) > 0), items),
+            "rank": F.get(parts, F.lit(1)).try_cast("double")}
+    bad = (F.col("id").isNull() | F.col("rank").isNull()
+           | F.coalesce(_any_null(F.col("out")), F.lit(False)))
+    return _checked(lines, value, cols, bad, strict)
 
 
 def parse_search_graph(lines: DataFrame, value: str = "value", strict: bool = True) -> DataFrame:
     """``(id bigint, out array<struct<dst bigint, w bigint>>, dist bigint,
     color int)``; ``dist`` NULL = unreached, colours 0/1/2."""
     kv = F.split(F.col(value), "\t", 2)
-    parts = F.split(kv[1], "\\|")
-    dsts = int_list(parts[0], ",", strict)
-    ws = int_list(parts[1], ",", strict)
-    out = F.transform(dsts, lambda d, i: F.struct(d.alias("dst"), F.get(ws, i).alias("w")))
-    dist = F.when(parts[2] == F.lit(UNREACHED), F.lit(None).cast("bigint")) \
-        .otherwise(_num(parts[2], "bigint", strict))
-    res = (lines.where(F.size(kv) == 2)
-           .select(_num(kv[0], "bigint", strict).alias("id"), out.alias("out"),
-                   dist.alias("dist"), color_code(parts[3]).alias("color")))
-    if strict:
-        return res.select("id", "out", "dist",
-                          F.when(F.col("color") < 0, F.raise_error(F.lit("unknown colour")))
-                          .otherwise(F.col("color")).alias("color"))
-    return res.where(F.col("id").isNotNull() & (F.col("color") >= 0))
+    parts = F.split(F.get(kv, F.lit(1)), "\\|")
+    at = lambda i: F.get(parts, F.lit(i))
+    raw = _checked(lines, value, {
+        "id": F.get(kv, F.lit(0)).try_cast("bigint"), "_dsts": int_list(at(0), ",", strict=False),
+        "_ws": int_list(at(1), ",", strict=False), "dist": at(2).try_cast("bigint"),
+        "_unreached": at(2) == F.lit(UNREACHED), "color": color_code(at(3))},
+        F.col("id").isNull() | F.col("_unreached").isNull() | (F.col("dist").isNull() & ~F.col("_unreached"))
+        | F.col("color").isNull() | (F.col("color") < 0) | (F.size("_dsts") != F.size("_ws"))
+        | _any_null(F.col("_dsts")) | _any_null(F.col("_ws")), strict)
+    out = F.zip_with("_dsts", "_ws", lambda d, w: F.struct(d.alias("dst"), w.alias("w")))
+    return raw.select("id", out.alias("out"), "dist", "color")

@@ -4,7 +4,8 @@ The reference is batch only; this module adds no operator.  It feeds the
 same DataFrame operators from a Structured Streaming file source, so a
 running word count (or line count, or term postings) is kept as streaming
 aggregation state and updated as new files land.  Progress and state live
-under the session's checkpoint folder, so a restarted query resumes where
+under the configured ``spark.checkpoint.dir`` (or the folder given), by the
+query's name, so the same query started by a later application resumes where
 it stopped.
 """
 
@@ -14,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from textgraph.session import checkpoint_dir
+from textgraph.session import stable_checkpoint_dir
 
 
 def read_lines_stream(spark: SparkSession, path: str, max_files_per_trigger: int | None = None) -> DataFrame:
@@ -31,9 +32,10 @@ def read_lines_stream(spark: SparkSession, path: str, max_files_per_trigger: int
 def start(df: DataFrame, name: str, output_mode: str = "update", sink: str = "memory",
           path: str | None = None, checkpoint: str | None = None) -> StreamingQuery:
     """Start a streaming query whose progress is kept in
-    ``<checkpoint folder>/streams/<name>`` unless told otherwise."""
+    ``<spark.checkpoint.dir>/streams/<name>`` unless told otherwise; without
+    either the start fails."""
     spark = df.sparkSession
-    location = checkpoint or f"{checkpoint_dir(spark).rstrip('/')}/streams/{name}"
+    location = checkpoint or f"{stable_checkpoint_dir(spark).rstrip('/')}/streams/{name}"
     w = (df.writeStream.queryName(name).outputMode(output_mode).format(sink)
          .option("checkpointLocation", location))
     if path:

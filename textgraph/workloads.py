@@ -31,6 +31,8 @@ SEARCH_ITERS = 6             # frontier iterations
 SEARCH_SOURCE = 1            # the node marked GRAY with distance 0
 RANK_DIGITS = 10             # ranks are compared after rounding (sum order differs)
 LINE_BLOCK = 8               # lines per emulated input split (line-stream bigrams)
+LIST_BLOCK = 8               # targets per row of the graph text queries
+RANK_UNIT = 8                # their ranks are out-degree / 8: exact in text on either engine
 
 
 # --- text -------------------------------------------------------------------
@@ -55,14 +57,23 @@ def q_bigram_count(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tx.bigram_count(tb.documents(spark, sf_dir), "text")
 
 
+def _split_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document as a "file" read as lines, cut into input splits of
+    ``LINE_BLOCK`` lines."""
+    return (lines_of_texts(tb.documents(spark, sf_dir), "text", keep=["doc_id"])
+            .withColumn("split", F.floor(F.col("line_no") / F.lit(LINE_BLOCK))))
+
+
 def q_bigram_count_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The line-stream form: every document is a "file" read as lines, cut
-    into input splits of ``LINE_BLOCK`` lines; pairs are stitched across
-    lines and splits by the windowed plan and must equal the whole-text
-    bigram count."""
-    lines = (lines_of_texts(tb.documents(spark, sf_dir), "text", keep=["doc_id"])
-             .withColumn("split", F.floor(F.col("line_no") / F.lit(LINE_BLOCK))))
-    return tx.bigram_count_lines(lines, "value", file="doc_id", block="split", rid="line_no")
+    """The line-stream form: pairs are stitched across lines and splits and
+    must equal the whole-text bigram count."""
+    return tx.bigram_count_lines(_split_lines(spark, sf_dir), "value", file="doc_id", block="split", rid="line_no")
+
+
+def q_bigram_count_lines_with_total(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same with the number of input splits under its key."""
+    return tx.bigram_count_lines_with_total(
+        _split_lines(spark, sf_dir), "value", file="doc_id", block="split", rid="line_no")
 
 
 def q_input_unit_count(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -104,6 +115,7 @@ TEXT_QUERIES = {
     "word_count_with_total": q_word_count_with_total,
     "bigram_count": q_bigram_count,
     "bigram_count_lines": q_bigram_count_lines,
+    "bigram_count_lines_with_total": q_bigram_count_lines_with_total,
     "input_unit_count": q_input_unit_count,
     "bigram_count_with_total": q_bigram_count_with_total,
     "term_postings": q_term_postings,
@@ -149,9 +161,7 @@ def q_node_count(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_implicit_nodes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    e = tb.edge_rows(spark, sf_dir)
-    rows = e.select(F.col("src").alias("id")).distinct()
-    return gr.implicit_nodes(rows, e)
+    return gr.implicit_nodes(tb.node_ids(spark, sf_dir), tb.edge_rows(spark, sf_dir))
 
 
 def q_rank_init(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -209,8 +219,71 @@ def q_frontier_search(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_bfs_hops(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _named(se.bfs_hops(_search_state(spark, sf_dir), tb.weighted_edges(spark, sf_dir),
-                              SEARCH_ITERS))
+    return _named(se.bfs_hops(_search_state(spark, sf_dir), tb.edge_rows(spark, sf_dir), SEARCH_ITERS))
+
+
+def q_frontier_history(spark: SparkSession, sf_dir: str) -> DataFrame:
+    h = se.frontier_search(_search_state(spark, sf_dir), tb.weighted_edges(spark, sf_dir), SEARCH_ITERS, history=True)
+    return h.select(F.col("iteration").cast("bigint").alias("iteration"), "id", "dist", color_name("color").alias("color"))
+
+
+# Graph text formats.  A node's whole list would be one unbounded row, so a row
+# holds a node's targets of one block of ids, as the posting blocks do.
+
+def _adjacency_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``(id, out, rank)``: a row per source and block of targets, and a row
+    without targets per nation."""
+    e = gr.distinct_edges(tb.edge_rows(spark, sf_dir))
+    deg = gr.out_degree(e).select("id", (F.col("out_degree") / RANK_UNIT).alias("rank"))
+    blocks = (e.groupBy(F.col("src").alias("id"), F.expr(f"dst div {LIST_BLOCK}").alias("_b"))
+              .agg(F.sort_array(F.collect_list("dst")).alias("out")))
+    rows = blocks.join(deg, "id").select("id", "out", "rank")
+    lone = gr.dangling_nodes(e).select("id", F.lit(None).cast("array<bigint>").alias("out"), F.lit(0.0).alias("rank"))
+    return rows.unionByName(lone)
+
+
+def _search_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Search rows ``(id, out, dist, color)``; each target stands twice, its
+    smallest weight first."""
+    q = tb.quantity_range(spark, sf_dir)
+    pair = F.array(*[F.struct("dst", F.col(c).alias("w")) for c in ("least", "most")])
+    source = F.col("id") == SEARCH_SOURCE
+    return (q.groupBy(F.col("src").alias("id"), F.expr(f"dst div {LIST_BLOCK}").alias("_b"))
+            .agg(F.flatten(F.transform(F.sort_array(F.collect_list(F.struct("dst", pair.alias("p")))),
+                                       lambda x: x["p"])).alias("out"))
+            .select("id", "out", F.when(source, F.lit(0)).cast("bigint").alias("dist"),
+                    F.when(source, F.lit(GRAY)).otherwise(F.lit(WHITE)).alias("color")))
+
+
+def q_adjacency_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = _adjacency_blocks(spark, sf_dir)
+    return rows.select(sk.adjacency_lines(rows).alias("value"))
+
+
+def q_adjacency_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
+    nodes = gt.parse_adjacency(q_adjacency_text(spark, sf_dir))
+    return nodes.select("id", "rank", F.explode_outer("out").alias("dst"))
+
+
+def q_search_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = _search_blocks(spark, sf_dir)
+    return rows.select(sk.search_lines(rows).alias("value"))
+
+
+def q_search_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
+    nodes = gt.parse_search_graph(q_search_text(spark, sf_dir))
+    return (nodes.select("id", "dist", color_name("color").alias("color"), F.explode("out").alias("e"))
+            .select("id", F.col("e.dst").alias("dst"), F.col("e.w").alias("w"), "dist", "color"))
+
+
+def q_first_weight_edges(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return se.search_edges(gt.parse_search_graph(q_search_text(spark, sf_dir)))
+
+
+def q_rank_tuple_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    deg = gr.out_degree(gr.distinct_edges(tb.edge_rows(spark, sf_dir)))
+    ranks = deg.select("id", (F.col("out_degree") / RANK_UNIT).alias("rank"))
+    return ranks.select(sk.rank_tuple_lines(ranks).alias("value"))
 
 
 GRAPH_QUERIES = {
@@ -230,6 +303,13 @@ GRAPH_QUERIES = {
     "frontier_step": q_frontier_step,
     "frontier_search": q_frontier_search,
     "bfs_hops": q_bfs_hops,
+    "frontier_history": q_frontier_history,
+    "adjacency_text": q_adjacency_text,
+    "adjacency_parse": q_adjacency_parse,
+    "search_text": q_search_text,
+    "search_parse": q_search_parse,
+    "first_weight_edges": q_first_weight_edges,
+    "rank_tuple_text": q_rank_tuple_text,
 }
 
 
