@@ -50,7 +50,8 @@ def word_blocks(data: bytes | None, size: int = 1 << 20) -> Iterator[list[bytes]
     if not data:
         return
     if len(data) <= size:
-        yield data.split()
+        if words := data.split():
+            yield words
         return
     rest, at = b"", 0
     while at < len(data):
