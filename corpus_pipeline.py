@@ -23,15 +23,15 @@ from textgraph.sources.tables import table
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents below the toxicity threshold."""
     model = toxicity.train(docs, table(spark, sf_dir, "labels"))
-    scored = toxicity.score_toxicity(docs, model, docs.columns)
-    return scored.where(F.col("p_toxic") < toxicity.REJECT_FROM).select(*docs.columns)
+    scored = toxicity.score_toxicity(docs, model, docs.columns, ("_stage_toxic", "_stage_severity"))
+    return scored.where(F.col("_stage_toxic") < toxicity.REJECT_FROM).select(*docs.columns)
 
 
 def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the classifier predicts as good."""
     weights = quality.train(docs, table(spark, sf_dir, "labels"))
-    scored = quality.score_quality(docs, weights, docs.columns)
-    return scored.where(F.col("score") >= quality.KEEP_FROM).select(*docs.columns)
+    scored = quality.score_quality(docs, weights, docs.columns, "_stage_quality")
+    return scored.where(F.col("_stage_quality") >= quality.KEEP_FROM).select(*docs.columns)
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -41,7 +41,7 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents as often as their source's target says."""
-    return mixing.emit_copies(mixing.mix_sources(docs)).select(*docs.columns)
+    return mixing.emit_copies(mixing.mix_sources(docs, prefix="_stage_"), "_stage_copies").select(*docs.columns)
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

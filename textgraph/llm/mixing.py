@@ -15,8 +15,8 @@ count finds at most ``BROADCAST_SOURCES`` sources, else joined by shuffle.
 Defined cases: a null text has no words; null sources form one source, last
 in order; a source without words has target and rate 0; an empty table gives
 no rows; repeated rows draw the same number and each counts; a null id draws
-as the empty string.  Columns ``size, source_size, target, copies, taken``
-of the input are replaced.
+as the empty string.  Input columns called as a new one (size, source_size,
+target, copies, taken) are kept if the new ones get a prefix, else replaced.
 """
 
 from __future__ import annotations
@@ -63,23 +63,25 @@ def draw(doc_id: Column, seed: str) -> Column:
     return F.conv(F.substring(digest, 1, 13), 16, 10).cast("double") / float(1 << 52)
 
 
-def mix_sources(docs: DataFrame, weights=WEIGHTS, most: int = MOST, seed: str = SEED) -> DataFrame:
+def mix_sources(docs: DataFrame, weights=WEIGHTS, most: int = MOST, seed: str = SEED, prefix: str = "") -> DataFrame:
     """``docs`` (doc_id, text, source, ...) with size, source_size, target,
-    copies and taken; ``emit_copies`` writes the copies out."""
-    fresh = ["size", "source_size", "target", "copies", "taken"]
+    copies and taken (named with ``prefix``); ``emit_copies`` writes the
+    copies out."""
+    fresh = [prefix + c for c in ("size", "source_size", "target", "copies", "taken")]
+    size, source_size, target, copies, taken = fresh
     docs = docs.select(*[c for c in docs.columns if c not in fresh])
-    sized = docs.withColumn("size", word_total(F.col("text")))
-    totals = sized.groupBy("source").agg(F.sum("size").alias("source_size"))
-    targets = durable(source_targets(durable(totals), weights, most)).withColumnRenamed("source", "_source")
-    rate = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(F.lit(0.0))
+    sized = docs.withColumn(size, word_total(F.col("text")))
+    totals = sized.groupBy("source").agg(F.sum(size).alias("source_size"))
+    targets = durable(source_targets(durable(totals), weights, most)).select(
+        F.col("source").alias("_source"), F.col("source_size").alias(source_size), F.col("target").alias(target))
+    rate = F.when(F.col(source_size) > 0, F.col(target) / F.col(source_size)).otherwise(F.lit(0.0))
     whole = F.floor(rate)
     extra = (draw(F.col("doc_id"), seed) < rate - whole).cast("bigint")
     return (sized.join(small_side(targets, BROADCAST_SOURCES), F.col("source").eqNullSafe(F.col("_source")))
-            .drop("_source").withColumn("copies", whole + extra)
-            .withColumn("taken", F.col("size") * F.col("copies")))
+            .drop("_source").withColumn(copies, whole + extra).withColumn(taken, F.col(size) * F.col(copies)))
 
 
-def emit_copies(mixed: DataFrame) -> DataFrame:
+def emit_copies(mixed: DataFrame, copies: str = "copies") -> DataFrame:
     """Each document as often as ``copies`` says."""
-    return (mixed.where(F.col("copies") > 0)
-            .withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("copies")))).drop("_copy"))
+    return (mixed.where(F.col(copies) > 0)
+            .withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("bigint"), F.col(copies)))).drop("_copy"))

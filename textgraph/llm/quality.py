@@ -11,8 +11,8 @@ over the documents without a shuffle.  Only the text is an input.
 Defined cases: a null or empty text has no features and the score of the
 bias alone; without any labelled row the score is 0.5; repeated labels of a
 document are examples each; null labels are not examples; an empty table
-gives no rows; ``score_quality`` passes any other columns through (an input
-column named ``score`` must not be kept).
+gives no rows; ``score_quality`` passes any other columns through (name
+the score otherwise where one of them is called ``score``).
 """
 
 from __future__ import annotations
@@ -59,8 +59,8 @@ def train(docs: DataFrame, labels: DataFrame, most: int = SAMPLE) -> np.ndarray:
     return np.frombuffer(row.w, np.float32) if row else np.zeros((1 << BITS) + 1, np.float32)
 
 
-def score_quality(docs: DataFrame, weights: np.ndarray, keep: list[str]) -> DataFrame:
-    """The columns ``keep`` of ``docs`` plus ``score``."""
+def score_quality(docs: DataFrame, weights: np.ndarray, keep: list[str], out: str = "score") -> DataFrame:
+    """The columns ``keep`` of ``docs`` plus the score, named ``out``."""
     shared = docs.sparkSession.sparkContext.broadcast(weights)
     columns = [*keep, *([] if "text" in keep else ["text"])]
     at = columns.index("text")
@@ -73,10 +73,10 @@ def score_quality(docs: DataFrame, weights: np.ndarray, keep: list[str]) -> Data
                 index, value = text_features(text.as_py())
                 scores[i] = float(w[index] @ value) + float(w[-1])
             yield pa.RecordBatch.from_arrays([*batch.columns[:len(keep)], pa.array(sigmoid(scores))],
-                                             [*keep, "score"])
+                                             [*keep, out])
 
     docs = docs.select(*columns)
-    return docs.mapInArrow(run, T.StructType([*docs.schema.fields[:len(keep)], T.StructField("score", T.DoubleType())]))
+    return docs.mapInArrow(run, T.StructType([*docs.schema.fields[:len(keep)], T.StructField(out, T.DoubleType())]))
 
 
 def classify(docs: DataFrame, labels: DataFrame, learn_from: DataFrame | None = None) -> DataFrame:

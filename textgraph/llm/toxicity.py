@@ -1,6 +1,6 @@
 """Toxicity: cumulative-link ordinal regression over sparse word features.
 
-Severity grades are ordered: 0 clean, 1 toxic, 2 toxic and dense in words
+Severity grades are ordered: 0 clean, 1 toxic, 2 toxic with many words
 associated with toxicity.  One weight vector ``w`` is shared by all
 thresholds ``t_0 < t_1``:
 
@@ -13,9 +13,9 @@ a sum over its distinct words.
 
 Training reads the labelled rows outside the held-out fold, at most
 ``SAMPLE`` of them.  Document frequencies per class are counted with
-``groupBy``; the ``FEATURES`` most associated features (log-odds z-score of
-at least ``LEAST_Z``) stay.  The labels only say toxic or not, so a toxic
-row's grade is 2 where its rate of associated words is above the median of
+``groupBy``; the ``FEATURES`` most associated features (signed root of the
+likelihood ratio against equal rates, at least ``LEAST_Z``) stay.  The labels only say toxic or not, so a toxic
+row's grade is 2 where it counts more associated features than the median of
 the toxic rows, else 1.  The fit (one task over the bounded sample)
 minimises the ordinal likelihood by AdaGrad.  Scoring is one pass without a
 shuffle; what is broadcast is at most ``FEATURES`` weighted strings.
@@ -45,11 +45,11 @@ SAMPLE = 20_000
 FOLDS, FOLD = 5, 0
 FEATURES = 4096
 LEAST_DOCS = 4             # a feature must occur in so many toxic rows
-LEAST_Z = 4.0
+LEAST_Z = 4.5
 PREFIXES = (4, 5, 6)
 GRADES = 3
-REJECT_FROM = 0.5          # toxic from this probability of grade 1 or more
-ROUNDS = 400
+REJECT_FROM = 0.4          # toxic from this probability of grade 1 or more
+ROUNDS = 1000
 CACHE = 500_000
 _WORD = re.compile(r"[^\W\d_]+")
 
@@ -107,8 +107,8 @@ def fit_ordinal(rows: list[tuple[int, np.ndarray, np.ndarray]], size: int, round
                        for k in range(GRADES - 1)])
         seen += g * g
         t_seen += gt * gt
-        w -= 0.3 * g / np.sqrt(seen)
-        t -= 0.1 * gt / np.sqrt(t_seen)
+        w -= g / np.sqrt(seen)
+        t -= 0.5 * gt / np.sqrt(t_seen)
         t = np.maximum.accumulate(t + np.arange(GRADES - 1) * 1e-6)
     return w, t
 
@@ -138,9 +138,11 @@ def train(docs: DataFrame, labels: DataFrame, most: int = SAMPLE) -> dict:
     total = {bool(r.y): r.n for r in sample.groupBy((F.col("y") != 0).alias("y")).agg(F.count(F.lit(1)).alias("n")).collect()}
     if len(total) < 2:
         return {"weights": {}, "thresholds": []}
-    odds = lambda c, n: F.log((F.col(c) + 0.5) / (F.lit(n) - F.col(c) + 0.5))
-    z = (odds("toxic", total[True]) - odds("clean", total[False])) / F.sqrt(
-        1 / (F.col("toxic") + 0.5) + 1 / (F.col("clean") + 0.5))
+    rows = float(total[True] + total[False])
+    seen = F.col("clean") + F.col("toxic")
+    part = lambda c, n: F.when(F.col(c) > 0, F.col(c) * F.log(F.col(c) / (seen * (n / rows)))).otherwise(0.0)
+    ratio = F.sqrt(F.greatest(2 * (part("toxic", total[True]) + part("clean", total[False])), F.lit(0.0)))
+    z = F.when(F.col("toxic") / total[True] > F.col("clean") / total[False], ratio).otherwise(-ratio)
     chosen = (sample.mapInArrow(frequencies, "feature string, clean bigint, toxic bigint")
               .groupBy("feature").agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic"))
               .where(F.col("toxic") >= LEAST_DOCS).select("feature", z.alias("z"))
@@ -153,30 +155,30 @@ def train(docs: DataFrame, labels: DataFrame, most: int = SAMPLE) -> dict:
             found = [Counter(slots[f] for w in ws.as_py() for f in word_features(w) if f in slots)
                      for ws in batch.column(2)]
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1), pa.array([len(ws) for ws in batch.column(2)], pa.int32()),
-                 pa.array([sorted(c) for c in found], pa.list_(pa.int32())),
+                [batch.column(0), batch.column(1), pa.array([sorted(c) for c in found], pa.list_(pa.int32())),
                  pa.array([[c[i] for i in sorted(c)] for c in found], pa.list_(pa.int32()))],
-                ["o", "y", "n", "i", "c"])
+                ["o", "y", "i", "c"])
 
     def fit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rows = [(bool(y), n, np.array(i, np.int64), np.array(c, np.int64))
-                for b in batches for y, n, i, c in zip(*[b.column(k).to_pylist() for k in range(1, 5)])]
-        rate = np.array([c[signs[i]].sum() / max(n, 1) for _, n, i, c in rows])
+        rows = [(bool(y), np.array(i, np.int64), np.array(c, np.int64))
+                for b in batches for y, i, c in zip(*[b.column(k).to_pylist() for k in range(1, 4)])]
+        hits = np.array([c[signs[i]].sum() for _, i, c in rows])
         toxic = np.array([r[0] for r in rows], bool)
-        middle = np.median(rate[toxic]) if toxic.any() else 0.0
-        grades = np.where(toxic, 1 + (rate > middle), 0)
-        w, t = fit_ordinal([(g, i, c) for g, (_, _, i, c) in zip(grades, rows)], len(slots))
+        middle = np.median(hits[toxic]) if toxic.any() else 0.0
+        grades = np.where(toxic, 1 + (hits > middle), 0)
+        w, t = fit_ordinal([(g, i, c) for g, (_, i, c) in zip(grades, rows)], len(slots))
         yield pa.RecordBatch.from_arrays([pa.array([json.dumps([w.tolist(), t.tolist()])])], ["model"])
 
-    row = (sample.mapInArrow(select, "o bigint, y int, n int, i array<int>, c array<int>")
+    row = (sample.mapInArrow(select, "o bigint, y int, i array<int>, c array<int>")
            .repartition(1).sortWithinPartitions("o", "y").mapInArrow(fit, "model string")).first()
     w, t = json.loads(row.model)
     return {"weights": {f: w[i] for f, i in slots.items() if w[i]}, "thresholds": t}
 
 
-def score_toxicity(docs: DataFrame, model: dict, keep: list[str]) -> DataFrame:
-    """The columns ``keep`` of ``docs`` plus p_toxic (probability of a grade
-    above 0) and expected_severity."""
+def score_toxicity(docs: DataFrame, model: dict, keep: list[str],
+                   out: tuple[str, str] = ("p_toxic", "expected_severity")) -> DataFrame:
+    """The columns ``keep`` of ``docs`` plus the probability of a grade above 0
+    and the expected severity, named ``out``."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
     columns = [*keep, *([] if "text" in keep else ["text"])]
     at = columns.index("text")
@@ -188,11 +190,11 @@ def score_toxicity(docs: DataFrame, model: dict, keep: list[str]) -> DataFrame:
             over = sigmoid(s[:, None] - t) if len(t) else np.zeros((len(s), 1))
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns[:len(keep)], pa.array(over[:, 0]), pa.array(over.sum(axis=1))],
-                [*keep, "p_toxic", "expected_severity"])
+                [*keep, *out])
 
     docs = docs.select(*columns)
-    return docs.mapInArrow(run, T.StructType([*docs.schema.fields[:len(keep)], T.StructField("p_toxic", T.DoubleType()),
-                                              T.StructField("expected_severity", T.DoubleType())]))
+    return docs.mapInArrow(run, T.StructType([*docs.schema.fields[:len(keep)],
+                                              *[T.StructField(c, T.DoubleType()) for c in out]]))
 
 
 def grade_documents(docs: DataFrame, labels: DataFrame, learn_from: DataFrame | None = None) -> DataFrame:
