@@ -11,7 +11,7 @@ DATA = os.path.join(ROOT, "tests", "data")
 @pytest.fixture(scope="session")
 def spark():
     from textgraph.session import local_session
-    s = local_session(cpus="*", shuffle_partitions=8, app="textgraph-tests")
+    s = local_session(cpus="*", shuffle_partitions=2, app="textgraph-tests")
     yield s
     s.stop()
 

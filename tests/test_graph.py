@@ -349,3 +349,95 @@ def test_search_independent_of_partitions(spark):
             assert sorted(tuple(r) for r in se.frontier_search(st, e, 3).collect()) == want
         finally:
             spark.conf.set("spark.sql.shuffle.partitions", "8")
+
+
+_MALFORMED = [
+    (parse_edge_list, "7"), (parse_edge_list, "x 3"), (parse_edge_list, "3 y"),
+    (parse_adjacency, "7"), (parse_adjacency, "7 2,3"), (parse_adjacency, "7 2,x|0.5"), (parse_adjacency, "7 2|z"),
+    (parse_adjacency, "z 2|0.5"),
+    (parse_search_graph, "7 2,|1,|0|GRAY"), (parse_search_graph, "7\t2,3,|5,|0|GRAY"),
+    (parse_search_graph, "7\t2,|5,6,|0|GRAY"), (parse_search_graph, "7\t2,x,|5,6,|0|GRAY"),
+    (parse_search_graph, "7\t2,|y,|0|GRAY"), (parse_search_graph, "7\t2,|1,|q|GRAY"),
+    (parse_search_graph, "7\t2,|1,|0|PINK"), (parse_search_graph, "7\t2,|1,|0"), (parse_search_graph, "7\t2,|1,"),
+    (parse_search_graph, "x\t2,|1,|0|GRAY"),
+]
+_GOOD = {parse_edge_list: "1 2", parse_adjacency: "1\t2|0.5", parse_search_graph: "1\t2,|3,|Integer.MAX_VALUE|WHITE"}
+
+
+@pytest.mark.parametrize("ansi", ["true", "false"])
+def test_malformed_rows_fail_or_are_dropped_whole(spark, ansi):
+    """Strict readers fail on each, also when only another column is read;
+    lenient ones drop the row and keep the good one and blank lines out."""
+    spark.conf.set("spark.sql.ansi.enabled", ansi)
+    try:
+        for parse, good in _GOOD.items():
+            bad = [line for p, line in _MALFORMED if p is parse]
+            lines = spark.createDataFrame([(x,) for x in [good, "", " \t ", *bad]], "value string").coalesce(1)
+            assert parse(lines, strict=False).count() == 1
+            assert parse(lines.where(F.col("value") == good)).count() == 1
+            last = parse(lines).columns[-1]
+            for line in bad:
+                with pytest.raises(Exception, match="malformed row"):
+                    parse(lines.where(F.col("value") == line)).select(last).collect()
+    finally:
+        spark.conf.unset("spark.sql.ansi.enabled")
+
+
+def test_search_edges_is_linear(spark):
+    nodes = spark.range(1).select(F.lit(1).cast("bigint").alias("id"), F.transform(
+        F.sequence(F.lit(1), F.lit(60_000)),
+        lambda i: F.struct((i % 40_000).cast("bigint").alias("dst"), i.cast("bigint").alias("w"))).alias("out"))
+    got = se.search_edges(nodes)
+    assert got.count() == 40_000 and got.where("w > 40000").count() == 0       # the first occurrence's weight
+
+
+def test_snapshots_are_replaced_and_resumed(spark, g1_edges, g1_nodes, tmp_path):
+    path = str(tmp_path / "ranks")
+    run = lambda **kw: sorted(map(tuple, rk.pagerank_adjacency(
+        g1_nodes, 5, 0.1, 4, history=True, snapshot_path=path, **kw).collect()))
+    first = run()
+    assert len(first) == 20 and run() == first                       # the same path again
+    resumed = run(resume_from=2)
+    assert [r[:2] for r in resumed] == [r[:2] for r in first]
+    assert all(abs(a[2] - b[2]) < 1e-15 for a, b in zip(first, resumed))
+    st, e = _search_rows(spark, F1)
+    path = str(tmp_path / "search")
+    find = lambda **kw: sorted(map(tuple, se.frontier_search(st, e, 4, history=True, **kw).collect()))
+    whole = find()
+    assert len(whole) == 16 and find(snapshot_path=path) == whole == find(snapshot_path=path)
+    assert find(snapshot_path=path, resume_from=2) == whole
+    one = {r[1:] for r in whole if r[0] == 1}
+    assert one == {tuple(r) for r in se.frontier_step(st, e).collect()}
+    with pytest.raises(ValueError):
+        find(resume_from=1)
+
+
+@pytest.mark.parametrize("durable", [False, True])
+def test_hot_sources_beyond_the_broadcast_bound(spark, durable):
+    from textgraph.plans.skew import salted_layout
+    e = spark.createDataFrame([(1, d, 1) for d in range(2, 60)] + [(d, 1, 1) for d in range(2, 60)],
+                              "src bigint, dst bigint, mult bigint")
+    layout = salted_layout(e, ["mult"], {"outdeg": F.sum("mult")}, group_edges=10, broadcast_rows=0,
+                           partitions=2, durable=durable)
+    try:
+        rows = layout.edges.collect()
+        assert len(rows) == 116 and len({r.salt for r in rows if r.src == 1}) > 1
+        groups = layout.edges.groupBy("src", "salt").count().agg(F.max("count")).first()[0]
+        assert groups < 25
+    finally:
+        layout.release()
+
+
+def test_one_cached_edge_frame_during_the_loop(spark, g1_edges):
+    before = spark.sparkContext._jsc.getPersistentRDDs().size()
+    g = rk.prepare(None, g1_edges, None, 0.1, dedupe=True, share_to_range=False)
+    try:
+        assert spark.sparkContext._jsc.getPersistentRDDs().size() <= before + 1
+    finally:
+        g.release()
+
+
+def test_scatter_carries_the_edges(spark, g1_nodes):
+    got = {r.id: (r.out, r.rank) for r in rk.pagerank_scatter(
+        g1_nodes, rk.adjacency_edges(g1_nodes)).collect()}
+    assert got[1][0] == [2, 4] and got[3][0] is None and got[-1][0] is None and abs(got[-1][1] - 0.2) < 1e-12

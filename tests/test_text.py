@@ -70,7 +70,7 @@ def test_bigrams_cross_lines_not_files(spark, data):
     12,333) but never files."""
     for folder, wrong in (("text_a", 8758), ("text_b", 9386), ("text_c", 12333)):
         lines = read_lines(spark, data(folder))
-        per_line = lines.select(F.explode(tx.adjacent_pairs(tx.tokens("value"))).alias("b")).count()
+        per_line = lines.select(F.explode(tx.adjacent_tokens(tx.tokens("value"))).alias("b")).count()
         assert per_line == wrong
         assert tx.bigram_pairs_lines(lines).count() == GOLDEN[folder][3]
 
@@ -192,3 +192,29 @@ def test_dense_ordinal_many_partitions(spark):
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", "8")
     assert got == {k: i for i, k in enumerate(sorted(keys))}
+
+
+def test_null_units_are_left_out_on_both_paths(spark):
+    for kind, value in (("bigint", 5), ("string", "u")):
+        posts = spark.createDataFrame([("a", value, 1), ("a", None, 2)], f"word string, unit {kind}, n bigint")
+        from textgraph.operators import index as ix
+        got = [tuple(r) for r in ix.inverted_index(posts, "unit").select("word", "postings").collect()]
+        assert got == [("a", f"{value}:1;")]
+
+
+def test_line_bigrams_have_one_window_over_lines(spark, tmp_path):
+    from textgraph.operators import text as tx
+    from textgraph.sources.lines import read_lines
+    for i in range(3):
+        (tmp_path / f"f{i}").write_text("a b\nc\n\nd e f\n")
+    df = tx.bigram_count_lines(read_lines(spark, str(tmp_path)))
+    plan = df._jdf.queryExecution().optimizedPlan().toString()
+    windows = [ln for ln in plan.splitlines() if "Window [" in ln]
+    assert len(windows) == 2 and sum("_r#" in w for w in windows) == 1     # lines of a split; splits of a file
+    assert {r.bigram: r.n for r in df.collect()} == {"a b": 3, "b c": 3, "c d": 3, "d e": 3, "e f": 3}
+
+
+def test_tokens_are_compiled(spark):
+    from textgraph.operators import text as tx
+    plan = tx.word_count(spark.range(1).select(F.lit("a b").alias("value"), "id"))._jdf.queryExecution().optimizedPlan().toString()
+    assert "lambda" not in plan
