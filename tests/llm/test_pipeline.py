@@ -1,16 +1,20 @@
 import collections
+import os
+import sys
 
 import corpus_pipeline as cp
 import numpy as np
-from fixtures import DOCS, LABELS, corpus, documents, empty, groups, labels, words
+import pytest
+from fixtures import LABELS, corpus, documents, empty, groups, labels, words
 from test_near_duplicates import brute_fingerprint
 from test_tables import pieces_by_brute_force, targets_by_brute_force
 
 from textgraph.llm import mixing, quality, toxicity
-from textgraph.llm.common import word_blocks  # noqa: F401
 from textgraph.llm.features import text_features
 from textgraph.llm.queries import all_queries
 
+sys.path.insert(0, os.path.join(os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__)))), "tools"))
+
 
 def written(spark, tmp_path, rows):
     documents(spark, rows).write.parquet(f"{tmp_path}/documents.parquet")
@@ -91,4 +95,17 @@ def test_empty_corpus(spark, tmp_path):
     empty(spark).write.parquet(f"{tmp_path}/documents.parquet")
     spark.createDataFrame([], LABELS).write.parquet(f"{tmp_path}/labels.parquet")
     assert cp.run(spark, str(tmp_path)).collect() == []
-    assert DOCS
+
+
+@pytest.mark.skipif(not os.path.exists("/root/testdata/sf0.001"), reason="driver tables not present")
+def test_sql_of_the_expressible_queries(spark):
+    from oracle_check import compare, duck
+
+    from textgraph.llm.queries import all_sql
+    sf_dir = "/root/testdata/sf0.001"
+    assert {v[0] for v in compare(spark, sf_dir, list(all_sql()), verbose=False).values()} == {"ok"}
+    names = {"bigint": "BIGINT", "double": "DOUBLE", "string": "VARCHAR", "int": "INTEGER", "boolean": "BOOLEAN"}
+    con = duck(sf_dir)
+    for name, sql in all_sql().items():
+        got = {f.name: names[f.dataType.simpleString()] for f in all_queries()[name](spark, sf_dir).schema.fields}
+        assert got == {r[0]: r[1] for r in con.execute(f"DESCRIBE {sql}").fetchall()}, name

@@ -64,5 +64,96 @@ def all_queries() -> dict:
         op6_source_mixing, op7_vector_bin_sharding, op8_ordinal_toxicity, op9_pivot_embeddings, op10_url_markov, pipeline)}
 
 
+# --- SQL (DuckDB) of the queries that SQL can express ------------------------
+
+_MIXING = f"""WITH RECURSIVE
+d AS (SELECT doc_id, source, CAST(len(list_filter(regexp_split_to_array(coalesce(text, ''), '[ \\t\\n\\v\\f\\r]+'),
+                                              lambda w: w <> '')) AS BIGINT) AS size FROM documents),
+s AS (SELECT source, CAST(sum(size) AS BIGINT) AS source_size,
+             CAST((row_number() OVER (ORDER BY source NULLS LAST) - 1) % {len(mixing.WEIGHTS)} + 1 AS DOUBLE) AS weight
+      FROM d GROUP BY source),
+shares AS (
+  SELECT 0.0::DOUBLE AS share
+  UNION
+  SELECT (SELECT (sum(source_size) - coalesce(sum(CASE WHEN weight * x.share > {mixing.MOST} * source_size
+                                                       THEN {mixing.MOST} * source_size END), 0))::DOUBLE
+                 / sum(CASE WHEN weight * x.share <= {mixing.MOST} * source_size THEN weight END) FROM s)
+  FROM shares x),
+t AS (SELECT source, source_size,
+             least(weight * (SELECT max(share) FROM shares), {mixing.MOST}.0::DOUBLE * source_size) AS target FROM s),
+r AS (SELECT doc_id, size, source_size, target,
+             CASE WHEN source_size > 0 THEN target / source_size ELSE 0 END AS rate,
+             CAST('0x' || substr(md5('{mixing.SEED}:' || coalesce(CAST(doc_id AS VARCHAR), '')), 1, 13) AS BIGINT)
+               / {float(1 << 52)!r}::DOUBLE AS u
+      FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source)
+SELECT doc_id, size, source_size, target, CAST(size * copies AS BIGINT) AS taken, copies FROM (
+  SELECT *, CAST(floor(rate) AS BIGINT) + CASE WHEN u < rate - floor(rate) THEN 1 ELSE 0 END AS copies FROM r)"""
+
+
+def _rule_case() -> str:
+    whens = []
+    for rule, _ in sorted(urls.RULES, key=lambda r: -len(r[0])):
+        name, slash, rest = rule.partition("/")
+        whens.append(f"WHEN (host = '{name}' OR ends_with(host, '.{name}')) AND starts_with(path, '{slash + rest}') THEN '{rule}'")
+    return "CASE " + " ".join(whens) + " END"
+
+
+def _level(k: int) -> str:
+    if k == 1:
+        p = [f"({v} + 1) / (c_{v} + {len(urls.SYMBOLS)})::DOUBLE AS p_{v}" for v in ("allow", "block")]
+        return f"l1 AS (SELECT gram, {', '.join(p)}, ln(p_allow) - ln(p_block) AS inc FROM g JOIN c USING (ctx) WHERE length(gram) = 1)"
+    p = [f"(g.{v} + {urls.BACKOFF}::DOUBLE * b.p_{v}) / (c.c_{v} + {urls.BACKOFF}::DOUBLE) AS p_{v}" for v in ("allow", "block")]
+    return f"""l{k} AS (SELECT gram, p_allow, p_block, (ln(p_allow) - ln(p_block)) - (ln(q_allow) - ln(q_block)) AS inc FROM (
+  SELECT g.gram, {', '.join(p)}, b.p_allow AS q_allow, b.p_block AS q_block
+  FROM g JOIN c USING (ctx) JOIN l{k - 1} b ON b.gram = substr(g.gram, 2) WHERE length(g.gram) = {k}))"""
+
+
+_VERDICT = "CASE rule " + " ".join(f"WHEN '{r}' THEN '{v}'" for r, v in urls.RULES) + " END"
+_URLS = f"""WITH u AS (
+  SELECT url, n, translate(regexp_extract(coalesce(url, ''), '(?s)^.*?://([^/?#]*)', 1),
+                           'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+         regexp_extract(coalesce(url, ''), '(?s)^.*?://[^/?#]*([^?#]*)', 1) AS path,
+         '{"^" * (urls.ORDERS - 1)}' || regexp_replace(regexp_replace(lower(coalesce(url, '')), '[0-9]', '0', 'g'),
+                                                      '[^a-z0/._?=&%#:+~-]', '*', 'g') || '$' AS symbols
+  FROM (SELECT url, count(*) AS n FROM pages GROUP BY url)),
+v AS (SELECT *, {_VERDICT} AS verdict FROM (SELECT *, {_rule_case()} AS rule FROM u)),
+ends AS (SELECT symbols, verdict, n, unnest(range({urls.ORDERS}, length(symbols) + 1)) AS e FROM v),
+gr AS (SELECT symbols, verdict, n, substr(symbols, e - k + 1, k) AS gram FROM ends, range(1, {urls.ORDERS + 1}) o(k)),
+g AS (SELECT gram, substr(gram, 1, length(gram) - 1) AS ctx, sum(CASE WHEN verdict = 'allow' THEN n ELSE 0 END) AS allow,
+             sum(CASE WHEN verdict = 'block' THEN n ELSE 0 END) AS block FROM gr GROUP BY gram),
+c0 AS (SELECT ctx, sum(allow) AS c_allow, sum(block) AS c_block FROM g GROUP BY ctx),
+c AS (SELECT * FROM c0 WHERE c_allow + c_block > 0
+      AND (c_allow + c_block) * {urls.CONTEXT_SHARE} >= (SELECT c_allow + c_block FROM c0 WHERE ctx = '')),
+{", ".join(_level(k) for k in range(1, urls.ORDERS + 1))},
+m AS ({" UNION ALL ".join(f"SELECT gram, inc FROM l{k}" for k in range(1, urls.ORDERS + 1))}),
+sums AS (SELECT symbols, sum(inc) AS ratio FROM (SELECT x.symbols, gram FROM (SELECT DISTINCT symbols FROM v) x,
+         range({urls.ORDERS}, length(x.symbols) + 1) q(e), range(1, {urls.ORDERS + 1}) o(k),
+         LATERAL (SELECT substr(x.symbols, (e - k + 1)::BIGINT, k::BIGINT) AS gram)) JOIN m USING (gram) GROUP BY symbols),
+z AS (SELECT v.*, coalesce(ratio, 0) / (length(v.symbols) - {urls.ORDERS - 1}) AS mean
+      FROM v LEFT JOIN sums ON sums.symbols = v.symbols),
+mo AS (SELECT verdict, sum(mean * n) / sum(n) AS mu, sum(mean * mean * n) / sum(n) AS sq FROM z WHERE verdict IS NOT NULL GROUP BY verdict),
+ms AS (SELECT max(mu) FILTER (verdict = 'allow') AS am, max(mu) FILTER (verdict = 'block') AS bm,
+              sqrt(max(greatest(sq - mu * mu, 1e-12)) FILTER (verdict = 'allow')) AS asd,
+              sqrt(max(greatest(sq - mu * mu, 1e-12)) FILTER (verdict = 'block')) AS bsd FROM mo),
+cut AS (SELECT coalesce((am * bsd + bm * asd) / (asd + bsd), 0) AS cut FROM ms)
+SELECT page_id, p.url, host, path, rule,
+       coalesce(verdict, CASE WHEN mean >= cut THEN 'allow' ELSE 'block' END) AS verdict,
+       CASE WHEN rule IS NULL THEN round(mean - cut, 6) END AS score
+FROM pages p JOIN z ON p.url IS NOT DISTINCT FROM z.url, cut"""
+
+# every pair of a label by brute force: the index must have found all of them
+_EMBEDDINGS = f"""WITH RECURSIVE
+e AS (SELECT row_number() OVER () AS i, vec_id, label, CAST(embedding AS DOUBLE[]) AS v FROM embeddings),
+f AS (SELECT * FROM e WHERE label IS NOT NULL AND v IS NOT NULL
+      AND len(list_filter(v, lambda x: x IS NULL OR NOT isfinite(x))) = 0 AND len(list_filter(v, lambda x: x <> 0)) > 0),
+links AS (SELECT a.i, b.i AS j, b.vec_id AS other FROM f a JOIN f b ON a.label = b.label AND a.i <> b.i
+          AND len(a.v) = len(b.v) AND list_cosine_similarity(a.v, b.v) >= {pivots.COSINE}),
+reach AS (SELECT i, i AS j FROM e UNION SELECT r.i, l.j FROM reach r JOIN links l ON l.i = r.j),
+least AS (SELECT r.i, min(e.vec_id) AS component_id FROM reach r JOIN e ON e.i = r.j GROUP BY r.i)
+SELECT vec_id, CAST((SELECT count(*) FROM links WHERE links.i = e.i) AS BIGINT) AS n_links, component_id,
+       coalesce(vec_id = component_id, false) AS kept
+FROM e JOIN least ON least.i = e.i"""
+
+
 def all_sql() -> dict[str, str]:
-    return {}
+    return {"op6_source_mixing": _MIXING, "op9_pivot_embeddings": _EMBEDDINGS, "op10_url_markov": _URLS}
