@@ -27,7 +27,8 @@ import heapq
 import os
 import re
 import zlib
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
+from itertools import filterfalse
 
 import numpy as np
 import pyarrow as pa
@@ -40,67 +41,99 @@ from textgraph.llm.common import durable, word_blocks
 WINDOW = 4096
 END_ID = 2
 BUCKET_WINDOWS = 128
-CACHE = 400_000            # words whose ids a worker remembers
-CHUNK_WORDS = 200_000      # words encoded together
+CACHE = 1_500_000          # words whose ids a worker remembers (about 300 MB)
+NEW_WORDS = 20_000         # new words (or texts) that are learned together
+LINE_WORDS = 1000          # new words encoded as one line
 TOKENIZER = "word_bpe_49k.json"
 
 # a word that ends in ASCII punctuation is encoded as two: no pattern of the
 # tokenizer's spans a letter followed by punctuation other than an apostrophe
+_TRAILING = b"!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
 _STEM = re.compile(rb"([a-z\x80-\xff]*[a-z])([!-&(-/:-@\[-`{-~]+)")
 
 
 class WordEncoder:
-    """Bytes of little-endian 32-bit ids of texts, word by word."""
+    """Ids of texts, word by word."""
 
     def __init__(self, path: str) -> None:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
+        vocabulary = self.tokenizer.get_vocab()
+        self.last = np.zeros(max(vocabulary.values()) + 1, bool)     # ids that end a word
+        self.last[[i for t, i in vocabulary.items() if t.endswith("</w>")]] = True
         self.known: dict[bytes, bytes] = {}
 
-    def _ids(self, texts: list[bytes]) -> list[bytes]:
-        found = self.tokenizer.encode_batch_fast([t.decode("utf-8", "replace") for t in texts], add_special_tokens=False)
-        return [np.array(e.ids, "<u4").tobytes() for e in found]
-
-    def _learn(self, words: set[bytes]) -> None:
-        known = self.known
-        new = words.difference(known)
-        if not new:
-            return
-        if len(known) + len(new) > CACHE:
-            known.clear()
-            new = words
-        parts = {w: m.groups() if (m := _STEM.fullmatch(w)) else (w,) for w in new}
-        missing = list({p for ps in parts.values() for p in ps}.difference(known))
-        known.update(zip(missing, self._ids(missing)))
-        for w, ps in parts.items():
-            if len(ps) > 1:
-                known[w] = known[ps[0]] + known[ps[1]]
-
-    def encode(self, texts: list[bytes | None]) -> Iterator[bytes]:
-        lists: list[list[list[bytes]] | bytes] = []
-        pending, count = set(), 0
+    def _ids(self, texts: list[str]) -> list[np.ndarray]:
+        found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
+        return [np.array(e.ids, "<u4") for e in found]
+
+    def _line(self, words: list[str]) -> list[bytes]:
+        """Ids of words of letters, encoded as one line and cut at the ids that
+        end a word; where those are not one for each word, one by one."""
+        ids, = self._ids([" ".join(words)])
+        ends = np.nonzero(self.last[ids])[0]
+        if len(ends) != len(words):
+            return [x.tobytes() for x in self._ids(words)]
+        cuts, data = ((ends + 1) * 4).tolist(), ids.tobytes()
+        return [data[a:b] for a, b in zip([0, *cuts], cuts)]
+
+    def _add(self, parts: set[bytes]) -> None:
+        letters, others = [], []
+        for p in parts:
+            text = p.decode("utf-8", "replace")
+            (letters if text.isalpha() else others).append((p, text))
+        for at in range(0, len(letters), LINE_WORDS):
+            part = letters[at:at + LINE_WORDS]
+            self.known.update(zip([p for p, _ in part], self._line([t for _, t in part])))
+        self.known.update(zip([p for p, _ in others], [x.tobytes() for x in self._ids([t for _, t in others])]))
+
+    def _learn(self, new: set[bytes]) -> None:
+        known, split, parts = self.known, [], set()
+        for w in new:
+            stem = w.rstrip(_TRAILING)
+            if len(stem) < len(w) and stem.isalpha():
+                split.append((w, stem, w[len(stem):]))
+                parts.add(stem)
+                parts.add(w[len(stem):])
+            elif not w.isalpha() and (m := _STEM.fullmatch(w)):
+                split.append((w, *m.groups()))
+                parts.update(m.groups())
+            else:
+                parts.add(w)
+        self._add(parts.difference(known))
+        for w, stem, rest in split:
+            known[w] = known[stem] + known[rest]
+
+    def encode(self, texts: Iterable[bytes | None]) -> Iterator[bytes]:
+        """The ids of each text, as little-endian 32-bit integers.  The new words
+        of some texts are learned together."""
+        waiting: list[list[list[bytes]] | bytes] = []
+        new: set[bytes] = set()
+        known = self.known.__contains__
         for text in texts:
             if text and b"<|" in text:
-                lists.append(text)
-                continue
-            blocks = list(word_blocks(text.lower() if text else None))
-            lists.append(blocks)
-            for b in blocks:
-                pending.update(b)
-                count += len(b)
-            if count > CHUNK_WORDS:
-                yield from self._flush(lists, pending)
-                lists, pending, count = [], set(), 0
-        yield from self._flush(lists, pending)
-
-    def _flush(self, lists: list, pending: set[bytes]) -> Iterator[bytes]:
-        self._learn(pending)
-        for item in lists:
+                waiting.append(text)
+            else:
+                waiting.append(list(word_blocks(text.lower() if text else None)))
+                for block in waiting[-1]:
+                    new.update(filterfalse(known, block))
+            if len(new) > NEW_WORDS or len(waiting) > NEW_WORDS:
+                yield from self._flush(waiting, new)
+                waiting, new = [], set()
+        yield from self._flush(waiting, new)
+
+    def _flush(self, waiting: list, new: set[bytes]) -> Iterator[bytes]:
+        if len(self.known) + 2 * len(new) > CACHE:
+            self.known.clear()
+            new = {w for item in waiting if not isinstance(item, bytes) for block in item for w in block}
+        self._learn(new)
+        ids = self.known.__getitem__
+        for item in waiting:
             if isinstance(item, bytes):
-                yield self._ids([item])[0]
+                yield self._ids([item.decode("utf-8", "replace")])[0].tobytes()
             else:
-                yield b"".join([b"".join(map(self.known.__getitem__, block)) for block in item])
+                yield b"".join([b"".join(map(ids, block)) for block in item])
 
 
 _ENCODERS: dict[str, WordEncoder] = {}
@@ -129,14 +162,13 @@ def token_pieces(docs: DataFrame, tokenizer: str | None = None, window: int = WI
             row, start, length, total, out = [], [], [], [], []
             for i, ids in enumerate(encoder.encode(texts)):
                 ids += end
-                n = len(ids) // 4
-                for a in range(0, n, window):
-                    piece = ids[4 * a:4 * (a + window)]
+                for a in range(0, len(ids), 4 * window):
+                    piece = ids[a:a + 4 * window]
                     row.append(i)
-                    start.append(a)
+                    start.append(a // 4)
                     length.append(len(piece) // 4)
-                    total.append(n)
-                    out.append(zlib.crc32(piece) if digest else np.frombuffer(piece, "<u4").astype(np.int32))
+                    total.append(len(ids) // 4)
+                    out.append(zlib.crc32(piece) if digest else np.frombuffer(piece, "<i4"))
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0).take(pa.array(row, pa.int32())), *[pa.array(x, pa.int64()) for x in (start, length, total)],
                  pa.array(out, pa.int64() if digest else pa.list_(pa.int32()))],
