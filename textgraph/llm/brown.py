@@ -6,7 +6,7 @@ over a text's words (A-Z lower-cased) and one end token.
 
 Training counts every word of every training document (map-side counters,
 one shuffle).  Exchange clustering assigns words to classes: its units are
-the ``HEAD`` most frequent words, one by one, and ``BUCKETS`` groups of all
+the up to ``HEAD`` most frequent words, one by one, and ``BUCKETS`` groups of all
 other words by their last three bytes, so every word has a class.  The
 units' bigrams are counted over all training documents; that matrix has at
 most ``(HEAD + BUCKETS + 1)^2`` cells whatever the corpus, so one task can
@@ -14,10 +14,12 @@ exchange units between classes until the class-bigram likelihood stops
 rising.  Transitions are smoothed towards class frequencies, emissions by
 adding one, an unseen word being one further word of its class.
 
-Scoring needs each token's exact count.  Counts of the ``COMMON`` most
-frequent words are broadcast (bounded); the other words of each document
+Scoring needs each token's exact count.  Counts of at most ``COMMON`` most
+frequent words are broadcast; the other words of each document
 are joined by word with the complete count table -- none of them is frequent, so
-that join has no hot key -- and summed back to their document.
+that join has no hot key -- and summed back to their document.  One pass over
+the texts gives both: a row of sums for the document (under a key of its own
+in place of a word, so that these rows spread too) and a row per rarer word.
 
 Defined cases: null and empty texts are one end token; a null id is never
 held out; repeated rows are scored each (training counts each); an empty
@@ -79,6 +81,22 @@ def word_counts(texts: DataFrame) -> DataFrame:
     return texts.select("text").mapInArrow(run, "word binary, n bigint").groupBy("word").agg(F.sum("n").alias("n"))
 
 
+def most_frequent(counts: DataFrame, most: int) -> list[tuple[bytes, int]]:
+    """At most ``most`` words with their counts, in descending order: all whose
+    count is in the highest sixteenths of octaves that hold no more together.
+    Only these words are ever sent to the driver."""
+    level = F.floor(F.log2(F.col("n")) * 16)
+    room, least = most, None
+    for r in counts.groupBy(level.alias("level")).agg(F.count(F.lit(1)).alias("words")).orderBy(F.desc("level")).collect():
+        room -= r.words
+        if room < 0:
+            break
+        least = r.level
+    if least is None:
+        return []
+    return sorted(((bytes(r.word), r.n) for r in counts.where(level >= least).collect()), key=lambda x: (-x[1], x[0]))
+
+
 class Units(dict):
     """word -> unit: its place among the head words, else its bucket."""
 
@@ -100,8 +118,10 @@ class Units(dict):
 
     def of(self, text: bytes | None) -> np.ndarray:
         """The units of a text, its end token last."""
-        blocks = [np.fromiter(map(self.__getitem__, w), np.int32, len(w)) for w in _lower_words(text)]
-        return np.concatenate([*blocks, np.array([self.end], np.int32)])
+        return np.concatenate([*[self.each(w) for w in _lower_words(text)], np.array([self.end], np.int32)])
+
+    def each(self, words: list[bytes]) -> np.ndarray:
+        return np.fromiter(map(self.__getitem__, words), np.int32, len(words))
 
 
 def unit_bigrams(texts: DataFrame, head: list[bytes], buckets: int) -> DataFrame:
@@ -206,7 +226,7 @@ def score_texts(docs: DataFrame, learn: DataFrame, head: int = HEAD, buckets: in
     ends = learn.count()
     row = counts.agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("v")).first()
     tokens, vocabulary = (row.n or 0) + ends, row.v + (ends > 0)
-    top = [(bytes(r.word), r.n) for r in counts.orderBy(F.desc("n"), "word").limit(common).collect()]
+    top = most_frequent(counts, common)
     heads = [w for w, _ in top[:head]]
     units = Units(heads, buckets)
 
@@ -223,75 +243,83 @@ def score_texts(docs: DataFrame, learn: DataFrame, head: int = HEAD, buckets: in
     step = np.log10((grid + PULL * chance) / (grid.sum(1, keepdims=True) + PULL))
     room = np.log10(in_class + kinds + 1)
     base = np.log10(float(tokens + vocabulary + 1))
-    shared = sc.broadcast((heads, dict(top), cls, step, room))
+    # a word's code is its place among the common words, else its bucket: what a code adds to the sums
+    codes = Units([w for w, _ in top], buckets)
+    unit = np.concatenate([np.arange(len(heads)), [units[w] for w, _ in top[head:]],
+                           len(heads) + np.arange(buckets + 1)]).astype(np.int64)
+    logs = np.concatenate([np.log10(np.array([n + 1.0 for _, n in top])), np.zeros(buckets), [np.log10(ends + 1.0)]])
+    shared = sc.broadcast((codes.fixed, cls[unit], logs, step, room))
 
-    def known(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        heads, often, cls, step, room = shared.value
-        units = Units(heads, buckets)
-        logs = {w: np.log10(n + 1.0) for w, n in often.items()}
-        for batch in batches:
-            total, seen, sums, model = [], [], [], []
-            for text in _binary(batch, 2):
-                n, k, s = 1, int(ends > 0), float(np.log10(ends + 1.0))
-                for words in _lower_words(text):
-                    found = [x for x in map(logs.get, words) if x is not None]
-                    n, k, s = n + len(words), k + len(found), s + sum(found)
-                c = cls[units.of(text)]
-                line = np.concatenate([[classes], c])
-                total.append(n)
-                seen.append(k)
-                sums.append(s)
-                model.append(float(step[line[:-1], line[1:]].sum() - room[c].sum()))
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1), pa.array(total, pa.int64()), pa.array(seen, pa.int64()),
-                 pa.array(sums, pa.float64()), pa.array(model, pa.float64())],
-                ["doc_id", "th", "n_tokens", "known", "logs", "classes"])
-
-    def rare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        often = shared.value[1]
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        names, cls, logs, step, room = shared.value
+        codes = Units(names, buckets)
         for batch in batches:
-            row, words, times = [], [], []
+            out = _Rows(batch)
             for i, text in enumerate(_binary(batch, 2)):
-                counter: Counter = Counter()
-                for block in _lower_words(text):
-                    counter.update(block)
-                for w, n in counter.items():
-                    if w not in often:
-                        words.append(w)
-                        times.append(n)
-                        row.append(i)
-                if len(words) > FLUSH:
-                    yield _rare_batch(batch, row, words, times)
-                    row, words, times = [], [], []
-            yield _rare_batch(batch, row, words, times)
+                n, known, total, model, last = 1, int(ends > 0), logs[-1], 0.0, classes
+                rare: Counter = Counter()
+                for words in _lower_words(text):
+                    c = codes.each(words)
+                    n, total = n + len(c), total + logs[c].sum()
+                    line = np.concatenate([[last], cls[c]])
+                    model += step[line[:-1], line[1:]].sum() - room[line[1:]].sum()
+                    last = line[-1]
+                    places = np.nonzero(c >= len(names))[0].tolist()
+                    known += len(c) - len(places)
+                    rare.update([words[j] for j in places])
+                out.document(i, n, known, total, model + step[last, classes] - room[classes])
+                out.words(i, rare)
+                if len(out.word) > FLUSH:
+                    yield out.batch()
+                    out = _Rows(batch)
+            yield out.batch()
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    keyed = docs.select("doc_id", F.xxhash64(F.coalesce("text", F.lit(""))).alias("th"), "text")
-    first = keyed.mapInArrow(
-        known, f"doc_id {kind}, th bigint, n_tokens bigint, known bigint, logs double, classes double")
-    # rows that repeat id and text meet in one sum, so it is taken per row
-    rest = (keyed.mapInArrow(rare, f"doc_id {kind}, th bigint, word binary, times int")
-            .join(counts, "word").groupBy("doc_id", "th").agg(
-                F.sum("times").alias("more"), F.sum(F.col("times") * F.log10(F.col("n") + 1.0)).alias("more_logs")))
-    copies = first.groupBy("doc_id", "th").agg(
-        F.count(F.lit(1)).alias("copies"), *[F.first(c).alias(c) for c in ("n_tokens", "known", "logs", "classes")])
-    key = lambda df: [F.coalesce(df.doc_id, F.lit(0)) , df.doc_id.isNull(), df.th]
-    named = lambda df, p: df.select(*[c.alias(p + str(i)) for i, c in enumerate(key(df))],
-                                    *[c for c in df.columns if c not in ("doc_id", "th")])
-    joined = named(copies, "k").join(named(rest, "r"), [F.col(f"k{i}") == F.col(f"r{i}") for i in range(3)], "left")
-    logs = F.col("logs") + F.coalesce(F.col("more_logs") / F.col("copies"), F.lit(0.0))
-    return (joined.withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("copies"))))
-            .select(F.when(~F.col("k1"), F.col("k0")).alias("doc_id"), "n_tokens",
-                    (F.col("known") + F.coalesce(F.col("more") / F.col("copies"), F.lit(0)).cast("bigint")).alias("n_known"),
+    keyed = docs.select("doc_id", F.xxhash64("doc_id", F.coalesce("text", F.lit(""))).alias("th"), "text")
+    found = F.col("n").isNotNull()
+    sums = (keyed.mapInArrow(run, f"doc_id {kind}, th bigint, word binary, times int, n_tokens bigint, known bigint, "
+                                  "logs double, classes double")
+            .join(counts, "word", "left").groupBy("doc_id", "th").agg(
+                F.count("n_tokens").alias("copies"),      # rows that repeat id and text meet here
+                *[F.max(c).alias(c) for c in ("n_tokens", "known", "logs", "classes")],
+                F.coalesce(F.sum(F.when(found, F.col("times"))), F.lit(0)).alias("more"),
+                F.coalesce(F.sum(F.when(found, F.col("times") * F.log10(F.col("n") + 1.0))), F.lit(0.0)).alias("more_logs")))
+    logs_of = F.col("logs") + F.col("more_logs") / F.col("copies")
+    return (sums.withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("copies"))))
+            .select("doc_id", "n_tokens", (F.col("known") + F.col("more") / F.col("copies")).cast("bigint").alias("n_known"),
                     F.lit(tokens).cast("bigint").alias("train_tokens"),
-                    (logs - F.col("n_tokens") * F.lit(float(base))).alias("base_score"),
-                    (logs + F.col("classes")).alias("score")))
-
-
-def _rare_batch(batch: pa.RecordBatch, row: list[int], words: list[bytes], times: list[int]) -> pa.RecordBatch:
-    at = pa.array(row, pa.int32())
-    return pa.RecordBatch.from_arrays([batch.column(0).take(at), batch.column(1).take(at), pa.array(words, pa.binary()),
-                                       pa.array(times, pa.int32())], ["doc_id", "th", "word", "times"])
+                    (logs_of - F.col("n_tokens") * F.lit(float(base))).alias("base_score"),
+                    (logs_of + F.col("classes")).alias("score")))
+
+
+class _Rows:
+    """Rows of a batch's documents and of their rarer words, column by column."""
+
+    def __init__(self, batch: pa.RecordBatch) -> None:
+        self.source, self.th = batch, batch.column(1).to_pylist()
+        self.row, self.word, self.times, self.sums = [], [], [], ([], [], [], [])
+
+    def document(self, i: int, *sums) -> None:
+        self.row.append(i)
+        self.word.append(b" " + self.th[i].to_bytes(8, "little", signed=True))    # no word holds a blank
+        self.times.append(0)
+        for column, value in zip(self.sums, sums):
+            column.append(value)
+
+    def words(self, i: int, counter: Counter) -> None:
+        self.row += [i] * len(counter)
+        self.word += counter.keys()
+        self.times += counter.values()
+        for column in self.sums:
+            column += [None] * len(counter)
+
+    def batch(self) -> pa.RecordBatch:
+        at = pa.array(self.row, pa.int32())
+        kinds = (pa.int64(), pa.int64(), pa.float64(), pa.float64())
+        return pa.RecordBatch.from_arrays(
+            [self.source.column(0).take(at), self.source.column(1).take(at), pa.array(self.word, pa.binary()),
+             pa.array(self.times, pa.int32()), *[pa.array(c, k) for c, k in zip(self.sums, kinds)]],
+            ["doc_id", "th", "word", "times", "n_tokens", "known", "logs", "classes"])
 
 
 def score_documents(docs: DataFrame) -> DataFrame:
