@@ -87,13 +87,24 @@ def small_side(df: DataFrame, most: int) -> DataFrame:
     return F.broadcast(df) if df.limit(most + 1).count() <= most else df
 
 
+def hashed_sample(df: DataFrame, key: Column, most: int, *order: str) -> DataFrame:
+    """At most ``most`` rows of ``df``: the smallest by a hash of ``key``, then by
+    ``order``.  A count sets a hash bound that about a fifth more rows meet, so
+    no more than those are ever sorted or sent anywhere."""
+    hashed = df.withColumn("_hash", F.xxhash64(key).bitwiseAND(F.lit((1 << 62) - 1)))
+    total = df.count()
+    if total > most:
+        hashed = hashed.where(F.col("_hash") < int((1 << 62) * min(1.0, (1.2 * most + 100) / total)))
+    return hashed.orderBy("_hash", *order).limit(most).drop("_hash")
+
+
 def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, most: int,
                     folds: int = 5, fold: int = 0) -> DataFrame:
     """``(doc_id, text, y)`` of at most ``most`` labelled rows outside the
     held-out fold, chosen by a hash of the id.  The bound makes the chosen
     labels broadcastable, so the texts are not shuffled."""
-    chosen = (labels.where(F.col(label).isNotNull() & F.col("doc_id").isNotNull()
+    usable = (labels.where(F.col(label).isNotNull() & F.col("doc_id").isNotNull()
                            & ~held_out(F.col("doc_id"), folds, fold))
-              .select("doc_id", F.col(label).cast("int").alias("y"))
-              .orderBy(F.xxhash64("doc_id"), "doc_id", "y").limit(most))
+              .select("doc_id", F.col(label).cast("int").alias("y")))
+    chosen = hashed_sample(usable, F.col("doc_id"), most, "doc_id", "y")
     return docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")

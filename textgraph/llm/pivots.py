@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from textgraph.llm.common import durable, small_side
+from textgraph.llm.common import durable, hashed_sample, small_side
 from textgraph.llm.components import connected_components
 
 COSINE = 0.98
@@ -145,7 +145,7 @@ def near_embeddings(table: DataFrame, cosine: float = COSINE, pivots: int = PIVO
     rows = rows.withColumn("gid", F.xxhash64("label", "embedding"))
     distinct = (rows.where("fit").groupBy("gid", "label", "embedding")
                 .agg(F.count(F.lit(1)).alias("copies"), F.min("vec_id").alias("first_id")))
-    sample = distinct.select("gid", "embedding").orderBy(F.xxhash64("gid"), "gid").limit(SAMPLE).collect()
+    sample = hashed_sample(distinct.select("gid", "embedding"), F.col("gid"), SAMPLE, "gid").collect()
     sizes = [len(r.embedding) for r in sample]
     common = max(sizes, key=sizes.count) if sizes else 1
     points = choose_pivots(np.array(_unit(pa.array([list(map(float, r.embedding)) for r in sample if len(r.embedding) == common])))
