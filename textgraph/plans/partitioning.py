@@ -22,7 +22,7 @@ def spread_coarse(df: DataFrame, keys: Sequence[str], most_bytes: int = SPREAD_B
     try:
         cores = df.sparkSession.sparkContext.defaultParallelism
         splits = df.rdd.getNumPartitions()      # plans the scan, runs no job
-        size = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
+        size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
     except Exception:                           # e.g. a remote (Connect) session
         return df
     if splits >= cores or size > most_bytes:
