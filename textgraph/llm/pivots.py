@@ -29,6 +29,7 @@ from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -95,16 +96,10 @@ def _index(pivots: np.ndarray, nearest: int, shared: int):
     return run
 
 
-def _verify(key: tuple, rows: pa.Table, cosine: float) -> pa.Table:
-    """Links of one posting list, or between two of its blocks: per vector the
-    number of linked vectors and a local root."""
-    wanted = np.array([int(x) for x in key[2].as_py().split(",")])
-    tree, block = key[3].as_py(), key[4].as_py()
-    rows = rows.sort_by("gid")
-    gid, copies = rows.column("gid").to_numpy(), rows.column("copies").to_numpy()
-    unit = np.array(_unit(rows.column("embedding").combine_chunks()))
-    near = np.array(rows.column("near").to_pylist())
-    own = rows.column("own").to_numpy()
+def _verify(gid: np.ndarray, copies: np.ndarray, unit: np.ndarray, near: np.ndarray, own: np.ndarray, wanted: np.ndarray,
+            tree: int, block: int, cosine: float) -> tuple[np.ndarray, np.ndarray, np.ndarray] | None:
+    """Links of one posting list, or between two of its blocks: (vectors, the
+    number of vectors linked to each, a local root)."""
     ones, others = np.nonzero(own == tree)[0], np.nonzero(own == block)[0]
     links, root = np.zeros(len(gid), np.int64), list(range(len(gid)))
 
@@ -118,8 +113,9 @@ def _verify(key: tuple, rows: pa.Table, cosine: float) -> pa.Table:
         part = ones[start:start + 256]
         i, j = np.nonzero(unit[part] @ unit[others].T >= cosine)
         i, j = part[i], others[j]
-        keep = i < j if tree == block else np.ones(len(i), bool)
-        i, j = i[keep], j[keep]
+        if tree == block:
+            keep = i < j
+            i, j = i[keep], j[keep]
         for at in range(0, len(i), 1 << 18):
             a, b = i[at:at + (1 << 18)], j[at:at + (1 << 18)]
             both = (near[a][:, :, None] == near[b][:, None, :]).any(2)
@@ -128,13 +124,62 @@ def _verify(key: tuple, rows: pa.Table, cosine: float) -> pa.Table:
             a, b = a[here], b[here]
             np.add.at(links, a, copies[b])
             np.add.at(links, b, copies[a])
-            for x, y in zip(a, b):
-                x, y = find(int(x)), find(int(y))
+            for x, y in zip(a.tolist(), b.tolist()):
+                x, y = find(x), find(y)
                 if x != y:
                     root[max(x, y)] = min(x, y)
     out = np.nonzero(links)[0]
-    return pa.table({"gid": pa.array(gid[out]), "links": pa.array(links[out]),
-                     "root": pa.array(gid[[find(int(x)) for x in out]] if len(out) else gid[out])})
+    if not len(out):
+        return None
+    return gid[out], links[out], gid[[find(int(x)) for x in out]]
+
+
+def _posting_lists(cosine: float):
+    """Reads postings sorted by list and verifies one list after the other."""
+    def lists(t: pa.Table, whole: bool) -> tuple[list, pa.Table]:
+        """Results of the complete lists of ``t``, and the rows of the last one."""
+        t = t.combine_chunks()
+        run = t.column("run").to_numpy()
+        starts = np.concatenate([[0], np.nonzero(run[1:] != run[:-1])[0] + 1, [len(run)]])
+        done = len(starts) - 1 if whole else len(starts) - 2
+        found = []
+        if done > 0:
+            gid, copies, own, tree, block = (t.column(c).to_numpy() for c in ("gid", "copies", "own", "tree", "block"))
+            vectors = t.column("embedding").combine_chunks()
+            vectors = vectors.chunk(0) if isinstance(vectors, pa.ChunkedArray) else vectors
+            at = vectors.offsets.to_numpy()
+            values = vectors.values.to_numpy(zero_copy_only=False).astype(float)
+            near = pc.list_flatten(t.column("near")).to_numpy().reshape(len(run), -1)
+            keys = t.column("key")
+            for a, b in zip(starts[:done], starts[1:done + 1]):
+                if b - a > 1:
+                    unit = values[at[a]:at[b]].reshape(b - a, -1)
+                    unit = unit / np.abs(unit).max(axis=1, keepdims=True)
+                    unit = unit / np.sqrt((unit * unit).sum(axis=1, keepdims=True))
+                    wanted = np.array([int(x) for x in keys[int(a)].as_py().split(",")])
+                    got = _verify(gid[a:b], copies[a:b], unit, near[a:b], own[a:b], wanted, tree[a], block[a], cosine)
+                    if got:
+                        found.append(got)
+        return found, t.slice(starts[done])
+
+    def batch(found: list) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in zip(*found)], ["gid", "links", "root"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kept = None
+        for b in batches:
+            if not b.num_rows:
+                continue
+            t = pa.Table.from_batches([b])
+            found, kept = lists(t if kept is None else pa.concat_tables([kept, t]), whole=False)
+            if found:
+                yield batch(found)
+        if kept is not None and kept.num_rows:
+            found, _ = lists(kept, whole=True)
+            if found:
+                yield batch(found)
+
+    return run
 
 
 def near_embeddings(table: DataFrame, cosine: float = COSINE, pivots: int = PIVOTS, nearest: int = NEAREST,
@@ -162,8 +207,11 @@ def near_embeddings(table: DataFrame, cosine: float = COSINE, pivots: int = PIVO
              .withColumn("own", F.pmod(F.xxhash64("gid"), F.col("blocks")).cast("int"))
              .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
              .withColumn("tree", F.least("own", "other")).withColumn("block", F.greatest("own", "other")))
-    found = durable(dealt.groupBy("label", "size", "key", "tree", "block").applyInArrow(
-        lambda key, part: _verify(key, part, cosine), "gid bigint, links bigint, root bigint"))
+    order = ["label", "size", "key", "tree", "block"]
+    found = durable(dealt.repartition(*order).sortWithinPartitions(*order, "gid")
+                    .select("gid", "copies", "embedding", "near", "key", "own", "tree", "block",
+                            F.xxhash64(*order).alias("run"))
+                    .mapInArrow(_posting_lists(cosine), "gid bigint, links bigint, root bigint"))
     linked = found.groupBy("gid").agg(F.sum("links").alias("links"))
     parts = durable(connected_components(found.select(F.col("gid").alias("a"), F.col("root").alias("b"))))
 
