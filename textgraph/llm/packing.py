@@ -41,7 +41,7 @@ from textgraph.llm.common import durable, word_blocks
 WINDOW = 4096
 END_ID = 2
 BUCKET_WINDOWS = 128
-CACHE = 1_500_000          # words whose ids a worker remembers (about 300 MB)
+CACHE = 1_000_000          # words whose ids a worker remembers (about 200 MB)
 NEW_WORDS = 20_000         # new words (or texts) that are learned together
 LINE_WORDS = 1000          # new words encoded as one line
 TOKENIZER = "word_bpe_49k.json"
