@@ -68,15 +68,15 @@ def test_edited_fingerprints(spark):
 
 def test_sketch_estimates_likeness_and_containment(spark):
     rng = random.Random(8)
-    a = [f"w{rng.randrange(10**6)}" for _ in range(20_000)]
-    rows = [(1, " ".join(a)), (2, " ".join(a[:4000])), (3, " ".join(a[:15_000] + [x + "x" for x in a[15_000:]]))]
+    a = [f"w{rng.randrange(10**6)}" for _ in range(2000)]
+    rows = [(1, " ".join(a)), (2, " ".join(a[:400])), (3, " ".join(a[:1500] + [x + "x" for x in a[1500:]]))]
     df = sketch.with_sketch(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()
     s = {r.doc_id: set(r.sketch) for r in df}
     limit = -(1 << 63) + (1 << 64) // 8
-    assert all(max(x) < limit for x in s.values()) and abs(len(s[1]) - 20_000 / 8) < 250
+    assert all(max(x) < limit for x in s.values()) and abs(len(s[1]) - 2000 / 8) < 80
     assert len(s[2] & s[1]) / len(s[2]) == 1.0                       # short in long
-    assert abs(len(s[2] & s[1]) / len(s[1]) - 0.2) < 0.03
-    assert abs(len(s[3] & s[1]) / len(s[3] | s[1]) - 0.6) < 0.03
+    assert abs(len(s[2] & s[1]) / len(s[1]) - 0.2) < 0.1
+    assert abs(len(s[3] & s[1]) / len(s[3] | s[1]) - 0.6) < 0.12
     # the merged sketch is the sketch of all documents together
     parts = sketch.with_sketch(spark.createDataFrame([(0, r[1]) for r in rows[1:]], "g int, text string"))
     merged = sketch.merge_sketches(parts, "g").collect()[0].sketch
