@@ -181,6 +181,28 @@ def test_base_score_and_counts(spark):
     assert brown.score_documents(empty(spark)).collect() == []
 
 
+def test_attested_words_outside_the_head_choose_their_class(spark):
+    """Words of one ending share a bucket; their neighbours tell them apart."""
+    rows = [(100 * i + j, f"the n{i:02d}xing to v{i:02d}ying" if j % 2 else f"to v{i:02d}ying the n{i:02d}xing")
+            for i in range(30) for j in range(8)]
+    rows += [(10_000 + i, f"the noun{i % 2} to verb{i % 2}" if i % 4 < 2 else f"to verb{i % 2} the noun{i % 2}") for i in range(400)]
+    learn = spark.createDataFrame(rows, "doc_id bigint, text string")
+    ask = spark.createDataFrame([(1, "the n07xing"), (2, "the v07ying"), (3, "to v11ying"), (4, "to n11xing")],
+                                "doc_id bigint, text string")
+    got = {r.doc_id: r.score for r in brown.score_texts(ask, learn.select("text"), head=6, buckets=1, classes=4).collect()}
+    assert got[1] > got[2] + 0.3 and got[3] > got[4] + 0.3
+
+
+def test_joined_words_score_as_broadcast_ones(spark):
+    rows = [(i, " ".join(random.Random(i).choices([f"w{j}" for j in range(80)], k=60), ) + " " + "w0 w1 " * 9) for i in range(60)]
+    rows += [rows[5], rows[5], (900, ""), (901, "unseen words only here"), (902, None)]
+    rows.append((903, " ".join(f"w{j % 80} " + "y" * 5000 for j in range(700))))       # several blocks
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    some, every = (sorted((str(r.doc_id), r.n_known, round(r.score, 6)) for r in brown.score_texts(
+        docs, docs.select("text").limit(10**6), head=2, buckets=5, common=c, classes=6).collect()) for c in (3, 10_000))
+    assert some == every and len(some) == len(rows)
+
+
 def test_model_is_a_distribution(spark):
     """Over all one- and two-token texts of a small vocabulary the known part sums to below one, nearly to it."""
     rows = [(i, t) for i, t in enumerate(["a b", "a b", "b a", "a", "b b a", "c"] * 20)]

@@ -5,21 +5,28 @@
 over a text's words (A-Z lower-cased) and one end token.
 
 Training counts every word of every training document (map-side counters,
-one shuffle).  Exchange clustering assigns words to classes: its units are
-the up to ``HEAD`` most frequent words, one by one, and ``BUCKETS`` groups of all
-other words by their last three bytes, so every word has a class.  The
-units' bigrams are counted over all training documents; that matrix has at
-most ``(HEAD + BUCKETS + 1)^2`` cells whatever the corpus, so one task can
-exchange units between classes until the class-bigram likelihood stops
-rising.  Transitions are smoothed towards class frequencies, emissions by
-adding one, an unseen word being one further word of its class.
-
-Scoring needs each token's exact count.  Counts of at most ``COMMON`` most
-frequent words are broadcast; the other words of each document
-are joined by word with the complete count table -- none of them is frequent, so
-that join has no hot key -- and summed back to their document.  One pass over
-the texts gives both: a row of sums for the document (under a key of its own
-in place of a word, so that these rows spread too) and a row per rarer word.
+one shuffle).  Classes are found in two steps.  Exchange clustering first
+exchanges seed units between classes until the class-bigram likelihood stops
+rising: the most frequent words, one by one -- their number grows with the cube
+root of the vocabulary and is at least ``HEAD`` -- and ``BUCKETS`` groups of
+all other words by their last three bytes.  That matrix is far below the
+vocabulary's size, so one task can hold it.  Then every further word with at
+least ``ATTESTED`` occurrences is assigned on its own, all in parallel: its
+occurrences by classes of the neighbours (a bounded number of cells a word) say in
+which class it raises the likelihood most.  Only rarer and unseen words keep
+the class of their bucket.  Last, class bigrams are counted again over all
+training texts with these classes.  Transitions are smoothed towards class
+frequencies, emissions by adding one, an unseen word being one further word of
+its class.
+
+Each token needs its word's exact count and class.  Those of at most ``COMMON``
+most frequent words are broadcast; the other words are joined with the complete
+table of words -- none of them is frequent, so that join has no hot key -- and
+summed back to their document, or to the class bigrams.  One pass over the texts
+gives both: a row of sums for the document (under a key of its own in place of
+a word, so that these rows spread too) and a row per rarer token with the classes
+beside it.  Where two rarer words meet, their classes meet by position in the
+document when scoring, by a second join with the table when training.
 
 Defined cases: null and empty texts are one end token; a null id is never
 held out; repeated rows are scored each (training counts each); an empty
@@ -41,7 +48,9 @@ from pyspark.sql import functions as F
 from textgraph.llm.common import durable, held_out, word_blocks
 
 HEAD = 2048
+HEAD_ROOT = 16             # or so many times the cube root of the vocabulary
 BUCKETS = 511
+ATTESTED = 4               # occurrences from which a word gets a class of its own choice
 COMMON = 65_536
 CLASSES = 64               # besides the end token's own
 SWEEPS = 8
@@ -217,57 +226,221 @@ def cluster(bigrams: DataFrame, size: int, classes: int = CLASSES) -> tuple[np.n
     return np.frombuffer(row.cls, np.int64), np.frombuffer(row.grid, np.float64).reshape(classes + 1, classes + 1)
 
 
-def score_texts(docs: DataFrame, learn: DataFrame, head: int = HEAD, buckets: int = BUCKETS, common: int = COMMON,
-                classes: int = CLASSES) -> DataFrame:
+def spans(text: bytes | None, codes: Units) -> Iterator[tuple[int, list[bytes], np.ndarray, int, bytes]]:
+    """Each block of a text: (code before it, its words, their codes, code after it, word after it)."""
+    held, last = None, codes.end
+    for words in _lower_words(text):
+        c = codes.each(words)
+        if held:
+            yield (*held, int(c[0]), words[0])
+            last = int(held[2][-1])
+        held = (last, words, c)
+    if held:
+        yield (*held, codes.end, b"")
+
+
+def word_contexts(texts: DataFrame, head: list[bytes], buckets: int, cls: np.ndarray, classes: int) -> DataFrame:
+    """``(word, ctx, n)`` of the words outside ``head``: ctx is the class
+    before times (classes + 1) plus the class after, of the seed units."""
+    shared, k = texts.sparkSession.sparkContext.broadcast((head, cls)), classes + 1
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        names, cls = shared.value
+        units, counter = Units(names, buckets), Counter()
+
+        def emit() -> pa.RecordBatch:
+            out = pa.RecordBatch.from_arrays([
+                pa.array([w for w, _ in counter], pa.binary()), pa.array([x for _, x in counter], pa.int32()),
+                pa.array(counter.values(), pa.int64())], ["word", "ctx", "n"])
+            counter.clear()
+            return out
+
+        for batch in batches:
+            for text in _binary(batch, 0):
+                for before, words, c, after, _ in spans(text, units):
+                    line = cls[np.concatenate([[before], c, [after]])]
+                    at = np.nonzero(c >= units.first)[0]
+                    counter.update(zip([words[j] for j in at.tolist()], (line[at] * k + line[at + 2]).tolist()))
+                if len(counter) > FLUSH:
+                    yield emit()
+        yield emit()
+
+    return texts.select("text").mapInArrow(run, "word binary, ctx int, n bigint")
+
+
+def best_class(into: np.ndarray, out: np.ndarray, own: np.ndarray, grid: np.ndarray) -> np.ndarray:
+    """Class of each word (a row of ``into`` and ``out``: its occurrences by class
+    before and after it) that raises the class-bigram likelihood most when the
+    word is taken out of its class ``own`` in ``grid``; ties stay."""
+    k = len(grid)
+    classes, each = k - 1, np.arange(len(own))
+    mine = np.arange(classes) == own[:, None]
+
+    def rise(base: np.ndarray, add: np.ndarray, mine: np.ndarray) -> np.ndarray:
+        base = np.maximum(base - mine * add, 0.0)
+        return _xlogx(base + add) - _xlogx(base)
+
+    gain = np.zeros((len(own), classes))
+    for cells, table in ((out, grid[:classes].T), (into, grid[:, :classes])):
+        w, d = np.nonzero(cells)
+        n = cells[w, d][:, None]
+        starts = np.flatnonzero(np.diff(w, prepend=-1))
+        if len(w):
+            gain[w[starts]] += np.add.reduceat(rise(table[d], n, mine[w]), starts)
+        gain -= rise(table.sum(0)[None], cells.sum(1)[:, None], mine)
+    # the cell of a class with itself takes both sides at once
+    d, o, i = np.diagonal(grid)[None, :classes], out[:, :classes], into[:, :classes]
+    gain += rise(d, o + i, mine) - rise(d, o, mine) - rise(d, i, mine)
+    best = gain.argmax(1)
+    return np.where(gain[each, best] > gain[each, own] + 1e-9, best, own)
+
+
+def assign(contexts: DataFrame, cls: np.ndarray, grid: np.ndarray, first: int, buckets: int,
+           attested: int = ATTESTED) -> DataFrame:
+    """``(word, n, cls)``: the class of every word of ``contexts``, by likelihood
+    gain if it occurs ``attested`` times, else that of its bucket."""
+    shared, k = contexts.sparkSession.sparkContext.broadcast((cls, grid)), len(grid)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        cls, grid = shared.value
+        for batch in batches:
+            for at in range(0, batch.num_rows, 512):
+                part = batch.slice(at, 512)
+                own = cls[[first + zlib.crc32(w[-3:]) % buckets for w in part.column(0).to_pylist()]].astype(np.int64)
+                total = part.column(1).to_numpy()
+                lists = part.column(2)
+                ctx, n = lists.flatten().to_numpy(), part.column(3).flatten().to_numpy()
+                row = np.repeat(np.arange(len(own)), lists.value_lengths().to_numpy())
+                into = np.bincount(row * k + ctx // k, n, len(own) * k).reshape(-1, k)
+                out = np.bincount(row * k + ctx % k, n, len(own) * k).reshape(-1, k)
+                many = total >= attested
+                own[many] = best_class(into[many], out[many], own[many], grid)
+                yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array(own, pa.int32())],
+                                                 ["word", "n", "cls"])
+
+    return (contexts.repartition("word").groupBy("word", "ctx").agg(F.sum("n").alias("n"))    # at most (classes + 1)^2 a word
+            .groupBy("word").agg(F.sum("n").alias("n"), F.collect_list("ctx").alias("ctx"), F.collect_list("n").alias("ns"))
+            .select("word", "n", "ctx", "ns").mapInArrow(run, "word binary, n bigint, cls int"))
+
+
+def class_bigrams(texts: DataFrame, words: DataFrame, common: dict[bytes, int], classes: int) -> np.ndarray:
+    """Class-bigram counts of all texts; ``words`` (word, n, cls) holds every
+    word of them, ``common`` the classes of those that need no join."""
+    shared, k = texts.sparkSession.sparkContext.broadcast(common), classes + 1
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        codes = Units(list(shared.value), 1)
+        cls = np.array([*shared.value.values(), -1, classes], np.int64)
+        counter, grid = Counter(), np.zeros(k * k, np.int64)
+
+        def emit() -> pa.RecordBatch:
+            cells = np.nonzero(grid)[0].tolist()
+            rows = [(b" %d" % x, (x // k + 1) * (k + 1) + x % k + 1, None) for x in cells] + list(counter)  # no word holds a blank
+            out = pa.RecordBatch.from_arrays([
+                pa.array([r[0] for r in rows], pa.binary()), pa.array([r[1] for r in rows], pa.int32()),
+                pa.array([r[2] for r in rows], pa.binary()),
+                pa.array([*grid[cells].tolist(), *counter.values()], pa.int64())], ["word", "at", "other", "n"])
+            counter.clear()
+            grid[:] = 0
+            return out
+
+        for batch in batches:
+            for text in _binary(batch, 0):
+                empty = True
+                for before, words, c, after, following in spans(text, codes):
+                    empty = False
+                    line = cls[np.concatenate([[before], c, [after]])]
+                    tail = line[1:] if after == codes.end else line[1:-1]
+                    both = (line[:len(tail)] >= 0) & (tail >= 0)
+                    grid += np.bincount(line[:len(tail)][both] * k + tail[both], minlength=k * k)
+                    at = np.nonzero(line[1:-1] < 0)[0]
+                    near = ((line[at] + 1) * (k + 1) + line[at + 2] + 1).tolist()
+                    words.append(following)
+                    counter.update(zip([words[j] for j in at.tolist()], near,
+                                       [words[j + 1] if line[j + 2] < 0 else None for j in at.tolist()]))
+                if empty:
+                    grid[classes * k + classes] += 1
+                if len(counter) > FLUSH:
+                    yield emit()
+        yield emit()
+
+    table = words.select("word", "cls")
+    left, right = F.floor(F.col("at") / (k + 1)).cast("int") - 1, F.col("at") % (k + 1) - 1
+    none = F.lit(None).cast("binary")
+    cell = lambda when, a, b, other: F.when(when, F.struct(a.alias("a"), b.alias("b"), other.alias("other")))
+    cells = (texts.select("text").mapInArrow(run, "word binary, at int, other binary, n bigint")
+             .join(table, "word", "left")
+             .select("n", F.explode(F.array(
+                 cell(left >= 0, left, F.coalesce("cls", right), none),
+                 cell(F.col("cls").isNotNull() & (right >= 0), F.col("cls"), right, none),
+                 cell(F.col("other").isNotNull(), F.col("cls"), F.lit(-1), F.col("other")))).alias("c"))
+             .where("c is not null").groupBy("c.a", "c.b", "c.other").agg(F.sum("n").alias("n")))
+    met = (cells.select("a", "b", "n", F.coalesce("other", F.concat(F.lit(" "), "a", F.lit(" "), "b").cast("binary")).alias("word"))
+           .join(table, "word", "left").groupBy("a", F.coalesce("cls", "b").alias("b")).agg(F.sum("n").alias("n")).collect())
+    grid = np.zeros((k, k))
+    for r in met:
+        grid[r.a, r.b] += r.n
+    return grid
+
+
+def score_texts(docs: DataFrame, learn: DataFrame, head: int | None = None, buckets: int = BUCKETS, common: int = COMMON,
+                classes: int = CLASSES, attested: int = ATTESTED) -> DataFrame:
     """``docs`` (doc_id, text) scored by a model learned from ``learn``
     (text): (doc_id, n_tokens, n_known, train_tokens, base_score, score)."""
-    sc = docs.sparkSession.sparkContext
+    sc, spark = docs.sparkSession.sparkContext, docs.sparkSession
     counts = durable(word_counts(learn))
     ends = learn.count()
     row = counts.agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("v")).first()
     tokens, vocabulary = (row.n or 0) + ends, row.v + (ends > 0)
     top = most_frequent(counts, common)
-    heads = [w for w, _ in top[:head]]
+    heads = [w for w, _ in top[:max(HEAD, int(HEAD_ROOT * vocabulary ** (1 / 3))) if head is None else head]]
     units = Units(heads, buckets)
 
     cls, grid = cluster(unit_bigrams(learn, heads, buckets), units.end + 1, classes)
+    seeds = spark.createDataFrame([(w, n, int(c)) for (w, n), c in zip(top[:len(heads)], cls)], "word binary, n bigint, cls int")
+    words = durable(assign(word_contexts(learn, heads, buckets, cls, classes), cls, grid, len(heads), buckets, attested)
+                    .unionByName(seeds))
+    names = spark.createDataFrame([(w,) for w, _ in top], "word binary")
+    class_of = {bytes(r.word): r.cls for r in words.join(F.broadcast(names), "word").select("word", "cls").collect()}
+    class_of = {w: class_of[w] for w, _ in top}
+    grid = class_bigrams(learn, words, class_of, classes)
     in_class = grid.sum(0)                                   # tokens of each class
-    kinds = np.bincount(cls[:len(heads)], minlength=classes + 1)
-    for r in (counts.groupBy((F.crc32(F.substring("word", -3, 3)) % buckets).alias("b"))
-              .agg(F.count(F.lit(1)).alias("n")).collect()):
-        kinds[cls[len(heads) + r.b]] += r.n
-    for w in heads:                                          # they were counted in their buckets too
-        kinds[cls[len(heads) + zlib.crc32(w[-3:]) % buckets]] -= 1
+    kinds = np.zeros(classes + 1)
+    for r in words.groupBy("cls").agg(F.count(F.lit(1)).alias("n")).collect():
+        kinds[r.cls] = r.n
     kinds[classes] = 1
     chance = (in_class + 1) / (in_class.sum() + classes + 1)
     step = np.log10((grid + PULL * chance) / (grid.sum(1, keepdims=True) + PULL))
     room = np.log10(in_class + kinds + 1)
     base = np.log10(float(tokens + vocabulary + 1))
-    # a word's code is its place among the common words, else its bucket: what a code adds to the sums
-    codes = Units([w for w, _ in top], buckets)
-    unit = np.concatenate([np.arange(len(heads)), [units[w] for w, _ in top[head:]],
-                           len(heads) + np.arange(buckets + 1)]).astype(np.int64)
-    logs = np.concatenate([np.log10(np.array([n + 1.0 for _, n in top])), np.zeros(buckets), [np.log10(ends + 1.0)]])
-    shared = sc.broadcast((codes.fixed, cls[unit], logs, step, room))
+    # a word's code is its place among the common words; all others share one
+    logs = np.concatenate([np.log10(np.array([n + 1.0 for _, n in top])), [0.0, np.log10(ends + 1.0)]])
+    k = classes + 1
+    shared = sc.broadcast((list(class_of), np.array([*class_of.values(), -1, classes], np.int64), logs, step, room))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names, cls, logs, step, room = shared.value
-        codes = Units(names, buckets)
+        codes = Units(names, 1)
         for batch in batches:
             out = _Rows(batch)
             for i, text in enumerate(_binary(batch, 2)):
-                n, known, total, model, last = 1, int(ends > 0), logs[-1], 0.0, classes
+                n, known, total, model = 1, int(ends > 0), logs[-1], 0.0
                 rare: Counter = Counter()
-                for words in _lower_words(text):
-                    c = codes.each(words)
+                for before, words, c, after, _ in spans(text, codes):
+                    line = cls[np.concatenate([[before], c, [after]])]
+                    tail = line[1:] if after == codes.end else line[1:-1]
+                    both = (line[:len(tail)] >= 0) & (tail >= 0)
+                    model += step[line[:len(tail)][both], tail[both]].sum() - room[tail[tail >= 0]].sum()
+                    at = np.nonzero(line[1:-1] < 0)[0]
+                    # the place only where another rarer word is next to it
+                    place = np.where((line[at] < 0) | (line[at + 2] < 0), n + at, 0)
+                    near = (place * (k + 1) + line[at] + 1) * (k + 1) + line[at + 2] + 1
                     n, total = n + len(c), total + logs[c].sum()
-                    line = np.concatenate([[last], cls[c]])
-                    model += step[line[:-1], line[1:]].sum() - room[line[1:]].sum()
-                    last = line[-1]
-                    places = np.nonzero(c >= len(names))[0].tolist()
-                    known += len(c) - len(places)
-                    rare.update([words[j] for j in places])
-                out.document(i, n, known, total, model + step[last, classes] - room[classes])
+                    known += len(c) - len(at)
+                    rare.update(zip([words[j] for j in at.tolist()], near.tolist()))
+                if n == 1:
+                    model = step[classes, classes] - room[classes]
+                out.document(i, n, known, total, model)
                 out.words(i, rare)
                 if len(out.word) > FLUSH:
                     yield out.batch()
@@ -276,20 +449,39 @@ def score_texts(docs: DataFrame, learn: DataFrame, head: int = HEAD, buckets: in
 
     kind = docs.schema["doc_id"].dataType.simpleString()
     keyed = docs.select("doc_id", F.xxhash64("doc_id", F.coalesce("text", F.lit(""))).alias("th"), "text")
-    found = F.col("n").isNotNull()
-    sums = (keyed.mapInArrow(run, f"doc_id {kind}, th bigint, word binary, times int, n_tokens bigint, known bigint, "
+    found, rarer = F.col("n").isNotNull(), F.col("times") > 0
+    steps, rooms = F.lit(step.ravel()), F.lit(room)
+    bucket = F.get(F.lit(cls[len(heads):].astype(np.int32)), (F.crc32(F.substring("word", -3, 3)) % buckets).cast("int"))
+    left = F.floor(F.col("at") / (k + 1)) % (k + 1) - 1
+    right = F.col("at") % (k + 1) - 1
+    place = F.floor(F.col("at") / ((k + 1) * (k + 1)))
+    gains = (F.when(left >= 0, F.get(steps, (left * k + F.col("c")).cast("int"))).otherwise(0.0)
+             + F.when(right >= 0, F.get(steps, (F.col("c") * k + right).cast("int"))).otherwise(0.0)
+             - F.get(rooms, F.col("c")))
+    sums = (keyed.mapInArrow(run, f"doc_id {kind}, th bigint, word binary, times int, at bigint, n_tokens bigint, known bigint, "
                                   "logs double, classes double")
-            .join(counts, "word", "left").groupBy("doc_id", "th").agg(
+            .join(words, "word", "left").withColumn("c", F.when(rarer, F.coalesce("cls", bucket)))
+            .groupBy("doc_id", "th").agg(
                 F.count("n_tokens").alias("copies"),      # rows that repeat id and text meet here
                 *[F.max(c).alias(c) for c in ("n_tokens", "known", "logs", "classes")],
                 F.coalesce(F.sum(F.when(found, F.col("times"))), F.lit(0)).alias("more"),
-                F.coalesce(F.sum(F.when(found, F.col("times") * F.log10(F.col("n") + 1.0))), F.lit(0.0)).alias("more_logs")))
+                F.coalesce(F.sum(F.when(found, F.col("times") * F.log10(F.col("n") + 1.0))), F.lit(0.0)).alias("more_logs"),
+                F.coalesce(F.sum(F.when(rarer, F.col("times") * gains)), F.lit(0.0)).alias("more_classes"),
+                # bounded by one text's words, as copies repeat the same places
+                F.collect_set(F.when(rarer & (place > 0), F.struct(place.alias("p"), F.col("c")))).alias("meet")))
+    met = F.aggregate(
+        F.array_sort("meet"), F.struct(F.lit(-1).cast("bigint").alias("p"), F.lit(0).alias("c"), F.lit(0.0).alias("s")),
+        lambda acc, x: F.struct(x.p.alias("p"), x.c.alias("c"), (acc.s + F.when(
+            acc.p + 1 == x.p, F.get(steps, acc.c * k + x.c)).otherwise(0.0)).alias("s")),
+        lambda acc: acc.s)
     logs_of = F.col("logs") + F.col("more_logs") / F.col("copies")
-    return (sums.withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("copies"))))
+    classes_of = F.col("classes") + F.col("more_classes") / F.col("copies") + met
+    return (sums.select("*", classes_of.alias("model"))
+            .withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("copies"))))
             .select("doc_id", "n_tokens", (F.col("known") + F.col("more") / F.col("copies")).cast("bigint").alias("n_known"),
                     F.lit(tokens).cast("bigint").alias("train_tokens"),
                     (logs_of - F.col("n_tokens") * F.lit(float(base))).alias("base_score"),
-                    (logs_of + F.col("classes")).alias("score")))
+                    (logs_of + F.col("model")).alias("score")))
 
 
 class _Rows:
@@ -297,18 +489,20 @@ class _Rows:
 
     def __init__(self, batch: pa.RecordBatch) -> None:
         self.source, self.th = batch, batch.column(1).to_pylist()
-        self.row, self.word, self.times, self.sums = [], [], [], ([], [], [], [])
+        self.row, self.word, self.times, self.at, self.sums = [], [], [], [], ([], [], [], [])
 
     def document(self, i: int, *sums) -> None:
         self.row.append(i)
         self.word.append(b" " + self.th[i].to_bytes(8, "little", signed=True))    # no word holds a blank
         self.times.append(0)
+        self.at.append(0)
         for column, value in zip(self.sums, sums):
             column.append(value)
 
     def words(self, i: int, counter: Counter) -> None:
         self.row += [i] * len(counter)
-        self.word += counter.keys()
+        self.word += [w for w, _ in counter]
+        self.at += [at for _, at in counter]
         self.times += counter.values()
         for column in self.sums:
             column += [None] * len(counter)
@@ -318,8 +512,8 @@ class _Rows:
         kinds = (pa.int64(), pa.int64(), pa.float64(), pa.float64())
         return pa.RecordBatch.from_arrays(
             [self.source.column(0).take(at), self.source.column(1).take(at), pa.array(self.word, pa.binary()),
-             pa.array(self.times, pa.int32()), *[pa.array(c, k) for c, k in zip(self.sums, kinds)]],
-            ["doc_id", "th", "word", "times", "n_tokens", "known", "logs", "classes"])
+             pa.array(self.times, pa.int32()), pa.array(self.at, pa.int64()), *[pa.array(c, k) for c, k in zip(self.sums, kinds)]],
+            ["doc_id", "th", "word", "times", "at", "n_tokens", "known", "logs", "classes"])
 
 
 def score_documents(docs: DataFrame) -> DataFrame:
