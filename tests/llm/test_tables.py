@@ -41,6 +41,14 @@ def test_most_frequent_words_are_bounded(spark):
     assert brown.most_frequent(counts, 0) == [] and len(brown.most_frequent(counts, 500)) == 500
 
 
+@pytest.mark.parametrize("same", [b"", b"alike", b"a longer beginning "])
+def test_most_frequent_fills_a_flat_vocabulary(spark, same):
+    rows = [(same + f"{i:04d}".encode(), n) for i, n in enumerate([1000] * 30 + [1] * 400 + [1001] * 5)]
+    counts = spark.createDataFrame(rows, "word binary, n bigint")
+    for most in (20, 34, 35, 36, 100, 435):
+        assert brown.most_frequent(counts, most) == sorted(rows, key=lambda r: (-r[1], r[0]))[:most]
+
+
 # --- sketches ---------------------------------------------------------------
 
 def test_edited_fingerprints(spark):

@@ -91,19 +91,46 @@ def word_counts(texts: DataFrame) -> DataFrame:
 
 
 def most_frequent(counts: DataFrame, most: int) -> list[tuple[bytes, int]]:
-    """At most ``most`` words with their counts, in descending order: all whose
-    count is in the highest sixteenths of octaves that hold no more together.
-    Only these words are ever sent to the driver."""
+    """The ``most`` first words with their counts, by (count descending, word).
+    Levels of counts (sixteenths of octaves), then counts, then beginnings of
+    words say where to stop, so about ``most`` rows at most are sent to the driver."""
+    if most <= 0:
+        return []
     level = F.floor(F.log2(F.col("n")) * 16)
-    room, least = most, None
-    for r in counts.groupBy(level.alias("level")).agg(F.count(F.lit(1)).alias("words")).orderBy(F.desc("level")).collect():
-        room -= r.words
-        if room < 0:
+    keep, room, tied = F.lit(True), most, counts
+    for key in (level, F.col("n")):
+        at, room = _last(tied.groupBy(key.alias("at")).agg(F.count(F.lit(1)).alias("words"))
+                         .orderBy(F.desc("at")).collect(), room)
+        if at is None:
+            keep = F.lit(True)
             break
-        least = r.level
-    if least is None:
-        return []
-    return sorted(((bytes(r.word), r.n) for r in counts.where(level >= least).collect()), key=lambda x: (-x[1], x[0]))
+        keep, tied = key >= at, tied.where(key == at)
+    else:
+        # all of ``tied`` have one count: cut by beginnings until few words share the last one
+        depth, scope, size, least = 0, tied, most + 1, at
+        while size > most:
+            depth += 2
+            begins = F.substring("word", 1, depth)
+            rows = scope.groupBy(begins.alias("at")).agg(F.count(F.lit(1)).alias("words")).orderBy("at").collect()
+            at, room = _last(rows, room)
+            if at is None:
+                break
+            size = next(r.words for r in rows if r.at == at)
+            scope = scope.where(begins == F.lit(bytes(at)))
+        if at is not None:
+            keep = (F.col("n") > least) | ((F.col("n") == least) & (F.substring("word", 1, depth) <= F.lit(bytes(at))))
+    found = ((bytes(r.word), r.n) for r in counts.where(keep).collect())
+    return sorted(found, key=lambda x: (-x[1], x[0]))[:most]
+
+
+def _last(rows: list, room: int) -> tuple:
+    """The first ``at`` of ``rows`` whose words exceed ``room``, and the room left
+    before it; None if all fit."""
+    for r in rows:
+        if r.words > room:
+            return r.at, room
+        room -= r.words
+    return None, room
 
 
 class Units(dict):
