@@ -273,22 +273,26 @@ def word_contexts(texts: DataFrame, head: list[bytes], buckets: int, cls: np.nda
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names, cls = shared.value
-        units, counter = Units(names, buckets), Counter()
+        units = Units(names, buckets)
+        found, near = [], []
 
         def emit() -> pa.RecordBatch:
-            out = pa.RecordBatch.from_arrays([
-                pa.array([w for w, _ in counter], pa.binary()), pa.array([x for _, x in counter], pa.int32()),
-                pa.array(counter.values(), pa.int64())], ["word", "ctx", "n"])
-            counter.clear()
-            return out
+            each = pa.array(found, pa.binary()).dictionary_encode()
+            ids, n = np.unique(each.indices.to_numpy().astype(np.int64) * (k * k) + np.concatenate([np.empty(0, np.int64), *near]),
+                               return_counts=True)
+            found.clear()
+            near.clear()
+            return pa.RecordBatch.from_arrays([each.dictionary.take(pa.array(ids // (k * k))), pa.array(ids % (k * k), pa.int32()),
+                                               pa.array(n, pa.int64())], ["word", "ctx", "n"])
 
         for batch in batches:
             for text in _binary(batch, 0):
                 for before, words, c, after, _ in spans(text, units):
                     line = cls[np.concatenate([[before], c, [after]])]
                     at = np.nonzero(c >= units.first)[0]
-                    counter.update(zip([words[j] for j in at.tolist()], (line[at] * k + line[at + 2]).tolist()))
-                if len(counter) > FLUSH:
+                    found += [words[j] for j in at.tolist()]
+                    near.append(line[at] * k + line[at + 2])
+                if len(found) > FLUSH:
                     yield emit()
         yield emit()
 
@@ -387,7 +391,7 @@ def class_bigrams(texts: DataFrame, words: DataFrame, common: dict[bytes, int],
                                        [words[j + 1] if line[j + 2] < 0 else None for j in at.tolist()]))
                 if empty:
                     grid[classes * k + classes] += 1
-                if len(counter) > FLUSH:
+                if len(counter) > FLUSH // 4:
                     yield emit()
         yield emit()
 
@@ -469,7 +473,7 @@ def score_texts(docs: DataFrame, learn: DataFrame, head: int | None = None, buck
                     model = step[classes, classes] - room[classes]
                 out.document(i, n, known, total, model)
                 out.words(i, rare)
-                if len(out.word) > FLUSH:
+                if len(out.word) > FLUSH // 2:
                     yield out.batch()
                     out = _Rows(batch)
             yield out.batch()
