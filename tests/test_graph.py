@@ -1,6 +1,8 @@
 """Graph operators on the sample graph (G1), synthetic fixtures (G2, G3,
 F1-F3) and invariants; golden values were computed independently."""
 
+import re
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -271,13 +273,43 @@ def test_loop_moves_only_node_side(spark, group_edges):
         g.release()
     st = spark.range(1, 30).select("id", F.when(F.col("id") == 1, F.lit(0)).cast("bigint").alias("dist"),
                                    F.when(F.col("id") == 1, F.lit(GRAY)).otherwise(F.lit(WHITE)).alias("color"))
-    layout, s, _ = se._prepare(st, e.withColumn("w", F.lit(1).cast("bigint")), group_edges)
+    layout, states = se._prepare(st, e.withColumn("w", F.lit(1).cast("bigint")), group_edges)
     try:
-        assert _exchanges(se._step(layout, s)) == 2
+        touched = se._touched(layout, states.frontier)
+        assert _exchanges(touched) <= 3 and _exchanged_scans(touched) == {"frontier"}
+        rows = spark.createDataFrame(touched.collect(), touched.schema)
+        old = states.of(rows, se.FEW_NODES + 1)          # too many for a filter by ids: joined by buckets
+        assert "base" not in _exchanged_scans(old)
     finally:
         layout.release()
 
 
+def _exchanged_scans(df) -> set:
+    """What the files scanned below a shuffle of the static plan hold."""
+    spark = df.sparkSession
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        root = df._jdf.queryExecution().executedPlan()
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    found = set()
+
+    def walk(node, below, joined):
+        name = node.getClass().getSimpleName()
+        if name == "FileSourceScanExec" and below and not joined:
+            text = node.toString()
+            found.add("edges" if re.search(r"\bsalt#", text) else "frontier" if "EqualTo(color,1)" in text else "base")
+        kids = node.children()
+        below = below or name == "ShuffleExchangeExec"
+        joined = name.endswith("JoinExec") or (joined and name != "ShuffleExchangeExec")
+        for i in range(kids.size()):
+            walk(kids.apply(i), below, joined)
+    walk(root, False, False)
+    return found
+
+
 def test_string_ids(spark, g1_edges):
     """Ids may be strings; results equal those on numbers."""
     s = g1_edges.select(F.col("src").cast("string").alias("src"), F.col("dst").cast("string").alias("dst"))
@@ -301,16 +333,47 @@ def test_empty_inputs(spark):
     assert [tuple(r) for r in se.frontier_search(st, we, 3).collect()] == [(1, 0, BLACK)]
 
 
-def test_durable_layout_and_partitions(g1_edges, g1_nodes):
-    _close(_ranks(rk.pagerank_edges(g1_edges, 3, 0.1, durable_edges=True, edge_partitions=3)),
-           dict(zip(range(1, 6), G1[3])))
-    _close(_ranks(rk.pagerank_adjacency(g1_nodes, 5, 0.1, 2, durable_edges=True)),
-           dict(zip(range(1, 6), G1[2])))
-    g = rk.prepare(None, g1_edges, None, 0.1, dedupe=True, share_to_range=False, durable_edges=True)
+def test_layout_is_kept_for_a_later_run(spark, g1_edges, g1_nodes, tmp_path):
+    """A layout with a path is built once; a second run opens it (its edges
+    are not read) and still exchanges the node side only."""
+    want = dict(zip(range(1, 6), G1[3]))
+    path = str(tmp_path / "layout")
+    settings = {k: v for k, v in spark.conf.getAll.items()}
+    _close(_ranks(rk.pagerank_edges(g1_edges, 3, 0.1, layout_path=path, edge_partitions=3)), want)
+    nothing = g1_edges.where(F.raise_error(F.lit("read again")).cast("string").isNull())
+    _close(_ranks(rk.pagerank_edges(nothing, 3, 0.1, layout_path=path)), want)
+    assert {k: v for k, v in spark.conf.getAll.items()} == settings        # no setting touched
+    g = rk.prepare(None, nothing, None, 0.1, dedupe=True, share_to_range=False, layout_path=path)
     try:
-        assert _exchanges(rk.step(g, g.state, g.mass, g.n_dangling)) == 2
+        assert g.layout.partitions == 3
+        plan = rk._contributions(g, g.state)
+        assert "edges" not in _exchanged_scans(plan)
     finally:
         g.release()
+    _close(_ranks(rk.pagerank_edges(nothing, 3, 0.1, layout_path=path)), want)     # released, still there
+    with pytest.raises(ValueError):
+        se.frontier_search(spark.createDataFrame([(1, 0, GRAY)], "id bigint, dist bigint, color int"),
+                           g1_edges.withColumn("w", F.lit(1)), 1, layout_path=path)
+
+
+def test_layout_opens_in_another_application(g1_edges, tmp_path):
+    import os
+    import subprocess
+    import sys
+    path = str(tmp_path / "layout")
+    want = _ranks(rk.pagerank_edges(g1_edges, 3, 0.1, layout_path=path))
+    code = """
+import sys
+from textgraph.session import local_session
+from textgraph.operators import rank as rk
+spark = local_session(cpus=1, shuffle_partitions=2)
+none = spark.createDataFrame([], "src bigint, dst bigint")
+print({r.id: r.rank for r in rk.pagerank_edges(none, 3, 0.1, layout_path=sys.argv[1]).collect()})
+"""
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    out = subprocess.run([sys.executable, "-c", code, path], cwd=root, capture_output=True, text=True, timeout=300)
+    assert out.returncode == 0, out.stderr[-2000:]
+    _close(eval(out.stdout.strip().splitlines()[-1]), want)
 
 
 def test_empty_edge_field_is_dangling(spark):
@@ -412,13 +475,12 @@ def test_snapshots_are_replaced_and_resumed(spark, g1_edges, g1_nodes, tmp_path)
         find(resume_from=1)
 
 
-@pytest.mark.parametrize("durable", [False, True])
-def test_hot_sources_beyond_the_broadcast_bound(spark, durable):
+def test_hot_sources_beyond_the_broadcast_bound(spark):
     from textgraph.plans.skew import salted_layout
     e = spark.createDataFrame([(1, d, 1) for d in range(2, 60)] + [(d, 1, 1) for d in range(2, 60)],
                               "src bigint, dst bigint, mult bigint")
     layout = salted_layout(e, ["mult"], {"outdeg": F.sum("mult")}, group_edges=10, broadcast_rows=0,
-                           partitions=2, durable=durable)
+                           partitions=2)
     try:
         rows = layout.edges.collect()
         assert len(rows) == 116 and len({r.salt for r in rows if r.src == 1}) > 1
@@ -428,15 +490,95 @@ def test_hot_sources_beyond_the_broadcast_bound(spark, durable):
         layout.release()
 
 
-def test_one_cached_edge_frame_during_the_loop(spark, g1_edges):
+def test_nothing_is_cached_during_the_loop(spark, g1_edges):
     before = spark.sparkContext._jsc.getPersistentRDDs().size()
     g = rk.prepare(None, g1_edges, None, 0.1, dedupe=True, share_to_range=False)
     try:
-        assert spark.sparkContext._jsc.getPersistentRDDs().size() <= before + 1
+        assert spark.sparkContext._jsc.getPersistentRDDs().size() <= before
+        assert not spark.catalog.listTables()
     finally:
         g.release()
 
 
+def test_history_is_one_pruned_scan(spark, g1_nodes, tmp_path):
+    """Whatever the number of iterations, and only those of this run."""
+    path = str(tmp_path / "ranks")
+    for iters in (6, 2):
+        h = rk.pagerank_adjacency(g1_nodes, 5, 0.1, iters, history=True, snapshot_path=path)
+        plan = h._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("FileScan") == 1 and "Union" not in plan and f"<= {iters}" in plan
+        assert {r.iteration for r in h.select("iteration").distinct().collect()} == set(range(1, iters + 1))
+
+
+def _chain(spark, n: int):
+    """A path of n nodes and n/2 nodes beside it: every frontier is one node."""
+    e = spark.range(1, n).select(F.col("id").alias("src"), (F.col("id") + 1).alias("dst"), F.lit(1).cast("bigint").alias("w"))
+    st = spark.range(1, n + n // 2).select("id", F.when(F.col("id") == 1, 0).cast("bigint").alias("dist"),
+                                          F.when(F.col("id") == 1, GRAY).otherwise(WHITE).alias("color"))
+    return st, e
+
+
+def test_delta_search_writes_what_the_frontier_changes(spark):
+    st, e = _chain(spark, 4000)
+    layout, states = se._prepare(st, e, 100_000)
+    try:
+        for i in range(1, 5):
+            se._advance(layout, states, i)
+        rows = {r.iteration: r["count"] for r in states.changes().groupBy("iteration").count().collect()}
+        assert rows == {1: 2, 2: 2, 3: 2, 4: 2}                      # one turns BLACK, one GRAY
+        base = states.base.frame                     # a lookup of one node reads one bucket
+        assert base.where(F.col("id").isin([7])).rdd.getNumPartitions() == 1 < base.rdd.getNumPartitions()
+    finally:
+        layout.release()
+
+
+def test_delta_search_compacts_and_keeps_history(spark, monkeypatch):
+    st, e = _chain(spark, 40)
+    monkeypatch.setattr(se, "COMPACT_ROUNDS", 2)
+    h = se.frontier_search(st, e, 6, history=True)
+    per = {(r.iteration, r.color): r["count"] for r in h.groupBy("iteration", "color").count().collect()}
+    assert all(per[i, GRAY] == 1 and per[i, BLACK] == i for i in range(1, 7)) and h.count() == 6 * 59
+    monkeypatch.setattr(se, "FEW_GRAY", -1)                          # every lookup joined by buckets
+    got = {r.id: r.dist for r in se.frontier_search(st, e, 6).collect() if r.dist is not None}
+    assert got == {i: i - 1 for i in range(1, 8)}
+
+
+def test_each_line_is_split_once(spark, tmp_path):
+    """In the physical plan, with a filter behind the reader: one split a level."""
+    spark.range(3).select(F.lit("1\t2,3,|4,5,|0|GRAY").alias("value")).write.text(str(tmp_path / "lines"))
+    lines = spark.read.text(str(tmp_path / "lines"))
+    for df, splits in ((parse_edge_list(lines, strict=False).where("src > 1 and dst > 1"), 1),
+                       (parse_adjacency(lines, strict=False).where("id > 1 and rank > 0 and size(out) > 1"), 3),
+                       (parse_search_graph(lines, strict=False).where("id > 1 and dist > 0 and color = 1 and size(out) > 1"), 4)):
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("split(") == splits, plan
+
+
+def test_blocks_never_grow_with_a_node(spark, tmp_path):
+    """A hub with 300,000 targets, one edge of it repeated 5,000 times: rows of
+    at most 1,000 targets, through text and back, ranked as the plain edges are."""
+    from textgraph.operators import blocks as bl
+    n = 300_000
+    edges = (spark.range(2, n + 2).select(F.lit(1).cast("bigint").alias("src"), F.col("id").alias("dst"))
+             .unionByName(spark.range(5000).select(F.lit(1).cast("bigint").alias("src"), F.lit(9).cast("bigint").alias("dst")))
+             .unionByName(spark.range(2, 100).select(F.col("id").alias("src"), F.lit(1).cast("bigint").alias("dst"))))
+    ranks = spark.range(1, 120).select("id", F.lit(0.25).alias("rank"))
+    blocks = bl.adjacency_blocks(edges, ranks, 1000)
+    path = str(tmp_path / "blocks")
+    bl.write_adjacency_blocks(blocks, path, 3)
+    back = bl.read_adjacency_blocks(spark, path, 1 << 18)
+    assert back.agg(F.max(F.size("out"))).first()[0] <= 1000
+    assert back.where("out is null").count() == 20 and back.where("id = 1").count() >= 305
+    key = ["src", "dst"]
+    assert bl.block_edges(back).groupBy(*key).count().exceptAll(edges.groupBy(*key).count()).count() == 0
+    assert bl.block_edges(back).count() == edges.count()
+    got = bl.pagerank_blocks(back, n + 1, 0.1, 2)
+    want = rk.pagerank_rows(ranks, edges, n + 1, 0.1, 2).withColumnRenamed("rank", "r")
+    met = got.join(want, "id", "full")
+    assert met.where("rank is null or r is null or abs(rank - r) > 1e-12").count() == 0 and met.count() == n + 1
+    assert bl.with_ranks(blocks, got).where("id = 1 and size(out) > 1000").count() == 0
+
+
 def test_scatter_carries_the_edges(spark, g1_nodes):
     got = {r.id: (r.out, r.rank) for r in rk.pagerank_scatter(
         g1_nodes, rk.adjacency_edges(g1_nodes)).collect()}

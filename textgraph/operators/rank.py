@@ -20,8 +20,8 @@ rank of the present nodes without out-edges.
   those ids get rows once some present node is dangling.
 
 Plan of one iteration (all DataFrame operators, nothing through the
-driver): the node state is hash partitioned by id and checkpointed; the
-edges are laid out once by (src, salt) (:mod:`textgraph.plans.skew`).
+driver): the node state is stored in buckets by id, the edges are laid out once
+in buckets by (src, salt) (:mod:`textgraph.plans.skew`).
 Node values are replicated per salt and exchanged to the edge layout, the
 per-target sums are a partial + final aggregate, joined back to the state
 without moving it.  The dangling mass of a state is observed while that
@@ -37,8 +37,8 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
+from textgraph.plans.buckets import Buckets, write_buckets
 from textgraph.plans.history import History
-from textgraph.plans.lineage import materialize
 from textgraph.plans.skew import (
     DEFAULT_GROUP_EDGES,
     EdgeLayout,
@@ -53,17 +53,21 @@ DEFAULT_ALPHA = 0.1
 
 @dataclass
 class RankGraph:
-    """Prepared inputs of the iteration: laid-out edges, the node state
+    """Prepared inputs of the iteration: laid-out edges, the stored node state
     ``(id, rank, present, in_range, is_target, nsalt, outdeg)`` and the
     dangling mass / count of that state (scalars observed while the state
     was written)."""
     layout: EdgeLayout
-    state: DataFrame
+    held: Buckets
     n: float
     alpha: float
     mass: float = 0.0
     n_dangling: int = 0
 
+    @property
+    def state(self) -> DataFrame:
+        return self.held.frame
+
     def release(self) -> None:
         self.layout.release()
 
@@ -80,7 +84,7 @@ def _edge_multiset(edges: DataFrame, dedupe: bool) -> DataFrame:
 def prepare(rows: DataFrame | None, edges: DataFrame, n: int | None, alpha: float,
             dedupe: bool, share_to_range: bool,
             group_edges: int = DEFAULT_GROUP_EDGES, edge_partitions: int | None = None,
-            durable_edges: bool = False) -> RankGraph:
+            layout_path: str | None = None) -> RankGraph:
     """Build the node state and the edge layout.
 
     ``rows`` is ``(id, rank)`` (adjacency form) or ``None`` (edge-list form:
@@ -90,7 +94,7 @@ def prepare(rows: DataFrame | None, edges: DataFrame, n: int | None, alpha: floa
     spark = edges.sparkSession
     em = _edge_multiset(edges, dedupe)
     layout = salted_layout(em, ["mult"], {"outdeg": F.sum("mult")}, group_edges=group_edges,
-                           partitions=edge_partitions, durable=durable_edges)
+                           partitions=edge_partitions, path=layout_path)
     fan = layout.fanout
 
     no_rank = F.lit(None).cast("double")
@@ -132,30 +136,33 @@ def prepare(rows: DataFrame | None, edges: DataFrame, n: int | None, alpha: floa
         in_range = F.lit(True)
     state = u.select("id", F.when(F.col("present"), start).alias("rank"), "present",
                      in_range.alias("in_range"), "is_target", "nsalt", "outdeg")
-    state, mass, nd = _materialize_observed(state)
+    held, mass, nd = _store_observed(state)
     if cached is not None:
         cached.unpersist()
-    layout.filled()     # the state's job has read the whole layout
-    return RankGraph(layout, state, float(n or 1), float(alpha), mass, nd)
+    return RankGraph(layout, held, float(n or 1), float(alpha), mass, nd)
 
 
 def _contributions(g: RankGraph, state: DataFrame) -> DataFrame:
     """``(dst, c)``: summed rank shares arriving at each target."""
     share = replicate_by_salt(state.where(F.col("present")), "id", "nsalt",
                               [(F.col("rank") / F.col("outdeg")).alias("_s")])
+    # to as many partitions as the layout has, which a later session may set otherwise
+    share = share.repartition(g.layout.partitions, "src", "salt")
     return (share.join(g.layout.edges, ["src", "salt"])
             .groupBy("dst").agg(F.sum(F.col("_s") * F.col("mult")).alias("c")))
 
 
-def _materialize_observed(state: DataFrame):
-    """Checkpoint ``state`` and observe, in the same job, the summed rank
-    and the number of its dangling nodes (present, no out-edge)."""
+def _store_observed(state: DataFrame) -> tuple[Buckets, float, int]:
+    """Stores ``state`` in as many buckets by id as the per-target sums have
+    partitions, and observes, in the same job, the summed
+    rank and the number of its dangling nodes (present, no out-edge)."""
     dangling = F.col("present") & (F.col("nsalt") == 0)
     seen = Observation()
-    out = materialize(state.observe(
+    partitions = int(state.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    out = write_buckets(state.observe(
         seen,
         F.coalesce(F.sum(F.when(dangling, F.col("rank"))), F.lit(0.0)).alias("mass"),
-        F.count(F.when(dangling, F.lit(1))).alias("n_dangling")))
+        F.count(F.when(dangling, F.lit(1))).alias("n_dangling")), ["id"], partitions)
     m = seen.get
     return out, float(m["mass"]), int(m["n_dangling"])
 
@@ -188,21 +195,28 @@ def run(g: RankGraph, iters: int, history: bool = False,
     iteration as parquet in ``iteration=k`` (replacing that folder alone);
     ``resume_from=k`` continues after iteration ``k`` of that path, with the
     result of an uninterrupted run."""
-    state, mass, nd = g.state, g.mass, g.n_dangling
-    kept = History(snapshot_path, ["id", "rank"])
+    held, mass, nd = g.held, g.mass, g.n_dangling
+    kept = History(g.state.sparkSession, snapshot_path, ["id", "rank"], history)
+
+    def follow(state: DataFrame) -> None:
+        nonlocal held, mass, nd
+        before = held
+        held, mass, nd = _store_observed(state)
+        before.delete()
+
     try:
         if resume_from:
-            old = kept.restart(state.sparkSession, resume_from).select(
+            old = kept.restart(held.frame, resume_from).select(
                 F.col("id").alias("_id"), F.col("rank").alias("_rank"))
-            state, mass, nd = _materialize_observed(
-                state.join(old, F.col("id") == F.col("_id"), "left").select(
-                    "id", F.col("_rank").alias("rank"), F.col("_id").isNotNull().alias("present"),
-                    "in_range", "is_target", "nsalt", "outdeg"))
+            follow(held.frame.join(old, F.col("id") == F.col("_id"), "left").select(
+                "id", F.col("_rank").alias("rank"), F.col("_id").isNotNull().alias("present"),
+                "in_range", "is_target", "nsalt", "outdeg"))
         for i in range(resume_from + 1, iters + 1):
-            state, mass, nd = _materialize_observed(step(g, state, mass, nd))
-            kept.add(i, state.where(F.col("present")), history)
+            follow(step(g, held.frame, mass, nd))
+            kept.add(i, held.frame.where(F.col("present")))
     finally:
-        g.release()     # the states are checkpointed, the edges no longer needed
+        g.release()     # the states are stored, the edges no longer needed
+    state = held.frame
     if history:
         return kept.rows(state, iters)
     return state.where(F.col("present")).select("id", "rank")
@@ -216,7 +230,8 @@ def pagerank_edges(edges: DataFrame, iters: int, alpha: float = DEFAULT_ALPHA,
                    history: bool = False, group_edges: int = DEFAULT_GROUP_EDGES,
                    snapshot_path: str | None = None, resume_from: int = 0, **layout_opts) -> DataFrame:
     """Edge-list PageRank: ``edges(src, dst)`` -> ``(id, rank)``.
-    ``layout_opts``: ``edge_partitions``, ``durable_edges``."""
+    ``layout_opts``: ``edge_partitions``, ``layout_path`` (keeps the edge layout
+    there, for this and later applications)."""
     g = prepare(None, edges, None, alpha, dedupe=True, share_to_range=False,
                 group_edges=group_edges, **layout_opts)
     return run(g, iters, history, snapshot_path, resume_from)

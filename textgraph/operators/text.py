@@ -67,10 +67,11 @@ def word_count_with_total(df: DataFrame, text: str = "value",
 
     As in the reference every row emits its own line count under the key
     next to its tokens, so one scan and one shuffle serve both; a real token
-    equal to the key merges with it.
+    equal to the key merges with it.  A null text has no tokens; as a row of a
+    line stream it is a line all the same, as a unit it has none.
     """
-    per_row = F.lit(1).cast("bigint") if rows_are_lines else lines_in(text)
-    counted = df.select(tokens(text).alias("_t"), per_row.alias("_lines"))
+    per_row = F.lit(1).cast("bigint") if rows_are_lines else F.coalesce(lines_in(text), F.lit(0))
+    counted = df.select(F.coalesce(tokens(text), F.array().cast("array<string>")).alias("_t"), per_row.alias("_lines"))
     # the key goes behind a row's tokens and carries its lines, a token carries 1
     each = counted.select(
         F.posexplode(F.concat("_t", F.array(F.lit(LINE_TOTAL_KEY)))).alias("_pos", word), F.size("_t").alias("_n"), "_lines")

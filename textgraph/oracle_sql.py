@@ -13,6 +13,10 @@ from textgraph.workloads import (
     ADJ_ITERS,
     ALPHA,
     EDGE_ITERS,
+    FILE_BLOCK,
+    FILES,
+    HEAVY_WORD,
+    INDEX_FILES,
     LINE_BLOCK,
     LIST_BLOCK,
     POSTING_BLOCK,
@@ -20,6 +24,8 @@ from textgraph.workloads import (
     RANK_UNIT,
     SEARCH_ITERS,
     SEARCH_SOURCE,
+    SPLIT_BYTES,
+    WORD_PARTITIONS,
 )
 
 _TOKENS = r"""
@@ -37,6 +43,48 @@ _POSTINGS = f"""WITH {_TOKENS},
 p AS (SELECT w AS word, doc_id, CAST(count(*) AS BIGINT) AS n
       FROM (SELECT doc_id, unnest(tk) AS w FROM t) GROUP BY w, doc_id)"""
 
+# the documents as files: the line end that each is followed by belongs to the file
+_FILE_TOKENS = rf"""
+f AS (SELECT doc_id, coalesce(text, '') || chr(10) AS text, 'docs-' || lpad(coalesce(doc_id % {FILES}, 0)::VARCHAR, 5, '0') AS file
+      FROM documents),
+ft AS (SELECT file, doc_id, text, list_filter(regexp_split_to_array(text, '[ \t\n\r\f]+'), lambda x: x <> '') AS tk FROM f),
+fw AS (SELECT file, doc_id, text, unnest(generate_series(1, len(tk))) AS pos, unnest(tk) AS word FROM ft)"""
+_MD5_32 = "CAST('0x' || substr(md5(word), 1, 8) AS BIGINT)"
+
+FILE_SQL = {
+    "file_lines": f"""WITH {_FILE_TOKENS}
+SELECT file, sum(strlen(text))::BIGINT AS bytes, ceil(sum(strlen(text)) / {SPLIT_BYTES})::BIGINT AS splits,
+       sum({_LINES_IN})::BIGINT AS n FROM ft GROUP BY file""",
+
+    "file_words": f"""WITH {_FILE_TOKENS}
+SELECT word, file, count(*) AS n FROM fw GROUP BY word, file""",
+
+    "file_bigrams": f"""WITH {_FILE_TOKENS},
+p AS (SELECT word || ' ' || lead(word) OVER (PARTITION BY file ORDER BY doc_id NULLS FIRST, text, pos) AS bigram FROM fw)
+SELECT bigram, count(*) AS n FROM p WHERE bigram IS NOT NULL GROUP BY bigram
+UNION ALL
+SELECT 'zzzzzzzzz Times Map task lanched: ', sum(splits)::BIGINT
+FROM (SELECT ceil(sum(strlen(text)) / {SPLIT_BYTES}) AS splits FROM ft GROUP BY file)""",
+
+    "file_index": f"""WITH {_FILE_TOKENS},
+names AS (SELECT file, row_number() OVER (ORDER BY file) - 1 AS i FROM (SELECT DISTINCT file FROM fw)),
+p AS (SELECT word, file, i, count(*) AS n FROM fw JOIN names USING (file) GROUP BY word, file, i)
+SELECT 'part-r-' || lpad(({_MD5_32} % {INDEX_FILES})::VARCHAR, 5, '0') AS file,
+       word || chr(9) || string_agg(file || ':' || n || ';', '' ORDER BY file) AS value
+FROM p GROUP BY word, i // {FILE_BLOCK}""",
+
+    "word_files": f"""WITH {_TOKENS}
+SELECT w AS word, count(*) AS n, true AS ordered FROM (SELECT unnest(tk) AS w FROM t) GROUP BY w""",
+
+    "word_partitions": f"""WITH {_TOKENS},
+w AS (SELECT doc_id, unnest(tk) AS word FROM t),
+c AS (SELECT word, count(*) AS n, sum(count(*)) OVER ()::DOUBLE * {HEAVY_WORD!r}::DOUBLE AS most FROM w GROUP BY word),
+h AS (SELECT word, CASE WHEN n > most THEN least(ceil(n / most), {WORD_PARTITIONS})::BIGINT ELSE 1 END AS fan FROM c)
+SELECT word, ({_MD5_32} + CAST('0x' || substr(md5(coalesce(doc_id::VARCHAR, '')), 1, 8) AS BIGINT) % fan) % {WORD_PARTITIONS} AS part,
+       count(*) AS n
+FROM w JOIN h USING (word) GROUP BY ALL""",
+}
+
 TEXT_SQL = {
     "tokenize": f"""WITH {_TOKENS}
 SELECT doc_id, CAST(pos AS BIGINT) AS pos, token FROM (
@@ -182,9 +230,15 @@ def _adj_step(k: int) -> str:
              GROUP BY em.dst) c ON c.id = u.id)"""
 
 
-def _adj_sql(final: str) -> str:
+# rows and edges of the parts alone
+_PART_GRAPH = _GRAPH + """,
+pe AS (SELECT * FROM e WHERE src <= (SELECT c FROM pc)),
+pids AS (SELECT p_partkey + 1 AS id FROM part)"""
+
+
+def _adj_sql(final: str, graph: str = _GRAPH, adj: str = _ADJ) -> str:
     steps = ",\n".join(_adj_step(k) for k in range(1, ADJ_ITERS + 1))
-    return f"""WITH {_GRAPH},{_ADJ},
+    return f"""WITH {graph},{adj},
 {steps}
 {final}"""
 
@@ -265,6 +319,13 @@ SELECT round(coalesce(sum(rank), 0), {_R}) AS mass FROM r0 WHERE id NOT IN (SELE
         f"SELECT CAST({k} AS BIGINT) AS iteration, id, round(rank, {_R}) AS rank FROM s{k} WHERE present"
         for k in range(1, ADJ_ITERS + 1))),
     "pagerank_edges": _edge_rank_sql(),
+    "adjacency_blocks": f"""WITH {_GRAPH}
+SELECT id, count(dst) AS targets, max(dst) AS largest, true AS fits FROM ids LEFT JOIN e ON e.src = ids.id GROUP BY id""",
+    "pagerank_files": _adj_sql(f"SELECT id, round(rank, {_R}) AS rank FROM s{ADJ_ITERS} WHERE present"),
+    "implicit_suppliers": f"""WITH {_PART_GRAPH}
+SELECT DISTINCT dst AS id, dst IN (SELECT src FROM e) AS source FROM pe WHERE dst NOT IN (SELECT id FROM pids)""",
+    "pagerank_part_rows": _adj_sql(f"SELECT id, round(rank, {_R}) AS rank FROM s{ADJ_ITERS} WHERE present", _PART_GRAPH,
+                                   _ADJ.replace("FROM e GROUP", "FROM pe GROUP").replace("FROM ids", "FROM pids")),
     "frontier_step": _search(_WEIGHT, 1),
     "frontier_search": _search(_WEIGHT, SEARCH_ITERS),
     "bfs_hops": _search("CAST(1 AS BIGINT)", SEARCH_ITERS),
@@ -291,4 +352,4 @@ FROM (SELECT src, dst, least AS w FROM q UNION ALL SELECT src, dst, most FROM q)
 
 
 def all_sql() -> dict[str, str]:
-    return {**TEXT_SQL, **GRAPH_SQL}
+    return {**TEXT_SQL, **FILE_SQL, **GRAPH_SQL}

@@ -25,7 +25,7 @@ def dense_ordinal(df: DataFrame, col: str, out: str = "ordinal") -> DataFrame:
             .select(col, F.spark_partition_id().alias("_pid"),
                     F.monotonically_increasing_id().alias("_mid")))
     # fixed once, since both uses below must see the same ids
-    keys = materialize(keys, keep_partitioning=False)
+    keys = materialize(keys)
     sizes = keys.groupBy("_pid").agg(F.count(F.lit(1)).alias("_cnt"))
     before = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
     offsets = sizes.select("_pid", F.coalesce(F.sum("_cnt").over(before), F.lit(0)).alias("_off"))

@@ -1,58 +1,22 @@
-"""Cutting lineage in driver-side loops.
-
-Every iteration of an iterative operator is materialised with a reliable
-checkpoint into the session's checkpoint folder, so that a lost executor
-only recomputes work since the last iteration and the plan does not grow
-with the iteration count.  An eager reliable checkpoint computes the frame
-and writes it in one pass, so nothing is persisted around it.
-
-Spark keeps the output partitioning of a checkpointed frame only when the
-checkpoint job is planned without adaptive execution (an adaptive plan does
-not expose its final partitioning before it runs).  Loop state is hash
-partitioned by node id, and keeping that fact lets the next iteration join
-the state with co-partitioned inputs without shuffling it again, so
-``keep_partitioning`` plans just that one job statically.  In that job
-joins are also never turned into broadcasts from size *estimates* (a static
-estimate is no bound on the data); explicit broadcast hints -- used only for
-one-row aggregates -- still apply.
-
-The two settings are changed in the caller's session for the length of that
-job (under a lock of this module), so another thread's queries planned in the
-same session meanwhile are planned statically too; give threads sessions of
-their own (``spark.newSession()``).  Superseded states are deleted by Spark
-when ``spark.cleaner.referenceTracking.cleanCheckpoints`` is on, as in
-``local_session``; set it on a cluster, or the checkpoint folder keeps every
-iteration until it is cleared.
+"""Cutting lineage with reliable checkpoints.
+
+An intermediate result that is read more than once, or that ends a long plan,
+is written to the session's checkpoint folder, so that a lost executor only
+recomputes work since then.  An eager reliable checkpoint computes the frame
+and writes it in one pass, so nothing is persisted around it.  Frames whose
+hash partitioning the next step relies on are stored as buckets instead
+(:mod:`textgraph.plans.buckets`).
 """
 
 from __future__ import annotations
 
-import threading
-
 from pyspark.sql import DataFrame
 
 from textgraph.session import checkpoint_dir
 
-_conf_lock = threading.Lock()
-
 
-def materialize(df: DataFrame, keep_partitioning: bool = True) -> DataFrame:
+def materialize(df: DataFrame) -> DataFrame:
     """Compute ``df`` once, write it to the checkpoint folder and return a
     frame that reads from there."""
-    spark = df.sparkSession
-    checkpoint_dir(spark)
-    if not keep_partitioning:
-        return df.checkpoint(eager=True)
-    static = {"spark.sql.adaptive.enabled": "false", "spark.sql.autoBroadcastJoinThreshold": "-1"}
-    with _conf_lock:
-        before = {k: spark.conf.get(k, None) for k in static}
-        for k, v in static.items():
-            spark.conf.set(k, v)
-        try:
-            return df.checkpoint(eager=True)
-        finally:
-            for k, v in before.items():
-                if v is None:
-                    spark.conf.unset(k)
-                else:
-                    spark.conf.set(k, v)
+    checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)

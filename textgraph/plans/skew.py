@@ -8,12 +8,13 @@ share of all edges would make that join one enormous task, so sources are
 its per-node value is replicated once per salt on the (small) node side.
 Every (source, salt) group then holds about ``group_edges`` edges at most.
 
-The edge table is laid out once, hash partitioned by (src, salt) and kept
-in the cache sorted inside partitions, so iterations only move the node
-side.  The salt counts of hot sources are broadcast to the edges only when
-their number is below ``broadcast_rows`` (checked with a count); beyond it
-they are joined with a shuffle in a checkpoint job of its own that is planned
-adaptively, so that a hot source's side of the join is split.
+The edge table is laid out once, as buckets by (src, salt) in the shared
+folder (:mod:`textgraph.plans.buckets`), so iterations only move the node side,
+whatever the session's settings; a layout with a path of its own is found ready
+by a later application.  The salt counts of hot sources are broadcast to the
+edges only when their number is below ``broadcast_rows`` (checked with a count);
+beyond it they are joined with a shuffle in a checkpoint job of its own that is
+planned adaptively, so that a hot source's side of the join is split.
 """
 
 from __future__ import annotations
@@ -24,6 +25,7 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from textgraph.plans.buckets import Buckets, delete_path, has_spec, open_buckets, shared_path, write_buckets
 from textgraph.plans.lineage import materialize
 
 DEFAULT_GROUP_EDGES = 100_000
@@ -32,21 +34,16 @@ DEFAULT_BROADCAST_ROWS = 1_000_000     # (bigint, int) rows: ~16 MB at most
 
 @dataclass
 class EdgeLayout:
-    edges: DataFrame       # (src, salt, dst, *payload), partitioned by (src, salt)
+    edges: DataFrame       # (src, salt, dst, *payload), in buckets by (src, salt)
     fanout: DataFrame      # (src, nsalt, *per-source aggregates), one row per source
     partitions: int
-    source: DataFrame | None = None   # the cached input, until the layout is filled
-
-    def filled(self) -> None:
-        """The layout has been read once: drop what only its building needed."""
-        self.fanout.unpersist()
-        if self.source is not None:
-            self.source.unpersist()
-            self.source = None
+    path: str
+    keep: bool             # the caller named the path
 
     def release(self) -> None:
-        self.filled()
-        self.edges.unpersist()
+        """Deletes the files, unless the caller named the path."""
+        if not self.keep:
+            delete_path(self.edges.sparkSession, self.path)
 
 
 def source_fanout(edges: DataFrame, per_source: dict | None, group_edges: int) -> DataFrame:
@@ -71,40 +68,43 @@ def with_salt(edges: DataFrame, fanout: DataFrame, cols: list[str],
     side = F.broadcast(hot) if n_hot <= broadcast_rows else hot
     salted = (edges.select(*cols).join(side, "src", "left")
               .select(*cols, F.pmod(F.xxhash64("dst"), F.coalesce("nsalt", F.lit(1))).cast("int").alias("salt")))
-    return salted if n_hot <= broadcast_rows else materialize(salted, keep_partitioning=False)
+    return salted if n_hot <= broadcast_rows else materialize(salted)
 
 
 def salted_layout(edges: DataFrame, payload: list[str], per_source: dict | None = None,
                   group_edges: int = DEFAULT_GROUP_EDGES,
                   broadcast_rows: int = DEFAULT_BROADCAST_ROWS,
-                  partitions: int | None = None, durable: bool = False) -> EdgeLayout:
+                  partitions: int | None = None, path: str | None = None) -> EdgeLayout:
     """``edges`` must hold one row per (src, dst).
 
     ``per_source`` maps output names to aggregate columns computed per
     source along with the target count (e.g. the out-degree).
-    ``partitions`` defaults to ``spark.sql.shuffle.partitions``.  With
-    ``durable`` the layout is written to the checkpoint folder instead of
-    the executors' cache: iterations then read it from shared storage, and
-    a lost executor costs nothing to rebuild (worth it for very large edge
-    tables); its partitioning is kept either way.
+    ``partitions`` defaults to ``spark.sql.shuffle.partitions``.  A ``path`` keeps
+    the layout: if it holds one already, that is opened and ``edges`` is not read
+    (the caller answers for its being of the same edges).
     """
     spark = edges.sparkSession
+    root = path.rstrip("/") if path else shared_path(spark, "edges")
+    own = {"payload": payload, "per_source": sorted(per_source or {})}
+    if path and has_spec(spark, f"{root}/edges"):
+        laid, spec = open_buckets(spark, f"{root}/edges")
+        fanout, _ = open_buckets(spark, f"{root}/fanout")
+        if {k: spec[k] for k in own} != own:
+            raise ValueError(f"{path} holds a layout of another kind: {spec}")
+        return EdgeLayout(laid.frame, fanout.frame, spec["partitions"], root, True)
     if partitions is None:
         partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
     edges = edges.persist(StorageLevel.MEMORY_AND_DISK)   # read by both passes below
-    fanout = source_fanout(edges, per_source, group_edges).persist(StorageLevel.MEMORY_AND_DISK)
-    salted = with_salt(edges, fanout, ["src", "dst", *payload], broadcast_rows)
-    laid = (salted.select("src", "salt", "dst", *payload)
-            .repartition(partitions, "src", "salt")
-            .sortWithinPartitions("src", "salt"))
-    if durable:
-        laid = materialize(laid)
+    try:
+        fanout = write_buckets(source_fanout(edges, per_source, group_edges), ["src"], partitions, f"{root}/fanout",
+                               own if path else None)
+        salted = with_salt(edges, fanout.frame, ["src", "dst", *payload], broadcast_rows)
+        laid: Buckets = write_buckets(
+            salted.select("src", "salt", "dst", *payload).repartition(partitions, "src", "salt"),
+            ["src", "salt"], partitions, f"{root}/edges", own if path else None)
+    finally:
         edges.unpersist()
-        return EdgeLayout(laid, fanout, partitions)
-    laid = laid.persist(StorageLevel.MEMORY_AND_DISK)
-    # the layout's cache is filled by the first job that reads it, from the
-    # cached input; after that job the caller says ``filled``
-    return EdgeLayout(laid, fanout, partitions, edges)
+    return EdgeLayout(laid.frame, fanout.frame, partitions, root, bool(path))
 
 
 def replicate_by_salt(nodes: DataFrame, id_col: str, nsalt_col: str, keep: list[str]) -> DataFrame:

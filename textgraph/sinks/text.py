@@ -1,10 +1,10 @@
 """Text sinks in the reference's output formats.  Parquet is the default
 way to keep results; these give the compatible text.
 
-Each writer is a projection to one string column followed by
-``write.text``; ``num_files`` range-partitions by the key first so every
-file holds a sorted key range (the reference's one file per reducer,
-sorted by key).
+Each writer is a projection to one string column.  Without ``num_files`` Spark
+chooses the files; with it the output is that many named files
+(:mod:`textgraph.sinks.files`), each a sorted range of the key, the ranges
+ascending.
 """
 
 from __future__ import annotations
@@ -13,12 +13,16 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from textgraph.functions.graph import NO_EDGES, UNREACHED, color_name, joined_list
+from textgraph.plans.heavy import HEAVY_SHARE, with_partition
+from textgraph.sinks.files import write_partitions, write_ranges
 
 
 def _write(df: DataFrame, line: Column, key: str, path: str, num_files: int | None,
            mode: str = "errorifexists") -> None:
-    d = df.repartitionByRange(num_files, key) if num_files else df.repartitionByRange(key)
-    d.sortWithinPartitions(key).select(line.alias("value")).write.mode(mode).text(path)
+    if num_files:
+        write_ranges(df, line, [key], path, num_files, mode=mode)
+    else:
+        df.repartitionByRange(key).sortWithinPartitions(key).select(line.alias("value")).write.mode(mode).text(path)
 
 
 def key_value_lines(df: DataFrame, key: str, value: str) -> Column:
@@ -41,10 +45,21 @@ def write_index(df: DataFrame, path: str, num_files: int | None = None,
     """Index text from :func:`inverted_index` rows; a word's blocks are
     written in block order, so its entries stay ascending (a word with
     several blocks gets one line per block)."""
-    d = df.repartitionByRange(num_files, word, "block") if num_files else df.repartitionByRange(word, "block")
-    (d.sortWithinPartitions(word, "block")
-     .select(index_lines(df, word, postings).alias("value"))
-     .write.mode(mode).text(path))
+    line = index_lines(df, word, postings)
+    if num_files:
+        write_ranges(df, line, [word, "block"], path, num_files, mode=mode)
+    else:
+        (df.repartitionByRange(word, "block").sortWithinPartitions(word, "block")
+         .select(line.alias("value")).write.mode(mode).text(path))
+
+
+def write_index_by_word(df: DataFrame, path: str, num_files: int, share: float = HEAVY_SHARE,
+                        word: str = "word", postings: str = "postings", mode: str = "errorifexists") -> None:
+    """Index text partitioned by word: all blocks of a word are in one file, but
+    those of a word that holds more than ``share`` of all blocks are dealt over a
+    bounded number of files by block number.  Every file is sorted by (word, block)."""
+    parted = with_partition(df, word, F.col("block"), num_files, share=share)
+    write_partitions(parted, index_lines(df, word, postings), "part", [word, "block"], path, num_files, mode=mode)
 
 
 def rank_tuple_lines(df: DataFrame) -> Column:

@@ -11,13 +11,31 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from textgraph.functions.text import LINE_TERMINATOR
 
 
-def read_lines(spark: SparkSession, paths: str | Iterable[str]) -> DataFrame:
+def base_name(name: Column) -> Column:
+    """A file name as it is on disk: the scan gives it URI-encoded ("a%20b.txt"), '+' kept."""
+    return F.url_decode(F.replace(name, F.lit("+"), F.lit("%2B")))
+
+
+def _reading_in(spark: SparkSession, split_bytes: int) -> SparkSession:
+    """A session like ``spark`` whose scans cut files every ``split_bytes``; the
+    caller's own settings stay as they are.  A cost of opening a file as high as
+    that keeps Spark from making splits smaller to fill idle cores."""
+    own = spark.newSession()
+    for k, v in spark.conf.getAll.items():
+        if own.conf.isModifiable(k):
+            own.conf.set(k, v)
+    own.conf.set("spark.sql.files.maxPartitionBytes", str(split_bytes))
+    own.conf.set("spark.sql.files.openCostInBytes", str(split_bytes))
+    return own
+
+
+def read_lines(spark: SparkSession, paths: str | Iterable[str], split_bytes: int | None = None) -> DataFrame:
     """``(value, file, file_path, block_start, rid)``.
 
     ``file`` is the base name of the source file (what the reference's
@@ -25,14 +43,15 @@ def read_lines(spark: SparkSession, paths: str | Iterable[str]) -> DataFrame:
     different folders share it), ``file_path`` the full path, and
     ``block_start`` the byte offset of the input split the line was read
     from.  ``rid`` increases with the line's position inside one split.
+    ``split_bytes`` cuts files into splits of that size (by default as the
+    session's settings and cores say).
     """
     if isinstance(paths, str):
         paths = [paths]
-    raw = spark.read.text(list(paths))
+    raw = (_reading_in(spark, split_bytes) if split_bytes else spark).read.text(list(paths))
     return raw.select(
         F.col("value"),
-        # the metadata name is URI-encoded ("a%20b.txt"); decode it, keeping '+'
-        F.url_decode(F.replace(F.col("_metadata.file_name"), F.lit("+"), F.lit("%2B"))).alias("file"),
+        base_name(F.col("_metadata.file_name")).alias("file"),
         F.col("_metadata.file_path").alias("file_path"),
         F.col("_metadata.file_block_start").alias("block_start"),
         F.monotonically_increasing_id().alias("rid"),

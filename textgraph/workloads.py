@@ -8,19 +8,26 @@ sampled, capped or filtered by id.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from textgraph.functions.graph import GRAY, WHITE, color_name
+from textgraph.operators import blocks as bl
+from textgraph.operators import files as fl
 from textgraph.operators import graph as gr
 from textgraph.operators import index as ix
 from textgraph.operators import rank as rk
 from textgraph.operators import search as se
 from textgraph.operators import text as tx
+from textgraph.plans.heavy import with_partition
+from textgraph.session import checkpoint_dir
 from textgraph.sinks import text as sk
+from textgraph.sinks.files import write_partitions
 from textgraph.sources import graph_text as gt
 from textgraph.sources import tables as tb
-from textgraph.sources.lines import lines_of_texts
+from textgraph.sources.lines import lines_of_texts, read_lines
 
 # Parameters of the registered queries (fixed, shared with the SQL oracle).
 POSTING_BLOCK = 256          # documents per posting-list row
@@ -32,6 +39,15 @@ SEARCH_SOURCE = 1            # the node marked GRAY with distance 0
 RANK_DIGITS = 10             # ranks are compared after rounding (sum order differs)
 LINE_BLOCK = 8               # lines per emulated input split (line-stream bigrams)
 LIST_BLOCK = 8               # targets per row of the graph text queries
+FILES = 6                    # text files that the documents are written to
+SPLIT_BYTES = 1 << 16        # input splits that they are read by
+COUNT_FILES = 4              # files of the sorted word counts
+INDEX_FILES = 3              # files of the index, partitioned by word (the reference's run has 3)
+FILE_BLOCK = 2               # files per posting block of that index
+WORD_PARTITIONS = 16         # partitions that words are dealt to
+HEAVY_WORD = 1 / 256         # a word with a larger share of all tokens goes to several
+BLOCK_TARGETS = 16           # targets per row of the blocked adjacency lists
+GRAPH_FILES = 4              # text files that they are written to
 RANK_UNIT = 8                # their ranks are out-degree / 8: exact in text on either engine
 
 
@@ -108,6 +124,63 @@ def q_index_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return idx.select(sk.index_lines(idx).alias("value"))
 
 
+# --- text files ---------------------------------------------------------------
+# The documents as text files in the shared folder: document d in file d modulo
+# FILES, documents in order, each followed by a line end.  The files are read
+# back by byte ranges, as any input would be.
+
+def _shared(spark: SparkSession, name: str) -> str:
+    return f"{checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+def _document_files(spark: SparkSession, sf_dir: str) -> str:
+    docs = tb.table(spark, sf_dir, "documents").select(
+        "doc_id", F.coalesce("text", F.lit("")).alias("text"),
+        F.coalesce(F.pmod("doc_id", F.lit(FILES)), F.lit(0)).cast("int").alias("part"))
+    path = _shared(spark, "document-files")
+    write_partitions(docs, F.col("text"), "part", ["doc_id", "text"], path, FILES, prefix="docs-")
+    return path
+
+
+def q_file_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = _document_files(spark, sf_dir)
+    lines = fl.line_count_files(read_lines(spark, path, SPLIT_BYTES))
+    return (fl.input_splits(spark, path, SPLIT_BYTES).join(lines, "file", "left")
+            .select("file", "bytes", "splits", F.coalesce("n", F.lit(0)).alias("n")))
+
+
+def q_file_words(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fl.word_count_files(read_lines(spark, _document_files(spark, sf_dir), SPLIT_BYTES))
+
+
+def q_file_bigrams(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fl.bigram_count_files(spark, _document_files(spark, sf_dir), SPLIT_BYTES)
+
+
+def q_file_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Text files in, index files out: each line of the index and the file it is in."""
+    posts = ix.term_postings(read_lines(spark, _document_files(spark, sf_dir), SPLIT_BYTES))
+    path = _shared(spark, "index-files")
+    sk.write_index_by_word(ix.inverted_index(posts, block_size=FILE_BLOCK), path, INDEX_FILES)
+    return read_lines(spark, path, SPLIT_BYTES).select("file", "value")
+
+
+def q_word_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The word counts as sorted files of ascending ranges, read back in (file, position) order."""
+    path = _shared(spark, "word-files")
+    sk.write_key_values(tx.word_count(tb.documents(spark, sf_dir), "text"), "word", "n", path, COUNT_FILES)
+    pair = F.split("value", "\t")
+    rows = read_lines(spark, path, SPLIT_BYTES).withColumn("word", pair[0]).withColumn("n", pair[1].cast("bigint"))
+    return fl.with_order_check(rows, "word").select("word", "n", "ordered")
+
+
+def q_word_partitions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Occurrences per word and the partition they are dealt to."""
+    each = tx.tokenize(tb.documents(spark, sf_dir), "text", keep=["doc_id"], token="word")
+    parted = with_partition(each, "word", F.col("doc_id"), WORD_PARTITIONS, share=HEAVY_WORD)
+    return parted.groupBy("word", F.col("part").cast("bigint").alias("part")).agg(F.count(F.lit(1)).alias("n"))
+
+
 TEXT_QUERIES = {
     "tokenize": q_tokenize,
     "word_count": q_word_count,
@@ -123,6 +196,12 @@ TEXT_QUERIES = {
     "postings_sorted": q_postings_sorted,
     "word_count_text": q_word_count_text,
     "index_text": q_index_text,
+    "file_lines": q_file_lines,
+    "file_words": q_file_words,
+    "file_bigrams": q_file_bigrams,
+    "file_index": q_file_index,
+    "word_files": q_word_files,
+    "word_partitions": q_word_partitions,
 }
 
 
@@ -286,6 +365,51 @@ def q_rank_tuple_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ranks.select(sk.rank_tuple_lines(ranks).alias("value"))
 
 
+# Blocked adjacency lists (a node's targets in rows of at most BLOCK_TARGETS).
+
+def _blocks(spark: SparkSession, sf_dir: str):
+    rows, n = _adjacency_rows(spark, sf_dir)
+    return bl.adjacency_blocks(tb.edge_rows(spark, sf_dir), rows, BLOCK_TARGETS), n
+
+
+def q_adjacency_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per node its targets (repeats counted) and whether every block keeps its size."""
+    blocks, _ = _blocks(spark, sf_dir)
+    size = F.coalesce(F.size("out"), F.lit(0))
+    return blocks.groupBy("id").agg(
+        F.sum(F.when(F.col("out").isNull(), 0).otherwise(size)).cast("bigint").alias("targets"),
+        F.max(F.array_max("out")).alias("largest"), F.min(size <= BLOCK_TARGETS).alias("fits"))
+
+
+def q_pagerank_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The graph as adjacency text files of blocks, read back by splits and ranked."""
+    blocks, n = _blocks(spark, sf_dir)
+    path = _shared(spark, "adjacency-files")
+    bl.write_adjacency_blocks(blocks, path, GRAPH_FILES)
+    return _rounded(bl.pagerank_blocks(bl.read_adjacency_blocks(spark, path, SPLIT_BYTES), n, ALPHA, ADJ_ITERS))
+
+
+# The graph of the parts alone: only parts have rows and edges, so suppliers are
+# targets without a row; the nations, with no edge to them here, are neither.
+
+def _part_graph(spark: SparkSession, sf_dir: str):
+    parts, n = tb.part_total(spark, sf_dir), tb.node_total(spark, sf_dir)
+    rows = tb.node_ids(spark, sf_dir).where(F.col("id") <= parts).select("id", F.lit(1.0 / n).alias("rank"))
+    return rows, tb.edge_rows(spark, sf_dir).where(F.col("src") <= parts), n
+
+
+def q_implicit_suppliers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Targets without a row, and whether each has out-edges in the whole graph."""
+    rows, edges, _ = _part_graph(spark, sf_dir)
+    sources = tb.edge_rows(spark, sf_dir).select(F.col("src").alias("id")).distinct().withColumn("source", F.lit(True))
+    return gr.implicit_nodes(rows, edges).join(sources, "id", "left").select("id", F.coalesce("source", F.lit(False)).alias("source"))
+
+
+def q_pagerank_part_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows, edges, n = _part_graph(spark, sf_dir)
+    return _rounded(rk.pagerank_rows(rows, edges, n, ALPHA, ADJ_ITERS))
+
+
 GRAPH_QUERIES = {
     "edge_list": q_edge_list,
     "distinct_edges": q_distinct_edges,
@@ -310,6 +434,10 @@ GRAPH_QUERIES = {
     "search_parse": q_search_parse,
     "first_weight_edges": q_first_weight_edges,
     "rank_tuple_text": q_rank_tuple_text,
+    "adjacency_blocks": q_adjacency_blocks,
+    "pagerank_files": q_pagerank_files,
+    "implicit_suppliers": q_implicit_suppliers,
+    "pagerank_part_rows": q_pagerank_part_rows,
 }
 
 
