@@ -25,7 +25,7 @@ def documents(spark: SparkSession, sf_dir: str, *cols: str) -> DataFrame:
 
 def durable(df: DataFrame) -> DataFrame:
     """``df`` computed once and kept in the shared checkpoint folder."""
-    return materialize(df, keep_partitioning=False)
+    return materialize(df)
 
 
 def held_out(doc_id: Column, folds: int, fold: int) -> Column:
