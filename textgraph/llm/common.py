@@ -82,6 +82,14 @@ def whole_order(df: DataFrame, *cols: str, out: str = "ordinal") -> DataFrame:
             .withColumn(out, F.col("_off") + F.col("_pos")).drop("_pid", "_pos", "_off"))
 
 
+def free_name(columns: list[str], name: str) -> str:
+    """``name``, with underscores in front until no column has it (case aside, as Spark compares names)."""
+    taken = {c.lower() for c in columns}
+    while name.lower() in taken:
+        name = "_" + name
+    return name
+
+
 def small_side(df: DataFrame, most: int) -> DataFrame:
     """``df`` with a broadcast hint if a count finds at most ``most`` rows."""
     return F.broadcast(df) if df.limit(most + 1).count() <= most else df
@@ -101,10 +109,14 @@ def hashed_sample(df: DataFrame, key: Column, most: int, *order: str) -> DataFra
 def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, most: int,
                     folds: int = 5, fold: int = 0) -> DataFrame:
     """``(doc_id, text, y)`` of at most ``most`` labelled rows outside the
-    held-out fold, chosen by a hash of the id.  The bound makes the chosen
-    labels broadcastable, so the texts are not shuffled."""
+    held-out fold, chosen by a hash of the id.  Rows that repeat id and label count
+    once, and an id with several texts gives the one of the smallest hash, so one id
+    can neither crowd the others out nor swell the sample.  The bound makes the
+    chosen labels broadcastable, so only the chosen texts are shuffled."""
     usable = (labels.where(F.col(label).isNotNull() & F.col("doc_id").isNotNull()
                            & ~held_out(F.col("doc_id"), folds, fold))
-              .select("doc_id", F.col(label).cast("int").alias("y")))
+              .select("doc_id", F.col(label).cast("int").alias("y")).distinct())
     chosen = hashed_sample(usable, F.col("doc_id"), most, "doc_id", "y")
-    return docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")
+    met = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")
+    one = met.groupBy("doc_id", "y").agg(F.min(F.struct(F.xxhash64("text").alias("h"), F.col("text").alias("text"))).alias("t"))
+    return one.select("doc_id", "t.text", "y")

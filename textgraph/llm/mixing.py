@@ -24,7 +24,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from textgraph.llm.common import durable, small_side, whole_order, word_total
+from textgraph.llm.common import durable, free_name, small_side, whole_order, word_total
 
 WEIGHTS = (1, 2, 3)        # by the source's place in code-point order, repeating
 MOST = 3                   # no target above this many times its source
@@ -72,16 +72,18 @@ def mix_sources(docs: DataFrame, weights=WEIGHTS, most: int = MOST, seed: str =
     docs = docs.select(*[c for c in docs.columns if c not in fresh])
     sized = docs.withColumn(size, word_total(F.col("text")))
     totals = sized.groupBy("source").agg(F.sum(size).alias("source_size"))
+    met = free_name(sized.columns, "_source")
     targets = durable(source_targets(durable(totals), weights, most)).select(
-        F.col("source").alias("_source"), F.col("source_size").alias(source_size), F.col("target").alias(target))
+        F.col("source").alias(met), F.col("source_size").alias(source_size), F.col("target").alias(target))
     rate = F.when(F.col(source_size) > 0, F.col(target) / F.col(source_size)).otherwise(F.lit(0.0))
     whole = F.floor(rate)
     extra = (draw(F.col("doc_id"), seed) < rate - whole).cast("bigint")
-    return (sized.join(small_side(targets, BROADCAST_SOURCES), F.col("source").eqNullSafe(F.col("_source")))
-            .drop("_source").withColumn(copies, whole + extra).withColumn(taken, F.col(size) * F.col(copies)))
+    return (sized.join(small_side(targets, BROADCAST_SOURCES), F.col("source").eqNullSafe(F.col(met)))
+            .drop(met).withColumn(copies, whole + extra).withColumn(taken, F.col(size) * F.col(copies)))
 
 
 def emit_copies(mixed: DataFrame, copies: str = "copies") -> DataFrame:
     """Each document as often as ``copies`` says."""
+    copy = free_name(mixed.columns, "_copy")
     return (mixed.where(F.col(copies) > 0)
-            .withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("bigint"), F.col(copies)))).drop("_copy"))
+            .withColumn(copy, F.explode(F.sequence(F.lit(1).cast("bigint"), F.col(copies)))).drop(copy))

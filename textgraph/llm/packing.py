@@ -1,8 +1,9 @@
 """Packing token sequences by Karmarkar-Karp multiway differencing.
 
 A document's ids (with an end id) are cut into full windows and one
-remainder.  Full windows are sequences already.  The remainders are dealt by a
-hash into buckets of about ``BUCKET_WINDOWS`` windows of tokens; in a bucket,
+remainder.  Full windows are sequences already and are never grouped.  The
+remainders are dealt by a hash of their place in the input into buckets of about
+``BUCKET_WINDOWS`` windows of tokens, so repeated rows spread as others do; in a bucket,
 differencing spreads them over ``k`` windows: every remainder starts as a
 partial partition of its own, and the two partial partitions of the largest
 imbalance are merged over and over, the fullest windows of one against the
@@ -19,6 +20,9 @@ Defined cases: null and empty texts are the end id alone; repeated rows are
 packed each; null ids are kept; an empty table gives no rows; very long
 texts are encoded in blocks; other columns of ``documents`` are not looked
 at, other columns of pieces travel along.
+
+Pieces carry their ids through the packing, as little-endian unsigned 32-bit
+numbers (binary); ``sequences`` joins them to whole, padded windows.
 """
 
 from __future__ import annotations
@@ -26,7 +30,6 @@ from __future__ import annotations
 import heapq
 import os
 import re
-import zlib
 from collections.abc import Iterable, Iterator
 from itertools import filterfalse
 
@@ -42,9 +45,12 @@ WINDOW = 4096
 END_ID = 2
 BUCKET_WINDOWS = 128
 CACHE = 1_000_000          # words whose ids a worker remembers (about 200 MB)
+LONG_WORD = 256            # bytes; longer words are not remembered
 NEW_WORDS = 20_000         # new words (or texts) that are learned together
+TOGETHER = 32 << 20        # bytes of texts that wait for that
 LINE_WORDS = 1000          # new words encoded as one line
 TOKENIZER = "word_bpe_49k.json"
+_FULL = 1 << 61
 
 # a word that ends in ASCII punctuation is encoded as two: no pattern of the
 # tokenizer's spans a letter followed by punctuation other than an apostrophe
@@ -110,6 +116,7 @@ class WordEncoder:
         of some texts are learned together."""
         waiting: list[list[list[bytes]] | bytes] = []
         new: set[bytes] = set()
+        size = 0
         known = self.known.__contains__
         for text in texts:
             if text and b"<|" in text:
@@ -118,9 +125,10 @@ class WordEncoder:
                 waiting.append(list(word_blocks(text.lower() if text else None)))
                 for block in waiting[-1]:
                     new.update(filterfalse(known, block))
-            if len(new) > NEW_WORDS or len(waiting) > NEW_WORDS:
+            size += len(text or b"")
+            if len(new) > NEW_WORDS or len(waiting) > NEW_WORDS or size > TOGETHER:
                 yield from self._flush(waiting, new)
-                waiting, new = [], set()
+                waiting, new, size = [], set(), 0
         yield from self._flush(waiting, new)
 
     def _flush(self, waiting: list, new: set[bytes]) -> Iterator[bytes]:
@@ -134,6 +142,8 @@ class WordEncoder:
                 yield self._ids([item.decode("utf-8", "replace")])[0].tobytes()
             else:
                 yield b"".join([b"".join(map(ids, block)) for block in item])
+        for w in [w for w in new if len(w) > LONG_WORD]:
+            self.known.pop(w, None)
 
 
 _ENCODERS: dict[str, WordEncoder] = {}
@@ -148,10 +158,9 @@ def _encoder(path: str | None) -> WordEncoder:
     return _ENCODERS[path]
 
 
-def token_pieces(docs: DataFrame, tokenizer: str | None = None, window: int = WINDOW, end_id: int = END_ID,
-                 digest: bool = False) -> DataFrame:
+def token_pieces(docs: DataFrame, tokenizer: str | None = None, window: int = WINDOW, end_id: int = END_ID) -> DataFrame:
     """``(doc_id, start, length, doc_tokens, ids)`` of every piece of at most
-    ``window`` ids; with ``digest`` the column ids_crc32 instead of ids."""
+    ``window`` ids."""
     end = np.array([end_id], "<u4").tobytes()
     kind = docs.schema["doc_id"].dataType.simpleString()
 
@@ -168,16 +177,13 @@ def token_pieces(docs: DataFrame, tokenizer: str | None = None, window: int = WI
                     start.append(a // 4)
                     length.append(len(piece) // 4)
                     total.append(len(ids) // 4)
-                    out.append(zlib.crc32(piece) if digest else np.frombuffer(piece, "<i4"))
+                    out.append(bytes(piece))
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0).take(pa.array(row, pa.int32())), *[pa.array(x, pa.int64()) for x in (start, length, total)],
-                 pa.array(out, pa.int64() if digest else pa.list_(pa.int32()))],
-                ["doc_id", "start", "length", "doc_tokens", "out"])
+                 pa.array(out, pa.binary())], ["doc_id", "start", "length", "doc_tokens", "ids"])
 
-    last = "ids_crc32 bigint" if digest else "ids array<int>"
-    pieces = docs.select("doc_id", "text").mapInArrow(
-        run, f"doc_id {kind}, start bigint, length bigint, doc_tokens bigint, out {last.split()[1]}")
-    return pieces.withColumnRenamed("out", last.split()[0])
+    return docs.select("doc_id", "text").mapInArrow(
+        run, f"doc_id {kind}, start bigint, length bigint, doc_tokens bigint, ids binary")
 
 
 def difference(sizes: list[int], k: int) -> list[list[int]]:
@@ -221,11 +227,9 @@ def difference(sizes: list[int], k: int) -> list[list[int]]:
 
 
 def pack_bucket(lengths: np.ndarray, window: int = WINDOW) -> tuple[np.ndarray, np.ndarray]:
-    """(window number, offset) of each piece of a bucket."""
+    """(window number, offset) of each piece of a bucket, all shorter than a window."""
     number, offset = np.zeros(len(lengths), np.int64), np.zeros(len(lengths), np.int64)
-    full = np.nonzero(lengths >= window)[0]
-    rest = np.nonzero(lengths < window)[0]
-    sizes = [int(x) for x in lengths[rest]]
+    sizes = [int(x) for x in lengths]
     k = -(-sum(sizes) // window)
     parts: list[list[int]] = []
     while sizes:
@@ -236,31 +240,51 @@ def pack_bucket(lengths: np.ndarray, window: int = WINDOW) -> tuple[np.ndarray,
     for j, part in enumerate(parts):
         at = 0
         for i in sorted(part):
-            number[rest[i]], offset[rest[i]] = j, at
+            number[i], offset[i] = j, at
             at += sizes[i]
-    number[full] = len(parts) + np.arange(len(full))
     return number, offset
 
 
 def pack(pieces: DataFrame, window: int = WINDOW, bucket_windows: int = BUCKET_WINDOWS) -> DataFrame:
-    """``pieces`` (doc_id, start, length, ...) plus sequence_id and offset."""
+    """``pieces`` (doc_id, start, length, ...) plus sequence_id and offset.
+    ``pieces`` must give the same rows in the same partitions whenever it is read
+    (a stored frame does): a row is known by its place there."""
     total = pieces.where(F.col("length") < window).agg(F.sum("length")).first()[0] or 0
     buckets = max(1, -(-total // (window * bucket_windows)))
     names = pieces.columns
+    placed = pieces.withColumn("_place", F.monotonically_increasing_id())
 
     def run(key: tuple, rows: pa.Table) -> pa.Table:
-        rows = rows.sort_by([("length", "descending"), ("doc_id", "ascending"), ("start", "ascending")])
+        rows = rows.sort_by([("length", "descending"), ("_place", "ascending")])
         number, offset = pack_bucket(rows.column("length").to_numpy(), window)
         rows = rows.select(names).append_column("sequence_id", pa.array(number * buckets + key[0].as_py()))
         return rows.append_column("offset", pa.array(offset))
 
     schema = T.StructType([*pieces.schema.fields, T.StructField("sequence_id", T.LongType()),
                            T.StructField("offset", T.LongType())])
-    bucket = F.pmod(F.xxhash64("doc_id", "start", "length"), F.lit(buckets))
-    return pieces.withColumn("_bucket", bucket).groupBy("_bucket").applyInArrow(run, schema)
+    bucket = F.pmod(F.xxhash64("_place"), F.lit(buckets))
+    mixed = placed.where(F.col("length") < window).withColumn("_bucket", bucket).groupBy("_bucket").applyInArrow(run, schema)
+    # a full window is a sequence of its own, numbered by its place above all bucket numbers
+    full = placed.where(F.col("length") >= window).select(
+        *names, (F.lit(_FULL) + F.col("_place")).alias("sequence_id"), F.lit(0).cast("bigint").alias("offset"))
+    return mixed.unionByName(full)
 
 
 def pack_documents(docs: DataFrame, tokenizer: str | None = None, window: int = WINDOW) -> DataFrame:
-    """``(doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset)``."""
-    pieces = durable(token_pieces(docs, tokenizer, window, digest=True))
-    return pack(pieces, window).select("doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")
+    """``(doc_id, start, length, ids, doc_tokens, sequence_id, offset)``."""
+    pieces = durable(token_pieces(docs, tokenizer, window))
+    return pack(pieces, window).select("doc_id", "start", "length", "ids", "doc_tokens", "sequence_id", "offset")
+
+
+def sequences(packed: DataFrame, window: int = WINDOW, pad_id: int = 0) -> DataFrame:
+    """``(sequence_id, n_tokens, ids)``: the windows of packed pieces, ``ids`` (binary)
+    padded to ``window`` ids."""
+    pad = np.array([pad_id], "<u4").tobytes()
+
+    def join(key: tuple, rows: pa.Table) -> pa.Table:
+        ids = b"".join(rows.sort_by("offset").column("ids").to_pylist())
+        return pa.table({"sequence_id": [key[0].as_py()], "n_tokens": pa.array([len(ids) // 4], pa.int64()),
+                         "ids": pa.array([ids + pad * (window - len(ids) // 4)], pa.binary())})
+
+    return (packed.select("sequence_id", "offset", "ids").groupBy("sequence_id")
+            .applyInArrow(join, "sequence_id bigint, n_tokens bigint, ids binary"))

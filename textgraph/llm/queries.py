@@ -39,7 +39,8 @@ def op3_simhash_bktree(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_karmarkar_karp_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return packing.pack_documents(documents(spark, sf_dir))
+    return packing.pack_documents(documents(spark, sf_dir)).select(
+        "doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
 
 
 def op5_brown_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -150,8 +151,8 @@ gr AS (SELECT symbols, verdict, n, substr(symbols, e - k + 1, k) AS gram FROM en
 g AS (SELECT gram, substr(gram, 1, length(gram) - 1) AS ctx, sum(CASE WHEN verdict = 'allow' THEN n ELSE 0 END) AS allow,
              sum(CASE WHEN verdict = 'block' THEN n ELSE 0 END) AS block FROM gr GROUP BY gram),
 c0 AS (SELECT ctx, sum(allow) AS c_allow, sum(block) AS c_block FROM g GROUP BY ctx),
-c AS (SELECT * FROM c0 WHERE c_allow + c_block > 0
-      AND (c_allow + c_block) * {urls.CONTEXT_SHARE} >= (SELECT c_allow + c_block FROM c0 WHERE ctx = '')),
+c AS (SELECT c0.* FROM c0, (SELECT c_allow AS t_allow, c_block AS t_block FROM c0 WHERE ctx = '')
+      WHERE c_allow > 0 AND c_allow * {urls.CONTEXT_SHARE} >= t_allow OR c_block > 0 AND c_block * {urls.CONTEXT_SHARE} >= t_block),
 {", ".join(_level(k) for k in range(1, urls.ORDERS + 1))},
 m AS ({" UNION ALL ".join(f"SELECT gram, inc FROM l{k}" for k in range(1, urls.ORDERS + 1))}),
 sums AS (SELECT symbols, sum(inc) AS ratio FROM (SELECT x.symbols, gram FROM (SELECT DISTINCT symbols FROM v) x,

@@ -38,7 +38,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from textgraph.llm.common import durable, small_side, word_blocks
+from textgraph.llm.common import durable, free_name, small_side, word_blocks
 from textgraph.llm.components import connected_components
 
 SHINGLE = 3
@@ -243,11 +243,12 @@ def near_duplicates(docs: DataFrame, n: int = SHINGLE, radius: int = RADIUS, blo
 def representatives(docs: DataFrame, **parameters) -> DataFrame:
     """One row of ``docs`` for each near-duplicate group: the smallest id
     (null last), among rows that share it the smallest text hash, once."""
-    key = ["_did", "_dnull", "_th"]
+    key = [free_name(docs.columns, c) for c in ("_did", "_dnull", "_th")]
+    did, dnull, th = key
     grouped = near_duplicates(docs.select("doc_id", "text"), **parameters)
-    first = F.min(F.struct(F.col("doc_id").isNull().alias("_dnull"), F.coalesce("doc_id", F.lit(0)).alias("_did"),
-                           F.col("th").alias("_th")))
+    first = F.min(F.struct(F.col("doc_id").isNull().alias(dnull), F.coalesce("doc_id", F.lit(0)).alias(did),
+                           F.col("th").alias(th)))
     chosen = grouped.groupBy("component").agg(first.alias("k")).select(*["k." + c for c in key])
-    marked = (docs.withColumn("_did", F.coalesce("doc_id", F.lit(0))).withColumn("_dnull", F.col("doc_id").isNull())
-              .withColumn("_th", F.xxhash64(F.coalesce("text", F.lit("")))))
+    marked = (docs.withColumn(did, F.coalesce("doc_id", F.lit(0))).withColumn(dnull, F.col("doc_id").isNull())
+              .withColumn(th, F.xxhash64(F.coalesce("text", F.lit("")))))
     return marked.join(chosen, key, "left_semi").dropDuplicates(key).drop(*key)

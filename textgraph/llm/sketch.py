@@ -21,7 +21,8 @@ Defined cases: a null text is empty; null ids come first; rows that repeat
 both id and text are one document and get the same result each; rows that
 share an id but not the text are ordered by text hash; a single document is
 its own next; an empty table gives no rows; two texts without words have
-likeness 1, a text without words and any other 0.
+likeness 1, a text without words and any other 0; a very long text costs time
+and memory in proportion to its words; other columns are not read.
 """
 
 from __future__ import annotations
@@ -60,8 +61,10 @@ def with_sketch(docs: DataFrame, text: str = "text", out: str = "sketch", n: int
 
 
 def merge_sketches(df: DataFrame, key: str, sketch: str = "sketch", fraction: float = FRACTION) -> DataFrame:
-    """One sketch per key: that of all its documents together."""
-    each = df.select(key, F.explode(sketch).alias("h")).distinct()
+    """One sketch per key: that of all its documents together.  The sketches are
+    fixed first: Spark moves a filter on their size below an explode, and would
+    compute them again for it."""
+    each = durable(df.select(key, sketch)).select(key, F.explode(sketch).alias("h")).distinct()
     return each.groupBy(key).agg(below_threshold(F.collect_set("h"), fraction).alias(sketch))
 
 

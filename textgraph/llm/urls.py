@@ -2,9 +2,10 @@
 
 Two variable-order Markov models over the URL's characters, one for URLs
 that a rule accepts and one for those that a rule rejects.  A context of
-length k is used where at least one in ``CONTEXT_SHARE`` training symbols
-follows it, so a model holds at most ``CONTEXT_SHARE`` contexts per order
-whatever the input's size -- that is the bound behind its broadcast.  Orders are interpolated:
+length k is used where, in either class, at least one in ``CONTEXT_SHARE`` training
+symbols follows it, so a rare class keeps its own frequent contexts, and a model
+holds at most twice ``CONTEXT_SHARE`` contexts per order whatever the input's
+size -- that is the bound behind its broadcast.  Orders are interpolated:
 
     p_k(c | ctx) = (n(ctx c) + BACKOFF * p_{k-1}(c | shorter ctx)) / (n(ctx) + BACKOFF)
 
@@ -14,12 +15,15 @@ cut lies between the classes' mean scores, weighted by their spreads.
 Everything is DataFrame work: grams are exploded from the *distinct* URLs
 (copies count through their number of rows), counted with map-side
 aggregation, and the score of a URL is the sum of the models' increments
-over its grams.
+over its grams.  A URL is cut into pieces of ``PIECE`` symbols, each with the four
+before it, and its grams are taken from the pieces and summed by a digest of
+its symbols, so a very long URL costs time in proportion to its length.
 
 Defined cases: a null URL or one without ``://`` has empty host and path and
 meets no rule; an empty or null URL is scored by its end symbol alone;
 repeated rows each get a row; without any rule-matched URL every score is 0
-and the verdict is ``allow``.  Other columns of the input are not looked at.
+and the verdict is ``allow``.  Other columns of the input travel along, whatever
+their names; those called as a new one are replaced.
 """
 
 from __future__ import annotations
@@ -27,6 +31,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from textgraph.llm.common import durable, free_name
+
 # (host + path prefix, verdict): fixed by the contract of the query.
 RULES = [("com/", "allow"), ("example.com/en/", "block"), ("www.example.com/en/", "allow"),
          ("net/es/", "block"), ("net/fr/", "block")]
@@ -34,6 +40,7 @@ SYMBOLS = "abcdefghijklmnopqrstuvwxyz0/._?=&%#:+~-*$"   # 0: any digit, *: any o
 ORDERS = 5                 # longest gram: four characters of context
 CONTEXT_SHARE = 1024
 BACKOFF = 5.0
+PIECE = 256                # symbols that grams are cut from at a time
 
 
 def host_of(url: Column) -> Column:
@@ -62,13 +69,21 @@ def symbols_of(url: Column) -> Column:
     return F.concat(F.lit("^" * (ORDERS - 1)), low, F.lit("$"))
 
 
+def pieces(symbols: Column) -> Column:
+    """The symbols in consecutive pieces, each preceded by the context of its
+    first symbol; the padding in front is the first piece's."""
+    body = F.regexp_extract_all(F.substring(symbols, F.lit(ORDERS), F.length(symbols)), F.lit(f"(?s).{{1,{PIECE}}}"), F.lit(0))
+    return F.transform(body, lambda p, i: F.concat(
+        F.when(i > 0, F.right(F.get(body, i - 1), F.lit(ORDERS - 1))).otherwise(F.lit("^" * (ORDERS - 1))), p))
+
+
 def grams(urls: DataFrame, *keep: str) -> DataFrame:
     """One row per position and order: ``(*keep, gram)``; the last character
     of a gram is the symbol, what precedes it the context."""
-    at = urls.select(*keep, "symbols",
-                     F.explode(F.sequence(F.lit(ORDERS), F.length("symbols"))).alias("_end"))
+    cut = urls.select(*keep, F.explode(pieces(F.col("symbols"))).alias("_piece"))
+    at = cut.select(*keep, "_piece", F.explode(F.sequence(F.lit(ORDERS), F.length("_piece"))).alias("_end"))
     return at.select(*keep, F.explode(F.array(*[
-        F.substring(F.col("symbols"), F.col("_end") - F.lit(k - 1), F.lit(k))
+        F.substring(F.col("_piece"), F.col("_end") - F.lit(k - 1), F.lit(k))
         for k in range(1, ORDERS + 1)])).alias("gram"))
 
 
@@ -83,10 +98,11 @@ def ratio_model(urls: DataFrame) -> DataFrame:
                        F.expr("substring(gram, 1, length(gram) - 1)").alias("ctx"),
                        F.expr("substring(gram, 2)").alias("lower")))
     contexts = counted.groupBy("ctx").agg(F.sum("allow").alias("ctx_allow"), F.sum("block").alias("ctx_block"))
-    total = contexts.where(F.col("ctx") == "").select((F.col("ctx_allow") + F.col("ctx_block")).alias("t")).first()
-    total = int(total.t) if total and total.t else 0
-    contexts = contexts.where((F.col("ctx_allow") + F.col("ctx_block") > 0)
-                              & ((F.col("ctx_allow") + F.col("ctx_block")) * CONTEXT_SHARE >= total))
+    totals = contexts.where(F.col("ctx") == "").first()
+    frequent = F.lit(False)
+    for v in ("ctx_allow", "ctx_block"):
+        frequent = frequent | ((F.col(v) > 0) & (F.col(v) * CONTEXT_SHARE >= F.lit(int(totals[v]) if totals else 0)))
+    contexts = contexts.where(frequent)
     counted = counted.join(F.broadcast(contexts), "ctx")
     # suffixes of a frequent context are frequent, so each order finds its lower one
     level = counted.where("k = 1").select("gram", *[
@@ -108,7 +124,6 @@ def ratio_model(urls: DataFrame) -> DataFrame:
 def filter_urls(pages: DataFrame, rules: list[tuple[str, str]] = RULES, url: str = "url") -> DataFrame:
     """``pages`` plus host, path, rule, verdict and score (the length-normalised
     log-ratio above its cut; null where a rule decides)."""
-    from textgraph.llm.common import durable
     verdict = F.lit(None).cast("string")
     for rule, says in rules:
         verdict = F.when(F.col("rule") == rule, F.lit(says)).otherwise(verdict)
@@ -116,12 +131,13 @@ def filter_urls(pages: DataFrame, rules: list[tuple[str, str]] = RULES, url: str
                 .select("_url", "n", host_of(F.col("_url")).alias("host"), path_of(F.col("_url")).alias("path"))
                 .withColumn("rule", rule_of(F.col("host"), F.col("path"), rules))
                 .withColumn("verdict", verdict)
-                .withColumn("symbols", symbols_of(F.col("_url"))))
+                .withColumn("symbols", symbols_of(F.col("_url")))
+                .withColumn("digest", F.md5(F.col("symbols").cast("binary"))))
     distinct = durable(distinct)
     model = durable(ratio_model(distinct.select("symbols", "verdict", "n")))
-    sums = (grams(distinct.select("symbols").distinct(), "symbols")
-            .join(F.broadcast(model), "gram").groupBy("symbols").agg(F.sum("inc").alias("ratio")))
-    scored = durable(distinct.join(sums, "symbols", "left").withColumn(
+    sums = (grams(distinct.dropDuplicates(["digest"]).select("digest", "symbols"), "digest")
+            .join(F.broadcast(model), "gram").groupBy("digest").agg(F.sum("inc").alias("ratio")))
+    scored = durable(distinct.join(sums, "digest", "left").withColumn(
         "mean", F.coalesce("ratio", F.lit(0.0)) / (F.length("symbols") - (ORDERS - 1))))
     moments = {r.verdict: r for r in scored.where("verdict is not null").groupBy("verdict").agg(
         (F.sum(F.col("mean") * F.col("n")) / F.sum("n")).alias("mu"),
@@ -131,11 +147,13 @@ def filter_urls(pages: DataFrame, rules: list[tuple[str, str]] = RULES, url: str
         (am, asd), (bm, bsd) = [(r.mu, max(r.sq - r.mu * r.mu, 1e-12) ** 0.5)
                                 for r in (moments["allow"], moments["block"])]
         cut = (am * bsd + bm * asd) / (asd + bsd)
-    judged = scored.select(
-        "_url", F.col("host").alias("_host"), F.col("path").alias("_path"), F.col("rule").alias("_rule"),
-        F.coalesce("verdict", F.when(F.col("mean") >= cut, "allow").otherwise("block")).alias("_verdict"),
-        F.when(F.col("rule").isNull(), F.round(F.col("mean") - cut, 6)).alias("_score"))
     fresh = ["host", "path", "rule", "verdict", "score"]
     kept = [c for c in pages.columns if c not in fresh]
-    return (pages.select(*kept).join(judged, F.col(url).eqNullSafe(F.col("_url")))
-            .select(*kept, *[F.col("_" + c).alias(c) for c in fresh]))
+    new = {c: free_name(pages.columns, "_" + c) for c in ["url", *fresh]}
+    judged = scored.select(
+        F.col("_url").alias(new["url"]), F.col("host").alias(new["host"]), F.col("path").alias(new["path"]),
+        F.col("rule").alias(new["rule"]),
+        F.coalesce("verdict", F.when(F.col("mean") >= cut, "allow").otherwise("block")).alias(new["verdict"]),
+        F.when(F.col("rule").isNull(), F.round(F.col("mean") - cut, 6)).alias(new["score"]))
+    return (pages.select(*kept).join(judged, F.col(url).eqNullSafe(F.col(new["url"])))
+            .select(*kept, *[F.col(new[c]).alias(c) for c in fresh]))
