@@ -49,6 +49,7 @@ from textgraph.llm.common import durable, held_out, word_blocks
 
 HEAD = 2048
 HEAD_ROOT = 16             # or so many times the cube root of the vocabulary
+CELLS = 1 << 24            # of the matrix of unit bigrams that one task exchanges, at most
 BUCKETS = 511
 ATTESTED = 4               # occurrences from which a word gets a class of its own choice
 COMMON = 65_536
@@ -57,6 +58,7 @@ SWEEPS = 8
 PULL = 10.0                # weight of class frequencies in a transition
 FOLDS, FOLD = 7, 2
 FLUSH = 400_000            # distinct words a counter holds before it is emitted
+UNITS = 1_500_000          # units whose bigrams are counted together
 _CACHE = 500_000
 
 
@@ -173,7 +175,7 @@ def unit_bigrams(texts: DataFrame, head: list[bytes], buckets: int) -> DataFrame
                 if text is not StopIteration:
                     pending.append(units.of(text))
                     count += len(pending[-1])
-                if pending[1:] and (count > 4_000_000 or text is StopIteration):
+                if pending[1:] and (count > UNITS or text is StopIteration):
                     line = np.concatenate(pending).astype(np.int64)
                     ids, n = np.unique(line[:-1] * size + line[1:], return_counts=True)
                     yield pa.RecordBatch.from_arrays([pa.array(ids // size), pa.array(ids % size), pa.array(n)],
@@ -424,14 +426,18 @@ def score_texts(docs: DataFrame, learn: DataFrame, head: int | None = None, buck
     row = counts.agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("v")).first()
     tokens, vocabulary = (row.n or 0) + ends, row.v + (ends > 0)
     top = most_frequent(counts, common)
-    heads = [w for w, _ in top[:max(HEAD, int(HEAD_ROOT * vocabulary ** (1 / 3))) if head is None else head]]
+    most = min(max(HEAD, int(HEAD_ROOT * vocabulary ** (1 / 3))), int(CELLS ** 0.5) - buckets - 1)
+    heads = [w for w, _ in top[:most if head is None else head]]
     units = Units(heads, buckets)
 
     cls, grid = cluster(unit_bigrams(learn, heads, buckets), units.end + 1, classes)
-    seeds = spark.createDataFrame([(w, n, int(c)) for (w, n), c in zip(top[:len(heads)], cls)], "word binary, n bigint, cls int")
+    # Arrow tables: a frame of Python rows would start a second set of Python workers
+    seeds = spark.createDataFrame(pa.table({
+        "word": pa.array(heads, pa.binary()), "n": pa.array([n for _, n in top[:len(heads)]], pa.int64()),
+        "cls": pa.array(cls[:len(heads)], pa.int32())}))
     words = durable(assign(word_contexts(learn, heads, buckets, cls, classes), cls, grid, len(heads), buckets, attested)
                     .unionByName(seeds))
-    names = spark.createDataFrame([(w,) for w, _ in top], "word binary")
+    names = spark.createDataFrame(pa.table({"word": pa.array([w for w, _ in top], pa.binary())}))
     class_of = {bytes(r.word): r.cls for r in words.join(F.broadcast(names), "word").select("word", "cls").collect()}
     class_of = {w: class_of[w] for w, _ in top}
     grid = class_bigrams(learn, words, class_of, classes)
