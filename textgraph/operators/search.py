@@ -20,7 +20,7 @@ the graph.  As distances only fall and colours only darken, the versions of a
 node merge by ``min`` and ``max`` in any order.  A lookup of few nodes filters the
 base by their ids, which reads only their buckets; other lookups join the base by
 its buckets, without exchanging it.  Every ``COMPACT_ROUNDS`` iterations, or when
-they outweigh a quarter of the base, the changes are merged into a new base.  The
+they are more rows than the base, the changes are merged into a new base.  The
 loop stops early once no GRAY node is left (the remaining iterations would
 change nothing).
 """
@@ -222,7 +222,7 @@ def frontier_search(state: DataFrame, edges: DataFrame, iters: int, early_stop:
         for i in range(resume_from + 1, iters + 1):
             if states.gray:      # else nothing changes any more
                 _advance(layout, states, i)
-                if i < iters and (len(states.pending) >= COMPACT_ROUNDS or states.changed > max(states.rows // 4, FEW_NODES)):
+                if i < iters and (len(states.pending) >= COMPACT_ROUNDS or states.changed > max(states.rows, FEW_NODES)):
                     states.compact(keep_first=log)
             elif early_stop and not snapshot_path:
                 break
