@@ -31,7 +31,8 @@ document when scoring, by a second join with the table when training.
 Defined cases: null and empty texts are one end token; a null id is never
 held out; repeated rows are scored each (training counts each); an empty
 table gives no rows; without training documents every count is zero; very long
-texts are read in blocks.
+texts are read in blocks, very long words are not remembered; other columns are not
+read.
 """
 
 from __future__ import annotations
@@ -45,7 +46,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from textgraph.llm.common import durable, held_out, word_blocks
+from textgraph.llm.common import LONG_WORD, durable, held_out, word_blocks
 
 HEAD = 2048
 HEAD_ROOT = 16             # or so many times the cube root of the vocabulary
@@ -147,7 +148,8 @@ class Units(dict):
         if len(self) >= _CACHE:
             self.clear()
             self.update((w, i) for i, w in enumerate(self.fixed))
-        self[word] = unit
+        if len(word) <= LONG_WORD:
+            self[word] = unit
         return unit
 
     @property

@@ -16,6 +16,7 @@ from textgraph.sources.tables import table
 
 WORD_GAP = r"[ \t\n\x0B\f\r]+"
 _SPACES = " \t\n\x0b\x0c\r"
+LONG_WORD = 256             # bytes (or signs); what a worker remembers of words leaves longer ones out
 _LOW_BITS = (1 << 33) - 1   # monotonically_increasing_id: partition << 33 | row
 
 

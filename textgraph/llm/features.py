@@ -17,7 +17,7 @@ from collections.abc import Iterable
 
 import numpy as np
 
-from textgraph.llm.common import word_blocks
+from textgraph.llm.common import LONG_WORD, word_blocks
 
 BITS = 18
 CACHE = 300_000            # words whose hashes a worker remembers
@@ -37,7 +37,8 @@ class _WordHashes(dict):
         value = zlib.crc32(word.lower()) << 32 | zlib.crc32(shape)
         if len(self) >= CACHE:
             self.clear()
-        self[word] = value
+        if len(word) <= LONG_WORD:
+            self[word] = value
         return value
 
 

@@ -39,13 +39,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from textgraph.llm.common import durable, word_blocks
+from textgraph.llm.common import LONG_WORD, durable, word_blocks
 
 WINDOW = 4096
 END_ID = 2
 BUCKET_WINDOWS = 128
 CACHE = 1_000_000          # words whose ids a worker remembers (about 200 MB)
-LONG_WORD = 256            # bytes; longer words are not remembered
 NEW_WORDS = 20_000         # new words (or texts) that are learned together
 TOGETHER = 32 << 20        # bytes of texts that wait for that
 LINE_WORDS = 1000          # new words encoded as one line

@@ -19,7 +19,7 @@ Defined cases: vectors that are null, zero or hold null or non-finite
 components, and rows with a null label, link with nothing and are their own
 component; null ids link but name no component; vectors of different length are
 never compared; repeated rows link with one another; an empty table gives no
-rows.
+rows; other columns are not read.
 """
 
 from __future__ import annotations

@@ -9,9 +9,10 @@ weight vector, ``4 << BITS`` bytes whatever the input.  Scoring is one pass
 over the documents without a shuffle.  Only the text is an input.
 
 Defined cases: a null or empty text has no features and the score of the
-bias alone; without any labelled row the score is 0.5; repeated labels of a
-document are examples each; null labels are not examples; an empty table
-gives no rows; ``score_quality`` passes any other columns through (name
+bias alone; without any labelled row the score is 0.5; a label repeated counts
+once, both labels of a document count, and of an id with several texts the one of the
+smallest hash is the example; null labels are not examples; an empty table gives no
+rows; a very long text is featurised in blocks of words; ``score_quality`` passes any other columns through (name
 the score otherwise where one of them is called ``score``).
 """
 

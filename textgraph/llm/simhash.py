@@ -24,7 +24,8 @@ all pairs; ``connected_components`` joins the shards' results.
 Defined cases: a null or empty text has fingerprint zero and is linked like
 any other; null ids link but name no component (a component of null ids only
 has a null component_id); repeated rows share their result; an empty table
-gives no rows; very long texts are hashed in blocks of about a megabyte.
+gives no rows; very long texts are hashed in blocks of about a megabyte; other
+columns are kept, whatever their names.
 """
 
 from __future__ import annotations

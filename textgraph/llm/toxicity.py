@@ -22,7 +22,10 @@ shuffle; what is broadcast is at most ``FEATURES`` weighted strings.
 
 Defined cases: null and empty texts have severity of the thresholds alone
 (clean); without labels, or without both classes among them, every severity
-is 0; repeated labels are examples each; an empty table gives no rows.
+is 0; of an id with several texts the one of the smallest hash is an example, a
+label repeated counts once, both labels count; an empty table gives no rows; a very
+long text is scored word by word; other columns pass through (name the scores
+otherwise where one is called as they are).
 """
 
 from __future__ import annotations
@@ -38,7 +41,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from textgraph.llm.common import durable, held_out, labelled_sample
+from textgraph.llm.common import LONG_WORD, durable, held_out, labelled_sample
 from textgraph.llm.features import sigmoid
 
 SAMPLE = 20_000
@@ -77,7 +80,8 @@ class _Scores(dict):
         value = sum(self.weights.get(f, 0.0) for f in word_features(word))
         if len(self) >= CACHE:
             self.clear()
-        self[word] = value
+        if len(word) <= LONG_WORD:
+            self[word] = value
         return value
 
 
