@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from textgraph.functions.graph import NO_EDGES, UNREACHED, color_name, joined_list
 from textgraph.plans.heavy import HEAVY_SHARE, with_partition
+from textgraph.plans.lineage import materialize
 from textgraph.sinks.files import write_partitions, write_ranges
 
 
@@ -57,7 +58,9 @@ def write_index_by_word(df: DataFrame, path: str, num_files: int, share: float =
                         word: str = "word", postings: str = "postings", mode: str = "errorifexists") -> None:
     """Index text partitioned by word: all blocks of a word are in one file, but
     those of a word that holds more than ``share`` of all blocks are dealt over a
-    bounded number of files by block number.  Every file is sorted by (word, block)."""
+    bounded number of files by block number.  Every file is sorted by (word, block).
+    The blocks are stored first, as they are read for the heavy words and for the files."""
+    df = materialize(df)
     parted = with_partition(df, word, F.col("block"), num_files, share=share)
     write_partitions(parted, index_lines(df, word, postings), "part", [word, "block"], path, num_files, mode=mode)
 

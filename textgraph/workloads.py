@@ -22,6 +22,7 @@ from textgraph.operators import rank as rk
 from textgraph.operators import search as se
 from textgraph.operators import text as tx
 from textgraph.plans.heavy import with_partition
+from textgraph.plans.lineage import materialize
 from textgraph.session import checkpoint_dir
 from textgraph.sinks import text as sk
 from textgraph.sinks.files import write_partitions
@@ -159,7 +160,8 @@ def q_file_bigrams(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def q_file_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Text files in, index files out: each line of the index and the file it is in."""
-    posts = ix.term_postings(read_lines(spark, _document_files(spark, sf_dir), SPLIT_BYTES))
+    # stored, as the index reads them twice
+    posts = materialize(ix.term_postings(read_lines(spark, _document_files(spark, sf_dir), SPLIT_BYTES)))
     path = _shared(spark, "index-files")
     sk.write_index_by_word(ix.inverted_index(posts, block_size=FILE_BLOCK), path, INDEX_FILES)
     return read_lines(spark, path, SPLIT_BYTES).select("file", "value")
