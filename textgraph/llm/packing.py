@@ -37,7 +37,6 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from textgraph.llm.common import LONG_WORD, durable, word_blocks
 
@@ -256,13 +255,14 @@ def pack(pieces: DataFrame, window: int = WINDOW, bucket_windows: int = BUCKET_W
     def run(key: tuple, rows: pa.Table) -> pa.Table:
         rows = rows.sort_by([("length", "descending"), ("_place", "ascending")])
         number, offset = pack_bucket(rows.column("length").to_numpy(), window)
-        rows = rows.select(names).append_column("sequence_id", pa.array(number * buckets + key[0].as_py()))
-        return rows.append_column("offset", pa.array(offset))
+        return pa.table({"_place": rows.column("_place"), "sequence_id": number * buckets + key[0].as_py(), "offset": offset})
 
-    schema = T.StructType([*pieces.schema.fields, T.StructField("sequence_id", T.LongType()),
-                           T.StructField("offset", T.LongType())])
+    # only places and lengths are grouped; ids meet their place by a join, without a sort
+    short = placed.where(F.col("length") < window)
     bucket = F.pmod(F.xxhash64("_place"), F.lit(buckets))
-    mixed = placed.where(F.col("length") < window).withColumn("_bucket", bucket).groupBy("_bucket").applyInArrow(run, schema)
+    numbered = (short.select("_place", "length", bucket.alias("_bucket")).groupBy("_bucket")
+                .applyInArrow(run, "_place bigint, sequence_id bigint, offset bigint"))
+    mixed = short.join(numbered.hint("shuffle_hash"), "_place").select(*names, "sequence_id", "offset")
     # a full window is a sequence of its own, numbered by its place above all bucket numbers
     full = placed.where(F.col("length") >= window).select(
         *names, (F.lit(_FULL) + F.col("_place")).alias("sequence_id"), F.lit(0).cast("bigint").alias("offset"))
