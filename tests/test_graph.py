@@ -491,6 +491,7 @@ def test_hot_sources_beyond_the_broadcast_bound(spark):
 
 
 def test_nothing_is_cached_during_the_loop(spark, g1_edges):
+    g1_edges.count()                # the fixture's own cache
     before = spark.sparkContext._jsc.getPersistentRDDs().size()
     g = rk.prepare(None, g1_edges, None, 0.1, dedupe=True, share_to_range=False)
     try:

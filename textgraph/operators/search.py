@@ -70,11 +70,12 @@ class NodeStates:
         return rows.where(F.col("color") == GRAY).select("id", "dist", "nsalt")
 
     def changes(self, iterations: list[int] | None = None) -> DataFrame:
-        """``(iteration, *state)`` of the given iterations, one scan pruned to them."""
+        """``(*state, iteration)`` of the given iterations (all by default), one scan; only
+        their folders are listed."""
         like = self.base.frame.schema
         schema = StructType([*[StructField(c, like[c].dataType) for c in _STATE], StructField("iteration", IntegerType())])
-        table = self.base.frame.sparkSession.read.schema(schema).parquet(self.folder)
-        return table if iterations is None else table.where(F.col("iteration").isin(iterations))
+        paths = [self.folder] if iterations is None else [f"{self.folder}/iteration={i}" for i in iterations]
+        return self.base.frame.sparkSession.read.option("basePath", self.folder).schema(schema).parquet(*paths)
 
     def _recent(self) -> DataFrame:
         return self.changes(self.pending).groupBy("id").agg(
