@@ -6,7 +6,7 @@ A *word* is a maximal run of bytes other than ASCII white space (``\\x20``,
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -17,9 +17,22 @@ from textgraph.sources.tables import table
 WORD_GAP = r"[ \t\n\x0B\f\r]+"
 _SPACES = " \t\n\x0b\x0c\r"
 LONG_WORD = 256             # bytes (or signs); what a worker remembers of words leaves longer ones out
+SAMPLE_PARTITIONS = 64      # of the labelled rows that a model is learned from
 _LOW_BITS = (1 << 33) - 1   # monotonically_increasing_id: partition << 33 | row
 
 
+_remembered: dict = {}
+
+
+def remember_for(operator: str, forget: Callable[[], None]) -> None:
+    """To be called as a task begins that remembers words beyond its end: what the
+    worker process still remembers for another operator is dropped, so workers that
+    live through several stages hold the words of one."""
+    if _remembered.get("operator", operator) != operator:
+        _remembered["forget"]()
+    _remembered.update(operator=operator, forget=forget)
+
+
 def documents(spark: SparkSession, sf_dir: str, *cols: str) -> DataFrame:
     return table(spark, sf_dir, "documents").select(*(cols or ("doc_id", "text")))
 
@@ -120,4 +133,5 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, most: int,
     chosen = hashed_sample(usable, F.col("doc_id"), most, "doc_id", "y")
     met = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")
     one = met.groupBy("doc_id", "y").agg(F.min(F.struct(F.xxhash64("text").alias("h"), F.col("text").alias("text"))).alias("t"))
-    return one.select("doc_id", "t.text", "y")
+    # in small partitions whatever the session coalesces, as the texts become many features in a worker
+    return one.select("doc_id", "t.text", "y").repartition(SAMPLE_PARTITIONS, "doc_id")

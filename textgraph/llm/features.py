@@ -17,7 +17,7 @@ from collections.abc import Iterable
 
 import numpy as np
 
-from textgraph.llm.common import LONG_WORD, word_blocks
+from textgraph.llm.common import LONG_WORD, remember_for, word_blocks
 
 BITS = 18
 CACHE = 300_000            # words whose hashes a worker remembers
@@ -45,6 +45,10 @@ class _WordHashes(dict):
 _HASHES = _WordHashes()
 
 
+def begin_task() -> None:
+    remember_for("features", _HASHES.clear)
+
+
 def _pairs(h: np.ndarray) -> np.ndarray:
     return (h[:-1] * _MIX) ^ (h[1:] + (h[:-1] >> np.uint64(7)))
 

@@ -38,7 +38,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from textgraph.llm.common import LONG_WORD, durable, word_blocks
+from textgraph.llm.common import LONG_WORD, durable, remember_for, word_blocks
 
 WINDOW = 4096
 END_ID = 2
@@ -151,6 +151,7 @@ def _encoder(path: str | None) -> WordEncoder:
     if path is None:
         import public_tokenizers
         path = public_tokenizers.path(TOKENIZER)
+    remember_for("packing", _ENCODERS.clear)
     if path not in _ENCODERS:
         _ENCODERS[path] = WordEncoder(path)
     return _ENCODERS[path]

@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from textgraph.llm.common import held_out, labelled_sample
-from textgraph.llm.features import BITS, FollowTheLeader, sigmoid, text_features
+from textgraph.llm.features import BITS, FollowTheLeader, begin_task, sigmoid, text_features
 
 SAMPLE = 20_000
 PASSES = 2
@@ -40,6 +40,7 @@ def train(docs: DataFrame, labels: DataFrame, most: int = SAMPLE) -> np.ndarray:
     sample = labelled_sample(docs, labels, "quality", most, FOLDS, FOLD)
 
     def featurise(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        begin_task()
         for batch in batches:
             found = [text_features(t.as_py()) for t in batch.column(1)]
             yield pa.RecordBatch.from_arrays(
@@ -67,6 +68,7 @@ def score_quality(docs: DataFrame, weights: np.ndarray, keep: list[str], out: st
     at = columns.index("text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        begin_task()
         w = shared.value
         for batch in batches:
             scores = np.empty(batch.num_rows)

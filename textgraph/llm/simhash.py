@@ -39,7 +39,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from textgraph.llm.common import durable, free_name, small_side, word_blocks
+from textgraph.llm.common import durable, free_name, remember_for, small_side, word_blocks
 from textgraph.llm.components import connected_components
 
 SHINGLE = 3
@@ -71,6 +71,7 @@ def simhash(text: bytes | None, n: int = SHINGLE) -> int:
 def fingerprints(docs: DataFrame, n: int = SHINGLE) -> DataFrame:
     """``(doc_id, th, fp)``: a hash of the text, and its fingerprint as a signed bigint."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        remember_for("simhash", dict)
         for batch in batches:
             fps = np.array([simhash(t.as_py(), n) for t in batch.column(2)], "<u8").view("<i8")
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(fps, pa.int64())],

@@ -41,7 +41,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from textgraph.llm.common import LONG_WORD, durable, held_out, labelled_sample
+from textgraph.llm.common import LONG_WORD, durable, held_out, labelled_sample, remember_for
 from textgraph.llm.features import sigmoid
 
 SAMPLE = 20_000
@@ -120,6 +120,7 @@ def fit_ordinal(rows: list[tuple[int, np.ndarray, np.ndarray]], size: int, round
 def train(docs: DataFrame, labels: DataFrame, most: int = SAMPLE) -> dict:
     """``{"weights": {feature: weight}, "thresholds": [...]}``."""
     def words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        remember_for("toxicity", dict)
         for batch in batches:
             found = [sorted(letter_words(t.as_py())) for t in batch.column(1)]
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), pa.array(found, pa.list_(pa.string()))],
@@ -188,6 +189,7 @@ def score_toxicity(docs: DataFrame, model: dict, keep: list[str],
     at = columns.index("text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        remember_for("toxicity", dict)
         scores, t = _Scores(shared.value["weights"]), np.array(shared.value["thresholds"])
         for batch in batches:
             s = np.array([sum(map(scores.__getitem__, letter_words(x.as_py()))) for x in batch.column(at)], float)
