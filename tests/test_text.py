@@ -4,10 +4,10 @@ independently from the data) and on small synthetic inputs."""
 import pytest
 from pyspark.sql import functions as F
 
-from textgraph.functions.text import LINE_TOTAL_KEY, SPLIT_TOTAL_KEY
+from textgraph.functions.text import LINE_TOTAL_KEY, SPLIT_TOTAL_KEY, first_token_of, last_token_of
 from textgraph.operators import index as ix
 from textgraph.operators import text as tx
-from textgraph.sources.lines import read_lines
+from textgraph.sources.lines import lines_of_texts, read_lines
 
 GOLDEN = {
     # folder: lines, tokens, distinct words, bigrams total, bigrams distinct, (word,file) rows, files
@@ -204,7 +204,7 @@ def test_null_units_are_left_out_on_both_paths(spark):
 
 def test_line_bigrams_have_one_window_over_lines(spark, tmp_path):
     from textgraph.operators import text as tx
-    from textgraph.sources.lines import read_lines
+    from textgraph.sources.lines import lines_of_texts, read_lines
     for i in range(3):
         (tmp_path / f"f{i}").write_text("a b\nc\n\nd e f\n")
     df = tx.bigram_count_lines(read_lines(spark, str(tmp_path)))
@@ -218,3 +218,46 @@ def test_tokens_are_compiled(spark):
     from textgraph.operators import text as tx
     plan = tx.word_count(spark.range(1).select(F.lit("a b").alias("value"), "id"))._jdf.queryExecution().optimizedPlan().toString()
     assert "lambda" not in plan
+
+
+def test_splits_are_counted_where_their_end_tokens_meet(spark):
+    rows = [("f", 0, 0, "a b"), ("f", 0, 1, ""), ("f", 0, 2, "\tc"), ("f", 1, 3, " "), ("f", 1, 4, ""), ("f", 2, 5, "d"),
+            ("g", 0, 0, ""), ("g", 1, 1, "e\x0bf "), ("g", 2, 2, None), ("g", 3, 3, "h\fi"), (None, 0, 0, "x y"), ("h", None, 0, "z")]
+    lines = spark.createDataFrame(rows, "file_path string, block_start bigint, rid bigint, value string")
+    pairs = {"a b": 1, "b c": 1, "c d": 1, "e\x0bf h": 1, "h i": 1, "x y": 1}
+    got = tx.bigram_count_lines_with_total(lines)
+    total = "zzzzzzzzz Times Map task lanched: "
+    assert {r.bigram: r.n for r in got.collect()} == {**pairs, total: 7}      # blank splits too, none without a name
+    assert {r.bigram: r.n for r in tx.bigram_count_lines(lines).collect()} == pairs
+    assert [tuple(r) for r in tx.bigram_count_lines_with_total(lines.limit(0)).collect()] == [(total, 0)]
+
+
+def test_lines_are_split_once_for_pairs_and_once_for_their_ends(spark):
+    docs = spark.createDataFrame([(1, "a b\nc"), (2, "")], "doc_id bigint, text string").repartition(2)
+    lines = lines_of_texts(docs, "text", keep=["doc_id"]).withColumn("split", F.floor(F.col("line_no") / 8))
+    counted = tx.bigram_count_lines_with_total(lines, "value", "doc_id", "split", "line_no")
+    was = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        plan = counted.select("*")._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", was)
+    assert plan.count("posexplode(") == 2                                     # was 4
+    assert {r.bigram: r.n for r in counted.collect()} == {"a b": 1, "b c": 1, "zzzzzzzzz Times Map task lanched: ": 1}
+
+
+def test_only_line_ends_close_a_text(spark):
+    texts = ["", "\n", "a", "a\n", "a\r\n", "a\r", "a\n\n", "a\r\n\r\nb", "\r\r\n", "a\n ", "é\r\nü\n"]
+    want = [[], [""], ["a"], ["a"], ["a"], ["a"], ["a", ""], ["a", "", "b"], ["", ""], ["a", " "], ["é", "ü"]]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate([*texts, None])], "i int, text string")
+    got = {}
+    for r in lines_of_texts(df, keep=["i"]).collect():
+        got.setdefault(r.i, {})[r.line_no] = r.value
+    assert {i: [d[k] for k in sorted(d)] for i, d in got.items()} == {i: w for i, w in enumerate(want) if w}
+
+
+def test_end_tokens_without_a_regular_expression(spark):
+    texts = ["a b\tc", "  a\fb\r\n", "\x0bx y\x0b", "\t\n ", "", "one", None, "日本 é", " \r\nq"]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    got = [tuple(r) for r in df.select(first_token_of("t"), last_token_of("t")).collect()]
+    assert got == [("a", "c"), ("a", "b"), ("\x0bx", "y\x0b"), ("", ""), ("", ""), ("one", "one"), (None, None), ("日本", "é"), ("q", "q")]

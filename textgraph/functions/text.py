@@ -59,15 +59,19 @@ def lines_in(text: Column | str) -> Column:
     return (parts - F.when(closed, F.lit(1)).otherwise(F.lit(0))).cast("bigint")
 
 
-_FIRST_TOKEN = "^[ \\t\\n\\r\\f]*([^ \\t\\n\\r\\f]+)"
+def _end_token(text: Column | str, end: int) -> Column:
+    # cut at the next delimiter of each kind: what is left has none
+    t = F.btrim(_c(text), F.lit(_DELIMITER_SET))
+    for delimiter in _DELIMITER_SET:
+        t = F.substring_index(t, delimiter, end)
+    return F.make_valid_utf8(t)       # as split() gives it
 
 
 def first_token_of(text: Column | str) -> Column:
     """First token of ``text`` without splitting all of it ('' if none)."""
-    return F.regexp_extract(_c(text), _FIRST_TOKEN, 1)
+    return _end_token(text, 1)
 
 
 def last_token_of(text: Column | str) -> Column:
-    """Last token of ``text``: the first token of the reversed text,
-    reversed back ('' if none)."""
-    return F.reverse(F.regexp_extract(F.reverse(_c(text)), _FIRST_TOKEN, 1))
+    """Last token of ``text`` without splitting all of it ('' if none)."""
+    return _end_token(text, -1)

@@ -18,7 +18,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from textgraph.functions.text import (
@@ -100,6 +100,33 @@ def bigram_count(df: DataFrame, text: str = "text", bigram: str = "bigram",
             .groupBy(bigram).agg(F.count(F.lit(1)).alias(n)))
 
 
+def _line_pairs(lines: DataFrame, text: str, file: str, block: str, rid: str, bigram: str,
+                splits: bool) -> DataFrame:
+    """:func:`bigram_pairs_lines`; with ``splits`` every split (whose file and block
+    are not null) gives a row ``SPLIT_TOTAL_KEY`` besides, also one without tokens."""
+    inner = _pairs(lines, text, bigram)
+
+    ends = lines.select(F.col(file).alias("_f"), F.col(block).alias("_b"), F.col(rid).alias("_r"),
+                        F.nullif(first_token_of(text), F.lit("")).alias("_first"),
+                        F.nullif(last_token_of(text), F.lit("")).alias("_last"))
+    if not splits:
+        ends = ends.where(F.col("_first").isNotNull())
+    ends = ends.repartition("_f", "_b")         # one exchange for the window and the ends of splits
+    joined = F.concat("_p", F.lit(BIGRAM_SEPARATOR), "_first")      # null if either is
+    before = F.expr("lag(_last) IGNORE NULLS OVER (PARTITION BY _f, _b ORDER BY _r)")
+    across_lines = ends.select("_first", before.alias("_p")).select(joined.alias(bigram)).where(F.col(bigram).isNotNull())
+
+    held = F.when(F.col("_first").isNotNull(), F.col("_r"))
+    per_split = ends.groupBy("_f", "_b").agg(F.min_by("_first", held).alias("_first"), F.max_by("_last", held).alias("_last"))
+    # the nearest split before that has a token
+    before = F.expr("lag(_last) IGNORE NULLS OVER (PARTITION BY _f ORDER BY _b)")
+    named = F.col("_f").isNotNull() & F.col("_b").isNotNull()
+    each = [joined, *([F.when(named, F.lit(SPLIT_TOTAL_KEY))] if splits else [])]
+    across_splits = (per_split.select("_f", "_b", "_first", before.alias("_p"))
+                     .select(F.explode(F.array(*each)).alias(bigram)).where(F.col(bigram).isNotNull()))
+    return inner.unionByName(across_lines).unionByName(across_splits)
+
+
 def bigram_pairs_lines(lines: DataFrame, text: str = "value", file: str = "file_path",
                        block: str = "block_start", rid: str = "rid",
                        bigram: str = "bigram") -> DataFrame:
@@ -115,31 +142,15 @@ def bigram_pairs_lines(lines: DataFrame, text: str = "value", file: str = "file_
     3. pairs across split borders -- ``lag`` over one row per split, windowed
        by file, so a huge file contributes one small row per split.
 
-    Parts 2 and 3 read the first and last token of a line with two anchored
-    regular expressions instead of splitting the whole line again.  Part 3
-    needs no window over lines: a split's end tokens are a ``min_by`` and a
-    ``max_by``, reduced on the map side.
+    Parts 2 and 3 cut the first and last token out of a line instead of splitting
+    the whole line again.  They share one scan and one shuffle of these tokens.  Part 3
+    needs no window over lines: a split's end tokens are a ``min_by`` and a ``max_by``.
 
     Bounds: a window of part 2 holds the lines of one split.  A file that
     cannot be split (compressed text) is a single split, so such a file's lines
     (two tokens each) are one window group; recompress large ones to a splittable form.
     """
-    inner = _pairs(lines, text, bigram)
-
-    ends = (lines.select(F.col(file).alias("_f"), F.col(block).alias("_b"),
-                         F.col(rid).alias("_r"), first_token_of(text).alias("_first"),
-                         last_token_of(text).alias("_last"))
-            .where(F.col("_first") != F.lit("")))
-    in_split = Window.partitionBy("_f", "_b").orderBy("_r")
-    joined = F.concat("_p", F.lit(BIGRAM_SEPARATOR), "_first").alias(bigram)
-    across_lines = (ends.select("_first", F.lag("_last").over(in_split).alias("_p"))
-                    .where(F.col("_p").isNotNull()).select(joined))
-
-    per_split = ends.groupBy("_f", "_b").agg(F.min_by("_first", "_r").alias("_first"), F.max_by("_last", "_r").alias("_last"))
-    in_file = Window.partitionBy("_f").orderBy("_b")
-    across_splits = (per_split.select("_first", F.lag("_last").over(in_file).alias("_p"))
-                     .where(F.col("_p").isNotNull()).select(joined))
-    return inner.unionByName(across_lines).unionByName(across_splits)
+    return _line_pairs(lines, text, file, block, rid, bigram, splits=False)
 
 
 def bigram_count_lines(lines: DataFrame, text: str = "value", file: str = "file_path",
@@ -175,10 +186,10 @@ def bigram_count_lines_with_total(lines: DataFrame, text: str = "value",
                                   file: str = "file_path", block: str = "block_start",
                                   rid: str = "rid", bigram: str = "bigram",
                                   n: str = "n") -> DataFrame:
-    """Line-stream bigram count plus ``(SPLIT_TOTAL_KEY, input splits)``."""
-    pairs = bigram_pairs_lines(lines, text, file, block, rid, bigram) \
-        .select(bigram, F.lit(1).cast("bigint").alias("_v"))
-    total = input_unit_count(lines, (file, block), "_v") \
-        .select(F.lit(SPLIT_TOTAL_KEY).alias(bigram), "_v")
-    return (pairs.unionByName(total).groupBy(bigram)
+    """Line-stream bigram count plus ``(SPLIT_TOTAL_KEY, input splits)``.  The splits
+    are counted where their end tokens meet, so the lines are not read for them again."""
+    pairs = (_line_pairs(lines, text, file, block, rid, bigram, splits=True)
+             .select(bigram, F.lit(1).cast("bigint").alias("_v")))
+    least = lines.sparkSession.range(1).select(F.lit(SPLIT_TOTAL_KEY).alias(bigram), F.lit(0).cast("bigint").alias("_v"))
+    return (pairs.unionByName(least).groupBy(bigram)
             .agg(F.sum("_v").cast("bigint").alias(n)))

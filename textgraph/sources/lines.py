@@ -44,11 +44,18 @@ def read_lines(spark: SparkSession, paths: str | Iterable[str], split_bytes: int
     ``block_start`` the byte offset of the input split the line was read
     from.  ``rid`` increases with the line's position inside one split.
     ``split_bytes`` cuts files into splits of that size (by default as the
-    session's settings and cores say).
+    session's settings and cores say); a task reads several of them one after
+    the other.
     """
     if isinstance(paths, str):
         paths = [paths]
-    raw = (_reading_in(spark, split_bytes) if split_bytes else spark).read.text(list(paths))
+    if split_bytes:
+        own = _reading_in(spark, split_bytes)
+        raw = own.read.text(list(paths))
+        # Spark packs splits into about so many tasks and leaves the splits as they are
+        own.conf.set("spark.sql.files.maxPartitionNum", str(_tasks(spark, raw)))
+    else:
+        raw = spark.read.text(list(paths))
     return raw.select(
         F.col("value"),
         base_name(F.col("_metadata.file_name")).alias("file"),
