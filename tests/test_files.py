@@ -163,3 +163,23 @@ def test_null_lines_count_as_lines(spark):
     assert got == {"a": 1, "b": 1, "z" * 20: 3} and tx.line_count(lines).first().n == 3
     units = {r.word: r.n for r in tx.word_count_with_total(lines, rows_are_lines=False).collect()}
     assert units["z" * 20] == 1
+
+
+def test_many_small_splits_share_few_tasks(spark, tmp_path):
+    (tmp_path / "in").mkdir()
+    for name in ("a.txt", "b.txt"):
+        (tmp_path / "in" / name).write_text("".join(f"w{i} x{i % 7}\n" for i in range(6000)))
+    path, before = str(tmp_path / "in"), dict(spark.conf.getAll)
+    lines = read_lines(spark, path, 256)
+    # a task per split made over 400 of them, each a map output of every later shuffle
+    assert lines.rdd.getNumPartitions() <= spark.sparkContext.defaultParallelism + 2
+    assert dict(spark.conf.getAll) == before
+    splits = {r.file: r.splits for r in fl.input_splits(spark, path, 256).collect()}
+    starts = {(r.file, r.block_start) for r in lines.select("file", "block_start").distinct().collect()}
+    assert starts == {(f, 256 * i) for f, n in splits.items() for i in range(n)} and len(starts) > 400
+    # lines keep their order inside a split although splits share tasks
+    for r in lines.groupBy("file", "block_start").agg(F.sort_array(F.collect_list(F.struct("rid", "value"))).alias("l")).collect():
+        seen = [int(x.value.split()[0][1:]) for x in r.l]
+        assert seen == list(range(seen[0], seen[0] + len(seen)))
+    assert {(r.word, r.file): r.n for r in fl.word_count_files(lines).where("word like 'x%'").collect()} == {
+        (f"x{k}", f): len(range(k, 6000, 7)) for k in range(7) for f in ("a.txt", "b.txt")}

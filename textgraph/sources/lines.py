@@ -22,6 +22,9 @@ def base_name(name: Column) -> Column:
     return F.url_decode(F.replace(name, F.lit("+"), F.lit("%2B")))
 
 
+DEFAULT_TASK_BYTES = "128MB"      # Spark's own default of maxPartitionBytes
+
+
 def _reading_in(spark: SparkSession, split_bytes: int) -> SparkSession:
     """A session like ``spark`` whose scans cut files every ``split_bytes``; the
     caller's own settings stay as they are.  A cost of opening a file as high as
@@ -35,6 +38,16 @@ def _reading_in(spark: SparkSession, split_bytes: int) -> SparkSession:
     return own
 
 
+def _tasks(spark: SparkSession, raw: DataFrame) -> int:
+    """Tasks to read ``raw`` by: one per core, and no more bytes in a task than the
+    session's own scans have.  Small splits share a task, so the number of tasks
+    (and of blocks in every later shuffle) follows the bytes, not the splits."""
+    each = spark.conf.get("spark.sql.files.maxPartitionBytes", DEFAULT_TASK_BYTES)
+    each = int(spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(each))
+    size = int(str(raw._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    return max(spark.sparkContext.defaultParallelism, -(-size // each))
+
+
 def read_lines(spark: SparkSession, paths: str | Iterable[str], split_bytes: int | None = None) -> DataFrame:
     """``(value, file, file_path, block_start, rid)``.
 
@@ -69,7 +82,9 @@ def lines_of_texts(df: DataFrame, text: str = "text", keep: Iterable[str] = ())
     """Split multi-line texts into one row per line with the line's position
     (``line_no`` from 0), using the same terminator rules as the file
     reader."""
-    parts = F.split(F.col(text), LINE_TERMINATOR)
-    closed = (F.col(text) == F.lit("")) | F.col(text).rlike("(\\r\\n|\\n|\\r)$")
-    body = F.when(closed, F.slice(parts, 1, F.size(parts) - 1)).otherwise(parts)
-    return df.select(*keep, F.posexplode(body).alias("line_no", "value"))
+    t = F.col(text)
+    # the last line's own terminator opens no further line
+    cut = F.when(F.endswith(t, F.lit("\r\n")), F.lit(2)).when(F.endswith(t, F.lit("\n")) | F.endswith(t, F.lit("\r")), F.lit(1))
+    body = F.coalesce(F.left(t, F.char_length(t) - cut), t)
+    lines = F.when(t != F.lit(""), F.split(body, LINE_TERMINATOR))      # no text, no lines
+    return df.select(*keep, F.posexplode(lines).alias("line_no", "value"))
