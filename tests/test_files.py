@@ -183,3 +183,20 @@ def test_many_small_splits_share_few_tasks(spark, tmp_path):
         assert seen == list(range(seen[0], seen[0] + len(seen)))
     assert {(r.word, r.file): r.n for r in fl.word_count_files(lines).where("word like 'x%'").collect()} == {
         (f"x{k}", f): len(range(k, 6000, 7)) for k in range(7) for f in ("a.txt", "b.txt")}
+
+
+def _without_adaptive(df) -> str:
+    spark = df.sparkSession         # that of lines read by splits is one of its own
+    was = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        return df.select("*")._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", was)
+
+
+def test_end_tokens_of_files_are_read_once(spark, tmp_path):
+    path = str(tmp_path / "in")
+    _books(path)
+    plan = _without_adaptive(tx.bigram_count_lines(read_lines(spark, path, SPLIT)))
+    assert plan.count("FileScan text") == 2 and "ReusedExchange" in plan          # was 3, with a shuffle each
