@@ -200,3 +200,16 @@ def test_end_tokens_of_files_are_read_once(spark, tmp_path):
     _books(path)
     plan = _without_adaptive(tx.bigram_count_lines(read_lines(spark, path, SPLIT)))
     assert plan.count("FileScan text") == 2 and "ReusedExchange" in plan          # was 3, with a shuffle each
+
+
+def test_few_units_are_no_join_keys_of_all_postings(spark):
+    posts = spark.range(5000).select(F.format_string("w%d", F.col("id") % 900).alias("word"),
+                                     F.format_string("f%d", F.col("id") % 3).alias("file"), F.lit(1).cast("bigint").alias("n"))
+    posts = posts.distinct()
+    idx = ix.inverted_index(posts, block_size=2)
+    plan = _without_adaptive(idx)
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
+    got = {}
+    for r in idx.orderBy("word", "block").collect():
+        got[r.word] = got.get(r.word, "") + r.postings
+    assert got == {f"w{k}": "".join(f"f{i}:1;" for i in sorted({x % 3 for x in range(k, 5000, 900)})) for k in range(900)}

@@ -19,6 +19,8 @@ from pyspark.sql.types import IntegralType
 from textgraph.functions.text import tokens
 from textgraph.plans.dense_index import dense_ordinal
 
+BROADCAST_UNITS = 100_000       # units whose ordinals are broadcast; more are joined by shuffle
+
 
 def term_postings(df: DataFrame, text: str = "value", unit: str = "file",
                   word: str = "word", n: str = "n") -> DataFrame:
@@ -48,6 +50,8 @@ def posting_block(posts: DataFrame, unit: str, block_size: int) -> DataFrame:
         u = f"CAST(`{unit}` AS BIGINT)"
         return posts.withColumn("block", F.expr(f"({u} - pmod({u}, {block_size})) div {block_size}"))
     ordinals = dense_ordinal(posts.select(unit), unit, "_ord")
+    if ordinals.limit(BROADCAST_UNITS + 1).count() <= BROADCAST_UNITS:
+        ordinals = F.broadcast(ordinals)        # else few units would be few join keys
     return (posts.join(ordinals, unit)
             .withColumn("block", F.expr(f"_ord div {block_size}"))
             .drop("_ord"))
