@@ -543,3 +543,32 @@ def test_contexts_of_a_rare_class_are_kept(spark):
     d = pages.groupBy("url").agg(F.count("*").alias("n")).withColumn("symbols", urls.symbols_of(F.col("url"))) \
         .withColumn("verdict", F.when(F.col("url").contains(".net"), "block").otherwise("allow"))
     assert urls.ratio_model(d).where("gram = 'qqqq$'").count() == 0 < urls.ratio_model(d).where("gram = 'qqq$'").count()
+
+
+def test_a_known_word_is_looked_up_once():
+    """Texts of known words take one lookup a word (two before); new words are filled in."""
+    class Counting(dict):
+        lookups = 0
+
+        def get(self, *a):
+            self.lookups += 1
+            return super().get(*a)
+
+        def __contains__(self, word):
+            self.lookups += 1
+            return super().__contains__(word)
+
+        def __getitem__(self, word):
+            self.lookups += 1
+            return super().__getitem__(word)
+
+    encoder = packing.WordEncoder(public_tokenizers.path(packing.TOKENIZER))
+    words = [f"word{chr(97 + i % 26)}{chr(97 + i // 26)}" for i in range(200)]
+    first = list(encoder.encode([" ".join(words).encode()]))
+    encoder.known = Counting(encoder.known)
+    texts = [" ".join(words[k:]).encode() for k in range(0, 200, 20)]
+    again = list(encoder.encode(texts))
+    assert again[0] == first[0] and encoder.known.lookups == sum(range(20, 201, 20))
+    mixed, = encoder.encode([b"wordaa unseen, wordba unseen, <x"])
+    alone = b"".join(b"".join(encoder.encode([w])) for w in (b"wordaa", b"unseen,", b"wordba", b"unseen,", b"<x"))
+    assert mixed == alone

@@ -112,17 +112,24 @@ class WordEncoder:
     def encode(self, texts: Iterable[bytes | None]) -> Iterator[bytes]:
         """The ids of each text, as little-endian 32-bit integers.  The new words
         of some texts are learned together."""
-        waiting: list[list[list[bytes]] | bytes] = []
+        waiting: list[list[tuple] | bytes] = []
         new: set[bytes] = set()
         size = 0
-        known = self.known.__contains__
+        known = self.known.get
         for text in texts:
             if text and b"<|" in text:
                 waiting.append(text)
             else:
-                waiting.append(list(word_blocks(text.lower() if text else None)))
-                for block in waiting[-1]:
-                    new.update(filterfalse(known, block))
+                waiting.append(blocks := [])
+                for block in word_blocks(text.lower() if text else None):
+                    ids = list(map(known, block))
+                    if None in ids:
+                        at = [i for i, x in enumerate(ids) if x is None]
+                        words = [block[i] for i in at]
+                        new.update(words)
+                        blocks.append((ids, at, words))
+                    else:
+                        blocks.append((ids, (), ()))
             size += len(text or b"")
             if len(new) > NEW_WORDS or len(waiting) > NEW_WORDS or size > TOGETHER:
                 yield from self._flush(waiting, new)
@@ -132,14 +139,16 @@ class WordEncoder:
     def _flush(self, waiting: list, new: set[bytes]) -> Iterator[bytes]:
         if len(self.known) + 2 * len(new) > CACHE:
             self.known.clear()
-            new = {w for item in waiting if not isinstance(item, bytes) for block in item for w in block}
         self._learn(new)
-        ids = self.known.__getitem__
+        known = self.known
         for item in waiting:
             if isinstance(item, bytes):
                 yield self._ids([item.decode("utf-8", "replace")])[0].tobytes()
-            else:
-                yield b"".join([b"".join(map(ids, block)) for block in item])
+                continue
+            for ids, at, words in item:
+                for i, w in zip(at, words):
+                    ids[i] = known[w]
+            yield b"".join([b"".join(ids) for ids, _, _ in item])
         for w in [w for w in new if len(w) > LONG_WORD]:
             self.known.pop(w, None)
 
