@@ -185,6 +185,23 @@ def test_many_small_splits_share_few_tasks(spark, tmp_path):
         (f"x{k}", f): len(range(k, 6000, 7)) for k in range(7) for f in ("a.txt", "b.txt")}
 
 
+def test_tasks_of_small_splits_are_bounded_by_bytes(spark, tmp_path, monkeypatch):
+    from textgraph.sources import lines as ln
+    assert ln.TASK_BYTES == 32 << 20
+    path, cores = str(tmp_path / "in"), spark.sparkContext.defaultParallelism
+    os.makedirs(path)
+    size = 1024 * 4 * cores
+    with open(f"{path}/a.txt", "w") as f:
+        f.write("ab cd ef\n" * (size // 9))
+    monkeypatch.setattr(ln, "TASK_BYTES", 1024)
+    lines = read_lines(spark, path, 256)
+    # one per core before, however many bytes (up to 128 MB) that was
+    assert 3 * cores <= lines.rdd.getNumPartitions() <= 6 * cores
+    got = {r.bigram: r.n for r in fl.bigram_count_files(spark, path, 256).collect()}
+    n = size // 9
+    assert got == {"ab cd": n, "cd ef": n, "ef ab": n - 1, "zzzzzzzzz Times Map task lanched: ": -(-n * 9 // 256)}
+
+
 def _without_adaptive(df) -> str:
     spark = df.sparkSession         # that of lines read by splits is one of its own
     was = spark.conf.get("spark.sql.adaptive.enabled")

@@ -23,6 +23,7 @@ def base_name(name: Column) -> Column:
 
 
 DEFAULT_TASK_BYTES = "128MB"      # Spark's own default of maxPartitionBytes
+TASK_BYTES = 32 << 20             # of lines read by small splits: what a task counts stays in its memory
 
 
 def _reading_in(spark: SparkSession, split_bytes: int) -> SparkSession:
@@ -40,10 +41,12 @@ def _reading_in(spark: SparkSession, split_bytes: int) -> SparkSession:
 
 def _tasks(spark: SparkSession, raw: DataFrame) -> int:
     """Tasks to read ``raw`` by: one per core, and no more bytes in a task than the
-    session's own scans have.  Small splits share a task, so the number of tasks
+    session's own scans have, nor than ``TASK_BYTES``, as partial counts of words or
+    pairs are nearly as many as these.  Small splits share a task, so the number of tasks
     (and of blocks in every later shuffle) follows the bytes, not the splits."""
     each = spark.conf.get("spark.sql.files.maxPartitionBytes", DEFAULT_TASK_BYTES)
     each = int(spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(each))
+    each = min(each, TASK_BYTES)
     size = int(str(raw._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
     return max(spark.sparkContext.defaultParallelism, -(-size // each))
 
