@@ -283,6 +283,40 @@ def test_joined_words_score_as_broadcast_ones(spark):
     assert some == every and len(some) == len(rows)
 
 
+def test_contexts_are_one_row_a_word_and_classes_one_row_a_text(spark):
+    rng = random.Random(3)
+    texts = [" ".join(rng.choices([f"w{j}" for j in range(60)], k=rng.randint(0, 90))) for _ in range(80)] + ["w1 w2", "", "new w50"]
+    rows = [(i, t, True, i < 70) for i, t in enumerate(texts)] + [(3, texts[3], True, True)] * 2 + [(None, None, True, False)]
+    learn = spark.createDataFrame([(t,) for _, t, _, use in rows if use], "text string").coalesce(1)
+    head, k = [b"w0", b"w1"], 5
+    cls = np.array([0, 1, 2, 3, 3, 2, 4])                     # two head words, four buckets, the end
+    unit = lambda w: cls[head.index(w) if w in head else 2 + zlib.crc32(w[-3:]) % 4]
+    want = collections.defaultdict(list)
+    for _, t, _, use in rows:
+        line = [4, *(unit(w) for w in t.encode().split()), 4] if use else []
+        for j, w in enumerate(t.encode().split() if use else ()):
+            if w not in head:
+                want[w].append(int(line[j] * k + line[j + 2]))
+    met = brown.word_contexts(learn, head, 4, cls, 4).collect()
+    # one row was made for each word and pair of neighbours
+    assert {bytes(r.word): sorted(np.frombuffer(r.near, np.uint16).tolist()) for r in met} == {w: sorted(x) for w, x in want.items()}
+    assert len(met) == len(want)
+
+    table = [(f"w{j}".encode(), j + 1, j % 4) for j in range(60)]
+    words = spark.createDataFrame(table, "word binary, n bigint, cls int").repartition(3)
+    logs = np.log10(np.array([2.0, 3.0, 1.0, 8.0]))           # w0, w1, all others, the end
+    got = brown.class_sequences(spark.createDataFrame(rows, "doc_id bigint, text string, ask boolean, learn boolean"), words,
+                                {b"w0": 0, b"w1": 1}, logs * [1, 1, 0, 1], True, F.lit(2), 4).collect()
+    of = {w: (n, c) for w, n, c in table}
+    assert len(got) == len(texts) + 1 and sum(r.copies for r in got) == len(rows)
+    for r in got:
+        line = (texts[r.doc_id] if r.doc_id is not None else "").encode().split()
+        n = [1 if w == b"w0" else 2 if w == b"w1" else of.get(w, (0, 2))[0] for w in line]
+        assert list(r.seq) == [*(of.get(w, (0, 2))[1] for w in line), 4] and r.copies == (3 if r.doc_id == 3 else 1)
+        assert r.known == 1 + sum(x > 0 for x in n)
+        assert math.isclose(r.logs, math.log10(8) + sum(math.log10(x + 1) for x in n), rel_tol=1e-9)
+
+
 def test_model_is_a_distribution(spark):
     """Over all one- and two-token texts of a small vocabulary the known part sums to below one, nearly to it."""
     rows = [(i, t) for i, t in enumerate(["a b", "a b", "b a", "a", "b b a", "c"] * 20)]

@@ -21,12 +21,12 @@ its class.
 
 Each token needs its word's exact count and class.  Those of at most ``COMMON``
 most frequent words are broadcast; the other words are joined with the complete
-table of words -- none of them is frequent, so that join has no hot key -- and
-summed back to their document, or to the class bigrams.  One pass over the texts
-gives both: a row of sums for the document (under a key of its own in place of
-a word, so that these rows spread too) and a row per rarer token with the classes
-beside it.  Where two rarer words meet, their classes meet by position in the
-document when scoring, by a second join with the table when training.
+table of words -- none of them is frequent, so that join has no hot key.  One pass over
+the texts and one join turn every text into its sequence of classes, a byte a token: a
+row for the text with the classes of its common words (under a key of its own in
+place of a word, so that these rows spread too), and a row for each of its rarer words with
+their places, which are filled in where the rows of a text meet.  The sequences are
+stored; both the class bigrams of the training texts and the scores are read from them.
 
 Defined cases: null and empty texts are one end token; a null id is never
 held out; repeated rows are scored each (training counts each); an empty
@@ -40,10 +40,12 @@ from __future__ import annotations
 import zlib
 from collections import Counter
 from collections.abc import Iterator
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+import pyarrow.compute as pc
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from textgraph.llm.common import LONG_WORD, durable, held_out, word_blocks
@@ -59,6 +61,7 @@ SWEEPS = 8
 PULL = 10.0                # weight of class frequencies in a transition
 FOLDS, FOLD = 7, 2
 FLUSH = 400_000            # distinct words a counter holds before it is emitted
+NEAR = 1_000_000           # occurrences whose neighbours are packed together
 UNITS = 1_500_000          # units whose bigrams are counted together
 _CACHE = 500_000
 
@@ -270,37 +273,78 @@ def spans(text: bytes | None, codes: Units) -> Iterator[tuple[int, list[bytes],
         yield (*held, codes.end, b"")
 
 
+class Ids(dict):
+    """word -> number, in the order they are first asked for."""
+
+    def __missing__(self, word: bytes) -> int:
+        self[word] = len(self)
+        return len(self) - 1
+
+    def of(self, words: list[bytes]) -> np.ndarray:
+        return np.fromiter(map(self.__getitem__, words), np.int64, len(words))
+
+
+def _binaries(sizes: np.ndarray, data: np.ndarray) -> pa.Array:
+    """``data`` cut into values of ``sizes`` bytes."""
+    ends = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32)
+    return pa.Array.from_buffers(pa.binary(), len(sizes), [None, pa.py_buffer(ends), pa.py_buffer(np.ascontiguousarray(data))])
+
+
+def _together(keys: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, pa.Array]:
+    """The distinct keys (not negative), and the values of each in one binary."""
+    order = np.argsort(keys, kind="stable")
+    keys = keys[order]
+    starts = np.flatnonzero(np.diff(keys, prepend=-1))
+    return keys[starts], _binaries(np.diff(starts, append=len(keys)) * values.itemsize, values[order])
+
+
+def _flat(column: pa.Array, kind: type) -> tuple[np.ndarray, np.ndarray]:
+    """The numbers of all binaries one after the other, and how many each has."""
+    ends = np.frombuffer(column.buffers()[1], np.int32, len(column) + 1, column.offset * 4)
+    data = np.frombuffer(column.buffers()[2] or b"", np.uint8)[ends[0]:ends[-1]]
+    return data.view(kind), np.diff(ends) // np.dtype(kind).itemsize
+
+
+def _begins(*keys: pa.Array) -> np.ndarray:
+    """Which rows have another key than the row before; the first one has."""
+    new = np.zeros(len(keys[0]), bool)
+    new[:1] = True
+    for key in keys:
+        a, b = key[1:], key[:-1]
+        new[1:] |= pc.or_(pc.fill_null(pc.not_equal(a, b), False), pc.xor(a.is_null(), b.is_null())).to_numpy(zero_copy_only=False)
+    return new
+
+
 def word_contexts(texts: DataFrame, head: list[bytes], buckets: int, cls: np.ndarray, classes: int) -> DataFrame:
-    """``(word, ctx, n)`` of the words outside ``head``: ctx is the class
-    before times (classes + 1) plus the class after, of the seed units."""
+    """``(word, near)`` of the words outside ``head``: near holds a number of 16 bits
+    for each of a good many occurrences, the class before times (classes + 1) plus the
+    class after, of the seed units."""
     shared, k = texts.sparkSession.sparkContext.broadcast((head, cls)), classes + 1
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names, cls = shared.value
         units = Units(names, buckets)
-        found, near = [], []
+        ids, found, near, count = Ids(), [], [], 0
 
         def emit() -> pa.RecordBatch:
-            each = pa.array(found, pa.binary()).dictionary_encode()
-            ids, n = np.unique(each.indices.to_numpy().astype(np.int64) * (k * k) + np.concatenate([np.empty(0, np.int64), *near]),
-                               return_counts=True)
-            found.clear()
-            near.clear()
-            return pa.RecordBatch.from_arrays([each.dictionary.take(pa.array(ids // (k * k))), pa.array(ids % (k * k), pa.int32()),
-                                               pa.array(n, pa.int64())], ["word", "ctx", "n"])
+            each, packed = _together(np.concatenate(found), np.concatenate(near))
+            return pa.RecordBatch.from_arrays([pa.array(list(ids), pa.binary()).take(pa.array(each)), packed], ["word", "near"])
 
         for batch in batches:
             for text in _binary(batch, 0):
                 for before, words, c, after, _ in spans(text, units):
                     line = cls[np.concatenate([[before], c, [after]])]
-                    at = np.nonzero(c >= units.first)[0]
-                    found += [words[j] for j in at.tolist()]
-                    near.append(line[at] * k + line[at + 2])
-                if len(found) > FLUSH:
+                    at = np.flatnonzero(c >= units.first)
+                    found.append(ids.of([words[j] for j in at.tolist()]))
+                    near.append((line[at] * k + line[at + 2]).astype(np.uint16))
+                    count += len(at)
+                if count > NEAR or len(ids) > FLUSH:
                     yield emit()
-        yield emit()
+                    ids, found, near, count = Ids(), [], [], 0
+        if count:
+            yield emit()
 
-    return texts.select("text").mapInArrow(run, "word binary, ctx int, n bigint")
+    return texts.select("text").mapInArrow(run, "word binary, near binary")
 
 
 def best_class(into: np.ndarray, out: np.ndarray, own: np.ndarray, grid: np.ndarray) -> np.ndarray:
@@ -333,96 +377,194 @@ def best_class(into: np.ndarray, out: np.ndarray, own: np.ndarray, grid: np.ndar
 def assign(contexts: DataFrame, cls: np.ndarray, grid: np.ndarray, first: int, buckets: int,
            attested: int = ATTESTED) -> DataFrame:
     """``(word, n, cls)``: the class of every word of ``contexts``, by likelihood
-    gain if it occurs ``attested`` times, else that of its bucket."""
+    gain if it occurs ``attested`` times, else that of its bucket.  The rows of a word
+    come one after the other and are summed as they come."""
     shared, k = contexts.sparkSession.sparkContext.broadcast((cls, grid)), len(grid)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cls, grid = shared.value
-        for batch in batches:
-            for at in range(0, batch.num_rows, 512):
-                part = batch.slice(at, 512)
-                own = cls[[first + zlib.crc32(w[-3:]) % buckets for w in part.column(0).to_pylist()]].astype(np.int64)
-                total = part.column(1).to_numpy()
-                lists = part.column(2)
-                ctx, n = lists.flatten().to_numpy(), part.column(3).flatten().to_numpy()
-                row = np.repeat(np.arange(len(own)), lists.value_lengths().to_numpy())
-                into = np.bincount(row * k + ctx // k, n, len(own) * k).reshape(-1, k)
-                out = np.bincount(row * k + ctx % k, n, len(own) * k).reshape(-1, k)
+        word, into, out = pa.array([], pa.binary()), np.zeros((0, k)), np.zeros((0, k))      # the word that is not complete
+
+        def chosen(words: pa.Array, into: np.ndarray, out: np.ndarray) -> Iterator[pa.RecordBatch]:
+            for at in range(0, len(words), 512):
+                part, i, o = words.slice(at, 512), into[at:at + 512], out[at:at + 512]
+                own = cls[[first + zlib.crc32(w[-3:]) % buckets for w in part.to_pylist()]].astype(np.int64)
+                total = i.sum(1).astype(np.int64)
                 many = total >= attested
-                own[many] = best_class(into[many], out[many], own[many], grid)
-                yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array(own, pa.int32())],
-                                                 ["word", "n", "cls"])
+                own[many] = best_class(i[many], o[many], own[many], grid)
+                yield pa.RecordBatch.from_arrays([part, pa.array(total), pa.array(own, pa.int32())], ["word", "n", "cls"])
 
-    return (contexts.repartition("word").groupBy("word", "ctx").agg(F.sum("n").alias("n"))    # at most (classes + 1)^2 a word
-            .groupBy("word").agg(F.sum("n").alias("n"), F.collect_list("ctx").alias("ctx"), F.collect_list("n").alias("ns"))
-            .select("word", "n", "ctx", "ns").mapInArrow(run, "word binary, n bigint, cls int"))
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            words = pa.concat_arrays([word, batch.column(0)])
+            new = _begins(words)
+            names, of = words.filter(pa.array(new)), (np.cumsum(new) - 1)[len(word):]
+            ctx, times = _flat(batch.column(1), np.uint16)
+            row, ctx = np.repeat(of, times) * k, ctx.astype(np.int64)
+            left = np.bincount(row + ctx // k, minlength=len(names) * k).reshape(-1, k).astype(float)
+            right = np.bincount(row + ctx % k, minlength=len(names) * k).reshape(-1, k).astype(float)
+            left[:len(into)] += into
+            right[:len(out)] += out
+            yield from chosen(names[:-1], left[:-1], right[:-1])
+            word, into, out = names[-1:], left[-1:].copy(), right[-1:].copy()
+        yield from chosen(word, into, out)
+
+    return (contexts.repartition("word").sortWithinPartitions("word")
+            .mapInArrow(run, "word binary, n bigint, cls int"))
+
+
+def class_sequences(rows: DataFrame, words: DataFrame, common: dict[bytes, int], logs: np.ndarray, seen_end: bool,
+                    rare_class: Column, classes: int) -> DataFrame:
+    """``(doc_id, ask, learn, copies, known, logs, seq)`` of ``rows`` (doc_id, text, ask,
+    learn): a text's classes, a byte each and the end's last, how many of its tokens have a
+    count, and the sum of log10(count + 1).  ``common`` are the words that need no join with
+    ``words`` (word, n, cls); a word in neither has the class ``rare_class``."""
+    if classes > 254:
+        raise ValueError(f"{classes} classes: a class is one byte")
+    shared = rows.sparkSession.sparkContext.broadcast((list(common), np.array([*common.values(), 255, classes], np.uint8), logs))
+    kind = rows.schema["doc_id"].dataType.simpleString()
+
+    def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        names, cls, logs = shared.value
+        code, other = {w: i for i, w in enumerate(names)}, len(names)
+        for batch in batches:
+            th = batch.column(1).to_pylist()
+            ids, docs, rare, count = Ids(), [], [], 0
+
+            def out(row: list | np.ndarray, word: pa.Array, places: pa.Array, *rest) -> pa.RecordBatch:
+                at = pa.array(row, pa.int64())
+                return pa.RecordBatch.from_arrays(
+                    [batch.column(0).take(at), batch.column(1).take(at), batch.column(2).take(at), batch.column(3).take(at), word,
+                     places, *rest], ["doc_id", "th", "ask", "learn", "word", "places", "known", "logs", "seq"])
+
+            def emit() -> Iterator[pa.RecordBatch]:
+                if docs:
+                    # under a key of its own in place of a word; no word holds a blank
+                    row, known, total, seq = zip(*docs)
+                    yield out(row, pa.array([b" " + th[i].to_bytes(8, "little", signed=True) for i in row], pa.binary()),
+                              pa.nulls(len(row), pa.binary()), pa.array(known, pa.int64()), pa.array(total, pa.float64()),
+                              pa.array(seq, pa.binary()))
+                if rare:
+                    row, word, place = (np.concatenate(x) for x in zip(*rare))
+                    each, places = _together(row * len(ids) + word, place)
+                    none = (pa.nulls(len(each), t) for t in (pa.int64(), pa.float64(), pa.binary()))
+                    yield out(each // len(ids), pa.array(list(ids), pa.binary()).take(pa.array(each % len(ids))), places, *none)
+
+            for i, text in enumerate(_binary(batch, 4)):
+                n, known, total, seq = 0, int(seen_end), logs[-1], []
+                for words in _lower_words(text):
+                    c = np.fromiter(map(code.get, words, repeat(other)), np.int64, len(words))
+                    at = np.flatnonzero(c == other)
+                    if len(at):
+                        rare.append((np.full(len(at), i), ids.of([words[j] for j in at.tolist()]), (at + n).astype(np.int32)))
+                    seq.append(cls[c].tobytes())
+                    n, known, total, count = n + len(c), known + len(c) - len(at), total + logs[c].sum(), count + len(at)
+                    if count > FLUSH:
+                        yield from emit()
+                        ids, docs, rare, count = Ids(), [], [], 0
+                docs.append((i, known, total, b"".join([*seq, bytes([classes])])))
+            yield from emit()
+
+    def fill(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Puts the classes of the rarer words into their places; a text's own row comes
+        first, and rows that repeat id and text meet."""
+        held = None           # the text that is not complete: its columns and its bytes
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            col = dict(zip(batch.schema.names, batch.columns))
+            if held is None:
+                new, of = _begins(col["doc_id"], col["th"]), 0
+            else:
+                new = _begins(*(pa.concat_arrays([held[c], col[c]]) for c in ("doc_id", "th")))[1:]
+                of = 1
+            of = np.cumsum(new) - 1 + of
+            starts = pa.array(np.flatnonzero(new))
+            begun = {c: col[c].take(starts) for c in ("doc_id", "th", "ask", "learn")}
+            known, logs = (col[c].take(starts).to_numpy(zero_copy_only=False) for c in ("known", "logs"))
+            seq, sizes = _flat(col["seq"].take(starts), np.uint8)
+            done = np.zeros(len(seq), bool)
+            copies = np.bincount(of, col["seq"].is_valid().to_numpy(zero_copy_only=False), len(starts) + (held is not None))
+            if held is not None:
+                begun = {c: pa.concat_arrays([held[c], begun[c]]) for c in begun}
+                known, logs, seq, done, sizes = (np.concatenate([held[c], x]) for c, x in (
+                    ("known", known), ("logs", logs), ("seq", seq), ("done", done), ("sizes", sizes)))
+                copies[0] += held["copies"][0]
+            known, logs, seq = known.astype(np.int64), logs.astype(float), seq.copy()
+            ends = np.cumsum(sizes)
+            place, times = _flat(col["places"], np.int32)
+            at, first = np.unique(place + np.repeat((ends - sizes)[of], times), return_index=True)
+            row = np.repeat(np.arange(batch.num_rows), times)[first]
+            at, row = (x[~done[at]] for x in (at, row))               # copies repeat the same places
+            n = col["n"].to_numpy()[row]
+            seq[at], done[at] = col["c"].to_numpy()[row], True
+            known += np.bincount(of[row], n > 0, len(sizes)).astype(np.int64)
+            logs += np.bincount(of[row], np.log10(n + 1.0), len(sizes))
+            every = {**begun, "copies": copies, "known": known, "logs": logs, "sizes": sizes}
+            last = len(sizes) - 1
+            yield whole({c: x[:last] for c, x in every.items()}, seq[:ends[-1] - sizes[-1]])
+            held = {c: x[last:] for c, x in every.items()} | {x: v[ends[-1] - sizes[-1]:].copy() for x, v in (("seq", seq), ("done", done))}
+        if held is not None:
+            yield whole(held, held["seq"])
+
+    def whole(col: dict, seq: np.ndarray) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays(
+            [col["doc_id"], col["ask"], col["learn"], pa.array(col["copies"].astype(np.int64)), pa.array(col["known"]),
+             pa.array(col["logs"]), _binaries(col["sizes"], seq)], ["doc_id", "ask", "learn", "copies", "known", "logs", "seq"])
 
+    keyed = rows.select("doc_id", F.xxhash64("doc_id", F.coalesce("text", F.lit("")), "ask", "learn").alias("th"), "ask", "learn", "text")
+    return (keyed.mapInArrow(encode, f"doc_id {kind}, th bigint, ask boolean, learn boolean, word binary, places binary, "
+                                     "known bigint, logs double, seq binary")
+            .join(words, "word", "left")
+            .select("doc_id", "th", "ask", "learn", "known", "logs", "seq", "places", F.coalesce("n", F.lit(0)).cast("bigint").alias("n"),
+                    F.coalesce("cls", rare_class, F.lit(0)).cast("int").alias("c"))
+            .repartition("doc_id", "th").sortWithinPartitions("doc_id", "th", F.col("seq").isNull())
+            .mapInArrow(fill, f"doc_id {kind}, ask boolean, learn boolean, copies bigint, known bigint, logs double, seq binary"))
 
-def class_bigrams(texts: DataFrame, words: DataFrame, common: dict[bytes, int], classes: int) -> np.ndarray:
-    """Class-bigram counts of all texts; ``words`` (word, n, cls) holds every
-    word of them, ``common`` the classes of those that need no join."""
-    shared, k = texts.sparkSession.sparkContext.broadcast(common), classes + 1
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        codes = Units(list(shared.value), 1)
-        cls = np.array([*shared.value.values(), -1, classes], np.int64)
-        counter, grid = Counter(), np.zeros(k * k, np.int64)
+def _steps(column: pa.Array, classes: int) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray]]:
+    """Some sequences at a time: the first one's number, their lengths, and for each token
+    the class before and its own; the end of a text is what the next one starts after."""
+    for at in range(0, len(column), 512):
+        own, sizes = _flat(column.slice(at, 512), np.uint8)
+        yield at, sizes, np.concatenate([[classes], own[:-1]]).astype(np.int64), own.astype(np.int64)
 
-        def emit() -> pa.RecordBatch:
-            cells = np.nonzero(grid)[0].tolist()
-            rows = [(b" %d" % x, (x // k + 1) * (k + 1) + x % k + 1, None) for x in cells] + list(counter)  # no word holds a blank
-            out = pa.RecordBatch.from_arrays([
-                pa.array([r[0] for r in rows], pa.binary()), pa.array([r[1] for r in rows], pa.int32()),
-                pa.array([r[2] for r in rows], pa.binary()),
-                pa.array([*grid[cells].tolist(), *counter.values()], pa.int64())], ["word", "at", "other", "n"])
-            counter.clear()
-            grid[:] = 0
-            return out
 
+def class_bigrams(sequences: DataFrame, classes: int) -> np.ndarray:
+    """Class-bigram counts of ``sequences`` (copies, seq)."""
+    k = classes + 1
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        grid = np.zeros(k * k)
         for batch in batches:
-            for text in _binary(batch, 0):
-                empty = True
-                for before, words, c, after, following in spans(text, codes):
-                    empty = False
-                    line = cls[np.concatenate([[before], c, [after]])]
-                    tail = line[1:] if after == codes.end else line[1:-1]
-                    both = (line[:len(tail)] >= 0) & (tail >= 0)
-                    grid += np.bincount(line[:len(tail)][both] * k + tail[both], minlength=k * k)
-                    at = np.nonzero(line[1:-1] < 0)[0]
-                    near = ((line[at] + 1) * (k + 1) + line[at + 2] + 1).tolist()
-                    words.append(following)
-                    counter.update(zip([words[j] for j in at.tolist()], near,
-                                       [words[j + 1] if line[j + 2] < 0 else None for j in at.tolist()]))
-                if empty:
-                    grid[classes * k + classes] += 1
-                if len(counter) > FLUSH // 4:
-                    yield emit()
-        yield emit()
+            copies = batch.column(0).to_numpy()
+            for at, sizes, before, own in _steps(batch.column(1), classes):
+                grid += np.bincount(before * k + own, np.repeat(copies[at:at + len(sizes)], sizes), k * k)
+        cells = np.flatnonzero(grid)
+        yield pa.RecordBatch.from_arrays([pa.array(cells), pa.array(grid[cells].astype(np.int64))], ["cell", "n"])
+
+    found = sequences.select("copies", "seq").mapInArrow(run, "cell bigint, n bigint").groupBy("cell").agg(F.sum("n").alias("n"))
+    grid = np.zeros(k * k)
+    for r in found.collect():
+        grid[r.cell] = r.n
+    return grid.reshape(k, k)
+
 
-    table = words.select("word", "cls")
-    left, right = F.floor(F.col("at") / (k + 1)).cast("int") - 1, F.col("at") % (k + 1) - 1
-    none = F.lit(None).cast("binary")
-    cell = lambda when, a, b, other: F.when(when, F.struct(a.alias("a"), b.alias("b"), other.alias("other")))
-    cells = (texts.select("text").mapInArrow(run, "word binary, at int, other binary, n bigint")
-             .join(table, "word", "left")
-             .select("n", F.explode(F.array(
-                 cell(left >= 0, left, F.coalesce("cls", right), none),
-                 cell(F.col("cls").isNotNull() & (right >= 0), F.col("cls"), right, none),
-                 cell(F.col("other").isNotNull(), F.col("cls"), F.lit(-1), F.col("other")))).alias("c"))
-             .where("c is not null").groupBy("c.a", "c.b", "c.other").agg(F.sum("n").alias("n")))
-    met = (cells.select("a", "b", "n", F.coalesce("other", F.concat(F.lit(" "), "a", F.lit(" "), "b").cast("binary")).alias("word"))
-           .join(table, "word", "left").groupBy("a", F.coalesce("cls", "b").alias("b")).agg(F.sum("n").alias("n")).collect())
-    grid = np.zeros((k, k))
-    for r in met:
-        grid[r.a, r.b] += r.n
-    return grid
-
-
-def score_texts(docs: DataFrame, learn: DataFrame, head: int | None = None, buckets: int = BUCKETS, common: int = COMMON,
-                classes: int = CLASSES, attested: int = ATTESTED) -> DataFrame:
+def score_texts(docs: DataFrame, learn: DataFrame, **options) -> DataFrame:
     """``docs`` (doc_id, text) scored by a model learned from ``learn``
     (text): (doc_id, n_tokens, n_known, train_tokens, base_score, score)."""
-    sc, spark = docs.sparkSession.sparkContext, docs.sparkSession
+    none = F.lit(None).cast(docs.schema["doc_id"].dataType).alias("doc_id")
+    flags = lambda ask: (F.lit(ask).alias("ask"), F.lit(not ask).alias("learn"))
+    return score_rows(docs.select("doc_id", "text", *flags(True)).unionByName(learn.select(none, "text", *flags(False))), **options)
+
+
+def score_rows(rows: DataFrame, head: int | None = None, buckets: int = BUCKETS, common: int = COMMON,
+               classes: int = CLASSES, attested: int = ATTESTED) -> DataFrame:
+    """The rows of ``rows`` (doc_id, text, ask, learn) with ``ask``, scored by a
+    model learned from those with ``learn``, as :func:`score_texts` does."""
+    spark = rows.sparkSession
+    learn = rows.where("learn").select("text")
     counts = durable(word_counts(learn))
     ends = learn.count()
     row = counts.agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("v")).first()
@@ -442,7 +584,11 @@ def score_texts(docs: DataFrame, learn: DataFrame, head: int | None = None, buck
     names = spark.createDataFrame(pa.table({"word": pa.array([w for w, _ in top], pa.binary())}))
     class_of = {bytes(r.word): r.cls for r in words.join(F.broadcast(names), "word").select("word", "cls").collect()}
     class_of = {w: class_of[w] for w, _ in top}
-    grid = class_bigrams(learn, words, class_of, classes)
+    # a word's code is its place among the common words; all others share one
+    logs = np.concatenate([np.log10(np.array([n + 1.0 for _, n in top])), [0.0, np.log10(ends + 1.0)]])
+    bucket = F.get(F.lit(cls[len(heads):].astype(np.int32)), (F.crc32(F.substring("word", -3, 3)) % buckets).cast("int"))
+    sequences = durable(class_sequences(rows, words, class_of, logs, ends > 0, bucket, classes))
+    grid = class_bigrams(sequences.where("learn"), classes)
     in_class = grid.sum(0)                                   # tokens of each class
     kinds = np.zeros(classes + 1)
     for r in words.groupBy("cls").agg(F.count(F.lit(1)).alias("n")).collect():
@@ -451,113 +597,28 @@ def score_texts(docs: DataFrame, learn: DataFrame, head: int | None = None, buck
     chance = (in_class + 1) / (in_class.sum() + classes + 1)
     step = np.log10((grid + PULL * chance) / (grid.sum(1, keepdims=True) + PULL))
     room = np.log10(in_class + kinds + 1)
-    base = np.log10(float(tokens + vocabulary + 1))
-    # a word's code is its place among the common words; all others share one
-    logs = np.concatenate([np.log10(np.array([n + 1.0 for _, n in top])), [0.0, np.log10(ends + 1.0)]])
-    k = classes + 1
-    shared = sc.broadcast((list(class_of), np.array([*class_of.values(), -1, classes], np.int64), logs, step, room))
+    base = float(np.log10(float(tokens + vocabulary + 1)))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names, cls, logs, step, room = shared.value
-        codes = Units(names, 1)
         for batch in batches:
-            out = _Rows(batch)
-            for i, text in enumerate(_binary(batch, 2)):
-                n, known, total, model = 1, int(ends > 0), logs[-1], 0.0
-                rare: Counter = Counter()
-                for before, words, c, after, _ in spans(text, codes):
-                    line = cls[np.concatenate([[before], c, [after]])]
-                    tail = line[1:] if after == codes.end else line[1:-1]
-                    both = (line[:len(tail)] >= 0) & (tail >= 0)
-                    model += step[line[:len(tail)][both], tail[both]].sum() - room[tail[tail >= 0]].sum()
-                    at = np.nonzero(line[1:-1] < 0)[0]
-                    # the place only where another rarer word is next to it
-                    place = np.where((line[at] < 0) | (line[at + 2] < 0), n + at, 0)
-                    near = (place * (k + 1) + line[at] + 1) * (k + 1) + line[at + 2] + 1
-                    n, total = n + len(c), total + logs[c].sum()
-                    known += len(c) - len(at)
-                    rare.update(zip([words[j] for j in at.tolist()], near.tolist()))
-                if n == 1:
-                    model = step[classes, classes] - room[classes]
-                out.document(i, n, known, total, model)
-                out.words(i, rare)
-                if len(out.word) > FLUSH // 2:
-                    yield out.batch()
-                    out = _Rows(batch)
-            yield out.batch()
-
-    kind = docs.schema["doc_id"].dataType.simpleString()
-    keyed = docs.select("doc_id", F.xxhash64("doc_id", F.coalesce("text", F.lit(""))).alias("th"), "text")
-    found, rarer = F.col("n").isNotNull(), F.col("times") > 0
-    steps, rooms = F.lit(step.ravel()), F.lit(room)
-    bucket = F.get(F.lit(cls[len(heads):].astype(np.int32)), (F.crc32(F.substring("word", -3, 3)) % buckets).cast("int"))
-    left = F.floor(F.col("at") / (k + 1)) % (k + 1) - 1
-    right = F.col("at") % (k + 1) - 1
-    place = F.floor(F.col("at") / ((k + 1) * (k + 1)))
-    gains = (F.when(left >= 0, F.get(steps, (left * k + F.col("c")).cast("int"))).otherwise(0.0)
-             + F.when(right >= 0, F.get(steps, (F.col("c") * k + right).cast("int"))).otherwise(0.0)
-             - F.get(rooms, F.col("c")))
-    sums = (keyed.mapInArrow(run, f"doc_id {kind}, th bigint, word binary, times int, at bigint, n_tokens bigint, known bigint, "
-                                  "logs double, classes double")
-            .join(words, "word", "left").withColumn("c", F.when(rarer, F.coalesce("cls", bucket)))
-            .groupBy("doc_id", "th").agg(
-                F.count("n_tokens").alias("copies"),      # rows that repeat id and text meet here
-                *[F.max(c).alias(c) for c in ("n_tokens", "known", "logs", "classes")],
-                F.coalesce(F.sum(F.when(found, F.col("times"))), F.lit(0)).alias("more"),
-                F.coalesce(F.sum(F.when(found, F.col("times") * F.log10(F.col("n") + 1.0))), F.lit(0.0)).alias("more_logs"),
-                F.coalesce(F.sum(F.when(rarer, F.col("times") * gains)), F.lit(0.0)).alias("more_classes"),
-                # bounded by one text's words, as copies repeat the same places
-                F.collect_set(F.when(rarer & (place > 0), F.struct(place.alias("p"), F.col("c")))).alias("meet")))
-    met = F.aggregate(
-        F.array_sort("meet"), F.struct(F.lit(-1).cast("bigint").alias("p"), F.lit(0).alias("c"), F.lit(0.0).alias("s")),
-        lambda acc, x: F.struct(x.p.alias("p"), x.c.alias("c"), (acc.s + F.when(
-            acc.p + 1 == x.p, F.get(steps, acc.c * k + x.c)).otherwise(0.0)).alias("s")),
-        lambda acc: acc.s)
-    logs_of = F.col("logs") + F.col("more_logs") / F.col("copies")
-    classes_of = F.col("classes") + F.col("more_classes") / F.col("copies") + met
-    return (sums.select("*", classes_of.alias("model"))
+            size, model = [np.empty(0, np.int64)], [np.empty(0)]
+            for _, sizes, before, own in _steps(batch.column(4), classes):
+                size.append(sizes.astype(np.int64))
+                model.append(np.add.reduceat(step[before, own] - room[own], np.cumsum(sizes) - sizes))
+            size, logs = np.concatenate(size), batch.column(3).to_numpy()
+            yield pa.RecordBatch.from_arrays(
+                [*batch.columns[:3], pa.array(size), pa.array(logs - size * base), pa.array(logs + np.concatenate(model))],
+                ["doc_id", "copies", "n_known", "n_tokens", "base_score", "score"])
+
+    kind = rows.schema["doc_id"].dataType.simpleString()
+    return (sequences.where("ask").select("doc_id", "copies", "known", "logs", "seq")
+            .mapInArrow(run, f"doc_id {kind}, copies bigint, n_known bigint, n_tokens bigint, base_score double, score double")
             .withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("copies"))))
-            .select("doc_id", "n_tokens", (F.col("known") + F.col("more") / F.col("copies")).cast("bigint").alias("n_known"),
-                    F.lit(tokens).cast("bigint").alias("train_tokens"),
-                    (logs_of - F.col("n_tokens") * F.lit(float(base))).alias("base_score"),
-                    (logs_of + F.col("model")).alias("score")))
-
-
-class _Rows:
-    """Rows of a batch's documents and of their rarer words, column by column."""
-
-    def __init__(self, batch: pa.RecordBatch) -> None:
-        self.source, self.th = batch, batch.column(1).to_pylist()
-        self.row, self.word, self.times, self.at, self.sums = [], [], [], [], ([], [], [], [])
-
-    def document(self, i: int, *sums) -> None:
-        self.row.append(i)
-        self.word.append(b" " + self.th[i].to_bytes(8, "little", signed=True))    # no word holds a blank
-        self.times.append(0)
-        self.at.append(0)
-        for column, value in zip(self.sums, sums):
-            column.append(value)
-
-    def words(self, i: int, counter: Counter) -> None:
-        self.row += [i] * len(counter)
-        self.word += [w for w, _ in counter]
-        self.at += [at for _, at in counter]
-        self.times += counter.values()
-        for column in self.sums:
-            column += [None] * len(counter)
-
-    def batch(self) -> pa.RecordBatch:
-        at = pa.array(self.row, pa.int32())
-        kinds = (pa.int64(), pa.int64(), pa.float64(), pa.float64())
-        return pa.RecordBatch.from_arrays(
-            [self.source.column(0).take(at), self.source.column(1).take(at), pa.array(self.word, pa.binary()),
-             pa.array(self.times, pa.int32()), pa.array(self.at, pa.int64()), *[pa.array(c, k) for c, k in zip(self.sums, kinds)]],
-            ["doc_id", "th", "word", "times", "at", "n_tokens", "known", "logs", "classes"])
+            .select("doc_id", "n_tokens", "n_known", F.lit(tokens).cast("bigint").alias("train_tokens"), "base_score", "score"))
 
 
 def score_documents(docs: DataFrame) -> DataFrame:
     """Every document scored by the model of those outside the held-out fold."""
     out = held_out(F.col("doc_id"), FOLDS, FOLD)
-    docs = docs.select("doc_id", "text")
-    return score_texts(docs, docs.where(~out).select("text")).select(
+    return score_rows(docs.select("doc_id", "text", F.lit(True).alias("ask"), (~out).alias("learn"))).select(
         "doc_id", out.alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
