@@ -61,7 +61,7 @@ SWEEPS = 8
 PULL = 10.0                # weight of class frequencies in a transition
 FOLDS, FOLD = 7, 2
 FLUSH = 400_000            # distinct words a counter holds before it is emitted
-NEAR = 1_000_000           # occurrences whose neighbours are packed together
+NEAR = 2_000_000           # tokens whose neighbours are packed together
 UNITS = 1_500_000          # units whose bigrams are counted together
 _CACHE = 500_000
 
@@ -260,19 +260,6 @@ def cluster(bigrams: DataFrame, size: int, classes: int = CLASSES) -> tuple[np.n
     return np.frombuffer(row.cls, np.int64), np.frombuffer(row.grid, np.float64).reshape(classes + 1, classes + 1)
 
 
-def spans(text: bytes | None, codes: Units) -> Iterator[tuple[int, list[bytes], np.ndarray, int, bytes]]:
-    """Each block of a text: (code before it, its words, their codes, code after it, word after it)."""
-    held, last = None, codes.end
-    for words in _lower_words(text):
-        c = codes.each(words)
-        if held:
-            yield (*held, int(c[0]), words[0])
-            last = int(held[2][-1])
-        held = (last, words, c)
-    if held:
-        yield (*held, codes.end, b"")
-
-
 class Ids(dict):
     """word -> number, in the order they are first asked for."""
 
@@ -281,7 +268,7 @@ class Ids(dict):
         return len(self) - 1
 
     def of(self, words: list[bytes]) -> np.ndarray:
-        return np.fromiter(map(self.__getitem__, words), np.int64, len(words))
+        return np.fromiter(map(self.__getitem__, words), np.int32, len(words))
 
 
 def _binaries(sizes: np.ndarray, data: np.ndarray) -> pa.Array:
@@ -292,7 +279,7 @@ def _binaries(sizes: np.ndarray, data: np.ndarray) -> pa.Array:
 
 def _together(keys: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, pa.Array]:
     """The distinct keys (not negative), and the values of each in one binary."""
-    order = np.argsort(keys, kind="stable")
+    order = np.argsort(keys)
     keys = keys[order]
     starts = np.flatnonzero(np.diff(keys, prepend=-1))
     return keys[starts], _binaries(np.diff(starts, append=len(keys)) * values.itemsize, values[order])
@@ -323,26 +310,27 @@ def word_contexts(texts: DataFrame, head: list[bytes], buckets: int, cls: np.nda
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names, cls = shared.value
-        units = Units(names, buckets)
-        ids, found, near, count = Ids(), [], [], 0
+        end = len(names)      # also the place of the end token, then of the words as they are met
+        first = {w: i for i, w in enumerate([*names, b" "])}      # no word holds a blank
+        ids, line, count = Ids(first), [[end]], 0
 
         def emit() -> pa.RecordBatch:
-            each, packed = _together(np.concatenate(found), np.concatenate(near))
-            return pa.RecordBatch.from_arrays([pa.array(list(ids), pa.binary()).take(pa.array(each)), packed], ["word", "near"])
+            words, code = list(ids)[end + 1:], np.concatenate(line).astype(np.int32)
+            of = cls[np.array([*range(end), len(cls) - 1, *(end + zlib.crc32(w[-3:]) % buckets for w in words)])]
+            at = np.flatnonzero(code > end)
+            each, packed = _together(code[at] - (end + 1), (of[code[at - 1]] * k + of[code[at + 1]]).astype(np.uint16))
+            return pa.RecordBatch.from_arrays([pa.array(words, pa.binary()).take(pa.array(each)), packed], ["word", "near"])
 
         for batch in batches:
             for text in _binary(batch, 0):
-                for before, words, c, after, _ in spans(text, units):
-                    line = cls[np.concatenate([[before], c, [after]])]
-                    at = np.flatnonzero(c >= units.first)
-                    found.append(ids.of([words[j] for j in at.tolist()]))
-                    near.append((line[at] * k + line[at + 2]).astype(np.uint16))
-                    count += len(at)
+                for words in _lower_words(text):
+                    line.append(ids.of(words))
+                    count += len(words)
+                line.append([end])
                 if count > NEAR or len(ids) > FLUSH:
                     yield emit()
-                    ids, found, near, count = Ids(), [], [], 0
-        if count:
-            yield emit()
+                    ids, line, count = Ids(first), [[end]], 0
+        yield emit()
 
     return texts.select("text").mapInArrow(run, "word binary, near binary")
 
