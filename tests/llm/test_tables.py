@@ -317,6 +317,47 @@ def test_contexts_are_one_row_a_word_and_classes_one_row_a_text(spark):
         assert math.isclose(r.logs, math.log10(8) + sum(math.log10(x + 1) for x in n), rel_tol=1e-9)
 
 
+def shuffled_rows(df):
+    """Rows written by all exchanges of ``df``, which has run."""
+    def walk(node):
+        kind = node.getClass().getSimpleName()
+        below = [node.children().apply(i) for i in range(node.children().size())]
+        if kind == "AdaptiveSparkPlanExec":
+            below.append(node.executedPlan())
+        elif kind.endswith("QueryStageExec"):
+            below.append(node.plan())
+        own = node.metrics().apply("shuffleRecordsWritten").value() if kind == "ShuffleExchangeExec" else 0
+        return own + sum(map(walk, below))
+
+    return walk(df._jdf.queryExecution().executedPlan())
+
+
+def test_rarer_words_and_unit_bigrams_are_shuffled_in_blocks(spark):
+    """No row for each text and rarer word, nor for each pair of units."""
+    table = [(f"r{j}".encode(), j % 5 + 1, j % 4) for j in range(6000)]
+    texts = [" ".join(f"r{(i * 31 + j * 7) % 7000}" for j in range(i % 5 * 40)) for i in range(400)]     # r6000.. are in no table
+    docs = spark.createDataFrame([(i, t, True, True) for i, t in enumerate(texts)],
+                                 "doc_id bigint, text string, ask boolean, learn boolean").coalesce(2)
+    words = spark.createDataFrame(table[::-1], "word binary, n bigint, cls int").coalesce(1)
+    frame = brown.class_sequences(docs, words, {}, np.array([0.0, 1.0]), True, F.length("word") % 3, 4)
+    of = {w.decode(): (n, c) for w, n, c in table}
+    got = {r.doc_id: r for r in frame.collect()}
+    for i, t in enumerate(texts):
+        line = [of.get(w, (0, len(w) % 3)) for w in t.split()]
+        assert list(got[i].seq) == [*(c for _, c in line), 4] and got[i].known == 1 + sum(n > 0 for n, _ in line)
+        assert math.isclose(got[i].logs, 1 + sum(math.log10(n + 1) for n, _ in line), rel_tol=1e-9)
+    # the texts three times, and the 1,000 words that no table holds once a block; not 31,600 pairs of text and word
+    assert 1200 <= shuffled_rows(frame) < 1200 + 2 * 1000 + 100
+
+    learn = docs.select("text")
+    pairs = brown.unit_bigrams(learn, [b"r0", b"r7"], 3)
+    unit = lambda w: [b"r0", b"r7"].index(w) if w in (b"r0", b"r7") else 2 + zlib.crc32(w[-3:]) % 3
+    want = collections.Counter(p for t in texts for line in [[5, *map(unit, t.encode().split()), 5]] for p in zip(line, line[1:]))
+    met = pairs.collect()
+    assert {(r.u, int(v)): int(n) for r in met for v, n in zip(np.frombuffer(r.v, np.int32), np.frombuffer(r.n, np.int64))} == want
+    assert len(met) == 6 and shuffled_rows(pairs) <= 12
+
+
 def test_model_is_a_distribution(spark):
     """Over all one- and two-token texts of a small vocabulary the known part sums to below one, nearly to it."""
     rows = [(i, t) for i, t in enumerate(["a b", "a b", "b a", "a", "b b a", "c"] * 20)]

@@ -20,13 +20,14 @@ frequencies, emissions by adding one, an unseen word being one further word of
 its class.
 
 Each token needs its word's exact count and class.  Those of at most ``COMMON``
-most frequent words are broadcast; the other words are joined with the complete
-table of words -- none of them is frequent, so that join has no hot key.  One pass over
-the texts and one join turn every text into its sequence of classes, a byte a token: a
-row for the text with the classes of its common words (under a key of its own in
-place of a word, so that these rows spread too), and a row for each of its rarer words with
-their places, which are filled in where the rows of a text meet.  The sequences are
-stored; both the class bigrams of the training texts and the scores are read from them.
+most frequent words are broadcast; the other words are looked up in the complete
+table of words, which hash parts deal out: the texts are encoded in blocks of about
+``NEAR`` tokens, and a block sends each part one row with all its distinct rarer words
+there.  The answers (counts and classes in the block's order of words) meet the block's texts,
+which hold the classes of their common words and the numbers of the rarer ones.  So every
+text becomes its sequence of classes, a byte a token, and no row is made for a text and
+word.  The sequences are stored; both the class bigrams of the training texts and the
+scores are read from them.
 
 Defined cases: null and empty texts are one end token; a null id is never
 held out; repeated rows are scored each (training counts each); an empty
@@ -40,11 +41,13 @@ from __future__ import annotations
 import zlib
 from collections import Counter
 from collections.abc import Iterator
+from hashlib import blake2b
 from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -61,7 +64,9 @@ SWEEPS = 8
 PULL = 10.0                # weight of class frequencies in a transition
 FOLDS, FOLD = 7, 2
 FLUSH = 400_000            # distinct words a counter holds before it is emitted
-NEAR = 2_000_000           # tokens whose neighbours are packed together
+NEAR = 2_000_000           # tokens whose neighbours are packed together, or that make a block
+TEXTS = 100_000            # texts of a block, at most
+PART = 100_000             # words that blocks are looked up in together, about
 UNITS = 1_500_000          # units whose bigrams are counted together
 _CACHE = 500_000
 
@@ -168,27 +173,60 @@ class Units(dict):
 
 
 def unit_bigrams(texts: DataFrame, head: list[bytes], buckets: int) -> DataFrame:
-    """``(u, v, n)``: unit v follows unit u; a text starts after an end."""
-    shared = texts.sparkSession.sparkContext.broadcast(head)
+    """``(u, v, n)``: the units v (32 bits each) that follow unit u, and how often each
+    (64 bits); a text starts after an end."""
+    shared, size = texts.sparkSession.sparkContext.broadcast(head), len(head) + buckets + 1
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        units = Units(shared.value, buckets)
-        size = units.end + 1
+        units, grid, most = Units(shared.value, buckets), np.zeros(size * size, np.uint32), 1 << 31
+        pending, count, counted = [np.array([size - 1], np.int32)], 0, 0
+
+        def add() -> None:
+            line = np.concatenate(pending).astype(np.int64)
+            np.add.at(grid, line[:-1] * size + line[1:], np.uint32(1))
+
+        for batch in batches:
+            for text in _binary(batch, 0):
+                pending.append(units.of(text))
+                count += len(pending[-1])
+                if count > UNITS:
+                    add()
+                    pending, counted, count = [np.array([size - 1], np.int32)], counted + count, 0
+                    if counted > most:
+                        yield _rows_of_cells(grid, size)
+                        grid[:], counted = 0, 0
+        add()
+        yield _rows_of_cells(grid, size)
+
+    def total(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, row = None, np.zeros(size, np.int64)
+
+        def whole() -> pa.RecordBatch:
+            v = np.flatnonzero(row)
+            return pa.RecordBatch.from_arrays([pa.array([now], pa.int64()), pa.array([v.astype(np.int32).tobytes()], pa.binary()),
+                                               pa.array([row[v].tobytes()], pa.binary())], ["u", "v", "n"])
+
         for batch in batches:
-            pending, count = [np.array([units.end], np.int32)], 0
-            for text in [*_binary(batch, 0), StopIteration]:
-                if text is not StopIteration:
-                    pending.append(units.of(text))
-                    count += len(pending[-1])
-                if pending[1:] and (count > UNITS or text is StopIteration):
-                    line = np.concatenate(pending).astype(np.int64)
-                    ids, n = np.unique(line[:-1] * size + line[1:], return_counts=True)
-                    yield pa.RecordBatch.from_arrays([pa.array(ids // size), pa.array(ids % size), pa.array(n)],
-                                                     ["u", "v", "n"])
-                    pending, count = [np.array([units.end], np.int32)], 0
-
-    return (texts.select("text").mapInArrow(run, "u bigint, v bigint, n bigint")
-            .groupBy("u", "v").agg(F.sum("n").alias("n")))
+            for u, v, n in zip(*(c.to_pylist() for c in batch.columns)):
+                if u != now:
+                    if now is not None:
+                        yield whole()
+                    now, row = u, np.zeros(size, np.int64)
+                row[np.frombuffer(v, np.int32)] += np.frombuffer(n, np.int64)      # a row holds a unit once
+        if now is not None:
+            yield whole()
+
+    kinds = "u bigint, v binary, n binary"
+    return texts.select("text").mapInArrow(run, kinds).repartition("u").sortWithinPartitions("u").mapInArrow(total, kinds)
+
+
+def _rows_of_cells(grid: np.ndarray, size: int) -> pa.RecordBatch:
+    at = np.flatnonzero(grid)
+    u = at // size
+    starts = np.flatnonzero(np.diff(u, prepend=-1))
+    sizes = np.diff(starts, append=len(at))
+    return pa.RecordBatch.from_arrays([pa.array(u[starts]), _binaries(sizes * 4, (at % size).astype(np.int32)),
+                                       _binaries(sizes * 8, grid[at].astype(np.int64))], ["u", "v", "n"])
 
 
 def _xlogx(x: np.ndarray) -> np.ndarray:
@@ -247,8 +285,11 @@ def exchange(u: np.ndarray, v: np.ndarray, n: np.ndarray, size: int, classes: in
 def cluster(bigrams: DataFrame, size: int, classes: int = CLASSES) -> tuple[np.ndarray, np.ndarray]:
     """``exchange`` in one task over the bounded matrix of unit bigrams."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        parts = [tuple(b.column(i).to_numpy() for i in range(3)) for b in batches]
-        u, v, n = (np.concatenate(x) for x in zip(*parts)) if parts else (np.empty(0, np.int64),) * 3
+        parts = [(np.empty(0, np.int64),) * 3]
+        for b in batches:
+            v, times = _flat(b.column(1), np.int32)
+            parts.append((np.repeat(b.column(0).to_numpy(), times), v.astype(np.int64), _flat(b.column(2), np.int64)[0]))
+        u, v, n = (np.concatenate(x) for x in zip(*parts))
         order = np.lexsort((v, u))
         cls, grid = exchange(u[order], v[order], n[order], size, classes)
         yield pa.RecordBatch.from_arrays([pa.array([cls.tobytes()], pa.binary()), pa.array([grid.tobytes()], pa.binary())],
@@ -402,113 +443,211 @@ def assign(contexts: DataFrame, cls: np.ndarray, grid: np.ndarray, first: int, b
             .mapInArrow(run, "word binary, n bigint, cls int"))
 
 
+def _part(word: bytes, parts: int) -> int:
+    return zlib.crc32(word) % parts
+
+
+def _packed(words: list[bytes], parts: int) -> tuple[np.ndarray, Iterator[tuple[int, int, bytes]]]:
+    """The order of ``words`` by part; for each part that has some, its number, where its
+    words begin in that order, and the words (none holds a blank) in one value."""
+    part = np.fromiter((_part(w, parts) for w in words), np.int64, len(words))
+    order = np.argsort(part, kind="stable")
+    starts = np.flatnonzero(np.diff(part[order], prepend=-1))
+    cuts = zip(starts.tolist(), [*starts[1:].tolist(), len(words)])
+    return order, ((int(part[order[a]]), a, b" ".join([words[i] for i in order[a:b].tolist()])) for a, b in cuts)
+
+
+def word_parts(words: DataFrame, parts: int) -> DataFrame:
+    """``(part, words, n, cls)`` of ``words`` (word, n, cls): a task's words of one part in one row."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, count = [], 0
+
+        def emit() -> pa.RecordBatch:
+            word, n, cls = (pa.concat_arrays([b.column(i) for b in held]) for i in range(3))
+            order, rows = _packed(word.to_pylist(), parts)
+            part, starts, packed = zip(*rows)
+            sizes = np.diff([*starts, len(order)])
+            return pa.RecordBatch.from_arrays(
+                [pa.array(part, pa.int32()), pa.array(packed, pa.binary()), _binaries(sizes * 8, n.to_numpy()[order]),
+                 _binaries(sizes, cls.to_numpy()[order].astype(np.uint8))], ["part", "words", "n", "cls"])
+
+        for batch in batches:
+            if batch.num_rows:
+                held.append(batch)
+                count += batch.num_rows
+            if count > FLUSH:
+                yield emit()
+                held, count = [], 0
+        if held:
+            yield emit()
+
+    return words.select("word", F.col("n").cast("bigint"), F.col("cls").cast("int")).mapInArrow(
+        run, "part int, words binary, n binary, cls binary")
+
+
 def class_sequences(rows: DataFrame, words: DataFrame, common: dict[bytes, int], logs: np.ndarray, seen_end: bool,
-                    rare_class: Column, classes: int) -> DataFrame:
+                    rare_class: Column, classes: int, parts: int | None = None) -> DataFrame:
     """``(doc_id, ask, learn, copies, known, logs, seq)`` of ``rows`` (doc_id, text, ask,
     learn): a text's classes, a byte each and the end's last, how many of its tokens have a
     count, and the sum of log10(count + 1).  ``common`` are the words that need no join with
-    ``words`` (word, n, cls); a word in neither has the class ``rare_class``."""
+    ``words`` (word, n, cls); a word in neither has the class ``rare_class``.  ``words`` are
+    looked up in ``parts`` (by default of about ``PART`` words)."""
     if classes > 254:
         raise ValueError(f"{classes} classes: a class is one byte")
     shared = rows.sparkSession.sparkContext.broadcast((list(common), np.array([*common.values(), 255, classes], np.uint8), logs))
     kind = rows.schema["doc_id"].dataType.simpleString()
+    parts = parts or words.count() // PART + 1
+    text_columns = ["doc_id", "th", "ask", "learn", "known", "logs", "seq", "rare"]
+    text_kinds = f"doc_id {kind}, th bigint, ask boolean, learn boolean, known bigint, logs double, seq binary, rare binary"
+
+    def rows_of(schema: pa.Schema, size: int, **columns: pa.Array) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([columns[f.name] if f.name in columns else pa.nulls(size, f.type) for f in schema], schema=schema)
+
+    def schema_of(names: list[tuple[str, pa.DataType]], doc_id: pa.DataType) -> pa.Schema:
+        texts = zip(text_columns, [doc_id, pa.int64(), pa.bool_(), pa.bool_(), pa.int64(), pa.float64(), pa.binary(), pa.binary()])
+        return pa.schema([*names, *texts])
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """A block of texts at a time: its texts with the classes of their common words and the
+        numbers, in the block, of the rarer ones; and its rarer words, a row for each part."""
         names, cls, logs = shared.value
-        code, other = {w: i for i, w in enumerate(names)}, len(names)
-        for batch in batches:
-            th = batch.column(1).to_pylist()
-            ids, docs, rare, count = Ids(), [], [], 0
-
-            def out(row: list | np.ndarray, word: pa.Array, places: pa.Array, *rest) -> pa.RecordBatch:
-                at = pa.array(row, pa.int64())
-                return pa.RecordBatch.from_arrays(
-                    [batch.column(0).take(at), batch.column(1).take(at), batch.column(2).take(at), batch.column(3).take(at), word,
-                     places, *rest], ["doc_id", "th", "ask", "learn", "word", "places", "known", "logs", "seq"])
-
-            def emit() -> Iterator[pa.RecordBatch]:
-                if docs:
-                    # under a key of its own in place of a word; no word holds a blank
-                    row, known, total, seq = zip(*docs)
-                    yield out(row, pa.array([b" " + th[i].to_bytes(8, "little", signed=True) for i in row], pa.binary()),
-                              pa.nulls(len(row), pa.binary()), pa.array(known, pa.int64()), pa.array(total, pa.float64()),
-                              pa.array(seq, pa.binary()))
-                if rare:
-                    row, word, place = (np.concatenate(x) for x in zip(*rare))
-                    each, places = _together(row * len(ids) + word, place)
-                    none = (pa.nulls(len(each), t) for t in (pa.int64(), pa.float64(), pa.binary()))
-                    yield out(each // len(ids), pa.array(list(ids), pa.binary()).take(pa.array(each % len(ids))), places, *none)
+        code, other, task = {w: i for i, w in enumerate(names)}, len(names), TaskContext.get().partitionId()
+        ids, held, docs, rare, count, made = Ids(), [], [], [], 0, 0
+
+        def emit() -> Iterator[pa.RecordBatch]:
+            doc_id, th, ask, learn = (pa.concat_arrays([b.column(i) for b in held]) for i in range(4))
+            hashes = th.to_numpy()
+            # made of its texts too: if a lost task runs again on other blocks, none is taken for one of before
+            block = task.to_bytes(4, "little") + made.to_bytes(4, "little") + blake2b(hashes.tobytes(), digest_size=8).digest()
+            order, asked = _packed(list(ids), parts)
+            place = np.empty(len(ids), np.int32)
+            place[order] = np.arange(len(ids))
+            known, total, seq, sizes = zip(*docs)
+            schema = schema_of([("block", pa.binary()), ("kind", pa.int32()), ("part", pa.int32()), ("start", pa.int32()),
+                                ("total", pa.int32()), ("words", pa.binary())], doc_id.type)
+            each = lambda x, n: pa.array(np.full(n, x, np.int32))
+            n = len(docs)
+            yield rows_of(schema, n, block=pa.array([block] * n, pa.binary()), kind=each(2, n), total=each(len(ids), n),
+                          part=pa.array((hashes % parts).astype(np.int32)), doc_id=doc_id, th=th, ask=ask, learn=learn,
+                          known=pa.array(known, pa.int64()), logs=pa.array(total, pa.float64()), seq=pa.array(seq, pa.binary()),
+                          rare=_binaries(np.array(sizes) * 4, place[np.concatenate([np.empty(0, np.int32), *rare])]))
+            if ids:
+                part, start, packed = zip(*asked)
+                n = len(part)
+                yield rows_of(schema, n, block=pa.array([block] * n, pa.binary()), kind=each(1, n), total=each(len(ids), n),
+                              part=pa.array(part, pa.int32()), start=pa.array(start, pa.int32()), words=pa.array(packed, pa.binary()))
 
+        for batch in batches:
+            begun = 0
             for i, text in enumerate(_binary(batch, 4)):
-                n, known, total, seq = 0, int(seen_end), logs[-1], []
+                known, total, seq, size = int(seen_end), logs[-1], [], 0
                 for words in _lower_words(text):
                     c = np.fromiter(map(code.get, words, repeat(other)), np.int64, len(words))
                     at = np.flatnonzero(c == other)
                     if len(at):
-                        rare.append((np.full(len(at), i), ids.of([words[j] for j in at.tolist()]), (at + n).astype(np.int32)))
+                        rare.append(ids.of([words[j] for j in at.tolist()]))
                     seq.append(cls[c].tobytes())
-                    n, known, total, count = n + len(c), known + len(c) - len(at), total + logs[c].sum(), count + len(at)
-                    if count > FLUSH:
-                        yield from emit()
-                        ids, docs, rare, count = Ids(), [], [], 0
-                docs.append((i, known, total, b"".join([*seq, bytes([classes])])))
+                    size, known, total, count = size + len(at), known + len(c) - len(at), total + logs[c].sum(), count + len(c)
+                docs.append((known, total, b"".join([*seq, bytes([classes])]), size))
+                if count > NEAR or len(ids) > FLUSH or len(docs) >= TEXTS:
+                    held.append(batch.slice(begun, i + 1 - begun))
+                    yield from emit()
+                    begun, made = i + 1, made + 1
+                    ids, held, docs, rare, count = Ids(), [], [], [], 0
+            if begun < batch.num_rows:
+                held.append(batch.select([0, 1, 2, 3]).slice(begun))
+        if docs:
             yield from emit()
 
-    def fill(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Puts the classes of the rarer words into their places; a text's own row comes
-        first, and rows that repeat id and text meet."""
-        held = None           # the text that is not complete: its columns and its bytes
+    def look_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Counts and classes of the words that blocks ask for, in their order; a word that is
+        in no row of its part's table comes alone, without them.  Texts pass."""
+        now, table, n, cls = None, {}, [], []
         for batch in batches:
-            if not batch.num_rows:
-                continue
             col = dict(zip(batch.schema.names, batch.columns))
-            if held is None:
-                new, of = _begins(col["doc_id"], col["th"]), 0
-            else:
-                new = _begins(*(pa.concat_arrays([held[c], col[c]]) for c in ("doc_id", "th")))[1:]
-                of = 1
-            of = np.cumsum(new) - 1 + of
-            starts = pa.array(np.flatnonzero(new))
-            begun = {c: col[c].take(starts) for c in ("doc_id", "th", "ask", "learn")}
-            known, logs = (col[c].take(starts).to_numpy(zero_copy_only=False) for c in ("known", "logs"))
-            seq, sizes = _flat(col["seq"].take(starts), np.uint8)
-            done = np.zeros(len(seq), bool)
-            copies = np.bincount(of, col["seq"].is_valid().to_numpy(zero_copy_only=False), len(starts) + (held is not None))
-            if held is not None:
-                begun = {c: pa.concat_arrays([held[c], begun[c]]) for c in begun}
-                known, logs, seq, done, sizes = (np.concatenate([held[c], x]) for c, x in (
-                    ("known", known), ("logs", logs), ("seq", seq), ("done", done), ("sizes", sizes)))
-                copies[0] += held["copies"][0]
-            known, logs, seq = known.astype(np.int64), logs.astype(float), seq.copy()
-            ends = np.cumsum(sizes)
-            place, times = _flat(col["places"], np.int32)
-            at, first = np.unique(place + np.repeat((ends - sizes)[of], times), return_index=True)
-            row = np.repeat(np.arange(batch.num_rows), times)[first]
-            at, row = (x[~done[at]] for x in (at, row))               # copies repeat the same places
-            n = col["n"].to_numpy()[row]
-            seq[at], done[at] = col["c"].to_numpy()[row], True
-            known += np.bincount(of[row], n > 0, len(sizes)).astype(np.int64)
-            logs += np.bincount(of[row], np.log10(n + 1.0), len(sizes))
-            every = {**begun, "copies": copies, "known": known, "logs": logs, "sizes": sizes}
-            last = len(sizes) - 1
-            yield whole({c: x[:last] for c, x in every.items()}, seq[:ends[-1] - sizes[-1]])
-            held = {c: x[last:] for c, x in every.items()} | {x: v[ends[-1] - sizes[-1]:].copy() for x, v in (("seq", seq), ("done", done))}
-        if held is not None:
-            yield whole(held, held["seq"])
-
-    def whole(col: dict, seq: np.ndarray) -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays(
-            [col["doc_id"], col["ask"], col["learn"], pa.array(col["copies"].astype(np.int64)), pa.array(col["known"]),
-             pa.array(col["logs"]), _binaries(col["sizes"], seq)], ["doc_id", "ask", "learn", "copies", "known", "logs", "seq"])
+            schema = schema_of([("block", pa.binary()), ("kind", pa.int32()), ("start", pa.int32()), ("total", pa.int32()),
+                                ("n", pa.binary()), ("cls", pa.binary()), ("word", pa.binary())], col["doc_id"].type)
+            kinds = col["kind"].to_numpy()
+            found, alone = [], []
+            for i in np.flatnonzero(kinds < 2).tolist():
+                if (part := col["part"][i].as_py()) != now:
+                    now, table, n, cls = part, {}, [], []
+                asked = col["words"][i].as_py().split(b" ")
+                if kinds[i] == 0:
+                    table.update(zip(asked, range(len(table), len(table) + len(asked))))
+                    n.append(np.frombuffer(col["n"][i].as_py(), np.int64))
+                    cls.append(np.frombuffer(col["cls"][i].as_py(), np.uint8))
+                    continue
+                if len(n) != 1:
+                    n, cls = ([np.concatenate([np.zeros(0, t), *x])] for t, x in ((np.int64, n), (np.uint8, cls)))
+                at = np.fromiter(map(table.get, asked, repeat(-1)), np.int64, len(asked))
+                block, start, total = (col[c][i].as_py() for c in ("block", "start", "total"))
+                new = np.flatnonzero(at < 0).tolist()
+                if new:
+                    alone += [(block, start + j, total, asked[j]) for j in new]
+                    got_n, got_cls = np.zeros(len(at), np.int64), np.full(len(at), 255, np.uint8)
+                    got_n[at >= 0], got_cls[at >= 0] = n[0][at[at >= 0]], cls[0][at[at >= 0]]
+                else:
+                    got_n, got_cls = n[0][at], cls[0][at]
+                found.append((block, start, total, got_n.tobytes(), got_cls.tobytes()))
+            for kind, rest, rows in ((0, ("n", "cls"), found), (1, ("word",), alone)):
+                if rows:
+                    block, start, total, *values = zip(*rows)
+                    yield rows_of(schema, len(rows), block=pa.array(block, pa.binary()), kind=pa.array([kind] * len(rows), pa.int32()),
+                                  start=pa.array(start, pa.int32()), total=pa.array(total, pa.int32()),
+                                  **{c: pa.array(v, pa.binary()) for c, v in zip(rest, values)})
+            texts = pa.array(np.flatnonzero(kinds == 2))
+            if len(texts):
+                yield rows_of(schema, len(texts), **{c: col[c].take(texts) for c in ("block", "kind", "total", *text_columns)})
+
+    def fill(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Puts the classes of a block's rarer words into their places in its texts, which come last."""
+        block, n, cls, logs, whole = None, None, None, None, True
+        for batch in batches:
+            starts = np.flatnonzero(_begins(batch.column(0)))
+            for a, b in zip(starts.tolist(), [*starts[1:].tolist(), batch.num_rows]):
+                run = batch.slice(a, b - a)
+                col = dict(zip(run.schema.names, run.columns))
+                if (key := col["block"][0].as_py()) != block:
+                    total = col["total"][0].as_py()
+                    block, n, cls, whole = key, np.zeros(total, np.int64), np.full(total, 255, np.uint8), False
+                first, last = np.searchsorted(col["kind"].to_numpy(), [1, 2]).tolist()
+                for i in range(first):
+                    at, got = col["start"][i].as_py(), col["cls"][i].as_py()
+                    cls[at:at + len(got)] = np.frombuffer(got, np.uint8)
+                    n[at:at + len(got)] = np.frombuffer(col["n"][i].as_py(), np.int64)
+                if first < last:
+                    cls[col["start"].slice(first, last - first).to_numpy()] = col["c"].slice(first, last - first).to_numpy()
+                if last == b - a:
+                    continue
+                if not whole:
+                    if (cls == 255).any():
+                        raise RuntimeError("words of a block were not answered: its texts were dealt anew meanwhile")
+                    logs, whole = np.log10(n + 1.0), True
+                col = {c: x.slice(last) for c, x in col.items()}
+                seq, sizes = _flat(col["seq"], np.uint8)
+                rare, times = _flat(col["rare"], np.int32)
+                seq, row = seq.copy(), np.repeat(np.arange(len(sizes)), times)
+                seq[seq == 255] = cls[rare]
+                known = col["known"].to_numpy() + np.bincount(row, n[rare] > 0, len(sizes)).astype(np.int64)
+                total = col["logs"].to_numpy() + np.bincount(row, logs[rare], len(sizes))
+                yield pa.RecordBatch.from_arrays(
+                    [col["doc_id"], col["th"], col["ask"], col["learn"], pa.array(known), pa.array(total), _binaries(sizes, seq)],
+                    ["doc_id", "th", "ask", "learn", "known", "logs", "seq"])
 
     keyed = rows.select("doc_id", F.xxhash64("doc_id", F.coalesce("text", F.lit("")), "ask", "learn").alias("th"), "ask", "learn", "text")
-    return (keyed.mapInArrow(encode, f"doc_id {kind}, th bigint, ask boolean, learn boolean, word binary, places binary, "
-                                     "known bigint, logs double, seq binary")
-            .join(words, "word", "left")
-            .select("doc_id", "th", "ask", "learn", "known", "logs", "seq", "places", F.coalesce("n", F.lit(0)).cast("bigint").alias("n"),
-                    F.coalesce("cls", rare_class, F.lit(0)).cast("int").alias("c"))
-            .repartition("doc_id", "th").sortWithinPartitions("doc_id", "th", F.col("seq").isNull())
-            .mapInArrow(fill, f"doc_id {kind}, ask boolean, learn boolean, copies bigint, known bigint, logs double, seq binary"))
+    texts = keyed.mapInArrow(encode, f"block binary, kind int, part int, start int, total int, words binary, {text_kinds}")
+    return (texts.unionByName(word_parts(words, parts).withColumn("kind", F.lit(0)), allowMissingColumns=True)
+            .repartition("part").sortWithinPartitions("part", "kind")
+            .mapInArrow(look_up, f"block binary, kind int, start int, total int, n binary, cls binary, word binary, {text_kinds}")
+            .select("block", "kind", "start", "total", "n", "cls",
+                    F.when(F.col("word").isNotNull(), F.coalesce(rare_class, F.lit(0)).cast("int")).alias("c"), *text_columns)
+            .repartition("block").sortWithinPartitions("block", "kind")
+            .mapInArrow(fill, f"doc_id {kind}, th bigint, ask boolean, learn boolean, known bigint, logs double, seq binary")
+            # rows that repeat id and text meet
+            .groupBy("doc_id", "th", "ask", "learn")
+            .agg(F.count(F.lit(1)).alias("copies"), *(F.first(c).alias(c) for c in ("known", "logs", "seq")))
+            .select("doc_id", "ask", "learn", "copies", "known", "logs", "seq"))
 
 
 def _steps(column: pa.Array, classes: int) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray]]:
@@ -575,7 +714,8 @@ def score_rows(rows: DataFrame, head: int | None = None, buckets: int = BUCKETS,
     # a word's code is its place among the common words; all others share one
     logs = np.concatenate([np.log10(np.array([n + 1.0 for _, n in top])), [0.0, np.log10(ends + 1.0)]])
     bucket = F.get(F.lit(cls[len(heads):].astype(np.int32)), (F.crc32(F.substring("word", -3, 3)) % buckets).cast("int"))
-    sequences = durable(class_sequences(rows, words, class_of, logs, ends > 0, bucket, classes))
+    sequences = durable(class_sequences(rows, words, class_of, logs, ends > 0, bucket, classes,
+                                        int(vocabulary) // PART + 1))
     grid = class_bigrams(sequences.where("learn"), classes)
     in_class = grid.sum(0)                                   # tokens of each class
     kinds = np.zeros(classes + 1)
